@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.llm.common import tables
+from lattica.llm.fingerprints import as_text, fingerprint_neighbours
+from lattica.llm.license_scan import scan_licenses
 from lattica.llm.quality_rules import weak_supervision
 
 
@@ -19,8 +21,29 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *base, failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "posterior", "votes")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels by the positional rare-token index, with the base phrases' places."""
+    out = scan_licenses(tables(spark, sf_dir, "documents"), "doc_id", "text")
+    joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", *[v.alias(c) for c, v in joined.items()], "score")
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of every text and its edited form, and likeness to both the edit and the next document."""
+    out = fingerprint_neighbours(tables(spark, sf_dir, "documents"), "doc_id", "text")
+    return out.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        as_text(F.col("sketch")).alias("fingerprint"),
+        as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_quality_rules": op3_quality_rules}
+    return {f.__name__: f for f in (op3_quality_rules, op9_license_scan, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

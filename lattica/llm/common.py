@@ -42,3 +42,19 @@ def words(text: Column) -> Column:
 
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def slices(batch, column: str, max_bytes: int = 2_000_000, max_rows: int = 512):
+    """Cut an Arrow batch into runs of rows of about ``max_bytes`` of text (a longer text stands alone)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+    start, total = 0, 0
+    for i, n in enumerate(size):
+        if i > start and (total + n > max_bytes or i - start >= max_rows):
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if len(size) > start:
+        yield batch.slice(start)

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import tables
+from lattica.llm.common import fold, tables
 from lattica.llm.fingerprints import as_text, fingerprint_neighbours
+from lattica.llm.language_id import fit_language_model, identify
 from lattica.llm.license_scan import scan_licenses
+from lattica.llm.quality_classifier import fit_neighbours, score_quality
 from lattica.llm.quality_rules import weak_supervision
 
 
@@ -21,6 +23,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *base, failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "posterior", "votes")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by error-correcting output codes, learned outside the held-out fold."""
+    docs, held = tables(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5)
+    model = fit_language_model(docs, "doc_id", "text", "lang", ~held)
+    return identify(docs, "doc_id", "text", model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by nearest-neighbour voting, learned outside the held-out fold."""
+    docs, held = tables(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5)
+    model = fit_neighbours(docs, "doc_id", "text", tables(spark, sf_dir, "labels"), "quality", ~held)
+    out = score_quality(docs, "doc_id", "text", model)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels by the positional rare-token index, with the base phrases' places."""
     out = scan_licenses(tables(spark, sf_dir, "documents"), "doc_id", "text")
@@ -43,7 +60,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules, op9_license_scan, op10_fingerprints)}
+    return {f.__name__: f for f in (op3_quality_rules, op5_language_id, op6_quality_classifier, op9_license_scan, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,10 +11,18 @@ from lattica.llm.common import fold, tables
 from lattica.llm.fingerprints import as_text, fingerprint_neighbours
 from lattica.llm.language_id import fit_language_model, identify
 from lattica.llm.license_scan import scan_licenses
+from lattica.llm.mixing import mix_sources
+from lattica.llm.pii import KINDS, find_personal_data, span_text
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
 from lattica.llm.quality_rules import weak_supervision
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document when its source is interleaved to its temperature-smoothed weight."""
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "source")
+    return mix_sources(docs, "source", "doc_id").select("doc_id", "source", "mix_block", "mix_slot", "mix_rank")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules by weak supervision; ``kept`` is false where the base limits fail, else the posterior's verdict."""
     out = weak_supervision(tables(spark, sf_dir, "documents"), "doc_id", "text")
@@ -38,6 +46,13 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans, their digest, and all spans with the bootstrapped ones."""
+    out = find_personal_data(tables(spark, sf_dir, "documents"), "doc_id", "text")
+    counts = [F.expr(f"cast(size(filter(base, o -> o.kind = '{k}')) as bigint) as n_{k}") for k in KINDS]
+    return out.select("doc_id", *counts, F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), span_text(F.concat("base", "more")).alias("spans"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels by the positional rare-token index, with the base phrases' places."""
     out = scan_licenses(tables(spark, sf_dir, "documents"), "doc_id", "text")
@@ -60,7 +75,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules, op5_language_id, op6_quality_classifier, op9_license_scan, op10_fingerprints)}
+    return {f.__name__: f for f in (op2_source_mixing, op3_quality_rules, op5_language_id, op6_quality_classifier, op7_personal_data, op9_license_scan, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -13,10 +13,16 @@ from lattica.llm.language_id import fit_language_model, identify
 from lattica.llm.license_scan import scan_licenses
 from lattica.llm.mixing import mix_sources
 from lattica.llm.pii import KINDS, find_personal_data, span_text
+from lattica.llm.pieces import encode
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
 from lattica.llm.quality_rules import weak_supervision
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, seeded by its id; ``lossless`` says that they decode to the text."""
+    return encode(tables(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document when its source is interleaved to its temperature-smoothed weight."""
     docs = tables(spark, sf_dir, "documents").select("doc_id", "source")
@@ -75,7 +81,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_source_mixing, op3_quality_rules, op5_language_id, op6_quality_classifier, op7_personal_data, op9_license_scan, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op5_language_id, op6_quality_classifier, op7_personal_data, op9_license_scan, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,8 +12,9 @@ from lattica.llm.fingerprints import as_text, fingerprint_neighbours
 from lattica.llm.language_id import fit_language_model, identify
 from lattica.llm.license_scan import scan_licenses
 from lattica.llm.mixing import mix_sources
-from lattica.llm.pii import KINDS, find_personal_data, span_text
+from lattica.llm.near_dups import near_duplicates
 from lattica.llm.pieces import encode
+from lattica.llm.pii import KINDS, find_personal_data, span_text
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
 from lattica.llm.quality_rules import weak_supervision
 
@@ -59,6 +60,12 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), span_text(F.concat("base", "more")).alias("spans"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents; the least id of each is kept."""
+    out = near_duplicates(tables(spark, sf_dir, "documents"), "doc_id", "text")
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels by the positional rare-token index, with the base phrases' places."""
     out = scan_licenses(tables(spark, sf_dir, "documents"), "doc_id", "text")
@@ -81,7 +88,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op5_language_id, op6_quality_classifier, op7_personal_data, op9_license_scan, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1 +1,69 @@
-STAGES: list = []
+"""The corpus pipeline: language, near duplicates, personal data, mixture order, pieces.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet
+in the shared folder and reads it back as the next stage's input.  All but the last return the
+columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lattica.llm.common import fold, tables, written
+from lattica.llm.language_id import UNKNOWN, fit_language_model, identify
+from lattica.llm.mixing import in_mixed_order, mix_sources
+from lattica.llm.near_dups import near_duplicates
+from lattica.llm.pieces import encode
+from lattica.llm.pii import redact
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a language (null or letterless texts); ``lang`` becomes the predicted language of the rest."""
+    model = fit_language_model(docs, "doc_id", "text", "lang", ~fold(F.col("doc_id"), 5))
+    named = identify(docs.withColumn("__text", F.col("text")), "doc_id", "__text", model, carry=[c for c in docs.columns if c != "doc_id"])
+    kept = named.filter(F.col("lang_pred") != UNKNOWN)
+    return kept.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+
+
+def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of least id of each near-duplicate component (five-word shingles, likeness 0.8)."""
+    found = near_duplicates(docs, "doc_id", "text", shingle=5, percent=80)
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind in brackets; ``n_chars`` follows."""
+    clean = redact(docs, "doc_id", "text")
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the Pfair schedule over sources: the written files hold the mixture in reading order."""
+    return in_mixed_order(mix_sources(docs, "source", "doc_id")).select(*docs.columns)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document and whether they decode to its text."""
+    out = encode(docs, "doc_id", "text", carry=["lang", "source"])
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicate_removal),
+    ("personal_data", personal_data),
+    ("mixture", mixture),
+    ("sentencepiece", sentencepiece),
+]
+
+#: Sampling and iterated linking aren't SQL; tests/llm compares run() with a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lattica.llm.common import fold, tables
 from lattica.llm.fingerprints import as_text, fingerprint_neighbours
 from lattica.llm.language_id import fit_language_model, identify
@@ -15,6 +16,7 @@ from lattica.llm.mixing import mix_sources
 from lattica.llm.near_dups import near_duplicates
 from lattica.llm.pieces import encode
 from lattica.llm.pii import KINDS, find_personal_data, span_text
+from lattica.llm.pitman_yor import score_texts
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
 from lattica.llm.quality_rules import weak_supervision
 
@@ -38,6 +40,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *base, failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "posterior", "votes")
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under the hierarchical Pitman-Yor model and the unigram base."""
+    docs = tables(spark, sf_dir, "documents")
+    out = score_texts(docs, "doc_id", "text", fold(F.col("doc_id"), 10))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by error-correcting output codes, learned outside the held-out fold."""
     docs, held = tables(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5)
@@ -87,8 +96,13 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's last stage over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op4_language_model, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,8 +19,12 @@ def mixture_foreground(features: DataFrame, column: str, seed: int = 1) -> DataF
     n = v.count()
     if n < 4:
         return features.withColumn("foreground", F.lit(True))
-    one, two = (GaussianMixture(k=k, featuresCol="__v", probabilityCol="__p", predictionCol="__c", seed=seed).fit(v) for k in (1, 2))
-    bic = [p * math.log(n) - 2 * m.summary.logLikelihood for m, p in ((one, 2), (two, 5))]
+    spread = v.agg(F.var_pop(column)).first()[0]
+    if not spread:
+        return features.withColumn("foreground", F.lit(True))
+    two = GaussianMixture(k=2, featuresCol="__v", probabilityCol="__p", predictionCol="__c", seed=seed).fit(v)
+    one = -n / 2 * (math.log(2 * math.pi * spread) + 1)  # log likelihood of the single best Gaussian
+    bic = [2 * math.log(n) - 2 * one, 5 * math.log(n) - 2 * two.summary.logLikelihood]
     if bic[0] <= bic[1]:
         return features.withColumn("foreground", F.lit(True))
     from pyspark.ml.functions import vector_to_array
@@ -41,7 +45,7 @@ def display_clusters(obs: DataFrame, x: DataFrame, cap: int, k: int = 8, compone
     sums = bin_sums(x, bins)
     total = sums.groupBy("sample_id", "bin").agg(F.sum("value").alias("t"))
     rows = sums.join(total, ["sample_id", "bin"]).withColumn("v", F.log1p(F.col("value") * 1e4 / F.nullif("t", F.lit(0.0))))
-    names = [r[0] for r in rows.groupBy("feature").agg(F.variance("v").alias("s")).orderBy(F.desc("s"), "feature").limit(512).collect()]
+    names = [r[0] for r in rows.groupBy("feature").agg(F.variance("v").alias("s")).orderBy(F.desc("s"), "feature").limit(64).collect()]
     if len(names) < 2 or rows.select("sample_id", "bin").distinct().limit(2).count() < 2:
         return bins.select("sample_id", "spot_id", F.lit("0").alias("cluster"))
     wide = rows.groupBy("sample_id", "bin").pivot("feature", names).agg(F.first("v")).na.fill(0.0, names)
@@ -51,11 +55,11 @@ def display_clusters(obs: DataFrame, x: DataFrame, cap: int, k: int = 8, compone
     return bins.join(labels, ["sample_id", "bin"], "left").select("sample_id", "spot_id", F.coalesce("cluster", F.lit("0")).alias("cluster"))
 
 
-def encode_patches(patches: DataFrame, encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], batch: int = 32) -> DataFrame:
-    """``embedding`` of each patch vector (column ``pixels``: array<double>) by a batch model that each worker builds once."""
+def encode_patches(patches: DataFrame, encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], length: int, batch: int = 32) -> DataFrame:
+    """``embedding`` of each patch vector (column ``pixels``: array<double> of ``length``) by a batch model that each worker builds once."""
     from pyspark.ml.functions import predict_batch_udf
 
-    run = predict_batch_udf(encoder, return_type=ArrayType(DoubleType()), batch_size=batch)
+    run = predict_batch_udf(encoder, return_type=ArrayType(DoubleType()), batch_size=batch, input_tensor_shapes=[[length]])
     return patches.withColumn("embedding", run("pixels"))
 
 

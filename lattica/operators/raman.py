@@ -11,7 +11,7 @@ def overlap_trimmed(axis: DataFrame) -> DataFrame:
     """Drop a scan axis's overlap: at the first break b of monotony, indices from the earlier one closest in wavenumber up to b (``scan``, ``idx``, ``wavenumber``)."""
     w = Window.partitionBy("scan").orderBy("idx")
     b = axis.withColumn("d", F.col("wavenumber") - F.lag("wavenumber").over(w)).filter("d < 0").groupBy("scan").agg(F.min("idx").alias("b"))
-    at = axis.join(b, (axis.scan == b.scan) & (axis.idx == b.b)).select(axis.scan, "b", F.col("wavenumber").alias("wb"))
+    at = axis.join(b, "scan").filter("idx = b").select("scan", "b", F.col("wavenumber").alias("wb"))
     before = axis.join(F.broadcast(at), "scan").filter("idx < b")
     c = before.groupBy("scan", "b").agg(F.min_by("idx", F.struct(F.round(F.abs(F.col("wavenumber") - F.col("wb")), 9), "idx")).alias("c"))
     out = axis.join(F.broadcast(c), "scan", "left").filter("b is null or idx < c or idx >= b")
@@ -93,9 +93,10 @@ def cleaned(spectra: DataFrame, window: int = 7, order: int = 3) -> DataFrame:
             for v in pdf["spectrum"]:
                 y = np.asarray(v, dtype=float)[None]
                 y = smooth(despike(y), window, order) if y.shape[1] else y
+                noise = 1e-9 * (np.abs(y).max() if y.size else 0.0)
                 y = y - baseline(y)
                 lo, hi = (y.min(), y.max()) if y.size else (0.0, 0.0)
-                out.append(((y - lo) / (hi - lo) if hi > lo else np.zeros_like(y))[0].tolist())
+                out.append(((y - lo) / (hi - lo) if hi - lo > noise else np.zeros_like(y))[0].tolist())
             yield pdf[["spot_id"]].assign(spectrum=out)
 
     return spectra.select("spot_id", "spectrum").mapInPandas(run, f"spot_id {spectra.schema['spot_id'].dataType.simpleString()}, spectrum array<double>")

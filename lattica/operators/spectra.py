@@ -141,7 +141,7 @@ def backbone(peaks: DataFrame, ppm: float, threshold: float) -> DataFrame:
     """Consensus axis: masses rounded to six places, clustered per sample, clusters of at least threshold * the heaviest kept, and clustered again over samples."""
     counted = peaks.withColumn("mz", F.round("mz", 6)).groupBy(*MODE, "mz").agg(F.count("*").cast("double").alias("weight"))
     own = ppm_clusters(counted, ppm, MODE)
-    own = own.filter(F.col("weight") >= threshold * F.max("weight").over(Window.partitionBy(*MODE)))
+    own = own.withColumn("__top", F.max("weight").over(Window.partitionBy(*MODE))).filter(F.col("weight") >= threshold * F.col("__top"))
     both = own.withColumn("mz", F.round("mz", 9)).groupBy("ion_mode", "mz").agg(F.sum("weight").alias("weight"))
     return ppm_clusters(both, ppm, ["ion_mode"])
 

@@ -1,15 +1,675 @@
-"""All registered queries over the driver's tables with their SQL."""
+"""All registered queries over the driver's tables, each beside its SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lattica.operators import annotations, assembly, coarsening, geometry, ml, pixels, raman, registration, spectra, spots
+from lattica.operators.range_joins import gap_islands
+from lattica.plans import views
+from lattica.plans.views import sql
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if oracle:
+            _sql[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+def r6(*columns: str):
+    return [F.round(F.col(c), 6).alias(c) for c in columns]
+
+
+# ---- joins between spot sets ------------------------------------------------------------------------
+
+_PAIRS = """pairs AS (SELECT a.sample_id, a.spot_id anchor_id, t.spot_id target_id, a.x ax, a.y ay, t.x tx, t.y ty FROM anchor a JOIN target t
+  ON a.sample_id = t.sample_id AND abs(a.x - t.x) <= 0.5::DOUBLE AND abs(a.y - t.y) <= 0.5::DOUBLE)"""
+_WEIGHTS = """raw_w AS (SELECT *, exp(-(power(tx - ax, 2) + power(ty - ay, 2)) / 0.5::DOUBLE) w FROM pairs),
+weights AS (SELECT sample_id, anchor_id, target_id, w / sum(w) OVER (PARTITION BY sample_id, anchor_id) w FROM raw_w)"""
+
+
+@query(sql("SELECT w.sample_id, anchor_id, feature, round(sum(w * value), 6) \"value\" FROM weights w JOIN feat f ON f.spot_id = w.target_id GROUP BY 1, 2, 3", _PAIRS, _WEIGHTS))
+def j1_spot_interpolation(spark, d):
+    """Gaussian interpolation over the closed footprint."""
+    out = registration.interpolate(views.anchor(spark, d), views.target(spark, d), views.feat(spark, d), 1.0, 1.0)
+    return out.select("sample_id", "anchor_id", "feature", *r6("value"))
+
+
+@query(sql("SELECT p.sample_id, anchor_id, feature, round(sum(value), 6) \"value\", count(*)::BIGINT members FROM pairs p JOIN feat f ON f.spot_id = p.target_id GROUP BY 1, 2, 3", _PAIRS))
+def j2_spot_aggregation(spark, d):
+    """Footprint sums."""
+    out = registration.aggregate(views.anchor(spark, d), views.target(spark, d), views.feat(spark, d), 1.0, 1.0)
+    return out.select("sample_id", "anchor_id", "feature", *r6("value"), "members")
+
+
+_LATTICE = """px AS (SELECT 'S0' sample_id, x, y, r, g FROM pixels),
+pp AS (SELECT a.sample_id, a.spot_id anchor_id, exp(-(power(p.x - a.x, 2) + power(p.y - a.y, 2)) / (2 * 1.25::DOUBLE * 1.25::DOUBLE)) w, r, g FROM anchor a JOIN px p
+  ON a.sample_id = p.sample_id AND abs(p.x - a.x) <= 1.25::DOUBLE AND abs(p.y - a.y) <= 1.25::DOUBLE)"""
+
+
+@query(sql("SELECT sample_id, anchor_id, round(sum(w * r) / sum(w), 6) r, round(sum(w * g) / sum(w), 6) g FROM pp GROUP BY 1, 2", _LATTICE))
+def j3_pixel_interpolation(spark, d):
+    """Pixels under spots of size 2.5, by listing covered lattice points."""
+    px = views.pixels(spark, d).withColumn("sample_id", F.lit("S0"))
+    out = registration.interpolate_pixels(views.anchor(spark, d), px, ["r", "g"], 2.5, 2.5)
+    return out.select("sample_id", "anchor_id", *r6("r", "g"))
+
+
+@query(sql("""SELECT t.sample_id, t.spot_id, min_by("label", side * side * 1000 + region_id) annotation FROM target t
+  LEFT JOIN poly p ON t.x > x0 AND t.x < x0 + side AND t.y > y0 AND t.y < y0 + side GROUP BY 1, 2"""))
+def j4_region_labels(spark, d):
+    """The smallest region strictly around a spot."""
+    return annotations.labelled(views.target(spark, d), views.regions(spark, d), 4.0).select("sample_id", "spot_id", "annotation")
+
+
+_AXIS = "axis AS (SELECT DISTINCT ion_mode, mz FROM peaks)"
+
+
+@query(sql("""SELECT a.ion_mode, a.mz, coalesce(string_agg(db_name, '; ' ORDER BY ord), 'Unannotated') annotation FROM axis a
+  LEFT JOIN lipids l ON l.ion_mode = a.ion_mode AND ionized_mass >= mz - mz * 10 * 1e-6 AND ionized_mass <= mz + mz * 10 * 1e-6 GROUP BY 1, 2""", _AXIS))
+def j5_mass_annotation(spark, d):
+    """Names within 10 ppm."""
+    axis = views.peaks(spark, d).select("ion_mode", "mz").distinct()
+    return spectra.annotate(axis, views.lipids(spark, d), 10).select("ion_mode", "mz", "annotation")
+
+
+_REFS = "refs AS (SELECT DISTINCT ion_mode, round(ionized_mass, 6) ref FROM lipids)"
+
+
+@query(sql("""SELECT sample_id, ion_mode, spot_id, ref, round(sum(intensity * w), 4) "value" FROM n GROUP BY 1, 2, 3, 4""", _REFS,
+"""j AS (SELECT p.*, r.ref, 1 / (abs(r.ref - mz) / mz * 1e6 + 1e-9) w0 FROM peaks p JOIN refs r ON p.ion_mode = r.ion_mode AND ref >= mz * (1 - 10 * 1e-6) AND ref < mz * (1 + 10 * 1e-6)),
+n AS (SELECT *, w0 / sum(w0) OVER (PARTITION BY sample_id, ion_mode, spot_id, peak_id) w FROM j)"""))
+def j6_peak_rebinning(spark, d):
+    """Peaks spread over the reference axis."""
+    axis = views.lipids(spark, d).select("ion_mode", F.round("ionized_mass", 6).alias("mz")).distinct()
+    out = spectra.rebin(views.peaks(spark, d), axis, 10)
+    return out.select("sample_id", "ion_mode", "spot_id", "ref", F.round("value", 4).alias("value"))
+
+
+_MATCH = """m AS (SELECT sample_id, ion_mode, spot_id, ref, mz - ref off FROM (SELECT p.*, ref, row_number() OVER (PARTITION BY sample_id, p.ion_mode, spot_id, ref ORDER BY intensity DESC, peak_id) k
+  FROM peaks p JOIN refs r ON p.ion_mode = r.ion_mode AND abs(mz - ref) <= ref * 10 * 1e-6 WHERE intensity >= 10000) WHERE k = 1)"""
+
+
+@query(sql("SELECT sample_id, ion_mode, spot_id, ref, round(off, 6) \"offset\" FROM m", _REFS, _MATCH))
+def j7_calibrant_match(spark, d):
+    """Most intense peak near each calibrant."""
+    refs = views.lipids(spark, d).select("ion_mode", F.round("ionized_mass", 6).alias("ref")).distinct()
+    return spectra.match_calibrants(views.peaks(spark, d), refs, 10, 10000).select("sample_id", "ion_mode", "spot_id", "ref", *r6("offset"))
+
+
+@query(sql("""SELECT p.sample_id, p.ion_mode, p.spot_id, peak_id, round(mz - coalesce(round(off, 9), 0) + 1e-8, 5) mz FROM peaks p
+  LEFT JOIN o ON o.sample_id = p.sample_id AND o.ion_mode = p.ion_mode AND o."row" = p.spot_id % 50""", _REFS, _MATCH,
+  "o AS (SELECT sample_id, ion_mode, spot_id % 50 \"row\", avg(off) off FROM m GROUP BY 1, 2, 3)"))
+def j8_recalibration(spark, d):
+    """Row-wise mean offsets taken off."""
+    p = views.peaks(spark, d)
+    refs = views.lipids(spark, d).select("ion_mode", F.round("ionized_mass", 6).alias("ref")).distinct()
+    rows = p.select("spot_id").distinct().withColumn("row", F.col("spot_id") % 50)
+    offsets = spectra.row_offsets(spectra.match_calibrants(p, refs, 10, 10000), rows).withColumn("offset", F.round("offset", 9))
+    return spectra.recalibrated(p, rows, offsets).select("sample_id", "ion_mode", "spot_id", "peak_id", F.round(F.col("mz") + 1e-8, 5).alias("mz"))
+
+
+@query(sql("""SELECT s.sample_id, s.ion_mode, s.spot_id, n n_peaks, coalesce(hits, 0)::BIGINT hits, round(coalesce(hits, 0) / n::DOUBLE, 6) "share" FROM s
+  LEFT JOIN h ON h.sample_id = s.sample_id AND h.ion_mode = s.ion_mode AND h.spot_id = s.spot_id""",
+  "masses AS (SELECT DISTINCT ion_mode, ionized_mass FROM lipids)",
+  "s AS (SELECT sample_id, ion_mode, spot_id, count(*)::BIGINT n FROM peaks GROUP BY 1, 2, 3)",
+  """k AS (SELECT p.*, ionized_mass, row_number() OVER (PARTITION BY sample_id, p.ion_mode, spot_id, peak_id ORDER BY round(abs(mz - ionized_mass), 9), ionized_mass) k
+  FROM peaks p JOIN masses m ON m.ion_mode = p.ion_mode AND abs(mz - ionized_mass) <= ionized_mass * 10 * 1e-6),
+  h AS (SELECT sample_id, ion_mode, spot_id, count(DISTINCT ionized_mass) hits FROM k WHERE k = 1 GROUP BY 1, 2, 3)"""))
+def j9_nearest_mass_hits(spark, d):
+    """Distinct nearest database masses a spectrum."""
+    out = spectra.nearest_hits(views.peaks(spark, d), views.lipids(spark, d), 10)
+    return out.select("sample_id", "ion_mode", "spot_id", "n_peaks", "hits", *r6("share"))
+
+
+_MODES = """pos AS (SELECT sample_id, spot_id, x::INTEGER px, y::INTEGER py FROM anchor WHERE spot_id % 5 <> 0),
+neg AS (SELECT sample_id, spot_id + 1000000 spot_id, 39 - x::INTEGER px, y::INTEGER py FROM anchor WHERE spot_id % 7 <> 0)"""
+
+
+def _modes(spark, d):
+    a = views.anchor(spark, d).withColumns({"px": F.col("x").cast("int"), "py": F.col("y").cast("int")})
+    pos = a.filter("spot_id % 5 <> 0").select("sample_id", "spot_id", "px", "py")
+    return pos, a.filter("spot_id % 7 <> 0").selectExpr("sample_id", "spot_id + 1000000 as spot_id", "39 - px as px", "py")
+
+
+@query(sql("SELECT pos.sample_id, pos.spot_id pos_id, pos.px, pos.py, max(neg.spot_id) neg_id FROM pos JOIN neg ON pos.sample_id = neg.sample_id AND pos.px = neg.px AND pos.py = neg.py GROUP BY 1, 2, 3, 4", _MODES))
+def j10_paired_spots(spark, d):
+    """Spots of both modes on one pixel."""
+    return geometry.paired_spots(*_modes(spark, d)).select("sample_id", "pos_id", "px", "py", "neg_id")
+
+
+@query()
+def j10_axis_flip(spark, d):
+    """The axis flip under which the modes meet (tested on a fixture)."""
+    return geometry.axis_flip(*_modes(spark, d))
+
+
+@query(sql("SELECT sample_id FROM anchor INTERSECT SELECT sample_id FROM peaks"))
+def j11_common_samples(spark, d):
+    """Samples that both modalities have."""
+    return views.anchor(spark, d).select("sample_id").intersect(views.peaks(spark, d).select("sample_id"))
+
+
+@query(sql("""SELECT o.sample_id, o.row_id, concat('st:', gene) feature, cnt::DOUBLE "value" FROM obs o JOIN genes g ON g.sample_id = o.sample_id AND g.spot_id = o.row_id
+  WHERE EXISTS (SELECT 1 FROM peaks p WHERE p.sample_id = o.sample_id AND p.spot_id = o.row_id AND p.intensity <> 0)""", "obs AS (SELECT DISTINCT sample_id, spot_id row_id FROM genes)"))
+def j12_assembly(spark, d):
+    """Rows with values in the other modality, features under their modality's name."""
+    x = views.genes(spark, d).selectExpr("sample_id", "spot_id as row_id", "gene as feature", "cast(cnt as double) as value")
+    msi = views.peaks(spark, d).selectExpr("sample_id", "spot_id as row_id", "intensity as value")
+    keep = assembly.covered(x.select(*assembly.KEY).distinct(), [msi])
+    return assembly.namespaced(x.join(keep, assembly.KEY, "left_semi"), "st").select("sample_id", "row_id", "feature", "value")
+
+
+@query(sql("SELECT p.pid patch_id, x, y, r FROM pixels JOIN p ON x >= px AND x < px + 16 AND y >= py AND y < py + 16",
+"p AS (SELECT spot_id pid, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py FROM anchor WHERE sample_id = 'S0')"))
+def j14_patch_pixels(spark, d):
+    """Pixels of the patch about each spot."""
+    return pixels.patch_pixels(_patches(spark, d).withColumnRenamed("spot_id", "patch_id"), views.pixels(spark, d), 16).select("patch_id", "x", "y", "r")
+
+
+def _patches(spark, d):
+    return geometry.patches(views.anchor(spark, d).filter("sample_id = 'S0'"), 16, 48, 64)
+
+
+@query(sql("SELECT (tile * 24 + x)::BIGINT x, y::BIGINT y, round(sum(r * w) / sum(w), 6) v FROM t GROUP BY 1, 2",
+"t AS (SELECT tile, x, y, r, least(x + 1, y + 1, 64 - x, 64 - y) w FROM pixels, (SELECT 0 tile UNION ALL SELECT 1 UNION ALL SELECT 2))"))
+def j16_tile_blend(spark, d):
+    """Overlapping tiles blended by distance to the border."""
+    tiles = views.pixels(spark, d).crossJoin(spark.range(3).withColumnRenamed("id", "tile")).selectExpr("tile * 24 as ox", "0 as oy", "x", "y", "r as v")
+    return pixels.blended(tiles, 64).selectExpr("cast(x as bigint) x", "cast(y as bigint) y", "round(v, 6) v")
+
+
+@query(sql("""SELECT CAST(gx AS BIGINT) x, CAST(gy AS BIGINT) y, coalesce(min(a.spot_id), -1)::BIGINT covering FROM (SELECT unnest(generate_series(0, 39, 3)) gx) CROSS JOIN (SELECT unnest(generate_series(0, 39, 3)) gy)
+  LEFT JOIN anchor a ON abs(a.x - gx) <= 0.5::DOUBLE AND abs(a.y - gy) <= 0.5::DOUBLE GROUP BY 1, 2"""))
+def j17_covering_spot(spark, d):
+    """The first spot over each grid pixel."""
+    out = registration.covering_spot(views.anchor(spark, d), 40, 40, 3, 1.0, 1.0)
+    return out.select("x", "y", F.coalesce("covering", F.lit(-1)).cast("long").alias("covering"))
+
+
+# ---- spot matrices -----------------------------------------------------------------------------------
+
+_QC = """qc AS (SELECT sample_id, spot_id, count(*) FILTER (cnt > 0) n_genes, sum(cnt)::BIGINT total, coalesce(sum(cnt) FILTER (regexp_matches(upper(gene), '^MT[-.]')), 0)::BIGINT total_mt FROM genes GROUP BY 1, 2)"""
+
+
+@query(sql("SELECT sample_id, spot_id, n_genes::BIGINT n_genes, total, total_mt, round(100.0::DOUBLE * total_mt / total, 6) pct_mt, round(ln(1 + n_genes), 6) log1p_n_genes, round(ln(1 + total), 6) log1p_total FROM qc", _QC))
+def a7_spot_metrics(spark, d):
+    """Spot quality metrics."""
+    out = spots.spot_metrics(views.genes(spark, d))
+    return out.select("sample_id", "spot_id", "n_genes", "total", "total_mt", *r6("pct_mt", "log1p_n_genes", "log1p_total"))
+
+
+@query(sql("""SELECT gene, (count(*) FILTER (cnt > 0))::BIGINT n_cells, sum(cnt)::BIGINT total, round(sum(cnt) / (SELECT count(*) FROM qc)::DOUBLE, 6) mean_counts,
+  round(100.0::DOUBLE * (1 - (count(*) FILTER (cnt > 0)) / (SELECT count(*) FROM qc)::DOUBLE), 6) pct_dropout, round(ln(1 + sum(cnt)), 6) log1p_total FROM genes GROUP BY 1""", _QC))
+def a7_gene_metrics(spark, d):
+    """Gene quality metrics over all spots."""
+    x = views.genes(spark, d)
+    n = x.select(*spots.SPOT).distinct().agg(F.count("*").alias("n"))
+    return spots.gene_metrics(x, n).select("gene", "n_cells", "total", *r6("mean_counts", "pct_dropout", "log1p_total"))
+
+
+@query(sql("SELECT g.* FROM genes g JOIN qc q ON g.sample_id = q.sample_id AND g.spot_id = q.spot_id WHERE total >= 20 AND total <= 150 AND n_genes >= 2 AND n_genes <= 6", _QC))
+def f2_spot_filter(spark, d):
+    """inclusive bounds on counts and genes."""
+    return spots.filter_spots(views.genes(spark, d), min_count=20, max_count=150, min_genes=2, max_genes=6).select("sample_id", "spot_id", "gene", "cnt")
+
+
+@query(sql("SELECT * FROM genes WHERE NOT regexp_matches(upper(gene), '^MT[-.]')"))
+def f4_drop_mitochondrial(spark, d):
+    """without mitochondrial genes."""
+    return spots.drop_mitochondrial(views.genes(spark, d)).select("sample_id", "spot_id", "gene", "cnt")
+
+
+@query(sql("""SELECT g.* FROM genes g WHERE gene IN (SELECT gene FROM per GROUP BY 1 HAVING bool_or(seen >= greatest(1, ceil(0.02::DOUBLE * n))) AND bool_or(seen > 0 AND total >= 26 * seen))""",
+"n AS (SELECT sample_id, count(DISTINCT spot_id) n FROM genes GROUP BY 1)",
+"per AS (SELECT g.sample_id, gene, count(*) FILTER (cnt > 0) seen, sum(cnt) total, any_value(n) n FROM genes g JOIN n ON n.sample_id = g.sample_id GROUP BY 1, 2)"))
+def f5_gene_filter(spark, d):
+    """Genes frequent enough and strong enough in some sample."""
+    x = views.genes(spark, d)
+    return spots.filter_genes(x, x.select(*spots.SPOT).distinct(), 0.02, 26).select("sample_id", "spot_id", "gene", "cnt")
+
+
+@query(sql("SELECT sample_id, spot_id, gene, round(ln(1 + cnt * 10000.0::DOUBLE / sum(cnt) OVER (PARTITION BY sample_id, spot_id)), 6) norm FROM genes"))
+def a8_total_normalised(spark, d):
+    """Counts per ten thousand, log1p."""
+    return spots.total_normalised(views.genes(spark, d), log=True).select("sample_id", "spot_id", "gene", *r6("norm"))
+
+
+@query(sql("SELECT g.sample_id, g.spot_id, gene, round(cnt * (SELECT median(total) FROM qc) / total, 6) norm FROM genes g JOIN qc q ON g.sample_id = q.sample_id AND g.spot_id = q.spot_id", _QC))
+def a8_median_normalised(spark, d):
+    """Totals scaled to their median."""
+    return spots.total_normalised(views.genes(spark, d), None).select("sample_id", "spot_id", "gene", *r6("norm"))
+
+
+_INT = "i AS (SELECT sample_id, ion_mode, spot_id, mz, sum(intensity) v FROM peaks GROUP BY 1, 2, 3, 4)"
+
+
+def _intensities(spark, d):
+    return views.peaks(spark, d).groupBy("sample_id", "ion_mode", "spot_id", "mz").agg(F.sum("intensity").alias("value"))
+
+
+def _normalised(method: str) -> Query:
+    def run(spark, d):
+        return spots.intensity_normalised(_intensities(spark, d), method).select("sample_id", "ion_mode", "spot_id", "mz", *r6("norm"))
+
+    run.__name__ = f"a9_{method}"
+    run.__doc__ = f"A9: intensities under {method}."
+    return run
+
+
+_SPOT = "OVER (PARTITION BY sample_id, ion_mode, spot_id)"
+query(sql("SELECT sample_id, ion_mode, spot_id, mz, round(v, 6) norm FROM i", _INT))(_normalised("none"))
+query(sql(f"SELECT sample_id, ion_mode, spot_id, mz, round(v / sum(v) {_SPOT}, 6) norm FROM i", _INT))(_normalised("tic"))
+query(sql("SELECT sample_id, ion_mode, spot_id, mz, round(ln(1 + v), 6) norm FROM i", _INT))(_normalised("log"))
+query(sql(f"SELECT sample_id, ion_mode, spot_id, mz, round(ln(v) - avg(ln(v)) {_SPOT}, 6) norm FROM i", _INT))(_normalised("clr"))
+query(sql(f"SELECT i.sample_id, i.ion_mode, spot_id, mz, round(v / sum(v) OVER (PARTITION BY i.sample_id, i.ion_mode, spot_id) * m, 6) norm FROM i JOIN t ON t.sample_id = i.sample_id AND t.ion_mode = i.ion_mode",
+    _INT, "t AS (SELECT sample_id, ion_mode, sum(v) / count(DISTINCT spot_id) m FROM i GROUP BY 1, 2)"))(_normalised("tic_mean_scaled"))
+
+
+@query(sql("SELECT sample_id, spot_id, gene, cnt FROM genes WHERE gene IN (SELECT gene FROM genes GROUP BY 1 HAVING count(DISTINCT sample_id) = (SELECT count(DISTINCT sample_id) FROM genes))"))
+def u2_inner_union(spark, d):
+    """Features that all samples have."""
+    return spots.inner_union(views.genes(spark, d), "gene").select("sample_id", "spot_id", "gene", "cnt")
+
+
+@query(sql("SELECT sample_id, spot_id, gene, cnt FROM genes WHERE sample_id = 'S0' UNION ALL SELECT sample_id, spot_id, gene, cnt FROM genes WHERE sample_id <> 'S0'"))
+def u1_outer_union(spark, d):
+    """Long tables of samples one after another."""
+    x = views.genes(spark, d)
+    return spots.outer_union([x.filter("sample_id = 'S0'"), x.filter("sample_id <> 'S0'")]).select("sample_id", "spot_id", "gene", "cnt")
+
+
+_FEATURES = "f AS (SELECT ion_mode, mz, dense_rank() OVER (PARTITION BY ion_mode ORDER BY mz) - 1 feature_id FROM (SELECT DISTINCT ion_mode, mz FROM peaks))"
+
+
+@query(sql("SELECT (feature_id + CASE ion_mode WHEN 'neg' THEN (SELECT max(feature_id) + 1 FROM f WHERE ion_mode = 'pos') ELSE 0 END)::BIGINT feature_id, mz, ion_mode mz_mode FROM f", _FEATURES))
+def u7_mode_concat(spark, d):
+    """Both modes' features on one axis."""
+    from pyspark.sql import Window
+
+    m = views.peaks(spark, d).select("ion_mode", "mz").distinct()
+    m = m.withColumn("feature_id", (F.row_number().over(Window.partitionBy("ion_mode").orderBy("mz")) - 1).cast("long"))
+    part = lambda k: m.filter(F.col("ion_mode") == k).select("feature_id", "mz")
+    return spots.concat_modes(part("pos"), part("neg")).select("feature_id", "mz", "mz_mode")
+
+
+@query(sql("SELECT sample_id, spot_id FROM peaks WHERE ion_mode = 'pos' AND intensity > 50000 UNION SELECT sample_id, spot_id FROM peaks WHERE ion_mode = 'neg' AND intensity > 50000"))
+def u5_foreground_union(spark, d):
+    """Spots that are foreground in either mode."""
+    p = views.peaks(spark, d).filter("intensity > 50000")
+    return p.filter("ion_mode = 'pos'").select("sample_id", "spot_id").union(p.filter("ion_mode = 'neg'").select("sample_id", "spot_id")).distinct()
+
+
+# ---- spectra -----------------------------------------------------------------------------------------
+
+_SF = """h AS (SELECT sample_id, ion_mode, spot_id, intensity, intensity / sum(intensity) OVER (PARTITION BY sample_id, ion_mode, spot_id) p FROM peaks),
+sf AS (SELECT sample_id, ion_mode, spot_id, count(*)::BIGINT n_peaks, sum(intensity) tic, CASE WHEN count(*) < 2 THEN 0 ELSE sum(-p * log2(p)) END entropy FROM h GROUP BY 1, 2, 3)"""
+
+
+@query(sql("SELECT sample_id, ion_mode, spot_id, n_peaks, round(tic, 4) tic, round(entropy, 6)::DOUBLE entropy, round(ln(1 + tic), 6) log_tic FROM sf", _SF))
+def a10_spectrum_features(spark, d):
+    """A10: peaks, total, entropy."""
+    out = spectra.spectrum_features(views.peaks(spark, d))
+    return out.select("sample_id", "ion_mode", "spot_id", "n_peaks", F.round("tic", 4).alias("tic"), *r6("entropy", "log_tic"))
+
+
+_W = "OVER (PARTITION BY sample_id, ion_mode)"
+
+
+@query(sql(f"""SELECT sample_id, ion_mode, spot_id, round((CASE WHEN max(n) {_W} - min(n) {_W} <= 1e-12 THEN 0 ELSE (n - min(n) {_W}) / nullif(max(n) {_W} - min(n) {_W}, 0) END
+  + CASE WHEN max(e) {_W} - min(e) {_W} <= 1e-12 THEN 0 ELSE (e - min(e) {_W}) / nullif(max(e) {_W} - min(e) {_W}, 0) END) / 2, 5)::DOUBLE score
+  FROM (SELECT *, n_peaks::DOUBLE n, entropy::DOUBLE e FROM sf)""", _SF))
+def a11_composite_score(spark, d):
+    """Mean of min-max scaled features."""
+    f = spectra.spectrum_features(views.peaks(spark, d)).withColumn("n_peaks", F.col("n_peaks").cast("double"))
+    return spectra.composite_score(f, ["n_peaks", "entropy"]).select("sample_id", "ion_mode", "spot_id", F.round("score", 5).alias("score"))
+
+
+@query(sql("""SELECT sample_id, round(lo + (min(bin) + 1) * (hi - lo) / 64, 6) threshold FROM (
+  SELECT sample_id, lo, hi, bin, v, max(v) OVER (PARTITION BY sample_id) top FROM (
+    SELECT sample_id, lo, hi, bin, coalesce(round(w0 * (w - w0) * power(s0 / w0 - (s - s0) / nullif(w - w0, 0), 2), 6), -1) v FROM (
+      SELECT sample_id, lo, hi, bin, sum(n) OVER r w0, sum(n * m) OVER r s0, sum(n) OVER a w, sum(n * m) OVER a s FROM (
+        SELECT sample_id, lo, hi, bin, count(*)::DOUBLE n, lo + (bin + 0.5::DOUBLE) * (hi - lo) / 64 m FROM (
+          SELECT c.sample_id, lo, hi, least(63, floor((tot - lo) / (hi - lo) * 64))::INTEGER bin FROM tt c JOIN (SELECT sample_id, min(tot) lo, max(tot) hi FROM tt GROUP BY 1) e ON e.sample_id = c.sample_id)
+        GROUP BY 1, 2, 3, 4) WINDOW r AS (PARTITION BY sample_id ORDER BY bin), a AS (PARTITION BY sample_id)))) WHERE v = top GROUP BY sample_id, lo, hi""",
+  "tt AS (SELECT sample_id, spot_id, sum(intensity)::BIGINT::DOUBLE tot FROM peaks GROUP BY 1, 2)"))
+def a12_otsu(spark, d):
+    """Otsu threshold of spot totals."""
+    t = views.peaks(spark, d).groupBy("sample_id", "spot_id").agg(F.round(F.sum("intensity")).cast("double").alias("tot"))
+    return spectra.otsu(t, "tot", ["sample_id"], 64).select("sample_id", *r6("threshold"))
+
+
+_HIST = "hist AS (SELECT sample_id, ion_mode, floor(ln(mz) / (20 * 1e-6 / 2))::BIGINT bin, count(*)::BIGINT n, sum(mz) mass FROM peaks WHERE mz > 0 GROUP BY 1, 2, 3)"
+
+
+@query(sql("SELECT ion_mode, bin, sum(n)::BIGINT n, round(sum(mass), 3) mass, count(DISTINCT sample_id)::BIGINT samples FROM hist GROUP BY 1, 2", _HIST))
+def a15_merged_histogram(spark, d):
+    """Logarithmic mass histogram over samples."""
+    out = spectra.merged_histogram(spectra.log_histogram(views.peaks(spark, d), 20))
+    return out.select("ion_mode", F.col("bin").cast("long").alias("bin"), "n", F.round("mass", 3).alias("mass"), "samples")
+
+
+_ISLANDS = """c AS (SELECT sample_id, ion_mode, round(mz, 6) mz, count(*)::DOUBLE weight FROM peaks GROUP BY 1, 2, 3),
+isl AS (SELECT *, sum(CASE WHEN prev IS NULL OR (mz - prev) / prev * 1e6 > 10 THEN 1 ELSE 0 END) OVER (PARTITION BY sample_id, ion_mode ORDER BY mz)::BIGINT island
+  FROM (SELECT *, lag(mz) OVER (PARTITION BY sample_id, ion_mode ORDER BY mz) prev FROM c))"""
+
+
+@query(sql("SELECT sample_id, ion_mode, mz, weight, island FROM isl", _ISLANDS))
+def w4_gap_islands(spark, d):
+    """Masses parted at gaps above 10 ppm."""
+    c = views.peaks(spark, d).groupBy("sample_id", "ion_mode", F.round("mz", 6).alias("mz")).agg(F.count("*").cast("double").alias("weight"))
+    return gap_islands(c, spectra.MODE, "mz", 10).select("sample_id", "ion_mode", "mz", "weight", "island")
+
+
+_FOLD = """o AS (SELECT *, row_number() OVER (PARTITION BY sample_id, ion_mode ORDER BY mz) k FROM c),
+fold AS (SELECT sample_id, ion_mode, k, 1::BIGINT cluster, mz * weight s, weight w, 1::BIGINT n FROM o WHERE k = 1
+  UNION ALL SELECT o.sample_id, o.ion_mode, o.k, CASE WHEN abs(mz - s / w) / (s / w) * 1e6 <= 10 THEN cluster ELSE cluster + 1 END,
+    CASE WHEN abs(mz - s / w) / (s / w) * 1e6 <= 10 THEN s + mz * weight ELSE mz * weight END, CASE WHEN abs(mz - s / w) / (s / w) * 1e6 <= 10 THEN w + weight ELSE weight END,
+    CASE WHEN abs(mz - s / w) / (s / w) * 1e6 <= 10 THEN n + 1 ELSE 1 END
+  FROM fold f JOIN o ON o.sample_id = f.sample_id AND o.ion_mode = f.ion_mode AND o.k = f.k + 1)"""
+
+
+@query(sql("SELECT sample_id, ion_mode, round(max_by(s, k) / max_by(w, k), 6) mz, max(w) weight, max(n) members FROM fold GROUP BY sample_id, ion_mode, cluster", _ISLANDS, _FOLD))
+def a17_ppm_clusters(spark, d):
+    """Sequential clustering with a running centre."""
+    c = views.peaks(spark, d).groupBy("sample_id", "ion_mode", F.round("mz", 6).alias("mz")).agg(F.count("*").cast("double").alias("weight"))
+    return spectra.ppm_clusters(c, 10, spectra.MODE).select("sample_id", "ion_mode", *r6("mz"), "weight", "members")
+
+
+@query()
+def a19_backbone(spark, d):
+    """Consensus axis over samples (held against a sequential fold in the tests)."""
+    return spectra.backbone(views.peaks(spark, d), 10, 0.01).select("ion_mode", *r6("mz"), "weight", "members")
+
+
+@query()
+def a16_calibrants(spark, d):
+    """Scored candidate calibrants (greedy cover tested on fixtures)."""
+    return spectra.calibrants(spectra.log_histogram(views.peaks(spark, d), 20), 3, 20).select("ion_mode", *r6("ref", "score"), "covers")
+
+
+@query(sql("SELECT sample_id, ion_mode, spot_id, count(*)::BIGINT n FROM peaks WHERE mz > 0 AND NOT isnan(mz) GROUP BY 1, 2, 3 HAVING bool_and(intensity < 100000)"))
+def f6_sound_spectra(spark, d):
+    """Spectra as arrays without infinite values, taken apart again."""
+    p = views.peaks(spark, d).withColumn("intensity", F.when(F.col("intensity") >= 100000, float("inf")).otherwise(F.col("intensity")))
+    arrays = p.groupBy("sample_id", "ion_mode", "spot_id").agg(F.collect_list(F.struct("mz", "intensity")).alias("a"))
+    arrays = arrays.selectExpr("sample_id", "ion_mode", "spot_id", "transform(a, v -> v.mz) mz", "transform(a, v -> v.intensity) intensity")
+    return spectra.exploded(spectra.sound_spectra(arrays)).groupBy("sample_id", "ion_mode", "spot_id").agg(F.count("*").alias("n"))
+
+
+@query(sql("SELECT sample_id, spot_id, CASE WHEN bool_or(fg) OVER (PARTITION BY sample_id) THEN fg ELSE true END foreground FROM (SELECT sample_id, spot_id, x > 20 AND sample_id <> 'S1' fg FROM anchor)"))
+def f8_foreground_mask(spark, d):
+    """F8: a sample without foreground counts wholly as foreground."""
+    from pyspark.sql import Window
+
+    a = views.anchor(spark, d).withColumn("fg", (F.col("x") > 20) & (F.col("sample_id") != "S1"))
+    every = F.bool_or("fg").over(Window.partitionBy("sample_id"))
+    return a.select("sample_id", "spot_id", F.when(every, F.col("fg")).otherwise(True).alias("foreground"))
+
+
+# ---- coordinates ---------------------------------------------------------------------------------------
+
+
+@query(sql("SELECT sample_id, spot_id, round(x - min(x) OVER (PARTITION BY sample_id) + 1, 6) x, round(y - min(y) OVER (PARTITION BY sample_id) + 1.5::DOUBLE, 6) y FROM target"))
+def f15_normalised(spark, d):
+    """samples moved to half a raster."""
+    return geometry.normalised(views.target(spark, d), 2.0, 3.0).select("sample_id", "spot_id", *r6("x", "y"))
+
+
+@query(sql("SELECT sample_id, spot_id, (floor(x / 3) * 3)::INTEGER x1, (floor(y / 3) * 3)::INTEGER y1, (floor(x / 3) * 3)::INTEGER + 3 x2, (floor(y / 3) * 3)::INTEGER + 3 y2 FROM target"))
+def f16_raster_box(spark, d):
+    """F16: raster cells."""
+    return geometry.raster_box(views.target(spark, d), 3).select("sample_id", "spot_id", "x1", "y1", "x2", "y2")
+
+
+@query(sql("SELECT sample_id, round(regr_slope(y, x), 6) b, round(regr_intercept(y, x), 6) a FROM target GROUP BY 1"))
+def f17_affine_fit(spark, d):
+    """least-squares line a sample."""
+    return geometry.affine_fit(views.target(spark, d), ["sample_id"], "x", "y").select("sample_id", *r6("b", "a"))
+
+
+@query(sql("""SELECT t.sample_id, spot_id, round(cos(-atan(slope)) * (x - mx) - sin(-atan(slope)) * (y - my) + mx, 5) rx, round(sin(-atan(slope)) * (x - mx) + cos(-atan(slope)) * (y - my) + my, 5) ry
+  FROM l t JOIN b ON b.sample_id = t.sample_id JOIN m ON m.sample_id = t.sample_id""",
+  "l AS (SELECT sample_id, spot_id, x, y, floor(y)::BIGINT line FROM target)",
+  "b AS (SELECT sample_id, slope FROM (SELECT sample_id, line, regr_slope(y, x) slope, row_number() OVER (PARTITION BY sample_id ORDER BY count(*) DESC, line) k FROM l GROUP BY 1, 2) WHERE k = 1)",
+  "m AS (SELECT sample_id, avg(x) mx, avg(y) my FROM target GROUP BY 1)"))
+def f18_rotation(spark, d):
+    """Rotation by the slope of the fullest line."""
+    out = geometry.rotation_corrected(views.target(spark, d).withColumn("line", F.floor("y")))
+    return out.select("sample_id", "spot_id", F.round("rx", 5).alias("rx"), F.round("ry", 5).alias("ry"))
+
+
+_M = [0.9, 0.1, 0.001, -0.2, 1.1, 0.002, 5.0, 7.0, 1.0]
+
+
+@query(sql("""SELECT sample_id, spot_id, concat(sample_id, '/t') target, round((0.9::DOUBLE * x - 0.2::DOUBLE * y + 5) / (0.001::DOUBLE * x + 0.002::DOUBLE * y + 1), 6) x,
+  round((0.1::DOUBLE * x + 1.1::DOUBLE * y + 7) / (0.001::DOUBLE * x + 0.002::DOUBLE * y + 1), 6) y FROM anchor"""))
+def f20_transform(spark, d):
+    """homogeneous transforms, column by column."""
+    a = views.anchor(spark, d)
+    t = a.select("sample_id").distinct().select("sample_id", F.concat("sample_id", F.lit("/t")).alias("target"), F.array(*[F.lit(v) for v in _M]).alias("m"))
+    return geometry.transformed(a, t).select("sample_id", "spot_id", "target", *r6("x", "y"))
+
+
+@query(sql("SELECT sample_id, spot_id, round(x * (1024 / 100.0::DOUBLE), 6) x, round(y * (768 / 50.0::DOUBLE), 6) y FROM anchor"))
+def f21_rescaled(spark, d):
+    """display to full size."""
+    return geometry.rescaled(views.anchor(spark, d), (768, 1024), (50, 100)).select("sample_id", "spot_id", *r6("x", "y"))
+
+
+@query(sql("SELECT sample_id, spot_id, 'st' target, x, y FROM anchor"))
+def f22_same_space(spark, d):
+    """pre-aligned coordinates."""
+    return geometry.same_space(views.anchor(spark, d), "st")
+
+
+@query(sql("SELECT spot_id, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py, greatest(0, least(trunc(x - 8)::INTEGER, 48)) + 8.0::DOUBLE cx, greatest(0, least(trunc(y - 8)::INTEGER, 32)) + 8.0::DOUBLE cy FROM anchor WHERE sample_id = 'S0'"))
+def f23_patches(spark, d):
+    """patch corners moved inside the image."""
+    return _patches(spark, d).select("spot_id", "px", "py", F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy"))
+
+
+# ---- coarsening ----------------------------------------------------------------------------------------
+
+_GRID = """obs AS (SELECT sample_id, spot_id, x, y, concat('c', spot_id % 4) "cluster", spot_id % 3 = 0 foreground FROM anchor),
+ext AS (SELECT sample_id, min(x) lox, min(y) loy, greatest(max(x) - min(x), 1e-9) ex, greatest(max(y) - min(y), 1e-9) ey FROM obs GROUP BY 1),
+g0 AS (SELECT *, least(greatest(1, floor(sqrt(50 * ex / ey))), 50)::BIGINT nx0 FROM ext),
+lv AS (SELECT DISTINCT o.sample_id, round_even((x - lox) / ex * 1e6, 0)::BIGINT v, 'x' axis FROM obs o JOIN ext e ON e.sample_id = o.sample_id
+  UNION ALL SELECT DISTINCT o.sample_id, round_even((y - loy) / ey * 1e6, 0)::BIGINT v, 'y' axis FROM obs o JOIN ext e ON e.sample_id = o.sample_id),
+gap AS (SELECT sample_id, axis, median(d) gap FROM (SELECT sample_id, axis, v - lag(v) OVER (PARTITION BY sample_id, axis ORDER BY v) d FROM lv) GROUP BY 1, 2),
+nat AS (SELECT sample_id, coalesce(floor(1e6 / nullif(max(gap) FILTER (axis = 'x'), 0)), 1)::BIGINT nx1, coalesce(floor(1e6 / nullif(max(gap) FILTER (axis = 'y'), 0)), 1)::BIGINT ny1 FROM gap GROUP BY 1),
+grid AS (SELECT g0.*, greatest(1, least(nx0, nx1 + 1)) nx, greatest(1, least(greatest(1, floor(50.0 / nx0))::BIGINT, ny1 + 1)) ny FROM g0 JOIN nat ON nat.sample_id = g0.sample_id),
+cells AS (SELECT o.*, lox, loy, ex, ey, nx, ny, greatest(0, least(nx - 1, trunc((x - lox) / ex * nx)::BIGINT)) ix, greatest(0, least(ny - 1, trunc((y - loy) / ey * ny)::BIGINT)) iy FROM obs o JOIN grid g ON g.sample_id = o.sample_id),
+bins AS (SELECT *, (dense_rank() OVER (PARTITION BY sample_id ORDER BY ix * ny + iy) - 1)::BIGINT bin FROM cells)"""
+
+
+def _bins(spark, d):
+    obs = views.anchor(spark, d).withColumns({"cluster": F.concat(F.lit("c"), (F.col("spot_id") % 4).cast("string")), "foreground": F.col("spot_id") % 3 == 0})
+    return coarsening.binned(obs, 50)
+
+
+@query(sql("SELECT sample_id, spot_id, ix, iy, round(lox + (ix + 0.5::DOUBLE) * ex / nx, 6) bx, round(loy + (iy + 0.5::DOUBLE) * ey / ny, 6) \"by\", bin FROM bins", _GRID))
+def a3_grid_bins(spark, d):
+    """Spots in an aspect-true grid."""
+    return _bins(spark, d).select("sample_id", "spot_id", "ix", "iy", *r6("bx", "by"), "bin")
+
+
+@query(sql("""SELECT sample_id, bin, min_by("cluster", (1000000 - n) * 10 + substr("cluster", 2)::INTEGER) "cluster", 2 * sum(fg) >= sum(n) foreground, sum(n)::BIGINT spots
+  FROM (SELECT sample_id, bin, "cluster", count(*) n, count(*) FILTER (foreground) fg FROM bins GROUP BY 1, 2, 3) GROUP BY 1, 2""", _GRID))
+def a6_majority_bins(spark, d):
+    """Display bins by majority."""
+    return coarsening.majority(_bins(spark, d)).select("sample_id", "bin", "cluster", "foreground", "spots")
+
+
+@query(sql("SELECT b.sample_id, bin, gene feature, sum(cnt)::DOUBLE \"value\" FROM bins b JOIN genes g ON g.sample_id = b.sample_id AND g.spot_id = b.spot_id GROUP BY 1, 2, 3", _GRID))
+def a5_bin_sums(spark, d):
+    """A5: features summed per bin."""
+    x = views.genes(spark, d).selectExpr("sample_id", "spot_id", "gene as feature", "cast(cnt as double) as value")
+    return coarsening.bin_sums(x, _bins(spark, d)).select("sample_id", "bin", "feature", "value")
+
+
+@query(sql("SELECT b.sample_id, b.spot_id, concat('L', b.bin % 3) \"cluster\" FROM bins b", _GRID))
+def j13_propagated(spark, d):
+    """A bin's label on its spots."""
+    b = _bins(spark, d).select("sample_id", "spot_id", "bin")
+    labels = b.select("sample_id", "bin").distinct().withColumn("cluster", F.concat(F.lit("L"), (F.col("bin") % 3).cast("string")))
+    return coarsening.propagated(b, labels).select("sample_id", "spot_id", "cluster")
+
+
+@query(sql("SELECT n_name \"cluster\", " + "list_extract([" + ", ".join(f"'{c}'" for c in coarsening.PALETTE) + "], ((dense_rank() OVER (ORDER BY n_name) - 1) % 12 + 1)::INTEGER) colour FROM nation"))
+def f26_colours(spark, d):
+    """colours by label order."""
+    return coarsening.coloured(views.table(spark, d, "nation").select(F.col("n_name").alias("cluster")))
+
+
+# ---- pixels --------------------------------------------------------------------------------------------
+
+
+@query(sql("""SELECT 0 "level", x, y, round(r, 6) r, round(g, 6) g FROM pixels UNION ALL SELECT 1, x, y, round(r, 6), round(g, 6) FROM h1 UNION ALL SELECT 2, x, y, round(r, 6), round(g, 6) FROM h2""",
+"h1 AS (SELECT (x // 2)::INTEGER x, (y // 2)::INTEGER y, avg(r) r, avg(g) g FROM pixels GROUP BY 1, 2)", "h2 AS (SELECT (x // 2)::INTEGER x, (y // 2)::INTEGER y, avg(r) r, avg(g) g FROM h1 GROUP BY 1, 2)"))
+def k5_pyramid(spark, d):
+    """Pyramid levels by area means."""
+    return pixels.pyramid(views.pixels(spark, d), ["r", "g"], 3).select("level", "x", "y", *r6("r", "g"))
+
+
+@query(sql("SELECT x, y, round_even(greatest(0, least(1, r / 50)) * 255, 0)::INTEGER q FROM pixels"))
+def k7_quantised(spark, d):
+    """Back to bytes, half to even."""
+    return views.pixels(spark, d).select("x", "y", pixels.quantised(F.col("r") / 50, "uint8").alias("q"))
+
+
+@query(sql("SELECT x, y, round((greatest(lo, least(hi, r)) - lo) / (hi - lo), 6) r FROM pixels, (SELECT quantile_cont(r, 0.02) lo, quantile_cont(r, 0.98) hi FROM pixels WHERE r > 0)"))
+def a22_contrast(spark, d):
+    """Percentile stretch."""
+    return pixels.contrast(views.pixels(spark, d), "r", 2).select("x", "y", *r6("r"))
+
+
+@query(sql("SELECT round(median(r) FILTER (x = 0 OR y = 0 OR x = 63 OR y = 47), 6) border, round(median(r), 6) \"whole\", median(r) FILTER (x = 0 OR y = 0 OR x = 63 OR y = 47) < median(r) dark FROM pixels"))
+def m2_dark_background(spark, d):
+    """M2: border against whole median."""
+    return pixels.dark_background(views.pixels(spark, d), "r", 48, 64).select(*r6("border", "whole"), "dark")
+
+
+@query(sql("SELECT pixels.* FROM pixels, (SELECT min(x) x0, max(x) x1, min(y) y0, max(y) y1 FROM pixels WHERE x BETWEEN 20 AND 30 AND y BETWEEN 10 AND 18) WHERE x BETWEEN x0 - 4 AND x1 + 4 AND y BETWEEN y0 - 4 AND y1 + 4"))
+def m4_cropped(spark, d):
+    """M4, K8: crop to a mask's box and a margin."""
+    p = views.pixels(spark, d)
+    return pixels.cropped(p, p.filter("x between 20 and 30 and y between 10 and 18"), 4).select("x", "y", "r", "g", "b")
+
+
+@query(sql("""SELECT pid patch_id, round((n + 256 - m) / 256.0::DOUBLE, 6) "share", (n + 256 - m) / 256.0::DOUBLE >= 0.99::DOUBLE background FROM (
+  SELECT p.pid, count(*) FILTER (abs(b) <= 1e-3) n, count(*) m FROM pixels JOIN p ON x >= px AND x < px + 16 AND y >= py AND y < py + 16 GROUP BY 1)""",
+"p AS (SELECT spot_id pid, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py FROM anchor WHERE sample_id = 'S0')"))
+def f11_background_patches(spark, d):
+    """background share of patches."""
+    cut = pixels.patch_pixels(_patches(spark, d).withColumnRenamed("spot_id", "patch_id"), views.pixels(spark, d), 16)
+    return pixels.background_patches(cut, ["b"], [0.0], 16).select("patch_id", *r6("share"), "background")
+
+
+_MASK = "mask AS (SELECT x, y FROM pixels WHERE r >= 20)"
+_AROUND = "ar AS (SELECT dx, dy FROM (SELECT unnest([-1, 0, 1]) dx) CROSS JOIN (SELECT unnest([-1, 0, 1]) dy))"
+
+
+@query(sql("SELECT DISTINCT (e.x + dx)::INTEGER x, (e.y + dy)::INTEGER y FROM e, ar", _MASK, _AROUND, "e AS (SELECT x + dx x, y + dy y FROM mask, ar GROUP BY 1, 2 HAVING count(*) = 9)"))
+def m14_opening(spark, d):
+    """Morphological opening of a pixel set."""
+    return pixels.opened(views.pixels(spark, d).filter("r >= 20").select("x", "y")).selectExpr("cast(x as int) x", "cast(y as int) y")
+
+
+@query(sql("SELECT l_linenumber scan, l_orderkey::BIGINT tile, (max(y) OVER (PARTITION BY l_linenumber) - (y - min(y) OVER (PARTITION BY l_linenumber))) y FROM (SELECT l_linenumber, l_orderkey, l_quantity y FROM lineitem)"))
+def f30_flipped(spark, d):
+    """rows mirrored within a scan."""
+    t = views.table(spark, d, "lineitem").selectExpr("l_linenumber scan", "cast(l_orderkey as bigint) tile", "l_quantity y")
+    return pixels.flipped(t).select("scan", "tile", "y")
+
+
+@query(sql("SELECT channel FROM (SELECT channel, max(m) m FROM (SELECT l_linenumber channel, l_suppkey tile, avg(l_quantity) m FROM lineitem GROUP BY 1, 2) GROUP BY 1) ORDER BY m DESC, channel LIMIT 1"))
+def k11_brightest_channel(spark, d):
+    """The channel with the brightest tile."""
+    return pixels.brightest(views.table(spark, d, "lineitem").selectExpr("l_linenumber channel", "l_suppkey tile", "l_quantity v"))
+
+
+# ---- wavenumbers -----------------------------------------------------------------------------------------
+
+_AX = "ax AS (SELECT (c_custkey // 50)::BIGINT scan, c_custkey % 50 idx, round((c_custkey % 50) * 1.0::DOUBLE - CASE WHEN c_custkey % 50 >= 30 THEN 6.4::DOUBLE ELSE 0 END, 6) wavenumber FROM customer)"
+
+
+def _axis(spark, d):
+    return views.table(spark, d, "customer").selectExpr("cast(floor(c_custkey / 50) as bigint) scan", "c_custkey % 50 idx", "round((c_custkey % 50) * 1.0D - case when c_custkey % 50 >= 30 then 6.4D else 0 end, 6) wavenumber")
+
+
+@query(sql("""SELECT a.scan, idx, wavenumber, (row_number() OVER (PARTITION BY a.scan ORDER BY idx) - 1)::BIGINT new_idx FROM ax a LEFT JOIN cut c ON c.scan = a.scan WHERE c.b IS NULL OR idx < c.c OR idx >= c.b""", _AX,
+"br AS (SELECT scan, min(idx) b FROM (SELECT *, wavenumber - lag(wavenumber) OVER (PARTITION BY scan ORDER BY idx) d FROM ax) WHERE d < 0 GROUP BY 1)",
+"cut AS (SELECT scan, b, c FROM (SELECT a.scan, b, a.idx c, row_number() OVER (PARTITION BY a.scan ORDER BY round(abs(a.wavenumber - w.wavenumber), 9), a.idx) k FROM ax a JOIN br ON br.scan = a.scan JOIN ax w ON w.scan = br.scan AND w.idx = br.b WHERE a.idx < b) WHERE k = 1)"))
+def f13_overlap_trim(spark, d):
+    """The overlap at a break of monotony removed."""
+    return raman.overlap_trimmed(_axis(spark, d)).select("scan", "idx", "wavenumber", "new_idx")
+
+
+@query(sql("SELECT 'S' || (n_regionkey) sample_id, n_nationkey scan, (n_nationkey % 7 + 1)::BIGINT steps, coalesce(sum(n_nationkey % 7 + 1) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT \"first\" FROM nation"))
+def w8_slice_offsets(spark, d):
+    """First channel of every slice."""
+    s = views.table(spark, d, "nation").selectExpr("concat('S', n_regionkey) sample_id", "n_nationkey scan", "cast(n_nationkey % 7 + 1 as bigint) steps")
+    return raman.slice_offsets(s)
+
+
+@query(sql("SELECT spot_id, round((1 / nm - 1 / 785.0::DOUBLE) * 1e7, 4) wavenumber FROM (SELECT spot_id, 800 + (spot_id % 200) / 2.0::DOUBLE nm FROM anchor)"))
+def scalar_wavenumber(spark, d):
+    """§2.9: wavenumbers against a pump line."""
+    from lattica.functions.expressions import wavenumber
+
+    return views.anchor(spark, d).select("spot_id", F.round(wavenumber(800 + (F.col("spot_id") % 200) / 2, 785.0), 4).alias("wavenumber"))
+
+
+@query()
+def m9_cleaned_spectra(spark, d):
+    """Despiked, smoothed, baseline-free spectra (held against closed forms in the tests)."""
+    v = views.table(spark, d, "embeddings").select(F.col("vec_id").alias("spot_id"), F.col("embedding").cast("array<double>").alias("spectrum"))
+    return raman.cleaned(v)
+
+
+@query()
+def f12_constant_spectra(spark, d):
+    """spectra whose differences don't vary."""
+    v = views.table(spark, d, "embeddings").select(F.col("vec_id").alias("spot_id"), F.col("embedding").cast("array<double>").alias("spectrum"))
+    return raman.constant_spectra(v)
+
+
+@query()
+def a13_mixture_foreground(spark, d):
+    """Foreground by one against two Gaussians."""
+    t = views.peaks(spark, d).groupBy("sample_id", "spot_id").agg(F.log1p(F.sum("intensity")).alias("log_tic"))
+    return ml.mixture_foreground(t, "log_tic").select("sample_id", "spot_id", "foreground")
+
+
+@query()
+def m13_display_clusters(spark, d):
+    """Coarsened k-means labels."""
+    x = views.genes(spark, d).selectExpr("sample_id", "spot_id", "gene as feature", "cast(cnt as double) as value")
+    return ml.display_clusters(views.anchor(spark, d), x, 200, k=4)
+
+
+@query()
+def m11_patch_embeddings(spark, d):
+    """Batch encoder over patch vectors (a fixed stand-in model)."""
+    v = views.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("pixels"))
+    return ml.encode_patches(v, ml.statistics_encoder, 64).select("vec_id", "embedding")

@@ -46,7 +46,7 @@ def read_imzml(spark: SparkSession, path: str) -> DataFrame:
         "_index bigint, scanList struct<scan:struct<" + schema.replace(" ", ":", 1) + ">>, binaryDataArrayList struct<binaryDataArray:array<struct<cvParam:array<struct<_name:string,_value:string>>,referenceableParamGroupRef:struct<_ref:string>>>>"
     ).load(path)
     scan = "scanList.scan.cvParam"
-    value = lambda arr, name: f"element_at(filter({arr}, p -> p._name = '{name}'), 1)._value"
+    value = lambda arr, name: f"try_element_at(filter({arr}, p -> p._name = '{name}'), 1)._value"
     out = raw.selectExpr(
         "_index as spot_id",
         f"try_cast({value(scan, 'position x')} as int) px",
@@ -55,7 +55,7 @@ def read_imzml(spark: SparkSession, path: str) -> DataFrame:
         f"try_cast({value(scan, '3DPositionY')} as double) y3",
         "binaryDataArrayList.binaryDataArray as arrays",
     )
-    part = lambda k, name, kind: f"cast({value(f'element_at(arrays, {k})' + '.cvParam', name)} as {kind})"
+    part = lambda k, name, kind: f"cast({value(f'try_element_at(arrays, {k})' + '.cvParam', name)} as {kind})"
     locator = lambda k: f"struct({part(k, 'external array length', 'bigint')} as n, {part(k, 'external encoded length', 'bigint')} as n_bytes, {part(k, 'external offset', 'bigint')} as offset)"
     return out.selectExpr("spot_id", "px", "py", "coalesce(x3, px) x", "coalesce(y3, py) y", f"{locator(1)} mz_at", f"{locator(2)} intensity_at")
 

@@ -6,7 +6,7 @@
    others (a star, never all pairs); confirmed links give a first set of components.
 4. Then only what those leave open: in buckets that still hold several components, members outside the
    bucket's largest component are held against all members of other components, in blocks of bounded
-   size spread over tasks; tasks emit survivors, not pairs.
+   size spread over tasks; tasks have the sets and emit links, not pairs.
 5. Signatures are compared 32 values at a time; a pair is given up when the posterior probability that
    its likeness reaches the threshold falls below ``miss``.  Survivors are confirmed on the full sets.
 6. Components by alternating large-star and small-star steps on the links.
@@ -27,7 +27,7 @@ SHINGLE = 3
 PERCENT = 85
 MISS = 1e-6
 BATCH = 32
-BLOCK = 512
+BLOCK = 256
 SMALL_IDS = 1_000_000
 
 
@@ -93,9 +93,11 @@ def likely(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
 
 
 def across(rows: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Likely pairs between components inside each (``bucket``, ``unit``) group of at most a few blocks of rows.
+    """Confirmed links between components inside each (``bucket``, ``unit``) group of at most a few blocks of rows.
 
-    A pair is taken only in the first band that both share, so it comes up once however often it meets.
+    A pair is looked at only in the first band that both share.  Likely pairs are confirmed on the full
+    sets, best first; once a link has joined two components, their other pairs can't change anything and
+    are passed over, so a group yields fewer links than it has rows.
     """
     steps = least_matches(percent, miss)
     kind = rows.schema["id"].dataType.simpleString()
@@ -103,14 +105,16 @@ def across(rows: DataFrame, percent: int, miss: float) -> DataFrame:
     def run(table):
         import pyarrow as pa
 
-        ids, comps = table.column("id"), table.column("comp").to_numpy()
+        ids = table.column("id")
+        order, comps = np.asarray(ids), table.column("comp").to_numpy()
         left = table.column("left").to_numpy(zero_copy_only=False).astype(bool)
-        right = table.column("right").to_numpy(zero_copy_only=False).astype(bool)
+        rs = np.flatnonzero(table.column("right").to_numpy(zero_copy_only=False).astype(bool))
         sig = np.stack([np.frombuffer(v, dtype=np.uint32) for v in table.column("sig").to_pylist()])
         key = np.stack([np.asarray(v, dtype=np.int64) for v in table.column("bands").to_pylist()])
+        sets = [np.frombuffer(v, dtype=np.uint64) for v in table.column("set").to_pylist()]
         n, band = table.column("n").to_numpy(), int(table.column("band")[0].as_py())
-        order = np.asarray(ids)
-        rs, out_a, out_b = np.flatnonzero(right), [], []
+        top = np.unique(comps, return_inverse=True)[1]  # component of each row, joined as links are found
+        out_a, out_b = [], []
         for i in np.flatnonzero(left):
             # two members outside the largest component meet from both sides; take one of them
             js = rs[(comps[rs] != comps[i]) & (~left[rs] | (order[rs] > order[i]))]
@@ -122,10 +126,16 @@ def across(rows: DataFrame, percent: int, miss: float) -> DataFrame:
                 same += (sig[js, done:m] == sig[i, done:m]).sum(axis=1)
                 keep = same >= least
                 js, same, done = js[keep], same[keep], m
-            out_a.append(np.full(len(js), i))
-            out_b.append(js)
-        a, b = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (out_a, out_b))
-        return pa.table({"a": ids.take(pa.array(a)), "b": ids.take(pa.array(b))})
+            js = js[np.argsort(-same, kind="stable")]
+            while len(js := js[top[js] != top[i]]):
+                j, js = js[0], js[1:]
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (n[i] + n[j] - both):
+                    out_a.append(i)
+                    out_b.append(j)
+                    top[top == top[j]] = top[i]
+        a, b = (pa.array(v, pa.int64()) for v in (out_a, out_b))
+        return pa.table({"a": ids.take(a), "b": ids.take(b)})
 
     return rows.groupBy("bucket", "unit").applyInArrow(run, f"a {kind}, b {kind}")
 
@@ -228,9 +238,8 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     as_right = F.transform(all_i, lambda i: F.struct(grid(i, own_j).alias("unit"), (F.col("outside") & (i == own_i)).alias("left"), F.lit(True).alias("right")))
     as_left = F.filter(F.transform(all_j, lambda j: F.struct(grid(own_i, j).alias("unit"), F.lit(True).alias("left"), F.lit(False).alias("right"))), lambda s: s.unit != grid(own_i, own_j))
     placed = member.select("bucket", "band", "id", "comp", F.explode(F.when(F.col("outside"), F.concat(as_right, as_left)).otherwise(as_right)).alias("p"))
-    placed = placed.select("bucket", "band", "id", "comp", "p.unit", "p.left", "p.right").join(reps, "id")
-    second = written(across(placed, percent, miss).distinct(), "near-across")
-    more = confirmed(second, sets, percent)
+    placed = placed.select("bucket", "band", "id", "comp", "p.unit", "p.left", "p.right").join(reps.join(sets, "id"), "id")
+    more = written(across(placed, percent, miss), "near-across")
     final = written(components(links.unionByName(more)), "near-components")
 
     label = classes.select("d1", "d2", "n", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n", F.coalesce("comp", "rep").alias("component_id"))

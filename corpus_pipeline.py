@@ -18,12 +18,19 @@ from lattica.llm.pieces import encode
 from lattica.llm.pii import redact
 
 
+def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that no operator uses, and the new name of each column."""
+    names = {c: f"__doc_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language (null or letterless texts); ``lang`` becomes the predicted language of the rest."""
     model = fit_language_model(docs, "doc_id", "text", "lang", ~fold(F.col("doc_id"), 5))
-    named = identify(docs.withColumn("__text", F.col("text")), "doc_id", "__text", model, carry=[c for c in docs.columns if c != "doc_id"])
+    plain, names = apart(docs)
+    named = identify(plain, names["doc_id"], names["text"], model, carry=list(names.values()))
     kept = named.filter(F.col("lang_pred") != UNKNOWN)
-    return kept.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+    return kept.select(*[F.col("lang_pred" if c == "lang" else n).alias(c) for c, n in names.items()])
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +48,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the Pfair schedule over sources: the written files hold the mixture in reading order."""
-    return in_mixed_order(mix_sources(docs, "source", "doc_id")).select(*docs.columns)
+    plain, names = apart(docs)
+    mixed = in_mixed_order(mix_sources(plain, names["source"], names["doc_id"]))
+    return mixed.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,5 +105,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op4_language_model, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints, pipeline)}
 
 
+#: Linked pairs by shared shingles, then everything reachable.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(generate_series(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 2], ' ')) END) g FROM w),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY 1),
+j AS (SELECT a.doc_id a, b.doc_id b, count(*) common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM j JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a doc_id, least(a, min(b)) component_id FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT n_shingles, coalesce(component_id, w.doc_id)::BIGINT component_id, coalesce(component_id, w.doc_id) = w.doc_id kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can say the whole result; the other queries rest on hashes, sampling or fitted models and are tested by brute force."""
+    return {"op8_near_duplicates": NEAR_DUPLICATES}

@@ -269,7 +269,8 @@ def _intensities(spark, d):
 
 def _normalised(method: str) -> Query:
     def run(spark, d):
-        return spots.intensity_normalised(_intensities(spark, d), method).select("sample_id", "ion_mode", "spot_id", "mz", *r6("norm"))
+        digits = 4 if method == "tic_mean_scaled" else 6
+        return spots.intensity_normalised(_intensities(spark, d), method).select("sample_id", "ion_mode", "spot_id", "mz", F.round("norm", digits).alias("norm"))
 
     run.__name__ = f"a9_{method}"
     run.__doc__ = f"A9: intensities under {method}."
@@ -281,7 +282,7 @@ query(sql("SELECT sample_id, ion_mode, spot_id, mz, round(v, 6) norm FROM i", _I
 query(sql(f"SELECT sample_id, ion_mode, spot_id, mz, round(v / sum(v) {_SPOT}, 6) norm FROM i", _INT))(_normalised("tic"))
 query(sql("SELECT sample_id, ion_mode, spot_id, mz, round(ln(1 + v), 6) norm FROM i", _INT))(_normalised("log"))
 query(sql(f"SELECT sample_id, ion_mode, spot_id, mz, round(ln(v) - avg(ln(v)) {_SPOT}, 6) norm FROM i", _INT))(_normalised("clr"))
-query(sql(f"SELECT i.sample_id, i.ion_mode, spot_id, mz, round(v / sum(v) OVER (PARTITION BY i.sample_id, i.ion_mode, spot_id) * m, 6) norm FROM i JOIN t ON t.sample_id = i.sample_id AND t.ion_mode = i.ion_mode",
+query(sql(f"SELECT i.sample_id, i.ion_mode, spot_id, mz, round(v / sum(v) OVER (PARTITION BY i.sample_id, i.ion_mode, spot_id) * m, 4) norm FROM i JOIN t ON t.sample_id = i.sample_id AND t.ion_mode = i.ion_mode",
     _INT, "t AS (SELECT sample_id, ion_mode, sum(v) / count(DISTINCT spot_id) m FROM i GROUP BY 1, 2)"))(_normalised("tic_mean_scaled"))
 
 
@@ -461,13 +462,14 @@ def f18_rotation(spark, d):
 _M = [0.9, 0.1, 0.001, -0.2, 1.1, 0.002, 5.0, 7.0, 1.0]
 
 
-@query(sql("""SELECT sample_id, spot_id, concat(sample_id, '/t') target, round((0.9::DOUBLE * x - 0.2::DOUBLE * y + 5) / (0.001::DOUBLE * x + 0.002::DOUBLE * y + 1), 6) x,
-  round((0.1::DOUBLE * x + 1.1::DOUBLE * y + 7) / (0.001::DOUBLE * x + 0.002::DOUBLE * y + 1), 6) y FROM anchor"""))
+@query(sql("""SELECT sample_id, spot_id, concat(sample_id, '/t') target, round((0.9::DOUBLE * x - 0.2::DOUBLE * y + 5) / (0.001::DOUBLE * x + 0.002::DOUBLE * y + 1), 6) + 0.0::DOUBLE x,
+  round((0.1::DOUBLE * x + 1.1::DOUBLE * y + 7) / (0.001::DOUBLE * x + 0.002::DOUBLE * y + 1), 6) + 0.0::DOUBLE y FROM anchor"""))
 def f20_transform(spark, d):
     """homogeneous transforms, column by column."""
     a = views.anchor(spark, d)
     t = a.select("sample_id").distinct().select("sample_id", F.concat("sample_id", F.lit("/t")).alias("target"), F.array(*[F.lit(v) for v in _M]).alias("m"))
-    return geometry.transformed(a, t).select("sample_id", "spot_id", "target", *r6("x", "y"))
+    out = geometry.transformed(a, t)
+    return out.select("sample_id", "spot_id", "target", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in "xy"])
 
 
 @query(sql("SELECT sample_id, spot_id, round(x * (1024 / 100.0::DOUBLE), 6) x, round(y * (768 / 50.0::DOUBLE), 6) y FROM anchor"))

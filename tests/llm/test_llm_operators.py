@@ -240,6 +240,22 @@ def test_language_model_base_and_shape(spark, documents, texts):
         assert r.base_score == pytest.approx(sum(np.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), rel=1e-6)
         assert r.score < 0 and r.perplexity > 1
     assert pitman_yor.score_texts(df.limit(0), "doc_id", "text", held).count() == 0
+    alone = pitman_yor.score_texts(table(spark, ["only one", None], ids=[7, None]), "doc_id", "text", held).collect()
+    assert sorted(r.n_tokens for r in alone) == [1, 3]
+
+
+def test_language_model_beats_unigrams_held_out(spark, sf_dir):
+    docs = spark.read.parquet(sf_dir.replace("0.001", "0.01") + "/documents.parquet")
+    r = pitman_yor.score_texts(docs, "doc_id", "text", fold(F.col("doc_id"), 10)).filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert r.s > r.b
+
+
+def test_classes_follow_the_words_before():
+    blob = b"the thing der die"
+    h, w = pitman_yor.letter_grams(blob)
+    assert sorted(set(w.tolist())) == [0, 1, 2, 3] and len(h) == sum(map(len, blob.split()))
+    again, _ = pitman_yor.letter_grams(b"die")
+    assert h[w == 3].tolist() == again.tolist()
 
 
 # ---- language and quality ----------------------------------------------------------------------

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lattica.llm.common import slices, written
-from lattica.llm.shingles import BANDS, HASHES, bands, digest, shingle_sets, signature
+from lattica.llm.shingles import HASHES, bands, digest, shingle_sets, signature
 
 SHINGLE = 3
 PERCENT = 85

@@ -26,18 +26,20 @@ class Rule:
 
     name: str
     bad: str
-    good: str
+    good: str = "false"
 
 
+#: Most rules speak only of what they find wrong and abstain otherwise; a good vote for the absence of every flaw would outvote any single one.
 RULES = (
-    Rule("length", "n_words < 20", "n_words >= 60"),
-    Rule("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words", "word_chars between 3 * n_words and 10 * n_words"),
-    Rule("symbols", "10 * n_symbols > n_words", "100 * n_symbols <= n_words"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines", "n_lines > 0 and n_dup_lines = 0"),
-    Rule("repeated_windows", "10 * n_repeat_words > 3 * n_words", "n_words >= 20 and 10 * n_repeat_words <= n_words"),
-    Rule("capitals", "2 * n_upper > word_chars", "n_words >= 5 and 10 * n_upper < word_chars"),
-    Rule("exclamation", "10 * n_exclaim > n_words", "n_words >= 20 and n_exclaim = 0"),
-    Rule("distinct_words", "n_words >= 50 and 4 * n_distinct < n_words", "n_words >= 20 and 3 * n_distinct > n_words"),
+    Rule("length", "n_words < 20"),
+    Rule("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
+    Rule("symbols", "10 * n_symbols > n_words", "n_words >= 20 and n_symbols = 0"),
+    Rule("symbol_mass", "10 * n_symbols > word_chars"),
+    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeated_windows", "10 * n_repeat_words > 3 * n_words"),
+    Rule("capitals", "2 * n_upper > word_chars"),
+    Rule("exclamation", "10 * n_exclaim > n_words"),
+    Rule("distinct_words", "n_words >= 50 and 4 * n_distinct < n_words"),
 )
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_distinct")
@@ -109,16 +111,16 @@ def votes(rules: tuple[Rule, ...]) -> Column:
     return F.concat(*[F.expr(f"case when {r.bad} then 'b' when {r.good} then 'g' else '-' end") for r in rules])
 
 
-def fit_em(patterns: dict[str, int], n_rules: int, rounds: int = 50, prior_good: float = 0.9, strength: float = 0.02) -> tuple[float, list[dict]]:
+def fit_em(patterns: dict[str, int], n_rules: int, rounds: int = 50, prior_good: float = 0.9, strength: float = 0.1) -> tuple[float, list[dict]]:
     """Dawid-Skene EM on pattern counts: returns P(good) and, per rule, log P(vote|good) - log P(vote|bad).
 
-    A Beta/Dirichlet prior worth ``strength`` of the corpus says that a rule is right when it votes
-    (four times in five), which settles which of the two classes is called good, keeps every table
-    positive and makes ties, an empty corpus or one-sided votes harmless.
+    A Dirichlet prior worth ``strength`` of the corpus says that a bad vote is seldom wrong, which
+    settles which of the two classes is called good, keeps every table positive and makes ties, an
+    empty corpus or one-sided votes harmless.
     """
     total = sum(patterns.values())
     mass = max(1.0, strength * total)
-    belief = {"g": {"g": 0.6, "-": 0.25, "b": 0.15}, "b": {"g": 0.15, "-": 0.25, "b": 0.6}}
+    belief = {"g": {"g": 0.5, "-": 0.48, "b": 0.02}, "b": {"g": 0.3, "-": 0.3, "b": 0.4}}
     p_good, table = prior_good, [belief] * n_rules
     for _ in range(rounds):
         good = mass * prior_good

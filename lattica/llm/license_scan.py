@@ -87,8 +87,8 @@ def scan_licenses(docs: DataFrame, id_col: str, text_col: str, rarest: int = RAR
     has = F.col("n_base") > 0
     df = df.withColumns(
         {
-            "first_word": F.when(has, _before(F.concat(F.regexp_extract("__s", f"^(.*?) {any_phrase} ", 1), F.lit(" ")))),
-            "last_word": F.when(has, _before(F.concat(F.regexp_extract("__s", f"^(.*) {any_phrase} ", 1), F.lit(" ")))),
+            "first_word": F.when(has, _before(F.concat(F.regexp_extract("__s", f"(?s)^(.*?) {any_phrase} ", 1), F.lit(" ")))),
+            "last_word": F.when(has, _before(F.concat(F.regexp_extract("__s", f"(?s)^(.*) {any_phrase} ", 1), F.lit(" ")))),
             "base_labels": F.when(has, F.array_sort(F.array_compact(F.array(*[F.when(F.contains("__s", F.lit(f" {p} ")), F.lit(x)) for p, x in PHRASES])))).otherwise(F.array().cast("array<string>")),
         }
     )

@@ -399,7 +399,7 @@ def test_shingle_hashes_are_sets():
 
 
 def test_license_places_and_labels(spark, texts):
-    own = ["Released under the MIT License. And the Apache license, or the GNU General Public License", "Licensed under CC BY-NC 4.0.", "mit licensed, general license", "MIT-License\nmit license", "GNU Lesser General Public License", "This is free and unencumbered software released into the public domain"]
+    own = ["Released under the MIT License. And the Apache license, or the GNU General Public License", "Licensed under CC BY-NC 4.0.", "mit licensed, general license", "MIT-License\nmit license", "GNU Lesser General Public License", "This is free and unencumbered software released into the public domain", "a \u2028 b \u0085 MIT License \u2029 c\u2028d the Apache License e"]
     every = [*ODD, *texts.values(), *own]
     out = {r.doc_id: r for r in license_scan.scan_licenses(table(spark, every), "doc_id", "text").collect()}
     for i, t in enumerate(every):

@@ -250,6 +250,47 @@ def test_language_model_beats_unigrams_held_out(spark, sf_dir):
     assert r.s > r.b
 
 
+def test_families_answer_like_the_whole_table(spark):
+    words = sorted({w for t in ("the thing there other brother bothers", "Straße naïve 12.34.56 https://a.b/c?d") for w in t.lower().encode().split()} | {b"a", b"\n"})
+    unseen = [*words, b"theother", b"zz", b"q"]
+    vocab = spark.createDataFrame([(0, b" ".join(words), pitman_yor.packed_ids(np.ones(len(words))))], "bucket int, words binary, tw binary")
+    leaves = pitman_yor.leaf_counts(vocab, pitman_yor.ORDER)
+    contexts, low = pitman_yor.sample_contexts(leaves, None, 0.5, 1.0, 2, 7, 3)
+    rows, levels = contexts.collect(), dict(low)
+    k, c, t = np.concatenate([pitman_yor.unpacked_keys(r.k) for r in rows]), *(np.concatenate([pitman_yor.unpacked_ids(r[x]).astype(np.int64) for r in rows]) for x in "ct")
+    for m in range(2, pitman_yor.ORDER + 1):
+        order = np.flatnonzero(k >> 48 == m)
+        order = order[np.argsort(k[order])]
+        levels[m] = pitman_yor.Level(k[order], c[order])
+        levels[m].t = t[order]
+    assert len(rows) > 1 and len(levels[5].keys) > 10
+    blob = b" ".join(unseen)
+    asked = pitman_yor.needs(spark.createDataFrame([(4, blob)], "bucket int, words binary"), pitman_yor.ORDER, 7)
+    told = sorted(pitman_yor.answers(asked, contexts, low, 0.5, 1.0).collect(), key=lambda r: r.family)
+    lp = np.frombuffer(b"".join(r.lp for r in told), dtype=np.float32)
+    got = pitman_yor.spelling_logs(blob, lp, pitman_yor.Spelling(low, 0.5, 1.0), pitman_yor.ORDER, 7)
+    assert got == pytest.approx(pitman_yor.Spelling(levels, 0.5, 1.0).log_probability(blob, pitman_yor.ORDER), rel=1e-5)
+
+
+def test_contexts_stay_long_in_a_large_vocabulary(spark, monkeypatch):
+    """More distinct six-byte grams than once made the contexts shorter (2,666,666)."""
+    letters = np.random.default_rng(0).integers(97, 123, (20, 20_000, 13), dtype=np.uint8)
+    letters[:, :, -1] = 32
+    texts, orders, real = [bytes(x.reshape(-1)).decode() for x in letters], [], pitman_yor.leaf_counts
+
+    def counted(vocab, order):
+        out = real(vocab, order)
+        orders.append((order, out.count()))
+        return out
+
+    monkeypatch.setattr(pitman_yor, "leaf_counts", counted)
+    docs = table(spark, texts)
+    got = pitman_yor.score_texts(docs, "doc_id", "text", F.lit(False), samples=1, burn_in=0, sweeps=0)
+    assert orders[0][1] > 2_666_666
+    assert {o for o, _ in orders} == {pitman_yor.ORDER}
+    assert got.count() == 20
+
+
 def test_classes_follow_the_words_before():
     blob = b"the thing der die"
     h, w = pitman_yor.letter_grams(blob)

@@ -2,9 +2,10 @@
 
 DataFrame expressions only.  The index is small and fixed (templates x words), so it travels as
 literals inside the plan; documents never leave their rows.  Words are weighed by inverse document
-frequency over the whole corpus.  A document's rarest licence words are looked up in the postings
-(word -> template, position); two that agree on the template's start propose it there, and the
-proposal stands if every word of the template's key phrase stands where the template has it.
+frequency over the whole corpus.  The two rarest words of each template's key phrase are looked up in
+the postings (word -> template, position); if both agree on the template's start they propose it
+there, and the proposal stands if every word of the key phrase stands where the template has it.  So
+every key phrase that stands in a text is proposed, however long the rest of the text is.
 """
 
 from __future__ import annotations
@@ -43,7 +44,6 @@ KEY_STEMS = ("licen", "permission", "redistribution", "unencumbered", "commons",
 #: Phrase and label that always count.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RAREST = 16
 
 
 def _words(lowered: Column) -> Column:
@@ -67,23 +67,37 @@ def word_weights(words_df: DataFrame, vocabulary: list[str]) -> dict[str, float]
     return {w: math.log((1 + rows) / (1 + found.get(w, 0))) for w in vocabulary}
 
 
-def scan_licenses(docs: DataFrame, id_col: str, text_col: str, rarest: int = RAREST) -> DataFrame:
+def key_start(text: str, key: str) -> int:
+    """Position of a template's key phrase among its words."""
+    ws, ks = text.split(), key.split()
+    return next(i for i in range(len(ws)) if ws[i : i + len(ks)] == ks)
+
+
+def rare_postings(weight: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
+    """word -> (template, position) of the two rarest words of each template's key phrase; ties go by position."""
+    out = {}
+    for t, (_, text, key) in enumerate(TEMPLATES):
+        ws, start = text.split(), key_start(text, key)
+        for i in sorted(range(start, start + len(key.split())), key=lambda i: -weight[ws[i]])[:2]:
+            out.setdefault(ws[i], []).append((t, i))
+    return out
+
+
+def scan_licenses(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Return ``id_col``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels`` and ``labels`` (array<string>, sorted), ``places`` (template number, first word, score), ``score``.
 
-    One row per input row; null text counts as empty (no words, no labels, score 0).  Ties between
-    equally rare words go by template order.  Only the two named columns are read.
+    One row per input row; null text counts as empty (no words, no labels, score 0).  Only the two
+    named columns are read.
     """
     vocabulary = list(dict.fromkeys(w for _, t, _ in TEMPLATES for w in t.split()))
     low = docs.select(F.col(id_col).alias("__id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("__low"))
     split = low.select("__id", _words(F.col("__low")).alias("w"), F.expr(" or ".join(f"contains(__low, '{s}')" for s in KEY_STEMS)).alias("__key"))
     weight = word_weights(split.select("w"), vocabulary)
-    ranked = sorted(vocabulary, key=lambda w: -weight[w])
 
     spaced = F.when(F.col("__key"), F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")))
     df = split.select("__id", "w", F.size("w").cast("long").alias("n_words"), spaced.alias("__s"))
     any_phrase = "(?:" + "|".join(p for p, _ in PHRASES) + ")"
     df = df.withColumn("n_base", F.coalesce(F.regexp_count("__s", F.lit(f" {any_phrase}(?= )")), F.lit(0)).cast("long"))
-    df = df.withColumn("__top", F.when(F.col("__s").isNotNull(), F.slice(F.array_intersect(F.expr(_strings(ranked)), "w"), 1, rarest)))
     has = F.col("n_base") > 0
     df = df.withColumns(
         {
@@ -92,13 +106,14 @@ def scan_licenses(docs: DataFrame, id_col: str, text_col: str, rarest: int = RAR
             "base_labels": F.when(has, F.array_sort(F.array_compact(F.array(*[F.when(F.contains("__s", F.lit(f" {p} ")), F.lit(x)) for p, x in PHRASES])))).otherwise(F.array().cast("array<string>")),
         }
     )
-    # postings: word -> (template, position); proposals: (template, start) named by two rare words of the row
-    postings = {w: [(t, i) for t, (_, text, _) in enumerate(TEMPLATES) for i, x in enumerate(text.split()) if x == w] for w in vocabulary}
+    # proposals: (template, start) named by both rare words of its key phrase
+    postings = rare_postings(weight)
     table = "map(" + ", ".join(f"'{w}', array({', '.join(f'named_struct("t", {t}, "p", {i})' for t, i in found)})" for w, found in postings.items()) + ")"
+    looked = ", ".join(f"'{w}'" for w in postings)
     df = df.withColumn(
         "__hits",
         F.expr(
-            f"sort_array(flatten(transform(filter(transform(w, (x, i) -> struct(x, i)), y -> array_contains(__top, y.x)), "
+            f"sort_array(flatten(transform(filter(if(__s is null, null, transform(w, (x, i) -> struct(x, i))), y -> y.x in ({looked})), "
             f"y -> transform(element_at({table}, y.x), q -> named_struct('t', q.t, 'at', y.i - q.p)))))"
         ),
     )
@@ -106,7 +121,7 @@ def scan_licenses(docs: DataFrame, id_col: str, text_col: str, rarest: int = RAR
     shapes = []
     for label, text, key in TEMPLATES:
         ws, ks = text.split(), key.split()
-        start = next(i for i in range(len(ws)) if ws[i : i + len(ks)] == ks)
+        start = key_start(text, key)
         total = sum(weight[w] for w in ws) or 1.0
         shares = ", ".join(f"{weight[w] / total if any(weight[x] for x in ws) else 1 / len(ws)}D" for w in ws)
         shapes.append(f"named_struct('label', '{label}', 'ws', {_strings(ws)}, 'share', array({shares}), 'from', {start}, 'n', {len(ks)})")

@@ -454,6 +454,19 @@ def test_license_places_and_labels(spark, texts):
     assert license_scan.scan_licenses(table(spark, ["a"]).limit(0), "doc_id", "text").count() == 0
 
 
+def test_license_phrases_stand_in_long_notice_files(spark, texts):
+    """Every key phrase is found, whatever else stands in the text: all templates together, then two words after them."""
+    notices = " -- ".join(t for _, t, _ in license_scan.TEMPLATES if t not in ("bsd license", "mit license", "apache license"))
+    every = [notices + " filler " * k + " BSD license, MIT license, Apache license" for k in (0, 9)] + [notices, "bsd license", "bsd. a license", *[notices + " " + t for t in list(texts.values())[:60]]]
+    out = {r.doc_id: r for r in license_scan.scan_licenses(table(spark, every), "doc_id", "text").collect()}
+    for i, t in enumerate(every):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        want = [(n, k - license_scan.key_start(x, p)) for n, (_, x, p) in enumerate(license_scan.TEMPLATES) for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+        assert sorted((p.template, p.word) for p in out[i].places) == sorted(want), t
+        assert out[i].labels == sorted({license_scan.TEMPLATES[n][0] for n, _ in want} | set(out[i].base_labels))
+    assert "bsd" in out[0].labels and "bsd" in out[3].labels and "bsd" not in out[4].labels
+
+
 # ---- fingerprints ------------------------------------------------------------------------------
 
 

@@ -239,9 +239,10 @@ def test_language_model_base_and_shape(spark, documents, texts):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(c[w] > 0 for w in ws), n)
         assert r.base_score == pytest.approx(sum(np.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), rel=1e-6)
         assert r.score < 0 and r.perplexity > 1
-    assert pitman_yor.score_texts(df.limit(0), "doc_id", "text", held).count() == 0
-    alone = pitman_yor.score_texts(table(spark, ["only one", None], ids=[7, None]), "doc_id", "text", held).collect()
-    assert sorted(r.n_tokens for r in alone) == [1, 3]
+    assert pitman_yor.score_texts(df.limit(0), "doc_id", "text", held, samples=1, burn_in=0).count() == 0
+    for few in (["only one", None], ["a", ""]):
+        alone = pitman_yor.score_texts(table(spark, few, ids=[7, None]), "doc_id", "text", held, samples=1, burn_in=0).collect()
+        assert sorted(r.n_tokens for r in alone) == [1, len(few[0].split()) + 1]
 
 
 def test_language_model_beats_unigrams_held_out(spark, sf_dir):
@@ -255,7 +256,7 @@ def test_families_answer_like_the_whole_table(spark):
     unseen = [*words, b"theother", b"zz", b"q"]
     vocab = spark.createDataFrame([(0, b" ".join(words), pitman_yor.packed_ids(np.ones(len(words))))], "bucket int, words binary, tw binary")
     leaves = pitman_yor.leaf_counts(vocab, pitman_yor.ORDER)
-    contexts, low = pitman_yor.sample_contexts(leaves, None, 0.5, 1.0, 2, 7, 3)
+    contexts, low, _ = pitman_yor.sample_contexts(leaves, None, 0.5, 1.0, 2, 7, 3)
     rows, levels = contexts.collect(), dict(low)
     k, c, t = np.concatenate([pitman_yor.unpacked_keys(r.k) for r in rows]), *(np.concatenate([pitman_yor.unpacked_ids(r[x]).astype(np.int64) for r in rows]) for x in "ct")
     for m in range(2, pitman_yor.ORDER + 1):
@@ -299,6 +300,139 @@ def test_classes_follow_the_words_before():
     assert h[w == 3].tolist() == again.tolist()
 
 
+def brute_classes(texts, centres):
+    """EM of the trigram mixture, a text at a time."""
+    x = np.stack([np.bincount(pitman_yor.letter_grams(b" ".join([*pitman_yor.tokens(t), b"\n"]))[0], minlength=1 << pitman_yor.GRAM_BITS) for t in texts]).astype(float)
+    weights, before = centres, -np.inf
+    for k in range(pitman_yor.PASSES):
+        score = np.stack([x @ w[:, :-1].T + w[:, -1] for w in weights])
+        fit = np.logaddexp.reduce(score, axis=2).sum(axis=1)
+        r = np.exp(score - np.logaddexp.reduce(score, axis=2)[:, :, None])
+        grams = np.log(np.einsum("sdk,dg->skg", r, x) + 0.05)
+        share = (r.sum(axis=1) + 1) / (len(x) + pitman_yor.CLASSES)
+        weights = np.concatenate([grams - np.log(np.exp(grams).sum(axis=2, keepdims=True)), np.log(share)[:, :, None]], axis=2)
+        if k == pitman_yor.TRIAL_PASSES - 1:
+            weights, fit = weights[[fit.argmax()]], fit[[fit.argmax()]]
+        if k >= pitman_yor.TRIAL_PASSES - 1:
+            if fit[0] - before < 1e-4 * abs(before):
+                break
+            before = fit[0]
+    return weights[0]
+
+
+def test_classes_are_fitted_on_every_training_row(spark, documents, texts):
+    held = fold(F.col("doc_id"), 10)
+    centres = pitman_yor.class_centres(documents, "doc_id", "text", ~held, 4)
+    tokens = pitman_yor.tokenised(documents.repartition(3), "doc_id", "text", held)
+    got = pitman_yor.fit_classes(tokens, centres)
+    want = brute_classes([t or "" for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10], centres)
+    assert np.allclose(got, want, atol=1e-6) and np.allclose(np.exp(got[:, -1]).sum(), 1)
+    assert not pitman_yor.fit_classes(tokens, None).any()
+
+
+class Restaurant:
+    """Seating one customer at a time."""
+
+    def __init__(self, parent, d, theta):
+        self.parent, self.d, self.theta, self.at = parent, d, theta, collections.defaultdict(list)
+
+    def p(self, dish):
+        n, t, own = sum(map(sum, self.at.values())), sum(map(len, self.at.values())), self.at.get(dish, [])
+        return (max(sum(own) - self.d * len(own), 0) + (self.theta + self.d * t) * self.parent.p(dish)) / (self.theta + n)
+
+    def add(self, dish, rng):
+        t, own = sum(map(len, self.at.values())), self.at[dish]
+        w = np.array([k - self.d for k in own] + [(self.theta + self.d * t) * self.parent.p(dish)])
+        k = rng.choice(len(w), p=w / w.sum())
+        if k < len(own):
+            own[k] += 1
+        else:
+            own.append(1)
+            self.parent.add(dish, rng)
+
+    def remove(self, dish, rng):
+        own = self.at[dish]
+        k = rng.choice(len(own), p=np.array(own) / sum(own))
+        own[k] -= 1
+        if not own[k]:
+            own.pop(k)
+            self.parent.remove(dish, rng)
+
+
+class Speller:
+    """Parent of the word restaurant: a word's bytes are customers of the restaurants of their last bytes."""
+
+    def __init__(self, d, theta, order):
+        class Uniform:
+            p, add, remove = staticmethod(lambda dish: 1 / 256), staticmethod(lambda dish, rng: None), staticmethod(lambda dish, rng: None)
+
+        self.d, self.theta, self.order, self.of, self.uniform = d, theta, order, {}, Uniform
+
+    def room(self, ctx):
+        if ctx not in self.of:
+            self.of[ctx] = Restaurant(self.room(ctx[1:]) if ctx else self.uniform, self.d, self.theta)
+        return self.of[ctx]
+
+    def steps(self, word):
+        s = b" " + word + b" "
+        return [(self.room(s[max(0, i - self.order) : i]), s[i]) for i in range(1, len(s))]
+
+    def p(self, word):
+        return np.prod([r.p(x) for r, x in self.steps(word)])
+
+    def add(self, word, rng):
+        for r, x in self.steps(word):
+            r.add(x, rng)
+
+    def remove(self, word, rng):
+        for r, x in self.steps(word):
+            r.remove(x, rng)
+
+
+def test_scores_match_one_by_one_seating(spark, monkeypatch):
+    """A tiny corpus of one class, discounts and concentrations fixed: averaged probabilities against Gibbs over single customers."""
+    monkeypatch.setattr(pitman_yor, "class_centres", lambda *a: None)
+    monkeypatch.setattr(pitman_yor, "discount", lambda ones, twos: 0.4)
+    train = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "the end"]
+    every = [*train, "the cat and the hat", "zebra"]
+    df = table(spark, every)
+    got = {r.doc_id: r.score for r in pitman_yor.score_texts(df, "doc_id", "text", F.col("doc_id") >= 4, burn_in=4, samples=12, resample=False).collect()}
+    rng = np.random.default_rng(0)
+    rooms = Restaurant(Restaurant(Speller(0.4, 1.0, pitman_yor.ORDER), 0.4, 1.0), 0.4, 1.0)
+    customers = [w for t in train for w in [*t.encode().split(), b"\n"]]
+    for w in customers:
+        rooms.add(w, rng)
+    asked = {w for t in every for w in [*t.encode().split(), b"\n"]}
+    sums = dict.fromkeys(asked, 0.0)
+    for k in range(120):
+        for w in customers:
+            rooms.remove(w, rng)
+            rooms.add(w, rng)
+        if k >= 20:
+            for w in asked:
+                sums[w] += rooms.p(w) / 100
+    for i, t in enumerate(every):
+        want = sum(np.log10(sums[w]) for w in [*t.encode().split(), b"\n"])
+        assert abs(got[i] - want) < 0.06 * abs(want), (t, got[i], want)
+
+
+def test_concentration_follows_the_tables():
+    rng = np.random.default_rng(3)
+    c, t, d = np.full(400, 50), np.full(400, 12), 0.3
+    draws, theta = [], 1.0
+    for _ in range(300):
+        theta = pitman_yor.concentration(*pitman_yor.auxiliaries(c, t, d, theta, rng), rng)
+        draws.append(theta)
+    grid = np.linspace(0.05, 8, 400)
+    i, j = np.arange(1, 12), np.arange(1, 50)
+    logp = np.array([400 * (np.log(g + d * i).sum() - np.log(g + j).sum()) - g for g in grid])
+    w = np.exp(logp - logp.max())
+    assert abs(np.mean(draws[100:]) - (grid * w).sum() / w.sum()) < 0.15
+    assert pitman_yor.auxiliaries(np.zeros(0), np.zeros(0, dtype=np.int64), d, 1.0, rng) == (0.0, 0.0)
+    near = [pitman_yor.auxiliaries(np.array([10**7]), np.array([3 * 10**6]), 0.5, 20.0, rng)[0] for _ in range(200)]
+    assert abs(np.mean(near) - (20 / (20 + 0.5 * np.arange(1, 3 * 10**6))).sum()) < 5
+
+
 # ---- language and quality ----------------------------------------------------------------------
 
 

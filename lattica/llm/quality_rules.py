@@ -4,6 +4,13 @@ Main path is DataFrame expressions only.  Each text becomes a handful of counts;
 counts into a vote (good, bad, abstain).  EM needs no documents, only how often each vote pattern
 occurs: at most 3**len(rules) groups, counted by Spark with map-side combine.  The posterior is one
 arithmetic expression per document, so the scoring pass has no shuffle.
+
+Flaws seldom come together (a text of symbols repeats no lines), so the absence of one flaw says nothing
+about another: abstentions carry no evidence.  A rule that no other rule agrees or disagrees with then
+keeps its prior weight, agreement raises it and contradiction lowers it, down to where a lone bad vote
+still makes a text likelier bad than good.  That bound also settles which class is the good one, so the
+classes can't change places.  Flaws that come together (marks against words and against characters;
+capitals and exclamation marks) share a rule, since EM takes votes for independent.
 """
 
 from __future__ import annotations
@@ -29,17 +36,15 @@ class Rule:
     good: str = "false"
 
 
-#: Most rules speak only of what they find wrong and abstain otherwise; a good vote for the absence of every flaw would outvote any single one.
+#: Rules speak of the flaw they look for; only plain varied prose is voted good, which overrules a flaw that it contradicts.
 RULES = (
-    Rule("length", "n_words < 20"),
     Rule("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
-    Rule("symbols", "10 * n_symbols > n_words", "n_words >= 20 and n_symbols = 0"),
-    Rule("symbol_mass", "10 * n_symbols > word_chars"),
+    Rule("symbols", "10 * n_symbols > n_words or 10 * n_symbols > word_chars"),
     Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
-    Rule("repeated_windows", "10 * n_repeat_words > 3 * n_words"),
-    Rule("capitals", "2 * n_upper > word_chars"),
-    Rule("exclamation", "10 * n_exclaim > n_words"),
-    Rule("distinct_words", "n_words >= 50 and 4 * n_distinct < n_words"),
+    Rule("repeated_windows", "4 * n_repeat_words > n_words"),
+    Rule("shouting", "2 * n_upper > word_chars or 10 * n_exclaim > n_words"),
+    Rule("few_words", "n_words >= 50 and 4 * n_distinct < n_words"),
+    Rule("prose", "false", "n_words >= 20 and n_symbols = 0 and n_repeat_words = 0 and 2 * n_distinct >= n_words and 10 * n_upper <= 2 * word_chars and 20 * n_exclaim <= n_words"),
 )
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_distinct")
@@ -111,31 +116,46 @@ def votes(rules: tuple[Rule, ...]) -> Column:
     return F.concat(*[F.expr(f"case when {r.bad} then 'b' when {r.good} then 'g' else '-' end") for r in rules])
 
 
-def fit_em(patterns: dict[str, int], n_rules: int, rounds: int = 50, prior_good: float = 0.9, strength: float = 0.1) -> tuple[float, list[dict]]:
-    """Dawid-Skene EM on pattern counts: returns P(good) and, per rule, log P(vote|good) - log P(vote|bad).
+#: Prior belief in a vote: its rate among good and among bad texts.
+BELIEF = {"b": (0.01, 0.3), "g": (0.5, 0.1)}
+
+
+def fit_em(patterns: dict[str, int], n_rules: int, rounds: int = 200, prior_good: float = 0.9, strength: float = 10.0, lone: float = 1.2) -> tuple[float, list[dict]]:
+    """EM on pattern counts: returns P(good) and, per rule and vote, log P(vote|good) - log P(vote|bad); 0 for abstentions.
 
-    A Dirichlet prior worth ``strength`` of the corpus says that a bad vote is seldom wrong, which
-    settles which of the two classes is called good, keeps every table positive and makes ties, an
-    empty corpus or one-sided votes harmless.
+    A prior worth ``strength`` rows keeps every rate positive, so ties, an empty corpus or one-sided
+    votes are harmless.  After each step the rates are moved to the nearest ones, total votes kept,
+    under which no vote speaks against itself and the odds after a lone bad vote are at least ``lone``
+    to one for bad (0: no such bound).
     """
-    total = sum(patterns.values())
-    mass = max(1.0, strength * total)
-    belief = {"g": {"g": 0.5, "-": 0.48, "b": 0.02}, "b": {"g": 0.3, "-": 0.3, "b": 0.4}}
-    p_good, table = prior_good, [belief] * n_rules
+    total, p_good = sum(patterns.values()), prior_good
+    rate = [{v: BELIEF[v] for v in "bg"} for _ in range(n_rules)]
     for _ in range(rounds):
-        good = mass * prior_good
-        sums = [{y: {v: mass * belief[y][v] * (prior_good if y == "g" else 1 - prior_good) for v in VOTES} for y in "gb"} for _ in range(n_rules)]
+        n_good, n_bad = strength * prior_good, strength * (1 - prior_good)
+        sums = [{v: [BELIEF[v][0] * n_good, BELIEF[v][1] * n_bad] for v in "bg"} for _ in range(n_rules)]
         for pattern, n in patterns.items():
-            lg = math.log(p_good) + sum(math.log(table[j]["g"][v]) for j, v in enumerate(pattern))
-            lb = math.log(1 - p_good) + sum(math.log(table[j]["b"][v]) for j, v in enumerate(pattern))
-            q = 1 / (1 + math.exp(min(700, lb - lg)))
-            good += n * q
+            odds = math.log(1 - p_good) - math.log(p_good) + sum(math.log(rate[j][v][1] / rate[j][v][0]) for j, v in enumerate(pattern) if v != "-")
+            bad = n / (1 + math.exp(-max(-700.0, min(700.0, odds))))
+            n_good, n_bad = n_good + n - bad, n_bad + bad
             for j, v in enumerate(pattern):
-                sums[j]["g"][v] += n * q
-                sums[j]["b"][v] += n * (1 - q)
-        p_good = min(1 - 1e-9, good / (total + mass))
-        table = [{y: {v: s[y][v] / sum(s[y].values()) for v in VOTES} for y in "gb"} for s in sums]
-    return p_good, [{v: math.log(t["g"][v]) - math.log(t["b"][v]) for v in VOTES} for t in table]
+                if v != "-":
+                    sums[j][v][0] += n - bad
+                    sums[j][v][1] += bad
+        was, p_good = p_good, n_good / (total + strength)
+        least = max(1.0, lone * p_good / (1 - p_good))
+        rate = [{"b": _apart(s["b"], n_good, n_bad, least), "g": _apart(s["g"][::-1], n_bad, n_good, 1.0)[::-1]} for s in sums]
+        if abs(p_good - was) < 1e-12:
+            break
+    return p_good, [{v: math.log(r[v][0] / r[v][1]) if v != "-" else 0.0 for v in VOTES} for r in rate]
+
+
+def _apart(n: list[float], few: float, many: float, ratio: float) -> tuple[float, float]:
+    """Rates of a vote in two classes of ``few`` and ``many`` rows; the second at least ``ratio`` times the first, votes in all kept where rates stay below 1."""
+    low, high = n[0] / few, n[1] / many
+    if high < ratio * low:
+        low = (n[0] + n[1]) / (few + ratio * many)
+        high = ratio * low
+    return (low, high) if high < 1 else (min(low, 0.999 / ratio), 0.999)
 
 
 def weak_supervision(df: DataFrame, id_col: str, text_col: str, rules: tuple[Rule, ...] = RULES, min_posterior: float = 0.5) -> DataFrame:

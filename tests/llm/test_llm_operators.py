@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lattica.llm import fingerprints, license_scan, mixing, near_dups, pieces, pii, pitman_yor, quality_rules
+from lattica.llm import fingerprints, license_scan, mixing, near_dups, pieces, pii, pitman_yor, quality_rules, queries
 from lattica.llm.common import fold
 from lattica.llm.language_id import codewords, fit_language_model, identify
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
@@ -166,9 +166,55 @@ def test_em_learns_which_rules_to_trust():
     good = rng.random(n) < 0.7
     acc = [0.95, 0.9, 0.55]
     votes = collections.Counter("".join("g" if (y if rng.random() < a else not y) else "b" for a in acc) for y in good)
-    p, w = quality_rules.fit_em(dict(votes), 3)
+    p, w = quality_rules.fit_em(dict(votes), 3, lone=0)
     assert abs(p - 0.7) < 0.1 and w[0]["g"] > w[2]["g"] and w[0]["b"] < w[2]["b"]
     assert quality_rules.fit_em({}, 3)[0] == pytest.approx(0.9)
+    # a rule on its own keeps its prior weight, one that prose contradicts sinks to the bound, one that another rule joins rises
+    p, w = quality_rules.fit_em({"b----": 60, "-b--g": 30, "--bb-": 30, "----g": 900}, 5)
+    assert w[2]["b"] < w[0]["b"] < w[1]["b"] == pytest.approx(-np.log(1.2 * p / (1 - p)), rel=1e-6)
+
+
+def brute_posterior(texts, rounds=200):
+    """EM a text at a time over votes from plain counts."""
+    votes = []
+    for t in texts:
+        t, (n, chars, sym, dup, rep) = t or "", brute_counts(t)
+        w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+        up, cry, kinds = len(re.findall("[A-Z]", t)), t.count("!"), len(set(w))
+        prose = n >= 20 and sym == 0 and rep == 0 and 2 * kinds >= n and 10 * up <= 2 * chars and 20 * cry <= n
+        bad = [chars < 2 * n or chars > 15 * n, 10 * sym > n or 10 * sym > chars, 10 * dup > 3 * len(lines), 4 * rep > n, 2 * up > chars or 10 * cry > n, n >= 50 and 4 * kinds < n]
+        votes.append([*bad, prose])
+    v, pi = np.array(votes, dtype=float), 0.9
+    low, high = np.r_[np.full(6, 0.01), 0.5], np.r_[np.full(6, 0.3), 0.1]
+    for _ in range(rounds):
+        good = 1 / (1 + np.exp(np.log(1 - pi) - np.log(pi) + v @ np.log(high / low)))
+        n_good, n_bad = 9 + good.sum(), 1 + (1 - good).sum()
+        pi = n_good / (n_good + n_bad)
+        g, b = 9 * np.r_[np.full(6, 0.01), 0.5] + good @ v, np.r_[np.full(6, 0.3), 0.1] + (1 - good) @ v
+        low, high, bound = g / n_good, b / n_bad, max(1, 1.2 * pi / (1 - pi))
+        for j in range(7):
+            if j < 6 and high[j] < bound * low[j]:
+                low[j] = (g[j] + b[j]) / (n_good + bound * n_bad)
+                high[j] = bound * low[j]
+            if j == 6 and low[j] < high[j]:
+                low[j] = high[j] = (g[j] + b[j]) / (n_good + n_bad)
+    return np.round(1 / (1 + np.exp(np.log(1 - pi) - np.log(pi) + v @ np.log(high / low))), 9)
+
+
+def test_rule_posteriors_match_brute_force(spark, sf_dir, texts):
+    out = {r.doc_id: r for r in queries.op3_quality_rules(spark, sf_dir).collect()}
+    for i, p in zip(texts, brute_posterior(texts.values()), strict=True):
+        n, *_, rep = brute_counts(texts[i])
+        failed = n < 20 or 100 * rep > 30 * n
+        assert abs(out[i].posterior - p) < 1e-6 and (out[i].base_failed, out[i].kept) == (failed, not failed and p >= 0.5), i
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_rules_tell_quality_apart_at_every_scale(spark, sf_dir, sf):
+    d = sf_dir.replace("0.001", sf)
+    out = queries.op3_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").filter("not base_failed")
+    n = {(r.quality, r.kept): r["count"] for r in out.groupBy("quality", "kept").count().collect()}
+    assert n[0, False] >= 0.9 * (n[0, False] + n.get((0, True), 0)) and n[1, True] >= 0.99 * (n[1, True] + n.get((1, False), 0))
 
 
 # ---- language model ----------------------------------------------------------------------------

@@ -2,19 +2,22 @@
 
 One pass over whole texts finds the base spans and, near digits and at-signs, other identifier-like
 tokens; both leave with their neighbouring words.  What remains is small and relational: a graph of
-patterns (neighbouring words) and instances (identifiers), scored in rounds by Spark aggregations.
-Tokens in contexts that hold hardly anything but known identifiers of one kind become spans too.
+patterns (neighbouring words) and instances (identifiers), scored in rounds by Spark aggregations.  The
+base spans seed it: patterns that hold mostly known identifiers of one kind are trusted, tokens in them
+are believed, and believed tokens make further patterns trusted, until no pattern is added.  Tokens that
+stand in a trusted pattern become spans too.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import slices, written
+from lattica.llm.common import dropped, slices, written
 
 #: The kinds in their order of precedence.
 KINDS = ("email", "ip", "card", "phone")
@@ -28,6 +31,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE = ".,;:!?\"'()[]{}*&$%#|<>=«»"
 #: A token needs so many digits (for email: an at-sign) to become a span of a kind.
 LEAST_DIGITS = 6
+#: Words longer than this stand in patterns by their hash.
+LONG_WORD = 64
 CANDIDATES = "array<struct<start:int,end:int,kind:string,instance:string,patterns:array<string>>>"
 
 
@@ -65,40 +70,62 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _around(text: str, start: int, end: int) -> list[str]:
-    """Two lexical patterns: the two words before, and the words on both sides; nearest 200 characters."""
-    left = WORD.findall(text[max(0, start - 200) : start])[-2:]
-    right = WORD.findall(text[end : end + 100])[:1]
-    left = [w.strip(EDGE).lower() or w for w in left]
-    right = [w.strip(EDGE).lower() or w for w in right]
-    out = []
-    if len(left) == 2:
-        out.append(f"{left[0]} {left[1]} _")
-    if left and right:
-        out.append(f"{left[-1]} _ {right[0]}")
-    return out
+def _named(word: str) -> str:
+    bare = word.strip(EDGE).lower() or word
+    return bare if len(bare) <= LONG_WORD else "~" + xxhash.xxh64_hexdigest(bare.encode())
 
 
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Base spans and other identifier-like tokens (a digit or an at-sign, five characters or more) with their patterns."""
-    out = [{"start": s, "end": e, "kind": KINDS[k], "instance": text[s:e].lower(), "patterns": _around(text, s, e)} for s, k, e in base]
-    taken, i = sorted((s, e) for s, _, e in base), 0
-    seen = -1
-    for m in re.finditer(r"[0-9@]", text):
-        if m.start() < seen:
-            continue
-        start = m.start()
-        while start > 0 and start > seen and text[start - 1] not in " \t\n\x0b\x0c\r":
-            start -= 1
-        end = WORD.match(text, start).end()
-        seen = end
+    """Base spans and other identifier-like tokens (a digit or an at-sign, five characters or more) with two lexical patterns each: the two words before, and the words on both sides.
+
+    Words are whole, maximal runs without white space; where a span is part of a run, the rest of the
+    run on that side, as far as the next span, counts as a word.
+    """
+    words = [m.span() for m in WORD.finditer(text)]
+    starts = [w[0] for w in words]
+    taken, found = sorted((s, e) for s, _, e in base), [(s, e, KINDS[k]) for s, k, e in base]
+    i = 0
+    for m in (m for k, m in enumerate(words) if re.search(r"[0-9@]", text[m[0] : m[1]])):
+        start, end = m
         token = text[start:end]
         start += len(token) - len(token.lstrip(EDGE))
         end -= len(token) - len(token.rstrip(EDGE))
         while i < len(taken) and taken[i][1] <= start:
             i += 1
         if end - start >= 5 and not any(s < end and e > start for s, e in taken[i : i + 8]):
-            out.append({"start": start, "end": end, "kind": None, "instance": text[start:end].lower(), "patterns": _around(text, start, end)})
+            found.append((start, end, None))
+    ends = sorted(e for _, e, _ in found)
+    heads = sorted(s for s, _, _ in found)
+
+    def before(at):  # the last word that ends by ``at``, cut at the span before
+        k = bisect_left(starts, at) - 1
+        if k < 0:
+            return None
+        low = bisect_right(ends, at) - 1
+        a, b = max(words[k][0], ends[low] if low >= 0 and ends[low] < min(at, words[k][1]) else 0), min(words[k][1], at)
+        return (a, b) if a < b else None
+
+    def after(at):
+        k = bisect_right(starts, at) - 1
+        if k < 0 or words[k][1] <= at:
+            k += 1
+        if k == len(words):
+            return None
+        a = max(words[k][0], at)
+        high = bisect_left(heads, at + 1)
+        b = min(words[k][1], heads[high] if high < len(heads) and heads[high] > a else words[k][1])
+        return (a, b)
+
+    out = []
+    for start, end, kind in found:
+        one = before(start)
+        two = one and before(one[0])
+        right = after(end)
+        one, two, right = (x and _named(text[x[0] : x[1]]) for x in (one, two, right))
+        patterns = [f"{two} {one} _"] if one and two else []
+        if one and right:
+            patterns.append(f"{one} _ {right}")
+        out.append({"start": start, "end": end, "kind": kind, "instance": text[start:end].lower(), "patterns": patterns})
     return out
 
 
@@ -119,41 +146,65 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return given.select("__id", "__text", "__key").mapInArrow(find, f"__id {kind}, __key bigint, found {CANDIDATES}")
 
 
-def score_patterns(found: DataFrame, rounds: int = 2, least_seeds: int = 3, trusted: float = 0.8) -> DataFrame:
+def fits(instance: Column, kind: Column) -> Column:
+    """Whether an unknown token could be of the kind."""
+    return F.when(kind == "email", F.contains(instance, F.lit("@"))).otherwise(F.regexp_count(instance, F.lit("[0-9]")) >= LEAST_DIGITS)
+
+
+def score_patterns(found: DataFrame, least: float = 3.0, trusted: float = 0.6, doubt: float = 0.25) -> DataFrame:
     """Patterns worth trusting: (``kind``, ``pattern``, ``confidence``).
 
-    Bipartite scoring: a pattern's confidence for a kind is the mean belief of its distinct instances
-    (one doubtful instance added); an unknown instance's belief is the noisy-or of its trusted
-    patterns.  A pattern needs ``least_seeds`` distinct seeds.  Every step is an aggregation over
-    distinct edges, so copies of a document add nothing and hot patterns combine before the shuffle.
+    A pattern's confidence for a kind is F / (F + D + doubt * U + 1) over its distinct instances: F the
+    belief in instances of the kind, D instances that can't be of it (known as another kind, or of
+    another shape), U what is left of those that nothing is known of.  It is trusted from ``trusted`` on
+    if F is at least ``least``.  An unknown instance's belief is the noisy-or of its trusted patterns.
+    Seeds have belief 1.  Believed instances count towards further patterns in the next round; rounds
+    end when none is added (a trusted pattern stays trusted, so they end).  Patterns with fewer than
+    ``least`` instances never matter and go first.  Every step is an aggregation over distinct edges, so
+    copies of a document add nothing and hot patterns combine before the shuffle.
     """
     one = found.select(F.explode("found").alias("o")).select("o.kind", "o.instance", F.explode("o.patterns").alias("pattern"))
-    edges = written(one.groupBy("pattern", "instance", "kind").agg(F.lit(1).alias("n")).drop("n"), "pii-edges")
-    size = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("size"))
-    seeds = edges.filter(F.col("kind").isNotNull()).groupBy("pattern", "kind").agg(F.count("*").alias("seeds"), F.sum(F.lit(1.0)).alias("belief"))
-    known = seeds.filter(F.col("seeds") >= least_seeds).join(size, "pattern").select("kind", "pattern", "size", "belief", (F.col("belief") / (F.col("size") + 1)).alias("confidence"))
-    scored = known
-    open_ends = edges.filter(F.col("kind").isNull()).select("pattern", "instance")
-    for _ in range(rounds - 1):
-        believed = (
-            open_ends.join(scored.filter(F.col("confidence") >= trusted / 2).select("pattern", "kind", "confidence"), "pattern")
-            .groupBy("instance", "kind")
-            .agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))).alias("belief"))
-        )
+    pairs = written(one.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
+    known = pairs.filter(F.col("kind").isNotNull()).groupBy("instance").agg(F.max("kind").alias("seed"))
+    many = pairs.groupBy("pattern").agg(F.count("*").alias("size")).filter(F.col("size") >= least)
+    edges = written(pairs.select("pattern", "instance").join(many, "pattern").join(known, "instance", "left"), "pii-edges")
+    dropped(pairs)
+    kinds = F.explode(F.array(*map(F.lit, KINDS))).alias("kind")
+    could = (F.col("seed").isNull() & fits(F.col("instance"), F.col("kind"))).cast("double")
+    sides = edges.select("pattern", "size", "instance", "seed", kinds).groupBy("pattern", "kind", "size").agg(F.sum((F.col("seed") == F.col("kind")).cast("double")).alias("seeds"), F.sum(could).alias("unknown"))
+    sides = sides.withColumn("seeds", F.coalesce("seeds", F.lit(0.0))).filter(F.col("seeds") + F.col("unknown") >= least)
+    sides = written(sides, "pii-patterns")
+    open_ends = edges.filter("seed is null").select("pattern", "instance")
+
+    def judged(belief: DataFrame | None) -> DataFrame:
+        f = F.col("seeds") + (F.coalesce("more", F.lit(0.0)) if belief is not None else 0.0)
+        rows = sides if belief is None else sides.join(belief, ["pattern", "kind"], "left")
+        rows = rows.withColumns({"f": f, "rest": F.col("size") - F.col("seeds") - F.col("unknown")})
+        confidence = F.col("f") / (F.col("f") + F.col("rest") + doubt * (F.col("unknown") + F.col("seeds") - F.col("f")) + 1)
+        return rows.filter(F.col("f") >= least).select("kind", "pattern", confidence.alias("confidence"))
+
+    good = written(judged(None).filter(F.col("confidence") >= trusted), "pii-trusted")
+    n = good.count()
+    while n:
+        believed = open_ends.join(good, "pattern").filter(fits(F.col("instance"), F.col("kind"))).groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))).alias("belief"))
         more = open_ends.join(believed, "instance").groupBy("pattern", "kind").agg(F.sum("belief").alias("more"))
-        scored = known.join(more, ["pattern", "kind"], "left").select(
-            "kind", "pattern", "size", "belief", ((F.col("belief") + F.coalesce("more", F.lit(0.0))) / (F.col("size") + 1)).alias("confidence")
-        )
-    return scored.filter(F.col("confidence") >= trusted).select("kind", "pattern", "confidence")
+        both = judged(more).filter(F.col("confidence") >= trusted).unionByName(good)
+        last, good = good, written(both.groupBy("kind", "pattern").agg(F.max("confidence").alias("confidence")), "pii-trusted")
+        dropped(last)
+        before, n = n, good.count()
+        if n == before:
+            break
+    dropped(edges)
+    dropped(sides)
+    return good
 
 
 def discovered(found: DataFrame, patterns: DataFrame) -> DataFrame:
     """(``__id``, ``__key``, ``more``): spans of unknown tokens that stand in a trusted pattern and could be of its kind; the most confident kind wins, then the first."""
     loose = found.filter(F.exists("found", lambda o: o.kind.isNull())).select("__id", "__key", F.explode("found").alias("o"))
     loose = loose.filter(F.col("o.kind").isNull()).select("__id", "__key", "o.start", "o.end", "o.instance", F.explode("o.patterns").alias("pattern"))
-    fits = F.when(F.col("kind") == "email", F.contains("instance", F.lit("@"))).otherwise(F.regexp_count("instance", F.lit("[0-9]")) >= LEAST_DIGITS)
     order = sum((F.when(F.col("kind") == k, i) .otherwise(0) for i, k in enumerate(KINDS)), F.lit(0))
-    best = loose.join(patterns, "pattern").filter(fits).groupBy("__id", "__key", "start", "end").agg(F.min_by("kind", F.struct(-F.col("confidence"), order)).alias("kind"))
+    best = loose.join(patterns, "pattern").filter(fits(F.col("instance"), F.col("kind"))).groupBy("__id", "__key", "start", "end").agg(F.min_by("kind", F.struct(-F.col("confidence"), order)).alias("kind"))
     return best.groupBy("__id", "__key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("more"))
 
 
@@ -205,8 +256,3 @@ def redact(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     return joined.select(*[F.when(F.col("__m").isNotNull(), clean).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
-
-def base_digest(text: str) -> str:
-    """The base spans' digest, for tests."""
-    joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base_spans(text))
-    return hashlib.sha256(joined.encode()).hexdigest()

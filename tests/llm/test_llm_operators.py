@@ -553,6 +553,82 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.find_personal_data(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_patterns_are_whole_words():
+    long = "x" * 300
+    t = f"{long} pay card 12-3456-7890-X, {long} end tel:+1 (717) 555-0202"
+    got = [(t[o["start"] : o["end"]], o["kind"], o["patterns"]) for o in pii.occurrences(t, pii.base_spans(t))]
+    name = pii._named(long)
+    assert len(name) == 17 and got == [("+1 (717) 555-0202", "phone", ["end tel _"]), ("12-3456-7890-X", None, ["pay card _", "card _ ,"])]
+    assert [o["patterns"] for o in pii.occurrences("to a@b.co;c@d.ef now", pii.base_spans("to a@b.co;c@d.ef now"))] == [["to _ ;"], ["a@b.co ; _", "; _ now"]]
+
+
+def brute_bootstrap(texts):
+    """Base and bootstrapped spans of texts, pattern by pattern."""
+    found = {i: pii.occurrences(t or "", brute_spans(t or "")) for i, t in texts.items()}
+    seed, edges = {}, collections.defaultdict(set)
+    for rows in found.values():
+        for o in rows:
+            if o["kind"]:
+                seed[o["instance"]] = max(seed.get(o["instance"], ""), o["kind"])
+            for x in o["patterns"]:
+                edges[x].add(o["instance"])
+
+    def fits(i, k):
+        return "@" in i if k == "email" else len(re.findall("[0-9]", i)) >= 6
+
+    trusted, n = {}, -1
+    while n != len(trusted):
+        n = len(trusted)
+        doubts = collections.defaultdict(lambda: 1.0)
+        for (x, k), c in trusted.items():
+            for i in edges[x]:
+                if i not in seed and fits(i, k):
+                    doubts[i, k] *= 1 - min(c, 0.999)
+        belief, more = {ik: 1 - d for ik, d in doubts.items()}, {}
+        for x, own in edges.items():
+            for k in pii.KINDS:
+                f = sum(1.0 if seed.get(i) == k else belief.get((i, k), 0) if i not in seed else 0 for i in own)
+                able = sum(i not in seed and fits(i, k) for i in own)
+                sure = sum(seed.get(i) == k for i in own)
+                c = f / (f + len(own) - sure - able + 0.25 * (able + sure - f) + 1)
+                if len(own) >= 3 and f >= 3 and c >= 0.6:
+                    more[x, k] = max(c, trusted.get((x, k), 0))
+        trusted = trusted | more
+    out = {}
+    for i, rows in found.items():
+        spans = [(o["start"], pii.KINDS.index(o["kind"]), o["end"]) for o in rows if o["kind"]]
+        for o in rows:
+            best = [(-trusted[x, k], pii.KINDS.index(k)) for x in o["patterns"] for k in pii.KINDS if (x, k) in trusted and fits(o["instance"], k)]
+            if not o["kind"] and best:
+                spans.append((o["start"], min(best)[1], o["end"]))
+        out[i] = sorted(spans)
+    return out
+
+
+def card(k):
+    body = f"4{k:014d}"
+    return next(body + str(c) for c in range(10) if pii.luhn(body + str(c)))
+
+
+def test_query_matches_brute_force_bootstrap(spark, sf_dir, texts, tmp_path):
+    numbers = [f"98-{k:06d}-X" for k in range(30)]
+    first = [f"please charge card {card(k)} today ok" for k in range(80)] + [f"please charge card {x} today ok" for x in numbers[:6]]
+    second = [f"settle invoice via {x} before noon" for x in numbers[:12]]
+    third = [f"my account reads {x} or so" for x in numbers[6:14]] + [f"again my account reads {x} or so" for x in numbers[6:9]]
+    doubtful = [f"see item {card(k)} there" for k in range(100, 105)] + [f"see item {x} there" for x in numbers[20:26]]
+    clean = [f"we met in room {10**7 + k} at noon" for k in range(40)] + ["born in 1984 at 12:30"] * 3
+    every = dict(enumerate([*first, *second, *third, *doubtful, *clean, None, "", *ODD])) | {10**5 + i: t for i, t in texts.items()}
+    spark.createDataFrame(list(every.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows, want = {r.doc_id: r for r in queries.op7_personal_data(spark, f"file://{tmp_path}").collect()}, brute_bootstrap(every)
+    for i, t in every.items():
+        base, r = brute_spans(t or ""), rows[i]
+        said = lambda spans: ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == j for _, k, _ in base) for j in range(4)]
+        assert r.base_sha256 == hashlib.sha256(said(base).encode()).hexdigest() and r.spans == said(want[i]), t
+    found = lambda texts_: [bool(want[i]) for i, t in every.items() if t in texts_]
+    assert all(found(second)) and all(found(third)) and all(found(doubtful)) and not any(found(clean))
+
+
 # ---- near duplicates ---------------------------------------------------------------------------
 
 

@@ -710,17 +710,34 @@ def test_license_places_and_labels(spark, texts):
     assert license_scan.scan_licenses(table(spark, ["a"]).limit(0), "doc_id", "text").count() == 0
 
 
-def test_license_phrases_stand_in_long_notice_files(spark, texts):
-    """Every key phrase is found, whatever else stands in the text: all templates together, then two words after them."""
-    notices = " -- ".join(t for _, t, _ in license_scan.TEMPLATES if t not in ("bsd license", "mit license", "apache license"))
-    every = [notices + " filler " * k + " BSD license, MIT license, Apache license" for k in (0, 9)] + [notices, "bsd license", "bsd. a license", *[notices + " " + t for t in list(texts.values())[:60]]]
-    out = {r.doc_id: r for r in license_scan.scan_licenses(table(spark, every), "doc_id", "text").collect()}
-    for i, t in enumerate(every):
-        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
-        want = [(n, k - license_scan.key_start(x, p)) for n, (_, x, p) in enumerate(license_scan.TEMPLATES) for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
-        assert sorted((p.template, p.word) for p in out[i].places) == sorted(want), t
+def test_licenses_match_every_template_against_every_text(spark, texts):
+    """Labels, places and scores, whatever else stands in the text: all templates together, pieces of them, two words after them, other scripts' capitals."""
+    bodies = [t for _, t, _ in license_scan.TEMPLATES]
+    notices, rng = " -- ".join(t for t in bodies if t not in ("bsd license", "mit license", "apache license")), np.random.default_rng(8)
+    torn = [" ".join(w for w in t.split() if rng.random() > 0.1) for t in bodies] + [t[: len(t) // 2].upper() for t in bodies]
+    mixture = f"{bodies[2]}\n{bodies[11]}\nCC BY-NC 4.0\nGNU Affero General Public License\n{bodies[12]}\n{bodies[14]}"
+    every = [notices + " filler " * k + " BSD license, MIT license, Apache license" for k in (0, 9)] + [notices, "bsd license", "bsd. a license", mixture, "M\u0130T L\u0130CENSE mit lic\u212aense MIT\u00a0license \u212a MIT license", *torn, *[notices + " " + t for t in list(texts.values())[:60]], *ODD]
+    df = table(spark, every)
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in every]
+    vocabulary = {x for t in bodies for x in t.split()}
+    weight = {x: np.log((1 + len(every)) / (1 + sum(x in w for w in map(set, words)))) for x in vocabulary}
+    out = {r.doc_id: r for r in license_scan.scan_licenses(df, "doc_id", "text").collect()}
+    for i, w in enumerate(words):
+        want = {}
+        for n, (_, body, keys) in enumerate(license_scan.TEMPLATES):
+            ws = body.split()
+            own = sum(weight[x] for x in ws)
+            for at in range(-len(ws), len(w)):
+                if all(0 <= at + j < len(w) and w[at + j] == ws[j] for j in license_scan.mandatory(body, keys)):
+                    want[n, at] = min(1.0, sum(weight[x] for j, x in enumerate(ws) if 0 <= at + j < len(w) and w[at + j] == x) / own)
+        got = {(p.template, p.word): p.score for p in out[i].places}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in got), every[i]
         assert out[i].labels == sorted({license_scan.TEMPLATES[n][0] for n, _ in want} | set(out[i].base_labels))
-    assert "bsd" in out[0].labels and "bsd" in out[3].labels and "bsd" not in out[4].labels
+        assert out[i].score == pytest.approx(max(want.values(), default=0.0), abs=1e-6)
+    assert set(out[0].labels) == {x for x, _, _ in license_scan.TEMPLATES}
+    assert set(out[5].labels) == {"mit", "bsd", "cc-by-nc", "agpl", "gpl", "mpl", "unlicense"} and out[6].n_words == 8 and out[6].labels == ["mit"]
+    assert "bsd" in out[3].labels and "bsd" not in out[4].labels
+    assert all(any(x in k for x in license_scan.KEY_STEMS for k in keys) for _, _, keys in license_scan.TEMPLATES)
 
 
 # ---- fingerprints ------------------------------------------------------------------------------

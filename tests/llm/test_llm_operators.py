@@ -129,9 +129,35 @@ def test_mixing_keeps_every_row(spark):
     assert twice.count() == 696 and twice.select("source", "mix_rank").distinct().count() == 696
     order = [r.mix_slot for r in mixing.in_mixed_order(out).collect()]
     assert order == sorted(order)
-    many = spark.range(mixing.MAX_SOURCES + 1).selectExpr("id doc_id", "cast(id as string) source")
-    with pytest.raises(ValueError):
-        mixing.mix_sources(many, "source", "doc_id")
+
+
+def test_any_number_of_sources(spark):
+    """Two heavy sources, 700 light ones: all rows placed, one block a slot, heavy and pool within a block of their shares."""
+    df = spark.range(9000).selectExpr("id doc_id", "case when id < 4000 then 'a' when id < 7000 then 'b' when id < 7100 then null else concat('s', id % 700) end source", "1 x")
+    rows = mixing.mix_sources(df, "source", "doc_id", block_rows=4).collect()
+    slots = {}
+    for r in rows:
+        assert slots.setdefault(r.mix_slot, (r.source, r.mix_block)) == (r.source, r.mix_block)
+    assert len(rows) == 9000 and {r.doc_id for r in rows} == set(range(9000)) and sorted(slots) == list(range(len(slots)))
+    n = collections.Counter(r.source for r in rows)
+    w = {s: k**0.5 for s, k in n.items()}
+    pool = sum(v for s, v in w.items() if mixing.HEAVY * v < sum(w.values()))
+    ours, done = lambda s: s if s in ("a", "b", None) else "pool", collections.Counter()
+    for t in range(400):  # before anything runs out
+        done[ours(slots[t][0])] += 1
+        for s, v in (("a", w["a"]), ("b", w["b"]), (None, w[None]), ("pool", pool)):
+            assert abs(done[s] - (t + 1) * v / sum(w.values())) < 1
+    firsts = [slots[t][0] for t in range(400) if ours(slots[t][0]) == "pool"]
+    assert max(collections.Counter(firsts).values()) - min(collections.Counter(firsts).values()) <= 1
+
+
+def test_shares_follow_small_weights():
+    assert mixing.whole_shares({"a": 5, "b": 3}) == {"a": 5, "b": 3}
+    lone = mixing.whole_shares({"a": 31623.0, "b": 1.5})
+    assert lone["b"] / sum(lone.values()) == pytest.approx(1.5 / 31624.5, rel=0.05)
+    many = mixing.whole_shares({i: 1.0 + i * 0.37 for i in range(256)})
+    assert sum(many.values()) * len(many) <= 1.1 * mixing.PLACES and many[255] / many[0] == pytest.approx(95.35, rel=0.05)
+    assert mixing.whole_shares({}) == {}
 
 
 # ---- quality rules -----------------------------------------------------------------------------

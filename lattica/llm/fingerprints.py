@@ -10,11 +10,13 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from lattica.llm.common import words
+from lattica.llm.common import words, written
 
 K = 128
 SHINGLE = 5
+PART_WORDS = 4096
 
 
 def _smallest(hashes: Column, k: int) -> Column:
@@ -37,7 +39,7 @@ def add_sketch(df: DataFrame, text: str, out: str, k: int = K, shingle: int = SH
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     """Estimated Jaccard likeness: the share of the union's k smallest hashes that both sketches hold; 1 for two empty texts."""
-    union = _smallest(F.concat(a, b), k)
+    union = merged(a, b, k)
     both = F.size(F.array_intersect(union, F.array_intersect(a, b)))
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union)).cast("double")
 
@@ -55,6 +57,11 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
     return F.when(F.size(a) > 0, F.least(F.lit(1.0), j * (na + nb) / ((1 + j) * na)))
 
 
+def merged(a: Column, b: Column, k: int = K) -> Column:
+    """The sketch of two texts' shingles together."""
+    return _smallest(F.concat(a, b), k)
+
+
 def merge_sketches(df: DataFrame, by: list[str], sketch: str, out: str, k: int = K) -> DataFrame:
     """One sketch per group, equal to the sketch of all its parts' shingles together.
 
@@ -74,27 +81,30 @@ def as_text(sketch: Column) -> Column:
 def with_next_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Return ``id``, ``text``, ``next_text`` and what the second window needs, rows dealt by ranges of the id.
 
-    Ranges come from quantiles of the ids (one value a shuffle partition).  Each range also gets the
-    first row of the following range (the last range: of the first), so one shuffle of the texts is
-    enough and no task sees all rows.  Null ids sort first; rows of equal id are ordered by text.
+    Range bounds come from ids alone: Spark's range partitioning of the distinct ids gives each range
+    its least id (a row a range).  Each range also gets the first row of the following range (the last
+    range: of the first), so one shuffle of the texts is enough and no task sees all rows.  The id may
+    be of any orderable type.  Null ids sort first; rows of equal id are ordered by text.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    at = [i / parts for i in range(1, parts)] or [0.5]
-    cuts = docs.agg(F.percentile_approx("id", at, max(10_000, 20 * parts))).first()[0]  # parts - 1 values
-    cuts = sorted(set(cuts or []))
-    step = max(1, math.isqrt(len(cuts)))
-    blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)] or [[0]]
-    coarse = F.expr(f"size(filter(array({', '.join(f'{b[0]}L' for b in blocks)}), c -> c <= id))")
-    inner = "array(" + ", ".join("array(" + ", ".join(f"{c}L" for c in b) + ")" for b in blocks) + ")"
-    docs = docs.withColumn("__coarse", coarse)
-    fine = F.expr(f"if(__coarse = 0, 0, {step} * (__coarse - 1) + size(filter(get({inner}, __coarse - 1), c -> c <= id)))")
+    docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    ids = docs.select("id").filter(F.col("id").isNotNull()).distinct().repartitionByRange("id").withColumn("range", F.spark_partition_id())
+    cuts = written(ids.groupBy("range").agg(F.min("id").alias("id")), "fingerprint-ranges")
+    least = [r["id"] for r in cuts.orderBy("id").collect()]  # a row a shuffle partition
+    step = max(1, math.isqrt(len(least)))
+    starts = [least[i : i + step] for i in range(0, len(least), step)]
+    kind = docs.schema["id"].dataType
+    array = lambda values: F.array(*[F.lit(v).cast(kind) for v in values])
+    none = F.array().cast(ArrayType(kind))
+    coarse = F.size(F.filter(array([b[0] for b in starts]), lambda c: c <= F.col("id"))) if starts else F.lit(0)
+    docs = docs.withColumn("__coarse", F.when(F.col("id").isNull(), 0).otherwise(coarse))
+    inner = F.array(*[array(b) for b in starts]) if starts else F.array(none)
+    fine = F.when(F.col("__coarse") == 0, 0).otherwise(step * (F.col("__coarse") - 1) + F.size(F.filter(F.get(inner, F.col("__coarse") - 1), lambda c: c <= F.col("id"))) - 1)
     docs = docs.withColumn("range", fine.cast("int")).drop("__coarse")
-    firsts = docs.groupBy("range").agg(F.min("id").alias("id")).filter(F.col("id").isNotNull())  # a row a range
+    firsts = docs.groupBy("range").agg(F.min_by("id", F.struct(F.col("id").isNotNull(), "id")).alias("id"))  # a row a range; a null id comes first
     order = Window.orderBy("range")
     before = F.coalesce(F.lag("range").over(order), F.max("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    guests = docs.drop("range").join(F.broadcast(firsts.select("id", before.alias("range"))), "id")
+    firsts = firsts.select(F.col("id").alias("__first"), before.alias("range"))
+    guests = docs.drop("range").join(F.broadcast(firsts), F.col("id").eqNullSafe(F.col("__first"))).drop("__first")
     both = docs.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
     return both.withColumn("next_text", F.lead("text").over(range_order()))
 
@@ -110,24 +120,47 @@ def edited_text(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - quarter), F.substring(F.coalesce(next_text, F.lit("")), F.lit(1), quarter))
 
 
+def sketch_parts(df: DataFrame, text: str, out: str, k: int = K, shingle: int = SHINGLE, part_words: int = PART_WORDS) -> DataFrame:
+    """``add_sketch`` from parts: texts are cut into runs of ``part_words`` words that overlap by ``shingle`` - 1, each part gets its sketch, and the parts' sketches are merged.
+
+    The same sketch, as the k smallest of all are among the k smallest of the parts; a very long text
+    never holds all its shingle hashes at once.
+    """
+    words_col, hash_col = f"__w_{out}", f"__h_{out}"
+    df = df.withColumn(words_col, words(F.col(text)))
+    df = df.select(*[c for c in df.columns if c != words_col], F.transform(words_col, lambda w: F.xxhash64(w)).alias(hash_col))
+    n = F.size(hash_col)
+    part = lambda a: _smallest(F.transform(F.sequence(a, F.least(a + part_words - 1, n - (shingle - 1))), lambda i: F.xxhash64(F.slice(hash_col, i, shingle))), k)
+    merged = F.aggregate(F.sequence(F.lit(1), n - (shingle - 1), F.lit(part_words)), F.array().cast("array<bigint>"), lambda done, a: _smallest(F.concat(done, part(a)), k))
+    sketch = F.when(n >= shingle, merged).when(n > 0, F.array(F.xxhash64(F.col(hash_col)))).otherwise(F.array().cast("array<bigint>"))
+    return df.select(*[c for c in df.columns if c != hash_col], sketch.alias(out))
+
+
 def fingerprint_neighbours(docs: DataFrame, id_col: str, text_col: str, k: int = K, shingle: int = SHINGLE) -> DataFrame:
     """Sketch every text, its edited form and its successor by id.
 
     Returns ``id_col``, ``n_chars``, ``edited``, ``sketch``, ``edited_sketch``, ``near_edited``,
-    ``near_next``; one row per input row.  Null texts count as empty, an empty text has an empty
-    sketch; a lone row is its own successor; an empty table gives an empty result.
+    ``near_next``, ``n_distinct`` (estimated distinct shingles), ``in_edited`` (estimated share of the
+    text's shingles that its edited form holds; null without words) and ``union_distinct`` (estimated
+    distinct shingles of text and edited form together, from the merged sketch); one row per input row.
+    Null texts count as empty, an empty text has an empty sketch; a lone row is its own successor; an
+    empty table gives an empty result.
     """
     df = with_next_text(docs, id_col, text_col)
     df = df.withColumn("edited", edited_text(F.col("text"), F.col("next_text"))).withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long"))
-    df = add_sketch(add_sketch(df.drop("next_text"), "text", "sketch", k, shingle), "edited", "edited_sketch", k, shingle)
+    df = sketch_parts(sketch_parts(df.drop("next_text"), "text", "sketch", k, shingle), "edited", "edited_sketch", k, shingle)
     df = df.withColumn("next_sketch", F.lead("sketch").over(range_order())).filter(~F.col("guest"))
     none = F.array().cast("array<bigint>")
+    a, b = F.col("sketch"), F.col("edited_sketch")
     return df.select(
         F.col("id").alias(id_col),
         "n_chars",
         "edited",
         "sketch",
         "edited_sketch",
-        resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"),
-        resemblance(F.col("sketch"), F.coalesce("next_sketch", none), k).alias("near_next"),
+        resemblance(a, b, k).alias("near_edited"),
+        resemblance(a, F.coalesce("next_sketch", none), k).alias("near_next"),
+        distinct_shingles(a, k).alias("n_distinct"),
+        containment(a, b, k).alias("in_edited"),
+        distinct_shingles(merged(a, b, k), k).alias("union_distinct"),
     )

@@ -83,7 +83,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bottom-k fingerprints of every text and its edited form, and likeness to both the edit and the next document."""
+    """Bottom-k fingerprints of every text and its edited form, and likeness to both the edit and the next document, distinct shingles and containment."""
     out = fingerprint_neighbours(tables(spark, sf_dir, "documents"), "doc_id", "text")
     return out.select(
         "doc_id",
@@ -93,6 +93,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        F.round("n_distinct", 6).alias("n_distinct"),
+        F.round("in_edited", 9).alias("in_edited"),
+        F.round("union_distinct", 6).alias("union_distinct"),
     )
 
 

@@ -791,6 +791,43 @@ def test_fingerprints_and_edits(spark, texts):
     assert fingerprints.fingerprint_neighbours(table(spark, ["a", "b", None], ids=[1, 1, None]), "doc_id", "text").count() == 3
 
 
+def test_any_orderable_id_has_a_successor(spark):
+    texts = {None: "first of all words here", "b": "second", "a": "x y z u v w " * 3, "c": None}
+    for ids, kind in ((dict(zip(texts, (None, "b", "a", "c"), strict=True)), "string"), (dict(zip(texts, (None, 2.5, -1.0, 7.25), strict=True)), "double"), (dict(zip(texts, (None, b"b", b"a", b"c"), strict=True)), "binary")):
+        df = spark.createDataFrame([(ids[i], t) for i, t in texts.items()], f"k {kind}, t string").repartition(3)
+        out = {r.k if kind != "binary" else r.k and bytes(r.k): r.edited for r in fingerprints.fingerprint_neighbours(df, "k", "t").collect()}
+        order = [None, ids["a"], ids["b"], ids["c"]]
+        text = {ids[i]: t or "" for i, t in texts.items()}
+        for i, j in zip(order, [*order[1:], None], strict=True):
+            q = len(text[i]) // 4
+            assert out[i] == text[i][: len(text[i]) - q] + text[j][:q], (kind, i)
+
+
+def test_query_gives_fingerprints_of_plain_hashes(spark, sf_dir, texts):
+    """Fingerprint text, count and containment of the query against sets of Spark's own word hashes."""
+    import base64
+
+    df = spark.createDataFrame([(i, k, w) for i, t in texts.items() for k, w in enumerate(WORD.findall(t or ""))], "i long, k int, w string")
+    hashes = collections.defaultdict(dict)
+    for r in df.select("i", "k", F.xxhash64("w").alias("h")).collect():
+        hashes[r.i][r.k] = r.h
+    rows = [(i, [h[k] for k in range(a, a + 5)] if len(h) >= 5 else [h[k] for k in range(len(h))]) for i, h in hashes.items() for a in range(max(1, len(h) - 4))]
+    sets = collections.defaultdict(set)
+    for r in spark.createDataFrame(rows, "i long, g array<long>").select("i", F.xxhash64("g").alias("h")).collect():
+        sets[r.i].add(r.h)
+    for r in queries.op10_fingerprints(spark, sf_dir).collect():
+        own = sorted(sets[r.doc_id])
+        assert base64.b64decode(r.fingerprint) == b"".join(h.to_bytes(8, "big", signed=True) for h in own[: fingerprints.K])
+        assert r.n_distinct == len(own) if len(own) < fingerprints.K else abs(r.n_distinct / len(own) - 1) < 0.5
+        assert (r.in_edited is None) == (not own) and r.union_distinct >= 0
+
+
+def test_parts_give_the_same_sketch(spark):
+    df = spark.createDataFrame([(" ".join(f"w{k * k % 997}" for k in range(n)),) for n in (0, 3, 5, 12, 13, 200, 5000)] + [(None,)], "t string")
+    out = fingerprints.sketch_parts(fingerprints.add_sketch(df, "t", "whole"), "t", "parts", part_words=4)
+    assert all(r.whole == r.parts for r in out.collect())
+
+
 def test_sketches_merge_and_estimate(spark):
     parts = [" ".join(f"w{k}" for k in range(a, b)) for a, b in ((0, 900), (400, 1500), (1400, 1404))]
     df = spark.createDataFrame([("g", p) for p in parts], "g string, text string")

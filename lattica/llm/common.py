@@ -13,9 +13,11 @@ SPACE_RE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only in local mode, and an error where a cluster names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -6,7 +6,8 @@
    others (a star, never all pairs); confirmed links give a first set of components.
 4. Then only what those leave open: in buckets that still hold several components, members outside the
    bucket's largest component are held against all members of other components, in blocks of bounded
-   size spread over tasks; tasks have the sets and emit links, not pairs.
+   size spread over tasks.  Signatures go through the blocks first; full sets only go where a row has a
+   partner that the signatures leave possible.  Tasks with the sets emit links, not pairs.
 5. Signatures are compared 32 values at a time; a pair is given up when the posterior probability that
    its likeness reaches the threshold falls below ``miss``.  Survivors are confirmed on the full sets.
 6. Components by alternating large-star and small-star steps on the links.
@@ -20,14 +21,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import slices, written
+from lattica.llm.common import dropped, slices, written
 from lattica.llm.shingles import HASHES, bands, digest, shingle_sets, signature
 
 SHINGLE = 3
 PERCENT = 85
 MISS = 1e-6
 BATCH = 32
-BLOCK = 256
+#: Rows and shingles of a block of members outside a bucket's largest component; the blocks they meet are four times as large.
+BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
 SMALL_IDS = 1_000_000
 
 
@@ -48,8 +50,8 @@ def least_matches(percent: int = PERCENT, miss: float = MISS, hashes: int = HASH
 
 
 def profile(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id``, ``n`` (set size), ``d1``, ``d2`` (digest), ``sig``, ``bands`` of every row; null texts are empty sets."""
-    given = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    """``id``, ``text_hash``, ``n`` (set size), ``d1``, ``d2`` (digest), ``sig``, ``bands`` of every row; null texts are empty sets."""
+    given = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).withColumn("text_hash", F.xxhash64("__text"))
 
     def run(batches):
         import pyarrow as pa
@@ -62,16 +64,17 @@ def profile(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
+                        part.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([m[0] for m in marks], pa.int64()),
                         pa.array([m[1] for m in marks], pa.int64()),
                         pa.array([None if s is None else s.tobytes() for s in sigs], pa.binary()),
                         pa.array([None if s is None else bands(s) for s in sigs], pa.list_(pa.int64())),
                     ],
-                    names=["id", "n", "d1", "d2", "sig", "bands"],
+                    names=["id", "text_hash", "n", "d1", "d2", "sig", "bands"],
                 )
 
-    return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, sig binary, bands array<bigint>")
+    return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, text_hash bigint, n bigint, d1 bigint, d2 bigint, sig binary, bands array<bigint>")
 
 
 def likely(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -92,45 +95,72 @@ def likely(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+class Group:
+    """Rows of one (bucket, unit): which right rows each left row may still be linked with, by signature."""
+
+    def __init__(self, table, percent: int, steps: list[tuple[int, int]]):
+        flag = lambda c: table.column(c).to_numpy(zero_copy_only=False).astype(bool)
+        self.ids, self.percent, self.steps = np.asarray(table.column("id")), percent, steps
+        self.comps, self.n, self.band = table.column("comp").to_numpy(), table.column("n").to_numpy(), int(table.column("band")[0].as_py())
+        self.left, self.rights = flag("left"), np.flatnonzero(flag("right"))
+        self.sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint32).reshape(len(self.ids), -1)
+        self.keys = bands(self.sig)[:, : self.band]
+
+    def likely(self, i: int) -> np.ndarray:
+        """Right rows of other components, likeliest first; a pair is looked at only in the first band that both share."""
+        js = self.rights
+        # two members outside the largest component meet from both sides; take one of them
+        js = js[(self.comps[js] != self.comps[i]) & (~self.left[js] | (self.ids[js] > self.ids[i]))]
+        js = js[100 * np.minimum(self.n[js], self.n[i]) >= self.percent * np.maximum(self.n[js], self.n[i])]
+        if self.band and len(js):
+            js = js[~(self.keys[js] == self.keys[i]).any(axis=1)]
+        same, done = np.zeros(len(js), dtype=np.int64), 0
+        for m, least in self.steps:
+            same += (self.sig[js, done:m] == self.sig[i, done:m]).sum(axis=1)
+            keep = same >= least
+            js, same, done = js[keep], same[keep], m
+        return js[np.argsort(-same, kind="stable")]
+
+
+def survivors(rows: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Rows (``bucket``, ``unit``, ``id``) of a group that have a partner in it which the signatures leave possible."""
+    steps, kind = least_matches(percent, miss), rows.schema["id"].dataType.simpleString()
+
+    def run(table):
+        import pyarrow as pa
+
+        group, live = Group(table, percent, steps), np.zeros(table.num_rows, dtype=bool)
+        for i in np.flatnonzero(group.left):
+            js = group.likely(i)
+            live[js] = True
+            live[i] |= len(js) > 0
+        return table.select(["bucket", "unit", "id"]).filter(pa.array(live))
+
+    return rows.groupBy("bucket", "unit").applyInArrow(run, f"bucket bigint, unit int, id {kind}")
+
+
 def across(rows: DataFrame, percent: int, miss: float) -> DataFrame:
     """Confirmed links between components inside each (``bucket``, ``unit``) group of at most a few blocks of rows.
 
-    A pair is looked at only in the first band that both share.  Likely pairs are confirmed on the full
-    sets, best first; once a link has joined two components, their other pairs can't change anything and
-    are passed over, so a group yields fewer links than it has rows.
+    Likely pairs are confirmed on the full sets, best first; once a link has joined two components,
+    their other pairs can't change anything and are passed over, so a group yields fewer links than it
+    has rows.
     """
-    steps = least_matches(percent, miss)
-    kind = rows.schema["id"].dataType.simpleString()
+    steps, kind = least_matches(percent, miss), rows.schema["id"].dataType.simpleString()
 
     def run(table):
         import pyarrow as pa
 
-        ids = table.column("id")
-        order, comps = np.asarray(ids), table.column("comp").to_numpy()
-        left = table.column("left").to_numpy(zero_copy_only=False).astype(bool)
-        rs = np.flatnonzero(table.column("right").to_numpy(zero_copy_only=False).astype(bool))
-        sig = np.stack([np.frombuffer(v, dtype=np.uint32) for v in table.column("sig").to_pylist()])
-        key = np.stack([np.asarray(v, dtype=np.int64) for v in table.column("bands").to_pylist()])
+        group, ids = Group(table, percent, steps), table.column("id")
         sets = [np.frombuffer(v, dtype=np.uint64) for v in table.column("set").to_pylist()]
-        n, band = table.column("n").to_numpy(), int(table.column("band")[0].as_py())
-        top = np.unique(comps, return_inverse=True)[1]  # component of each row, joined as links are found
+        top = np.unique(group.comps, return_inverse=True)[1]  # component of each row, joined as links are found
         out_a, out_b = [], []
-        for i in np.flatnonzero(left):
-            # two members outside the largest component meet from both sides; take one of them
-            js = rs[(comps[rs] != comps[i]) & (~left[rs] | (order[rs] > order[i]))]
-            js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
-            if band and len(js):
-                js = js[~(key[js, :band] == key[i, :band]).any(axis=1)]
-            same, done = np.zeros(len(js), dtype=np.int64), 0
-            for m, least in steps:
-                same += (sig[js, done:m] == sig[i, done:m]).sum(axis=1)
-                keep = same >= least
-                js, same, done = js[keep], same[keep], m
-            js = js[np.argsort(-same, kind="stable")]
+        for i in np.flatnonzero(group.left):
+            js = group.likely(i)
             while len(js := js[top[js] != top[i]]):
                 j, js = js[0], js[1:]
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= percent * (n[i] + n[j] - both):
+                if 100 * both >= percent * (group.n[i] + group.n[j] - both):
                     out_a.append(i)
                     out_b.append(j)
                     top[top == top[j]] = top[i]
@@ -188,7 +218,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = written(small.select("e.u", "e.v").filter("u <> v").distinct(), "links")
+        last, edges = edges, written(small.select("e.u", "e.v").filter("u <> v").distinct(), "links")
+        dropped(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
@@ -202,16 +233,46 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
 
     Two rows are linked when 100 * |intersection| >= percent * |union| of their shingle sets (A-Z
     lower-cased words; fewer words than ``shingle`` make one shingle).  Rows without words, null texts
-    included, are linked with nothing.  Ids identify documents: repeated rows get the same answer.
-    Rows without an id are found only as members of a class of equal sets.  An empty table gives an
-    empty result.  The id must be an orderable, non-nested type; other columns are not read.
+    included, are linked with nothing.  Ids identify documents: rows of one id are one document, so all
+    its rows with words get one component, whatever their texts.  Rows without an id are found only as
+    members of a class of equal sets; where no row of the class has an id the component is null.  An
+    empty table gives an empty result.  The id must be an orderable, non-nested type; other columns are
+    not read.
+    """
+    return labelled(docs, id_col, text_col, shingle, percent, miss).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """``docs`` with one row of each component: of the least id, and of that id's rows the one of least text hash.
+
+    Rows are told apart by id and text, so repeated rows are one and a null id loses nothing: rows
+    without an id whose class has none either are kept once a class.  Rows without words all stay.
     """
+    found = written(labelled(docs, id_col, text_col, shingle, percent, miss), "near-labels")
+    row = F.struct(F.col("id").isNull().alias("late"), "id", "text_hash")
+    one = F.struct("component_id", *[F.when(F.col("component_id").isNull(), F.col(c)).alias(c) for c in ("d1", "d2")])
+    kept = found.filter("n > 0").groupBy(one.alias("one")).agg(F.min(row).alias("kept"))
+    rows = found.filter("n > 0").groupBy(one.alias("one"), row.alias("row")).agg(F.count("*").alias("times")).join(kept, "one")
+    gone = rows.filter((F.col("row") != F.col("kept")) | (F.col("times") > 1)).select("row.id", "row.text_hash", (F.col("row") == F.col("kept")).alias("again"))
+    gone = written(gone, "near-gone")
+    # a row's key is its id and text hash, hashed together so that a null id is a key too
+    key = lambda i, h: [F.xxhash64(F.lit(1), i, h), F.xxhash64(F.lit(2), h, i)]
+    own = key(F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    marks = gone.select(*[k.alias(c) for k, c in zip(key(F.col("id"), F.col("text_hash")), ("__k1", "__k2"), strict=True)], "again").distinct()
+    keyed = docs.withColumns({"__k1": own[0], "__k2": own[1]})
+    first = keyed.join(marks.select("__k1", "__k2"), ["__k1", "__k2"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    twice = keyed.join(marks.filter("again").select("__k1", "__k2"), ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"])
+    return first.unionByName(twice.select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
+def labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, miss: float) -> DataFrame:
+    """(``id``, ``text_hash``, ``n``, ``d1``, ``d2``, ``component_id``) of every row, as ``near_duplicates`` says."""
     rows = written(profile(docs, id_col, text_col, shingle), "near-profile")
     some = rows.filter("n > 0")
     classes = written(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), F.min_by("sig", "id").alias("sig"), F.min_by("bands", "id").alias("bands")), "near-classes")
     reps = classes.filter("rep is not null").select(F.col("rep").alias("id"), "n", "sig", "bands").dropDuplicates(["id"])
 
-    keyed = reps.select("id", F.posexplode("bands").alias("band", "bucket"))
+    keyed = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     heads = keyed.groupBy("bucket", "band").agg(F.count("*").alias("size"), F.min("id").alias("head")).filter("size > 1")
     crowded = written(keyed.join(heads, ["bucket", "band"]), "near-buckets")
 
@@ -224,26 +285,46 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     links = written(confirmed(first, sets, percent), "near-links")
     comp = written(components(links), "near-components")
 
-    member = crowded.join(comp, "id", "left").select("bucket", "band", "id", F.coalesce("comp", "id").alias("comp"))
-    share = member.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    open_ = share.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("size"), F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("inside")).filter("parts > 1")
-    member = member.join(open_, "bucket")
-    left = F.col("comp") != F.col("main")
-    blocks = F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("inside")) / BLOCK))  # of members outside the main component
-    cuts = F.greatest(F.lit(1), F.ceil(F.col("size") / (4 * BLOCK)))  # of all members
-    member = member.withColumns({"outside": left, "blocks": blocks.cast("int"), "cuts": cuts.cast("int"), "h": F.xxhash64("id")})
+    member = crowded.join(comp, "id", "left").select("bucket", "band", "id", "n", F.coalesce("comp", "id").alias("comp"))
+    share = member.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
+    open_ = share.groupBy("bucket").agg(
+        F.count("*").alias("parts"),
+        F.sum("n").alias("size"),
+        F.sum("shingles").alias("shingles"),
+        F.max_by(F.struct("comp", "n", "shingles"), F.struct("n", "comp")).alias("main"),
+    )
+    member = member.join(open_.filter("parts > 1"), "bucket")
+    at_least = lambda rows, shingles, k: F.greatest(F.lit(1), F.ceil(rows / (k * BLOCK)), F.ceil(shingles / (k * BLOCK_SHINGLES))).cast("int")
+    blocks = at_least(F.col("size") - F.col("main.n"), F.col("shingles") - F.col("main.shingles"), 1)  # of members outside the main component
+    cuts = at_least(F.col("size"), F.col("shingles"), 4)  # of all members
+    member = member.withColumns({"outside": F.col("comp") != F.col("main.comp"), "blocks": blocks, "cuts": cuts, "h": F.xxhash64("id")})
     grid = lambda i, j: i * F.col("cuts") + j
     all_i, all_j = F.sequence(F.lit(0), F.col("blocks") - 1), F.sequence(F.lit(0), F.col("cuts") - 1)
     own_i, own_j = F.pmod("h", "blocks").cast("int"), F.pmod(F.shiftright("h", 20), "cuts").cast("int")
     as_right = F.transform(all_i, lambda i: F.struct(grid(i, own_j).alias("unit"), (F.col("outside") & (i == own_i)).alias("left"), F.lit(True).alias("right")))
     as_left = F.filter(F.transform(all_j, lambda j: F.struct(grid(own_i, j).alias("unit"), F.lit(True).alias("left"), F.lit(False).alias("right"))), lambda s: s.unit != grid(own_i, own_j))
     placed = member.select("bucket", "band", "id", "comp", F.explode(F.when(F.col("outside"), F.concat(as_right, as_left)).otherwise(as_right)).alias("p"))
-    placed = placed.select("bucket", "band", "id", "comp", "p.unit", "p.left", "p.right").join(reps.join(sets, "id"), "id")
-    more = written(across(placed, percent, miss), "near-across")
-    final = written(components(links.unionByName(more)), "near-components")
+    placed = written(placed.select("bucket", "band", "id", "comp", "p.unit", "p.left", "p.right"), "near-placed")
+    signed = reps.select("id", "n", "sig")
+    live = written(survivors(placed.join(signed, "id"), percent, miss), "near-live")
+    more = written(across(placed.join(live, ["bucket", "unit", "id"]).join(signed, "id").join(sets, "id"), percent, miss), "near-across")
+    more = links.unionByName(more).unionByName(same_ids(some, classes))
+    final = written(components(more), "near-components")
+    for used in (crowded, first, sets, placed, live):
+        dropped(used)
 
     label = classes.select("d1", "d2", "n", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", "n", F.coalesce("comp", "rep").alias("component_id"))
-    slim = rows.select("id", "n", "d1", "d2")
-    found = slim.filter("n > 0").join(label, ["d1", "d2", "n"], "left").select("id", "n", "component_id")
-    out = found.unionByName(slim.filter("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    slim = rows.select("id", "text_hash", "n", "d1", "d2")
+    columns = ("id", "text_hash", "n", "d1", "d2", "component_id")
+    out = slim.filter("n > 0").join(label, ["d1", "d2", "n"], "left").select(*columns)
+    return out.unionByName(slim.filter("n = 0").withColumn("component_id", F.col("id")).select(*columns))
+
+
+def same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that rows of one id belong to."""
+    mark = F.struct("d1", "d2", "n")
+    several = rows.filter("id is not null").groupBy("id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).filter("low <> high").select("id", "low")
+    reps = classes.select(mark.alias("mark"), "rep")
+    pairs = rows.select("id", mark.alias("mark")).join(several, "id").filter("mark <> low").select("low", "mark").distinct()
+    ends = pairs.join(reps.select(F.col("mark").alias("low"), F.col("rep").alias("a")), "low").join(reps.select("mark", F.col("rep").alias("b")), "mark")
+    return ends.select("a", "b").filter("a <> b")

@@ -62,11 +62,11 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 
 def bands(sig: np.ndarray, rows: int = ROWS, n: int = BANDS) -> np.ndarray:
-    """One 64-bit key a band, made of the band's number and its ``rows`` signature values."""
-    v = sig[: rows * n].reshape(n, rows).astype(np.uint64)
+    """One 64-bit key a band, made of the band's number and its ``rows`` signature values; for one signature or for rows of them."""
+    v = sig[..., : rows * n].reshape(*sig.shape[:-1], n, rows).astype(np.uint64)
     key = np.arange(1, n + 1, dtype=np.uint64)
     for k in range(rows):
-        key = mixed(key + v[:, k] * np.uint64(0x9E3779B97F4A7C15))
+        key = mixed(key + v[..., k] * np.uint64(0x9E3779B97F4A7C15))
     return key.view(np.int64)
 
 

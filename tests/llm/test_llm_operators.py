@@ -42,6 +42,17 @@ def texts(documents):
 ODD = [None, "", "   \n\t ", "one", "a b c", "Ünï ▁ 😀 \x00 x", "w " * 5000, "same line\nsame line\n\nsame line", "ID 1.2.3.4 a@b.co +1 (717) 555-0202 4111 1111 1111 1111"]
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from lattica.llm.common import shared_dir
+
+    session = lambda master, named: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: named, set=lambda k, v: None), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+    assert shared_dir(session("spark://host:1", "hdfs://x/y/")) == "hdfs://x/y" and shared_dir(session("local[2]", None)).startswith("file:///tmp/")
+    with pytest.raises(ValueError):
+        shared_dir(session("spark://host:1", None))
+
+
 # ---- pieces ------------------------------------------------------------------------------------
 
 
@@ -699,6 +710,33 @@ def test_near_duplicates_without_rows_or_ids(spark):
     assert sorted((str(r.doc_id), r.component_id) for r in rows) == [("1", 1), ("5", 5), ("5", 5), ("None", 5)]
 
 
+def test_one_row_of_each_component_stays(spark):
+    t, u, v, w = "p q r s t", "entirely different words here now", "only null ids have this", "lone"
+    ids, every = [5, 5, None, 7, 7, 9, None, None, 12, 12, None, 13], [t, t, t, t, u, u, v, v, w, w, None, ""]
+    df = table(spark, every, ids=ids)
+    got = near_dups.near_duplicates(df, "doc_id", "text").collect()
+    assert {r.component_id for r in got if r.doc_id in (5, 7, 9)} == {5} and all(r.component_id is None for r in got if r.doc_id is None and r.n_shingles == 0)
+    left = near_dups.without_near_duplicates(df.repartition(3), "doc_id", "text")
+    assert left.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(5, t), (None, v), (12, w), (None, None), (13, "")], key=str)
+    assert near_dups.without_near_duplicates(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_crowded_buckets_split_into_blocks(spark, monkeypatch):
+    """A family whose members are alike but not linked, in blocks of a few rows and shingles."""
+    monkeypatch.setattr(near_dups, "BLOCK", 4)
+    monkeypatch.setattr(near_dups, "BLOCK_SHINGLES", 400)
+    rng, base = np.random.default_rng(4), [f"w{k}" for k in range(80)]
+    family = []
+    for k in range(60):
+        w = list(base)
+        for j in rng.choice(80, 4 if k % 3 else 1, replace=False):
+            w[j] = f"v{k}x{j}"
+        family.append(" ".join(w))
+    got = near_dups.near_duplicates(table(spark, family), "doc_id", "text")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(dict(enumerate(family)), 3, 85)
+
+
 def test_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101)], "a long, b long")
     got = {r.id: r.comp for r in near_dups.components(links).collect()}

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import fold, tables, written
+from lattica.llm.common import dropped, fold, tables, written
 from lattica.llm.language_id import UNKNOWN, fit_language_model, identify
 from lattica.llm.mixing import in_mixed_order, mix_sources
-from lattica.llm.near_dups import near_duplicates
+from lattica.llm.near_dups import without_near_duplicates
 from lattica.llm.pieces import encode
 from lattica.llm.pii import redact
 
@@ -34,16 +34,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least id of each near-duplicate component (five-word shingles, likeness 0.8)."""
-    found = near_duplicates(docs, "doc_id", "text", shingle=5, percent=80)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keep one row of each near-duplicate component, that of the least id (five-word shingles, likeness 0.8); rows without words stay."""
+    plain, names = apart(docs)
+    kept = without_near_duplicates(plain, names["doc_id"], names["text"], shingle=5, percent=80)
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data by its kind in brackets; ``n_chars`` follows."""
-    clean = redact(docs, "doc_id", "text")
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
+    """Replace personal data by its kind in brackets; ``n_chars`` follows.  Null texts stay null."""
+    plain, names = apart(docs)
+    clean = redact(plain, names["doc_id"], names["text"])
+    length = F.length(names["text"]).cast("long")
+    return clean.select(*[(length if c == "n_chars" else F.col(n)).alias(c) for c, n in names.items()])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +57,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document and whether they decode to its text."""
+    docs = docs.select("doc_id", "text", "lang", "source")
     out = encode(docs, "doc_id", "text", carry=["lang", "source"])
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
@@ -72,7 +75,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables(spark, sf_dir, "documents")
+    docs, last = tables(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last is not None:
+            dropped(last)  # each stage's table lives until the next one's is written
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

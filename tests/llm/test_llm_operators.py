@@ -68,6 +68,9 @@ def test_pieces_are_lossless_and_reproducible(spark):
     prose = table(spark, ["internationalisation of understanding " * 40])
     assert len({tuple(pieces.encode(prose, "doc_id", "text", seed=k).first().ids) for k in range(3)}) == 3
     assert pieces.encode(df.limit(0), "doc_id", "text").count() == 0
+    huge = ["x " + "文é9" * 50_000 + " y", "a", "b" * 120_000]  # segments without a space, more than one lattice window
+    out = pieces.encode(table(spark, huge), "doc_id", "text")
+    assert out.filter("lossless").count() == 3 and {r.t for r in pieces.decode(out.select("ids"), "ids", "t").collect()} == set(huge)
     bad = spark.createDataFrame([(1, [-1]), (2, [10**9]), (3, None)], "k int, ids array<int>")
     assert [r.t for r in pieces.decode(bad, "ids", "t").collect()] == [None] * 3
 
@@ -88,6 +91,12 @@ def test_sampling_follows_the_lattice(alpha):
         ends = np.cumsum(n)
         got = collections.Counter(tuple(name[i] for i in ids[b - k : b].tolist()) for b, k in zip(ends.tolist(), n.tolist(), strict=True))
         assert max(abs(got[tuple(p)] / 50_000 - np.exp(q) / z) for p, q in want) < 0.01
+    # a window at a time: the same paths
+    for s in ("hello", "né😀x"):
+        want = paths(s)
+        whole = [lattice.sample([s], np.array([k * 977]))[0].tolist() for k in range(400)]
+        apart = [lattice.sample_long(s, pieces.mixed(np.array([k * 977], dtype=np.uint64) ^ pieces.mixed(np.zeros(1, dtype=np.uint64)))[0]).tolist() for k in range(400)]
+        assert whole == apart and (s != "hello" or len(set(map(tuple, whole))) > 1)
     long = "ab" * 700  # one segment, filtered by logarithms
     ids, _ = lattice.sample([long], np.array([3]))
     assert pieces.Decoder(v).joined(ids).tobytes().decode() == long

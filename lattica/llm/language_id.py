@@ -57,11 +57,23 @@ def features(texts: list[bytes], bits: int = BITS) -> np.ndarray:
     return unit(np.sqrt(trigram_counts(texts, byte_map(True), bits)))
 
 
-def sample_rows(df: DataFrame, id_col: str, by: str, usable: Column, each: int) -> DataFrame:
-    """Ids of at most ``each`` rows a group, first by hash of the id; the rank limit acts before the shuffle."""
-    ranked = df.filter(usable & F.col(by).isNotNull()).select(F.col(id_col).alias("__id"), F.col(by).alias("__by"))
-    order = Window.partitionBy("__by").orderBy(F.xxhash64(F.col("__id").cast("string")), "__id")
-    return ranked.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= each).select("__id", "__by")
+def hash_bound(each: int, rows: int) -> int:
+    """Hashes of distinct ids below this: about three times ``each`` of ``rows`` and a margin, all of a small table."""
+    part = min(1.0, (3 * each + 200) / max(1, rows))
+    return min(2**63 - 1, int(-(2**63) + part * 2**64))
+
+
+def sample_rows(df: DataFrame, id_col: str, by: str, usable: Column, sizes: dict, each: int) -> DataFrame:
+    """Ids of at most ``each`` rows a group, first by hash of the id.
+
+    ``sizes`` are the groups' rows.  Only hashes below a bound drawn from them are ranked, so what meets
+    in one task doesn't grow with the table; a repeated id is one before the shuffle.
+    """
+    rows = df.filter(usable & F.col(by).isNotNull()).select(F.col(id_col).alias("__id"), F.col(by).alias("__by"), F.xxhash64(F.col(id_col).cast("string")).alias("__h"))
+    bounds = F.create_map(*[F.lit(x) for g, n in sizes.items() for x in (g, hash_bound(each, n))])
+    few = rows.filter(F.col("__h") <= F.element_at(bounds, F.col("__by"))).distinct()
+    order = Window.partitionBy("__by").orderBy("__h", "__id")
+    return few.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= each).select("__id", "__by")
 
 
 def sampled_texts(df: DataFrame, id_col: str, text_col: str, sample: DataFrame) -> DataFrame:
@@ -72,10 +84,11 @@ def sampled_texts(df: DataFrame, id_col: str, text_col: str, sample: DataFrame)
 
 def fit_language_model(df: DataFrame, id_col: str, text_col: str, lang_col: str, usable: Column, max_rows: int = MAX_ROWS) -> dict:
     """Learn from at most ``max_rows`` usable rows with a language, dealt equally over the languages; {} without any."""
-    langs = sorted(r[0] for r in df.filter(usable & F.col(lang_col).isNotNull()).select(lang_col).distinct().collect())
+    sizes = {r[lang_col]: r["count"] for r in df.filter(usable & F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect()}  # a row a language
+    langs = sorted(sizes)
     if not langs:
         return {}
-    sample = sample_rows(df, id_col, lang_col, usable, max(1, max_rows // len(langs)))
+    sample = sample_rows(df, id_col, lang_col, usable, sizes, max(1, max_rows // len(langs)))
 
     def count(batches):
         import pyarrow as pa
@@ -86,6 +99,7 @@ def fit_language_model(df: DataFrame, id_col: str, text_col: str, lang_col: str,
                 yield pa.RecordBatch.from_arrays([part.column("__by"), pa.array([v.tobytes() for v in x], pa.binary())], names=["lang", "x"])
 
     got = sampled_texts(df, id_col, text_col, sample).select("__by", "__text").mapInArrow(count, "lang string, x binary").collect()
+    got.sort(key=lambda r: (r["lang"], r["x"]))  # the same order on any cluster
     x = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in got]).astype(np.float32)
     label = np.array([langs.index(r["lang"]) for r in got])
     code = codewords(len(langs))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lattica.llm.common import slices
 from lattica.llm.grams import BITS, byte_map, trigram_counts, unit
-from lattica.llm.language_id import sampled_texts
+from lattica.llm.language_id import hash_bound, sampled_texts
 
 MAX_ROWS = 4000
 LATENT = 48
@@ -53,9 +53,14 @@ def latent_space(x: np.ndarray, k: int, seed: int = 11) -> np.ndarray:
 
 
 def fit_neighbours(docs: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_col: str, usable: Column, max_rows: int = MAX_ROWS, latent: int = LATENT, style_weight: float = 0.7) -> dict:
-    """Fit on the ``max_rows`` usable labelled rows that come first by hash of their id; {} without any."""
-    rows = labels.filter(usable & F.col(label_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__by"))
-    sample = rows.orderBy(F.xxhash64(F.col("__id").cast("string")), "__id", "__by").limit(max_rows)
+    """Fit on the ``max_rows`` usable labelled rows that come first by hash of their id; {} without any.
+
+    Only hashes below a bound drawn from the number of labels are sorted.  A repeated label is one; of
+    an id's different labels the least counts.
+    """
+    rows = labels.filter(usable & F.col(label_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__by"), F.xxhash64(F.col(id_col).cast("string")).alias("__h"))
+    few = rows.filter(F.col("__h") <= hash_bound(max_rows, rows.count())).groupBy("__h", "__id").agg(F.min("__by").alias("__by"))
+    sample = few.orderBy("__h", "__id").limit(max_rows).drop("__h")
 
     def count(batches):
         import pyarrow as pa
@@ -68,6 +73,7 @@ def fit_neighbours(docs: DataFrame, id_col: str, text_col: str, labels: DataFram
     got = sampled_texts(docs, id_col, text_col, sample).select("__by", "__text").mapInArrow(count, "y int, x binary").collect()
     if not got:
         return {}
+    got.sort(key=lambda r: (r["y"], r["x"]))  # the same order on any cluster
     raw = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in got]).astype(np.float32)
     grams = raw[:, : 1 << BITS]
     idf = np.log((1 + len(raw)) / (1 + (grams > 0).sum(axis=0))).astype(np.float32)
@@ -77,20 +83,24 @@ def fit_neighbours(docs: DataFrame, id_col: str, text_col: str, labels: DataFram
 
 
 def vote(z: np.ndarray, model: dict, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """Share of label 1 among each row's nearest labelled vectors, weighted by a steep power of the cosine; a zero row gets the labels' mean."""
+    """Share of label 1 among each row's nearest labelled vectors, weighted by the eighth power of the cosine; all vectors as near as the last of ``neighbours`` vote too; a zero row gets the labels' mean."""
     at, y = model["at"], model["y"]
     k = min(neighbours, len(y))
     sims = z @ at.T
-    near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    w = np.maximum(np.take_along_axis(sims, near, axis=1), 0) ** 8
+    last = -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k]
+    w = np.where(sims >= last, np.maximum(sims, 0), 0)
+    w *= w
+    w *= w
+    w *= w
     total = w.sum(axis=1)
-    return np.where(total > 1e-12, (w * y[near]).sum(axis=1) / np.maximum(total, 1e-12), y.mean())
+    return np.where(total > 1e-12, w @ y / np.maximum(total, 1e-12), y.mean())
 
 
 def score_quality(docs: DataFrame, id_col: str, text_col: str, model: dict, neighbours: int = NEIGHBOURS) -> DataFrame:
     """Return ``id_col`` and ``score`` (double, 0 to 1) of every row.
 
     Null texts count as empty; an empty text scores the labels' mean; without a model every score is 0.5.
+    One row per input row, repeated ones and null ids included; equal texts score alike.
     """
     given = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double"

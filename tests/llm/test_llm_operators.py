@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lattica.llm import fingerprints, license_scan, mixing, near_dups, pieces, pii, pitman_yor, quality_rules, queries
+from lattica.llm import fingerprints, grams, license_scan, mixing, near_dups, pieces, pii, pitman_yor, quality_classifier, quality_rules, queries
 from lattica.llm.common import fold
 from lattica.llm.language_id import codewords, fit_language_model, identify
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
@@ -564,6 +564,60 @@ def test_quality_held_out(spark, sf_dir):
     assert {r.score for r in score_quality(table(spark, ODD), "doc_id", "text", {}).collect()} == {0.5}
 
 
+def plain_trigrams(text, table):
+    """Hashed trigram counts of one text in plain integers."""
+    data, out, m = [int(table[b]) for b in text.encode()] + [int(table[32])] * 2, collections.Counter(), 2**32
+    for i in range(len(data) - 2):
+        h = data[i] * 0x9E3779B1 % m
+        h ^= data[i + 1] * 0x85EBCA6B % m
+        h ^= (data[i + 2] + 1) * 0xC2B2AE35 % m
+        h ^= h >> 15
+        out[(h * 0x2C1B3C6D % m) >> 20] += 1
+    return out
+
+
+def test_languages_match_plain_decoding(spark, documents, texts):
+    model = fit_language_model(documents, "doc_id", "text", "lang", ~fold(F.col("doc_id"), 5))
+    got = {r.doc_id: r for r in identify(documents, "doc_id", "text", model).collect()}
+    for i, t in list(texts.items())[:60]:
+        c = plain_trigrams(t or "", grams.byte_map(True))
+        norm = sum(c.values()) ** 0.5
+        margin = sum((v**0.5 / norm * model["w"][g].astype(float) for g, v in c.items()), model["b"].astype(float))
+        loss = [sum(np.log1p(np.exp(-m * x)) for m, x in zip(margin, word, strict=True)) for word in model["code"]]
+        share = np.exp(-np.array(loss)) / np.exp(-np.array(loss)).sum()
+        if t and any(x.isalpha() for x in t):
+            best = int(np.argmin(loss))
+            assert got[i].lang_pred == model["langs"][best] and got[i].score == pytest.approx(share[best], abs=1e-4)
+            assert got[i].ambiguous == (np.sort(share)[-1] - np.sort(share)[-2] < 0.05)
+
+
+def test_quality_matches_plain_neighbours(spark, sf_dir, documents, texts):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_neighbours(documents, "doc_id", "text", labels, "quality", ~fold(F.col("doc_id"), 5))
+    got = {r.doc_id: r.score for r in score_quality(documents, "doc_id", "text", model).collect()}
+    for i, t in list(texts.items())[:60]:
+        x = np.zeros(1 << 12)
+        for g, v in plain_trigrams(t or "", grams.byte_map(False)).items():
+            x[g] = np.log1p(v) * model["idf"][g]
+        x = np.r_[x / (np.linalg.norm(x) or 1), model["style_weight"] * np.array(quality_classifier.style((t or "").encode()))] @ model["space"].astype(float)
+        sims = [float(x @ a / (np.linalg.norm(x) or 1)) for a in model["at"].astype(float)]
+        near = sorted(range(len(sims)), key=lambda j: -sims[j])[:25]
+        w = [max(sims[j], 0) ** 8 for j in near]
+        want = sum(a * model["y"][j] for a, j in zip(w, near, strict=True)) / sum(w) if sum(w) > 1e-12 else model["y"].mean()
+        assert got[i] == pytest.approx(want, abs=0.02)
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    from lattica.llm.language_id import sample_rows
+
+    df = spark.range(20_000).selectExpr("case when id % 3 = 0 then 7 else id end doc_id", "if(id % 4 = 0, 'a', 'b') lang")
+    sizes = {r["lang"]: r["count"] for r in df.groupBy("lang").count().collect()}
+    few = sample_rows(df, "doc_id", "lang", F.lit(True), sizes, 50)
+    assert {r["__by"]: r["count"] for r in few.groupBy("__by").count().collect()} == {"a": 50, "b": 50}
+    key = lambda d: sorted((r["__by"], r["__id"]) for r in d.collect())
+    assert key(few) == key(sample_rows(df.repartition(7), "doc_id", "lang", F.lit(True), sizes, 50))
+
+
 # ---- personal data -----------------------------------------------------------------------------
 
 

@@ -39,7 +39,11 @@ def add_sketch(df: DataFrame, text: str, out: str, k: int = K, shingle: int = SH
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     """Estimated Jaccard likeness: the share of the union's k smallest hashes that both sketches hold; 1 for two empty texts."""
-    union = merged(a, b, k)
+    return shared(merged(a, b, k), a, b)
+
+
+def shared(union: Column, a: Column, b: Column) -> Column:
+    """``resemblance`` where the merged sketch ``union`` is known."""
     both = F.size(F.array_intersect(union, F.array_intersect(a, b)))
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union)).cast("double")
 
@@ -52,7 +56,11 @@ def distinct_shingles(sketch: Column, k: int = K) -> Column:
 
 def containment(a: Column, b: Column, k: int = K) -> Column:
     """Estimated share of a's shingles that b holds, from resemblance and both counts; null for an empty a."""
-    j = resemblance(a, b, k)
+    return contained(resemblance(a, b, k), a, b, k)
+
+
+def contained(j: Column, a: Column, b: Column, k: int = K) -> Column:
+    """``containment`` where the resemblance ``j`` is known."""
     na, nb = distinct_shingles(a, k), distinct_shingles(b, k)
     return F.when(F.size(a) > 0, F.least(F.lit(1.0), j * (na + nb) / ((1 + j) * na)))
 
@@ -152,15 +160,17 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str, text_col: str, k: int =
     df = df.withColumn("next_sketch", F.lead("sketch").over(range_order())).filter(~F.col("guest"))
     none = F.array().cast("array<bigint>")
     a, b = F.col("sketch"), F.col("edited_sketch")
+    # each step once: arrays of hashes are dear to merge
+    df = df.withColumn("union", merged(a, b, k)).withColumn("near_edited", shared(F.col("union"), a, b))
     return df.select(
         F.col("id").alias(id_col),
         "n_chars",
         "edited",
         "sketch",
         "edited_sketch",
-        resemblance(a, b, k).alias("near_edited"),
+        "near_edited",
         resemblance(a, F.coalesce("next_sketch", none), k).alias("near_next"),
         distinct_shingles(a, k).alias("n_distinct"),
-        containment(a, b, k).alias("in_edited"),
-        distinct_shingles(merged(a, b, k), k).alias("union_distinct"),
+        contained(F.col("near_edited"), a, b, k).alias("in_edited"),
+        distinct_shingles(F.col("union"), k).alias("union_distinct"),
     )

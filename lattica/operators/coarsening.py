@@ -10,7 +10,7 @@ def native_cells(obs: DataFrame, axis: str) -> DataFrame:
     """Cells a sample's axis resolves: levels of a millionth of the range, their median gap (at least 1)."""
     ends = obs.groupBy("sample_id").agg(F.min(axis).alias("lo"), F.greatest(F.max(axis) - F.min(axis), F.lit(1e-9)).alias("ext"))
     level = F.bround((F.col(axis) - F.col("lo")) / F.col("ext") * 1e6).cast("long")
-    levels = obs.join(F.broadcast(ends), "sample_id").select("sample_id", level.alias("v")).distinct()
+    levels = obs.join(ends, "sample_id").select("sample_id", level.alias("v")).distinct()
     gap = F.col("v") - F.lag("v").over(Window.partitionBy("sample_id").orderBy("v"))
     gaps = levels.withColumn("gap", gap).groupBy("sample_id").agg(F.median("gap").alias("gap"))
     return gaps.select("sample_id", F.coalesce(F.floor(1e6 / F.nullif("gap", F.lit(0.0))), F.lit(1)).cast("long").alias(f"native_{axis}"))
@@ -27,12 +27,12 @@ def grid(obs: DataFrame, cap: int) -> DataFrame:
 
 def binned(obs: DataFrame, cap: int) -> DataFrame:
     """``obs`` with its cell (``ix``, ``iy``), the cell's centre (``bx``, ``by``) and the compact ``bin`` number of the sample."""
-    j = obs.join(F.broadcast(grid(obs, cap)), "sample_id")
+    j = obs.join(grid(obs, cap), "sample_id")
     cell = lambda c, lo, e, n: F.greatest(F.lit(0), F.least(F.col(n) - 1, ((F.col(c) - F.col(lo)) / F.col(e) * F.col(n)).cast("long")))
     j = j.withColumns({"ix": cell("x", "lox", "ex", "nx"), "iy": cell("y", "loy", "ey", "ny")})
     j = j.withColumns({"bx": F.col("lox") + (F.col("ix") + 0.5) * F.col("ex") / F.col("nx"), "by": F.col("loy") + (F.col("iy") + 0.5) * F.col("ey") / F.col("ny"), "code": F.col("ix") * F.col("ny") + F.col("iy")})
     codes = j.select("sample_id", "code").distinct().withColumn("bin", (F.row_number().over(Window.partitionBy("sample_id").orderBy("code")) - 1).cast("long"))
-    return j.join(F.broadcast(codes) if cap <= 200_000 else codes, ["sample_id", "code"]).drop("lox", "loy", "ex", "ey", "nx", "ny", "code")
+    return j.join(codes, ["sample_id", "code"]).drop("lox", "loy", "ex", "ey", "nx", "ny", "code")
 
 
 def bin_sums(x: DataFrame, bins: DataFrame) -> DataFrame:

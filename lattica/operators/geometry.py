@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lattica.functions.expressions import apply_matrix
@@ -20,8 +20,9 @@ def spot_size(size: Column) -> Column:
 
 def normalised(obs: DataFrame, raster_x: float, raster_y: float) -> DataFrame:
     """Shift each sample to start at half a raster."""
-    w = Window.partitionBy("sample_id")
-    return obs.withColumns({"x": F.col("x") - F.min("x").over(w) + raster_x / 2, "y": F.col("y") - F.min("y").over(w) + raster_y / 2})
+    low = obs.groupBy("sample_id").agg(F.min("x").alias("__x"), F.min("y").alias("__y"))
+    moved = obs.join(low, "sample_id").withColumns({"x": F.col("x") - F.col("__x") + raster_x / 2, "y": F.col("y") - F.col("__y") + raster_y / 2})
+    return moved.select(*obs.columns)
 
 
 def raster_box(obs: DataFrame, raster: int) -> DataFrame:
@@ -40,7 +41,7 @@ def rotation_corrected(obs: DataFrame) -> DataFrame:
     n = obs.groupBy("sample_id", "line").agg(F.count("*").alias("n"), F.regr_slope("y", "x").alias("slope"))
     best = n.groupBy("sample_id").agg(F.max_by("slope", F.struct("n", -F.col("line"))).alias("slope"))
     mean = obs.groupBy("sample_id").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
-    j = obs.join(F.broadcast(best), "sample_id").join(F.broadcast(mean), "sample_id")
+    j = obs.join(best, "sample_id").join(mean, "sample_id")
     a = -F.atan(F.coalesce("slope", F.lit(0.0)))
     dx, dy = F.col("x") - F.col("mx"), F.col("y") - F.col("my")
     return j.withColumns({"rx": F.cos(a) * dx - F.sin(a) * dy + F.col("mx"), "ry": F.sin(a) * dx + F.cos(a) * dy + F.col("my")}).drop("slope", "mx", "my")
@@ -48,7 +49,7 @@ def rotation_corrected(obs: DataFrame) -> DataFrame:
 
 def transformed(obs: DataFrame, transforms: DataFrame) -> DataFrame:
     """Coordinates of every spot in every target space of its sample: (sample_id, spot_id, target, x, y)."""
-    j = obs.join(F.broadcast(transforms), "sample_id")
+    j = obs.join(transforms, "sample_id")
     x, y = apply_matrix(F.col("x"), F.col("y"), F.col("m"))
     return j.select("sample_id", "spot_id", "target", x.alias("tx"), y.alias("ty")).withColumnsRenamed({"tx": "x", "ty": "y"})
 
@@ -79,14 +80,59 @@ def paired_spots(pos: DataFrame, neg: DataFrame) -> DataFrame:
     return pos.join(last, ["sample_id", "px", "py"]).withColumnRenamed("spot_id", "pos_id")
 
 
+def pixel_map(obs: DataFrame) -> DataFrame:
+    """Least-squares map from pixels (``px``, ``py``) to physical positions (``x``, ``y``) per sample, scaled to Frobenius norm 1: a, b (what px adds to x and y), c, d (what py adds)."""
+    s = lambda v: F.sum(F.expr(v))
+    m = obs.groupBy("sample_id").agg(*[s(v).alias(k) for k, v in {"n": "1D", "p": "px", "q": "py", "x": "x", "y": "y", "pp": "px * px", "pq": "px * py", "qq": "py * py", "px_x": "px * x", "px_y": "px * y", "py_x": "py * x", "py_y": "py * y"}.items()])
+    cov = lambda u, v, uv: F.col(uv) - F.col(u) * F.col(v) / F.col("n")
+    pp, pq, qq = cov("p", "p", "pp"), cov("p", "q", "pq"), cov("q", "q", "qq")
+    det = F.nullif(pp * qq - pq * pq, F.lit(0.0))
+    fit = {k: e / det for k, e in {
+        "a": qq * cov("p", "x", "px_x") - pq * cov("q", "x", "py_x"), "b": qq * cov("p", "y", "px_y") - pq * cov("q", "y", "py_y"),
+        "c": pp * cov("q", "x", "py_x") - pq * cov("p", "x", "px_x"), "d": pp * cov("q", "y", "py_y") - pq * cov("p", "y", "px_y")}.items()}
+    m = m.select("sample_id", *[v.alias(k) for k, v in fit.items()])
+    norm = F.sqrt(sum((F.col(k) * F.col(k) for k in "bcd"), F.col("a") * F.col("a")))
+    return m.select("sample_id", *[(F.col(k) / F.nullif(norm, F.lit(0.0))).alias(k) for k in "abcd"])
+
+
 def axis_flip(pos: DataFrame, neg: DataFrame) -> DataFrame:
-    """The flip (x, y, both or none) of negative pixels per sample under which most pixels meet positive ones; ties: fewest flips, x first."""
-    ends = neg.groupBy("sample_id").agg(*[f(c).alias(f"{n}{c}") for c in ("px", "py") for f, n in ((F.min, "lo_"), (F.max, "hi_"))])
-    flips = F.explode(F.expr("array(struct(0 as fx, 0 as fy), struct(1 as fx, 0 as fy), struct(0 as fx, 1 as fy), struct(1 as fx, 1 as fy))"))
-    j = neg.select("sample_id", "px", "py").distinct().join(F.broadcast(ends), "sample_id").withColumn("f", flips)
-    at = lambda c, k: F.when(F.col(f"f.{k}") == 1, F.col(f"lo_{c}") + F.col(f"hi_{c}") - F.col(c)).otherwise(F.col(c))
-    j = j.select("sample_id", at("px", "fx").alias("px"), at("py", "fy").alias("py"), "f.fx", "f.fy")
-    hit = j.join(pos.select("sample_id", "px", "py").distinct(), ["sample_id", "px", "py"])
-    n = hit.groupBy("sample_id", "fx", "fy").agg(F.count("*").alias("n"))
-    best = n.groupBy("sample_id").agg(F.max_by(F.struct("fx", "fy", "n"), F.struct("n", -(F.col("fx") + F.col("fy")), "fx")).alias("b"))
-    return best.select("sample_id", "b.fx", "b.fy", "b.n")
+    """The flip of negative pixel axes per sample (``fx``, ``fy``: 0 or 1) that brings the negative mode's pixel map nearest to the positive one (Frobenius; fewest flips on ties, x first), and that ``distance``."""
+    p, n = pixel_map(pos), pixel_map(neg).toDF("sample_id", *[f"n{k}" for k in "abcd"])
+    j = p.join(n, "sample_id").withColumn("f", F.explode(F.expr("array(struct(0 as fx, 0 as fy), struct(1 as fx, 0 as fy), struct(0 as fx, 1 as fy), struct(1 as fx, 1 as fy))")))
+    sign = lambda k: 1 - 2 * F.col(f"f.{k}")
+    gap = F.sqrt(sum((F.pow(sign("fx" if k in "ab" else "fy") * F.col(f"n{k}") - F.col(k), 2) for k in "bcd"), F.pow(sign("fx") * F.col("na") - F.col("a"), 2)))
+    d = j.select("sample_id", "f.fx", "f.fy", F.round(gap, 9).alias("distance"))
+    best = d.groupBy("sample_id").agg(F.min_by(F.struct("fx", "fy", "distance"), F.struct("distance", F.col("fx") + F.col("fy"), -F.col("fx"))).alias("b"))
+    return best.select("sample_id", "b.fx", "b.fy", "b.distance")
+
+
+def flipped_pixels(neg: DataFrame, flips: DataFrame) -> DataFrame:
+    """Negative pixels mirrored within their sample's extent where ``axis_flip`` says so."""
+    ends = neg.groupBy("sample_id").agg(*[f(c).alias(f"__{n}{c}") for c in ("px", "py") for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    j = neg.join(ends.join(flips.select("sample_id", F.col("fx").alias("__fx"), F.col("fy").alias("__fy")), "sample_id"), "sample_id")
+    at = lambda c, f: F.when(F.col(f) == 1, F.col(f"__lo{c}") + F.col(f"__hi{c}") - F.col(c)).otherwise(F.col(c))
+    return j.withColumns({"px": at("px", "__fx"), "py": at("py", "__fy")}).select(*neg.columns)
+
+
+def midpoints(pairs: DataFrame, raster_x: int, raster_y: int) -> DataFrame:
+    """Centres of paired spots (``x``, ``y`` of the positive mode, ``nx``, ``ny`` of the negative one): the positive positions are mapped onto the negative ones by least squares, moved back by half a raster along the longer axis (both if square), and averaged with them."""
+    sums = {"n": "1D", "x": "x", "y": "y", "u": "nx", "v": "ny", "xx": "x * x", "xy": "x * y", "yy": "y * y", "xu": "x * nx", "yu": "y * nx", "xv": "x * ny", "yv": "y * ny"}
+    m = pairs.groupBy("sample_id").agg(*[F.sum(F.expr(e)).alias(f"s_{k}") for k, e in sums.items()])
+    cov = lambda a, b: F.col(f"s_{a}{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("s_n")
+    det = F.nullif(cov("x", "x") * cov("y", "y") - cov("x", "y") * cov("x", "y"), F.lit(0.0))
+    line = lambda t: ((cov("y", "y") * cov("x", t) - cov("x", "y") * cov("y", t)) / det, (cov("x", "x") * cov("y", t) - cov("x", "y") * cov("x", t)) / det)
+    fit = {}
+    for t in "uv":
+        fit[f"bx{t}"], fit[f"by{t}"] = line(t)
+    m = m.select("sample_id", *[e.alias(k) for k, e in fit.items()], *[(F.col(f"s_{k}") / F.col("s_n")).alias(f"m{k}") for k in "xyuv"])
+    j = pairs.join(m, "sample_id")
+    to = lambda t: F.col(f"m{t}") + F.coalesce(F.col(f"bx{t}") * (F.col("x") - F.col("mx")) + F.col(f"by{t}") * (F.col("y") - F.col("my")), F.lit(0.0))
+    back_x, back_y = (raster_x // 2 if raster_x >= raster_y else 0), (raster_y // 2 if raster_y >= raster_x else 0)
+    return j.withColumns({"cx": (to("u") - back_x + F.col("nx")) / 2, "cy": (to("v") - back_y + F.col("ny")) / 2}).select(*pairs.columns, "cx", "cy")
+
+
+def patch_grid(sizes: DataFrame, patch: int) -> DataFrame:
+    """Corners of a grid of whole patches over images (``image_id``, height, width): (image_id, px, py)."""
+    g = sizes.filter((F.col("height") >= patch) & (F.col("width") >= patch))
+    g = g.withColumn("px", F.explode(F.sequence(F.lit(0), F.col("width") - patch, F.lit(patch)))).withColumn("py", F.explode(F.sequence(F.lit(0), F.col("height") - patch, F.lit(patch))))
+    return g.select("image_id", F.col("px").cast("int").alias("px"), F.col("py").cast("int").alias("py"))

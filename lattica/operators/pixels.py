@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Largest value of the integer sample types.
@@ -97,15 +97,15 @@ def blended(tiles: DataFrame, size: int) -> DataFrame:
 
 def flipped(tiles: DataFrame) -> DataFrame:
     """Tile rows mirrored within their scan."""
-    w = Window.partitionBy("scan")
-    return tiles.withColumn("y", F.max("y").over(w) - (F.col("y") - F.min("y").over(w)))
+    ends = tiles.groupBy("scan").agg(F.min("y").alias("__lo"), F.max("y").alias("__hi"))
+    return tiles.join(ends, "scan").withColumn("y", F.col("__hi") - (F.col("y") - F.col("__lo"))).select(*tiles.columns)
 
 
-def opened(mask: DataFrame) -> DataFrame:
-    """3 x 3 opening of a pixel set (``x``, ``y``): erosion (all nine present), then dilation."""
+def opened(mask: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """3 x 3 opening of a pixel set (``by``, ``x``, ``y``): erosion (all nine present), then dilation."""
     around = F.explode(F.expr("transform(sequence(0, 8), k -> struct(cast(k % 3 - 1 as int) as dx, cast(floor(k / 3) - 1 as int) as dy))"))
-    spread = lambda d: d.select("x", "y", around.alias("o")).select((F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"))
-    kept = spread(mask).groupBy("x", "y").agg(F.count("*").alias("n")).filter("n = 9").select("x", "y")
+    spread = lambda d: d.select(*by, "x", "y", around.alias("o")).select(*by, (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"))
+    kept = spread(mask).groupBy(*by, "x", "y").agg(F.count("*").alias("n")).filter("n = 9").select(*by, "x", "y")
     return spread(kept).distinct()
 
 

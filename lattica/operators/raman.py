@@ -12,9 +12,9 @@ def overlap_trimmed(axis: DataFrame) -> DataFrame:
     w = Window.partitionBy("scan").orderBy("idx")
     b = axis.withColumn("d", F.col("wavenumber") - F.lag("wavenumber").over(w)).filter("d < 0").groupBy("scan").agg(F.min("idx").alias("b"))
     at = axis.join(b, "scan").filter("idx = b").select("scan", "b", F.col("wavenumber").alias("wb"))
-    before = axis.join(F.broadcast(at), "scan").filter("idx < b")
+    before = axis.join(at, "scan").filter("idx < b")
     c = before.groupBy("scan", "b").agg(F.min_by("idx", F.struct(F.round(F.abs(F.col("wavenumber") - F.col("wb")), 9), "idx")).alias("c"))
-    out = axis.join(F.broadcast(c), "scan", "left").filter("b is null or idx < c or idx >= b")
+    out = axis.join(c, "scan", "left").filter("b is null or idx < c or idx >= b")
     return out.drop("b", "c").withColumn("new_idx", (F.row_number().over(Window.partitionBy("scan").orderBy("idx")) - 1).cast("long"))
 
 

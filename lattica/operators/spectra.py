@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lattica.operators.range_joins import gap_islands, ppm_join
+from lattica.functions.tables import written
+from lattica.operators.range_joins import ppm_join
 
 MODE = ["sample_id", "ion_mode"]
 SPECTRUM = [*MODE, "spot_id"]
@@ -38,12 +39,13 @@ def spectrum_features(peaks: DataFrame) -> DataFrame:
 
 def composite_score(features: DataFrame, columns: list[str], by: list[str] = MODE) -> DataFrame:
     """Mean of the columns scaled to [0, 1] within each group; a column that doesn't vary counts as 0."""
-    w = Window.partitionBy(*by)
+    ends = features.groupBy(*by).agg(*[f(c).alias(f"__{k}_{c}") for c in columns for f, k in ((F.min, "lo"), (F.max, "hi"))])
     scaled = []
     for c in columns:
-        low, high = F.min(c).over(w), F.max(c).over(w)
+        low, high = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
         scaled.append(F.when(high - low <= 1e-12, 0.0).otherwise((F.col(c) - low) / F.nullif(high - low, F.lit(0.0))))
-    return features.withColumn("score", sum(scaled[1:], scaled[0]) / len(columns))
+    out = features.join(ends, by).withColumn("score", sum(scaled[1:], scaled[0]) / len(columns))
+    return out.select(*features.columns, "score")
 
 
 def otsu(df: DataFrame, value: str, by: list[str], bins: int = 256) -> DataFrame:
@@ -51,7 +53,7 @@ def otsu(df: DataFrame, value: str, by: list[str], bins: int = 256) -> DataFrame
     ends = df.groupBy(*by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     width = F.col("hi") - F.col("lo")
     b = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col(value) - F.col("lo")) / F.nullif(width, F.lit(0.0)) * bins))).otherwise(0)
-    h = df.join(F.broadcast(ends), by).withColumn("bin", b.cast("int")).groupBy(*by, "lo", "hi", "bin").agg(F.count("*").alias("n"))
+    h = df.join(ends, by).withColumn("bin", b.cast("int")).groupBy(*by, "lo", "hi", "bin").agg(F.count("*").alias("n"))
     h = h.withColumn("m", F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins)
     run, all_ = Window.partitionBy(*by).orderBy("bin"), Window.partitionBy(*by)
     h = h.withColumns({"w0": F.sum("n").over(run), "s0": F.sum(F.col("n") * F.col("m")).over(run), "w": F.sum("n").over(all_), "s": F.sum(F.col("n") * F.col("m")).over(all_)})
@@ -62,6 +64,12 @@ def otsu(df: DataFrame, value: str, by: list[str], bins: int = 256) -> DataFrame
     return best.select(*by, (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins).alias("threshold"))
 
 
+def floored_threshold(df: DataFrame, value: str, by: list[str], bins: int = 256) -> DataFrame:
+    """Otsu's threshold, but at most the 25th percentile, so that a quarter at most is lost: (``by``, threshold)."""
+    low = df.groupBy(*by).agg(F.percentile(value, F.lit(0.25)).alias("__q"))
+    return otsu(df, value, by, bins).join(low, by).select(*by, F.least("threshold", "__q").alias("threshold"))
+
+
 def annotate(masses: DataFrame, database: DataFrame, ppm: float) -> DataFrame:
     """Names of database masses within [m - tol, m + tol], tol of the axis mass, same ion mode, in database order joined by '; '."""
     tol = F.col("mz") * ppm * 1e-6
@@ -76,8 +84,10 @@ def rebin(peaks: DataFrame, axis: DataFrame, ppm: float) -> DataFrame:
     t = ppm * 1e-6
     pairs = ppm_join(peaks, axis.select("ion_mode", F.col("mz").alias("ref")), ["ion_mode"], "mz", "ref", ppm, (F.col("ref") >= F.col("mz") * (1 - t)) & (F.col("ref") < F.col("mz") * (1 + t)))
     w = 1 / (F.abs(F.col("ref") - F.col("mz")) / F.col("mz") * 1e6 + 1e-9)
-    pairs = pairs.withColumn("w", w).withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy(*SPECTRUM, "peak_id")))
-    return pairs.groupBy(*SPECTRUM, "ref").agg(F.sum(F.col("intensity") * F.col("w")).alias("value"))
+    # a peak's matches become one row, so its weights are shared out without a window over all pairs
+    own = pairs.groupBy(*SPECTRUM, "peak_id").agg(F.collect_list(F.struct("ref", "intensity", w.alias("w"))).alias("m"), F.sum(w).alias("all"))
+    each = own.select(*SPECTRUM, "all", F.explode("m").alias("m"))
+    return each.groupBy(*SPECTRUM, F.col("m.ref").alias("ref")).agg(F.sum(F.col("m.intensity") * (F.col("m.w") / F.col("all"))).alias("value"))
 
 
 def match_calibrants(peaks: DataFrame, references: DataFrame, ppm: float, min_intensity: float) -> DataFrame:
@@ -94,7 +104,7 @@ def row_offsets(matches: DataFrame, rows: DataFrame) -> DataFrame:
 
 def recalibrated(peaks: DataFrame, rows: DataFrame, offsets: DataFrame) -> DataFrame:
     """Peaks less their scan row's offset; unchanged where there is none."""
-    out = peaks.join(rows, "spot_id").join(F.broadcast(offsets), [*MODE, "row"], "left")
+    out = peaks.join(rows, "spot_id").join(offsets, [*MODE, "row"], "left")
     return out.withColumn("mz", F.col("mz") - F.coalesce("offset", F.lit(0.0))).drop("offset")
 
 
@@ -119,29 +129,84 @@ def merged_histogram(histogram: DataFrame) -> DataFrame:
     return histogram.groupBy("ion_mode", "bin").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.count_distinct("sample_id").alias("samples"))
 
 
-def ppm_clusters(masses: DataFrame, ppm: float, by: list[str]) -> DataFrame:
+def _fold(mz: list[float], weight: list[float], s: float, w: float, n: int, ppm: float) -> tuple[list[tuple], tuple]:
+    """Clusters closed by a run of sorted masses that starts with an open cluster (sum, weight, members), and the one it leaves open."""
+    closed = []
+    for m, k in zip(mz, weight, strict=True):
+        if n and abs(m - s / w) / (s / w) * 1e6 <= ppm:
+            s, w, n = s + m * k, w + k, n + 1
+        else:
+            if n:
+                closed.append((s, w, n))
+            s, w, n = m * k, k, 1
+    return closed, (s, w, n)
+
+
+def ppm_clusters(masses: DataFrame, ppm: float, by: list[str], width: float = 0.01) -> DataFrame:
     """Sequential clustering of (``by``, mz, weight): a mass joins while within ppm of the running weighted centre.
 
-    A split never hides inside a gap (the centre is at most the last member), so masses are first
-    parted into gap islands; each island is folded over its sorted array without leaving the JVM.
-    Returns (``by``, cluster, mz, weight, members).
+    Masses are dealt to logarithmic ranges of ``width``; each range is folded in one linear pass, with
+    the open cluster of the range before.  That cluster isn't known at first, but a fold forgets where
+    it started at the first break it shares with the true one, so ranges start empty and are folded
+    again until no range's open cluster changes.  Two rounds are usual; where breaks don't meet (evenly
+    spaced masses) ranges are made eight times as wide each further round, so rounds stay few.
+    The result is exactly that of one pass over all masses.  Masses of zero or less are left out.
+    Returns (``by``, mz, weight, members).
     """
-    one = gap_islands(masses, by, "mz", ppm).groupBy(*by, "island").agg(F.sort_array(F.collect_list(F.struct("mz", "weight"))).alias("a"))
-    fold = F.expr(
-        "aggregate(a, cast(array() as array<struct<s:double,w:double,n:bigint>>), (acc, p) -> if(size(acc) > 0 and "
-        f"abs(p.mz - element_at(acc, -1).s / element_at(acc, -1).w) / (element_at(acc, -1).s / element_at(acc, -1).w) * 1e6 <= {ppm}D, "
-        "concat(slice(acc, 1, size(acc) - 1), array(named_struct('s', element_at(acc, -1).s + p.mz * p.weight, 'w', element_at(acc, -1).w + p.weight, 'n', element_at(acc, -1).n + 1))), "
-        "concat(acc, array(named_struct('s', p.mz * cast(p.weight as double), 'w', cast(p.weight as double), 'n', 1L)))))"
-    )
-    rows = one.select(*by, "island", F.posexplode(fold).alias("k", "c"))
-    return rows.select(*by, "island", F.col("k").cast("long").alias("part"), (F.col("c.s") / F.col("c.w")).alias("mz"), F.col("c.w").alias("weight"), F.col("c.n").alias("members"))
+    rows = written(masses.filter("mz > 0").select(*by, "mz", F.col("weight").cast("double").alias("weight")), "ppm-masses")
+    while True:
+        folded, ends, settled = _folded_ranges(rows, ppm, by, width)
+        if settled:
+            break
+        width *= 8
+    last = ends.withColumn("__last", F.lead("__range").over(Window.partitionBy(*by).orderBy("__range")).isNull()).filter("__last").drop("__last")
+    every = folded.filter("not open").unionByName(last)
+    return every.select(*by, (F.col("s") / F.col("w")).alias("mz"), F.col("w").alias("weight"), F.col("n").alias("members"))
+
+
+def _folded_ranges(rows: DataFrame, ppm: float, by: list[str], width: float) -> tuple[DataFrame, DataFrame, bool]:
+    """Closed and open clusters of every range after up to three folds, the open ones alone, and whether the last fold changed none of these."""
+    import pyarrow as pa
+
+    keys = [*by, "__range"]
+    rows = rows.withColumn("__range", F.floor(F.log("mz") / width))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema]
+    out_type = ", ".join([*fields, "open boolean", "s double", "w double", "n bigint"])
+
+    def run(left, right):
+        kinds = pa.schema([*[left.schema.field(k) for k in keys], ("open", pa.bool_()), ("s", pa.float64()), ("w", pa.float64()), ("n", pa.int64())])
+        if not left.num_rows:
+            return kinds.empty_table()
+        left = left.sort_by([("mz", "ascending"), ("weight", "ascending")])
+        start = right.to_pylist()[0] if right.num_rows else {"s": 0.0, "w": 0.0, "n": 0}
+        closed, last = _fold(left.column("mz").to_pylist(), left.column("weight").to_pylist(), start["s"], start["w"], start["n"], ppm)
+        s, w, n = zip(*closed, last, strict=True)
+        head = [[left.column(k)[0].as_py()] * len(s) for k in keys]
+        return pa.Table.from_pydict(dict(zip(kinds.names, [*head, [False] * len(closed) + [True], s, w, n], strict=True)), schema=kinds)
+
+    carried = rows.select(*keys, *[F.lit(0).cast(t).alias(c) for c, t in (("s", "double"), ("w", "double"), ("n", "bigint"))]).limit(0)
+    before = None
+    for _ in range(3):
+        folded = written(rows.groupBy(*keys).cogroup(carried.groupBy(*keys)).applyInArrow(run, out_type), "ppm-folded")
+        ends = folded.filter("open")  # a row a range
+        if before is None:
+            settled = ends.groupBy(*by).count().filter("count > 1").isEmpty()  # one range each: nothing to carry
+        else:
+            was = before.select(*keys, F.struct("s", "w", "n").alias("was"))
+            settled = ends.join(was, keys).filter(F.struct("s", "w", "n") != F.col("was")).isEmpty()
+        if settled:
+            return folded, ends, True
+        before = ends
+        carried = ends.select(*keys, *[F.lag(c).over(Window.partitionBy(*by).orderBy("__range")).alias(c) for c in "swn"]).filter("n is not null")
+    return folded, ends, False
 
 
 def backbone(peaks: DataFrame, ppm: float, threshold: float) -> DataFrame:
     """Consensus axis: masses rounded to six places, clustered per sample, clusters of at least threshold * the heaviest kept, and clustered again over samples."""
     counted = peaks.withColumn("mz", F.round("mz", 6)).groupBy(*MODE, "mz").agg(F.count("*").cast("double").alias("weight"))
     own = ppm_clusters(counted, ppm, MODE)
-    own = own.withColumn("__top", F.max("weight").over(Window.partitionBy(*MODE))).filter(F.col("weight") >= threshold * F.col("__top"))
+    top = own.groupBy(*MODE).agg(F.max("weight").alias("__top"))
+    own = own.join(top, MODE).filter(F.col("weight") >= threshold * F.col("__top"))
     both = own.withColumn("mz", F.round("mz", 9)).groupBy("ion_mode", "mz").agg(F.sum("weight").alias("weight"))
     return ppm_clusters(both, ppm, ["ion_mode"])
 

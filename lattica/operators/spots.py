@@ -47,7 +47,7 @@ def filter_genes(x: DataFrame, obs: DataFrame, min_share: float | None = None, m
     min_ratio times the spots it is seen in.  ``obs`` lists all spots, empty ones too.
     """
     sizes = obs.groupBy("sample_id").agg(F.count("*").alias("n"))
-    per = x.groupBy("sample_id", "gene").agg(F.count_if(F.col(value) > 0).alias("seen"), F.sum(value).alias("total")).join(F.broadcast(sizes), "sample_id")
+    per = x.groupBy("sample_id", "gene").agg(F.count_if(F.col(value) > 0).alias("seen"), F.sum(value).alias("total")).join(sizes, "sample_id")
     share = F.lit(True) if min_share is None else F.col("seen") >= F.greatest(F.lit(1), F.ceil(F.lit(min_share) * F.col("n")))
     ratio = F.lit(True) if min_ratio is None else (F.col("seen") > 0) & (F.col("total") >= min_ratio * F.col("seen"))
     keep = per.groupBy("gene").agg(F.bool_or(share).alias("a"), F.bool_or(ratio).alias("b")).filter("a and b")
@@ -89,7 +89,7 @@ def intensity_normalised(x: DataFrame, method: str, obs: DataFrame | None = None
         sums = x.groupBy(*by).agg(F.sum(value).alias("__sum"))
         sizes = (x if obs is None else obs).select(*by, "spot_id").distinct().groupBy(*by).agg(F.count("*").alias("__n"))
         mean = sums.join(sizes, by).select(*by, (F.col("__sum") / F.col("__n")).alias("__mean"))
-        return x.join(F.broadcast(mean), by).withColumn("norm", F.coalesce(share * F.col("__mean"), F.lit(0.0))).drop("__tic", "__mean")
+        return x.join(mean, by).withColumn("norm", F.coalesce(share * F.col("__mean"), F.lit(0.0))).drop("__tic", "__mean")
     raise ValueError(f"unknown normalisation {method!r}")
 
 
@@ -101,8 +101,9 @@ def raw_values(x: DataFrame) -> DataFrame:
 def prefixed_ids(obs: DataFrame) -> DataFrame:
     """Spot names that start with their sample's; untouched for a sample whose names all do already."""
     has = F.startswith(F.col("name"), F.concat("sample_id", F.lit("_")))
-    every = F.min(has).over(Window.partitionBy("sample_id"))
-    return obs.withColumn("name", F.when(every, F.col("name")).otherwise(F.concat("sample_id", F.lit("_"), "name")))
+    every = obs.groupBy("sample_id").agg(F.min(has).alias("__every"))
+    named = obs.join(every, "sample_id").withColumn("name", F.when(F.col("__every"), F.col("name")).otherwise(F.concat("sample_id", F.lit("_"), "name")))
+    return named.select(*obs.columns)
 
 
 def outer_union(parts: list[DataFrame]) -> DataFrame:

@@ -141,14 +141,15 @@ def j9_nearest_mass_hits(spark, d):
     return out.select("sample_id", "ion_mode", "spot_id", "n_peaks", "hits", *r6("share"))
 
 
-_MODES = """pos AS (SELECT sample_id, spot_id, x::INTEGER px, y::INTEGER py FROM anchor WHERE spot_id % 5 <> 0),
-neg AS (SELECT sample_id, spot_id + 1000000 spot_id, 39 - x::INTEGER px, y::INTEGER py FROM anchor WHERE spot_id % 7 <> 0)"""
+_MODES = """pos AS (SELECT sample_id, spot_id, x::INTEGER px, y::INTEGER py, x * 10 + y * 0.1::DOUBLE x, y * 20 y FROM anchor),
+neg AS (SELECT concat('S', s_nationkey % 3) sample_id, s_suppkey::BIGINT spot_id, (39 - s_suppkey % 40)::INTEGER px, (s_suppkey // 40)::INTEGER py, (s_suppkey % 40) * 10 + (s_suppkey // 40) * 0.1::DOUBLE x, (s_suppkey // 40) * 20.0::DOUBLE y FROM supplier)"""
 
 
 def _modes(spark, d):
-    a = views.anchor(spark, d).withColumns({"px": F.col("x").cast("int"), "py": F.col("y").cast("int")})
-    pos = a.filter("spot_id % 5 <> 0").select("sample_id", "spot_id", "px", "py")
-    return pos, a.filter("spot_id % 7 <> 0").selectExpr("sample_id", "spot_id + 1000000 as spot_id", "39 - px as px", "py")
+    """Customers as the positive mode, suppliers as the negative one, whose x axis of pixels runs backward."""
+    pos = views.anchor(spark, d).selectExpr("sample_id", "spot_id", "cast(x as int) px", "cast(y as int) py", "x * 10 + y * 0.1D x", "y * 20 y")
+    s = views.table(spark, d, "supplier").selectExpr("concat('S', s_nationkey % 3) sample_id", "cast(s_suppkey as bigint) spot_id", "cast(s_suppkey % 40 as int) gx", "cast(floor(s_suppkey / 40) as int) py")
+    return pos, s.selectExpr("sample_id", "spot_id", "39 - gx px", "py", "gx * 10 + py * 0.1D x", "py * 20.0D y")
 
 
 @query(sql("SELECT pos.sample_id, pos.spot_id pos_id, pos.px, pos.py, max(neg.spot_id) neg_id FROM pos JOIN neg ON pos.sample_id = neg.sample_id AND pos.px = neg.px AND pos.py = neg.py GROUP BY 1, 2, 3, 4", _MODES))
@@ -157,10 +158,29 @@ def j10_paired_spots(spark, d):
     return geometry.paired_spots(*_modes(spark, d)).select("sample_id", "pos_id", "px", "py", "neg_id")
 
 
-@query()
+_MAP = lambda mode: f"""SELECT sample_id, (qq * px_x - pq * py_x) / det a, (qq * px_y - pq * py_y) / det b, (pp * py_x - pq * px_x) / det c, (pp * py_y - pq * px_y) / det d FROM (
+  SELECT *, pp * qq - pq * pq det FROM (SELECT sample_id, regr_sxx(px, px) pp, regr_sxy(px, py) pq, regr_sxx(py, py) qq, regr_sxy(px, x) px_x, regr_sxy(px, y) px_y, regr_sxy(py, x) py_x, regr_sxy(py, y) py_y FROM {mode} GROUP BY 1))"""
+
+
+@query(sql("""SELECT sample_id, fx, fy, distance FROM (SELECT sample_id, fx, fy, distance, row_number() OVER (PARTITION BY sample_id ORDER BY distance, fx + fy, fx DESC) k FROM (
+  SELECT p.sample_id, fx, fy, round(sqrt(power((1 - 2 * fx) * n.a / nn - p.a / pn, 2) + power((1 - 2 * fx) * n.b / nn - p.b / pn, 2) + power((1 - 2 * fy) * n.c / nn - p.c / pn, 2) + power((1 - 2 * fy) * n.d / nn - p.d / pn, 2)), 6) distance
+  FROM (SELECT *, sqrt(a * a + b * b + c * c + d * d) pn FROM pm) p JOIN (SELECT *, sqrt(a * a + b * b + c * c + d * d) nn FROM nm) n ON n.sample_id = p.sample_id, fl)) WHERE k = 1""",
+  _MODES, "fl AS (SELECT 0 fx, 0 fy UNION ALL SELECT 1, 0 UNION ALL SELECT 0, 1 UNION ALL SELECT 1, 1)", f"pm AS ({_MAP('pos')})", f"nm AS ({_MAP('neg')})"))
 def j10_axis_flip(spark, d):
-    """The axis flip under which the modes meet (tested on a fixture)."""
-    return geometry.axis_flip(*_modes(spark, d))
+    """The axis flip that brings the modes' pixel maps together."""
+    return geometry.axis_flip(*_modes(spark, d)).select("sample_id", "fx", "fy", *r6("distance"))
+
+
+@query(sql("""SELECT p.sample_id, p.spot_id, round((mu + bxu * (p.x - mx) + byu * (p.y - my) - 5 + p.nx) / 2, 5) cx, round((mv + bxv * (p.x - mx) + byv * (p.y - my) - 5 + p.ny) / 2, 5) cy FROM pr p JOIN (
+  SELECT sample_id, mx, my, mu, mv, (yy * xu - xy * yu) / det bxu, (xx * yu - xy * xu) / det byu, (yy * xv - xy * yv) / det bxv, (xx * yv - xy * xv) / det byv FROM (SELECT *, xx * yy - xy * xy det FROM (
+    SELECT sample_id, avg(x) mx, avg(y) my, avg(nx) mu, avg(ny) mv, regr_sxx(x, x) xx, regr_sxx(y, y) yy, regr_sxy(x, y) xy, regr_sxy(x, nx) xu, regr_sxy(y, nx) yu, regr_sxy(x, ny) xv, regr_sxy(y, ny) yv FROM pr GROUP BY 1))) m ON m.sample_id = p.sample_id""",
+  "pr AS (SELECT t.sample_id, t.spot_id, t.x, t.y, a.x * 1.5::DOUBLE + a.y * 0.25::DOUBLE nx, a.y - a.x * 0.1::DOUBLE + t.y * 0.05::DOUBLE ny FROM target t JOIN orders ON o_orderkey = t.spot_id JOIN anchor a ON a.spot_id = o_custkey)"))
+def f17_midpoints(spark, d):
+    """positive positions mapped onto negative ones, half a raster back, averaged."""
+    t, o = views.target(spark, d), views.table(spark, d, "orders").selectExpr("cast(o_orderkey as bigint) spot_id", "cast(o_custkey as bigint) cust")
+    a = views.anchor(spark, d).selectExpr("spot_id cust", "x ax", "y ay")
+    pairs = t.join(o, "spot_id").join(a, "cust").selectExpr("sample_id", "spot_id", "x", "y", "ax * 1.5D + ay * 0.25D nx", "ay - ax * 0.1D + y * 0.05D ny")
+    return geometry.midpoints(pairs, 10, 10).select("sample_id", "spot_id", F.round("cx", 5).alias("cx"), F.round("cy", 5).alias("cy"))
 
 
 @query(sql("SELECT sample_id FROM anchor INTERSECT SELECT sample_id FROM peaks"))
@@ -180,14 +200,14 @@ def j12_assembly(spark, d):
 
 
 @query(sql("SELECT p.pid patch_id, x, y, r FROM pixels JOIN p ON x >= px AND x < px + 16 AND y >= py AND y < py + 16",
-"p AS (SELECT spot_id pid, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py FROM anchor WHERE sample_id = 'S0')"))
+"p AS (SELECT spot_id pid, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py FROM anchor)"))
 def j14_patch_pixels(spark, d):
     """Pixels of the patch about each spot."""
     return pixels.patch_pixels(_patches(spark, d).withColumnRenamed("spot_id", "patch_id"), views.pixels(spark, d), 16).select("patch_id", "x", "y", "r")
 
 
 def _patches(spark, d):
-    return geometry.patches(views.anchor(spark, d).filter("sample_id = 'S0'"), 16, 48, 64)
+    return geometry.patches(views.anchor(spark, d), 16, 48, 64)
 
 
 @query(sql("SELECT (tile * 24 + x)::BIGINT x, y::BIGINT y, round(sum(r * w) / sum(w), 6) v FROM t GROUP BY 1, 2",
@@ -198,11 +218,13 @@ def j16_tile_blend(spark, d):
     return pixels.blended(tiles, 64).selectExpr("cast(x as bigint) x", "cast(y as bigint) y", "round(v, 6) v")
 
 
-@query(sql("""SELECT CAST(gx AS BIGINT) x, CAST(gy AS BIGINT) y, coalesce(min(a.spot_id), -1)::BIGINT covering FROM (SELECT unnest(generate_series(0, 39, 3)) gx) CROSS JOIN (SELECT unnest(generate_series(0, 39, 3)) gy)
+@query(sql("""SELECT CAST(gx AS BIGINT) x, CAST(gy AS BIGINT) y, coalesce(min(a.spot_id), -1)::BIGINT covering FROM (SELECT unnest(generate_series(0, (SELECT max(x)::BIGINT FROM anchor), 3)) gx) CROSS JOIN (SELECT unnest(generate_series(0, (SELECT max(y)::BIGINT FROM anchor), 3)) gy)
   LEFT JOIN anchor a ON abs(a.x - gx) <= 0.5::DOUBLE AND abs(a.y - gy) <= 0.5::DOUBLE GROUP BY 1, 2"""))
 def j17_covering_spot(spark, d):
     """The first spot over each grid pixel."""
-    out = registration.covering_spot(views.anchor(spark, d), 40, 40, 3, 1.0, 1.0)
+    a = views.anchor(spark, d)
+    ends = a.agg(F.max("x").cast("int").alias("x"), F.max("y").cast("int").alias("y")).first()
+    out = registration.covering_spot(a, ends["x"] + 1, ends["y"] + 1, 3, 1.0, 1.0)
     return out.select("x", "y", F.coalesce("covering", F.lit(-1)).cast("long").alias("covering"))
 
 
@@ -359,6 +381,14 @@ def a12_otsu(spark, d):
     return spectra.otsu(t, "tot", ["sample_id"], 64).select("sample_id", *r6("threshold"))
 
 
+@query(sql("""SELECT o.sample_id, round(least(threshold, q), 6) threshold FROM (SELECT sample_id, quantile_cont(tot, 0.25) q FROM tt GROUP BY 1) f JOIN (
+  """ + _sql["a12_otsu"].split("tot FROM peaks GROUP BY 1, 2)", 1)[1].removeprefix(")").replace("round(lo + (min(bin) + 1) * (hi - lo) / 64, 6) threshold", "lo + (min(bin) + 1) * (hi - lo) / 64 threshold", 1) + ") o ON o.sample_id = f.sample_id", "tt AS (SELECT sample_id, spot_id, sum(intensity)::BIGINT::DOUBLE tot FROM peaks GROUP BY 1, 2)"))
+def a12_floored_threshold(spark, d):
+    """Otsu's threshold with the 25th percentile as its ceiling."""
+    t = views.peaks(spark, d).groupBy("sample_id", "spot_id").agg(F.round(F.sum("intensity")).cast("double").alias("tot"))
+    return spectra.floored_threshold(t, "tot", ["sample_id"], 64).select("sample_id", *r6("threshold"))
+
+
 _HIST = "hist AS (SELECT sample_id, ion_mode, floor(ln(mz) / (20 * 1e-6 / 2))::BIGINT bin, count(*)::BIGINT n, sum(mz) mass FROM peaks WHERE mz > 0 GROUP BY 1, 2, 3)"
 
 
@@ -396,9 +426,22 @@ def a17_ppm_clusters(spark, d):
     return spectra.ppm_clusters(c, 10, spectra.MODE).select("sample_id", "ion_mode", *r6("mz"), "weight", "members")
 
 
-@query()
+_DENSE = """c AS (SELECT 'all' sample_id, l_linestatus ion_mode, round(200 + ((l_orderkey * 7 + l_partkey * 13) % 5000) * 0.0004::DOUBLE, 6) mz, count(*)::DOUBLE weight FROM lineitem GROUP BY 1, 2, 3)"""
+
+
+@query(sql("SELECT ion_mode, round(max_by(s, k) / max_by(w, k), 6) mz, max(w) weight, max(n) members FROM fold GROUP BY sample_id, ion_mode, cluster", _DENSE, _FOLD))
+def a17_dense_clusters(spark, d):
+    """A17 on an axis without gaps: one island of thousands of masses."""
+    m = views.table(spark, d, "lineitem").selectExpr("l_linestatus ion_mode", "round(200 + ((l_orderkey * 7 + l_partkey * 13) % 5000) * 0.0004D, 6) mz")
+    return spectra.ppm_clusters(m.groupBy("ion_mode", "mz").agg(F.count("*").cast("double").alias("weight")), 10, ["ion_mode"]).select("ion_mode", *r6("mz"), "weight", "members")
+
+
+@query(sql("SELECT ion_mode, round(max_by(s, k) / max_by(w, k), 6) mz, max(w) weight, max(n) members FROM fold2 GROUP BY ion_mode, cluster", _ISLANDS, _FOLD,
+"cl AS (SELECT sample_id, ion_mode, max_by(s, k) / max_by(w, k) mz, max(w) w FROM fold GROUP BY sample_id, ion_mode, cluster)",
+"kept AS (SELECT ion_mode, round(mz, 9) mz, sum(w) weight FROM (SELECT *, max(w) OVER (PARTITION BY sample_id, ion_mode) top FROM cl) WHERE w >= 0.01::DOUBLE * top GROUP BY 1, 2)",
+_FOLD.replace("sample_id, ion_mode, ", "ion_mode, ").replace("PARTITION BY sample_id, ion_mode", "PARTITION BY ion_mode").replace("o.sample_id, ", "").replace("o.sample_id = f.sample_id AND ", "").replace("FROM c)", "FROM kept)").replace("o AS", "o2 AS").replace("fold AS", "fold2 AS").replace("FROM fold f JOIN o ON", "FROM fold2 f JOIN o2 o ON").replace("FROM o WHERE", "FROM o2 WHERE")))
 def a19_backbone(spark, d):
-    """Consensus axis over samples (held against a sequential fold in the tests)."""
+    """Consensus axis over samples."""
     return spectra.backbone(views.peaks(spark, d), 10, 0.01).select("ion_mode", *r6("mz"), "weight", "members")
 
 
@@ -484,7 +527,7 @@ def f22_same_space(spark, d):
     return geometry.same_space(views.anchor(spark, d), "st")
 
 
-@query(sql("SELECT spot_id, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py, greatest(0, least(trunc(x - 8)::INTEGER, 48)) + 8.0::DOUBLE cx, greatest(0, least(trunc(y - 8)::INTEGER, 32)) + 8.0::DOUBLE cy FROM anchor WHERE sample_id = 'S0'"))
+@query(sql("SELECT spot_id, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py, greatest(0, least(trunc(x - 8)::INTEGER, 48)) + 8.0::DOUBLE cx, greatest(0, least(trunc(y - 8)::INTEGER, 32)) + 8.0::DOUBLE cy FROM anchor"))
 def f23_patches(spark, d):
     """patch corners moved inside the image."""
     return _patches(spark, d).select("spot_id", "px", "py", F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy"))
@@ -580,7 +623,7 @@ def m4_cropped(spark, d):
 
 @query(sql("""SELECT pid patch_id, round((n + 256 - m) / 256.0::DOUBLE, 6) "share", (n + 256 - m) / 256.0::DOUBLE >= 0.99::DOUBLE background FROM (
   SELECT p.pid, count(*) FILTER (abs(b) <= 1e-3) n, count(*) m FROM pixels JOIN p ON x >= px AND x < px + 16 AND y >= py AND y < py + 16 GROUP BY 1)""",
-"p AS (SELECT spot_id pid, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py FROM anchor WHERE sample_id = 'S0')"))
+"p AS (SELECT spot_id pid, greatest(0, least(trunc(x - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 32)) py FROM anchor)"))
 def f11_background_patches(spark, d):
     """background share of patches."""
     cut = pixels.patch_pixels(_patches(spark, d).withColumnRenamed("spot_id", "patch_id"), views.pixels(spark, d), 16)
@@ -649,7 +692,8 @@ def m9_cleaned_spectra(spark, d):
     return raman.cleaned(v)
 
 
-@query()
+@query(sql("""SELECT spot_id, coalesce(median(abs(d - m)), 0) = 0 constant FROM (SELECT *, median(d) OVER (PARTITION BY spot_id) m FROM (
+  SELECT spot_id, v - lag(v) OVER (PARTITION BY spot_id ORDER BY k) d FROM (SELECT vec_id spot_id, unnest(embedding)::DOUBLE v, unnest(generate_series(1, len(embedding))) k FROM embeddings))) GROUP BY 1"""))
 def f12_constant_spectra(spark, d):
     """spectra whose differences don't vary."""
     v = views.table(spark, d, "embeddings").select(F.col("vec_id").alias("spot_id"), F.col("embedding").cast("array<double>").alias("spectrum"))

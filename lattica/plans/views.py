@@ -71,7 +71,7 @@ def lipids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reference mass list: two names a nominal mass, one exactly on it, one a few ppm off."""
     return table(spark, sf_dir, "part").selectExpr(
         "cast(p_partkey as bigint) ord", "concat(p_brand, '/', p_partkey) db_name", "200 + (p_partkey % 50) * 10 + (p_partkey % 7) * 0.0007D ionized_mass", "case when p_partkey % 2 = 0 then 'pos' else 'neg' end ion_mode"
-    ).filter("ord <= 150")
+    )
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ feat AS (SELECT l_orderkey::BIGINT spot_id, concat('f', l_partkey % 20) feature,
 peaks AS (SELECT concat('S', l_suppkey % 3) sample_id, CASE l_linestatus WHEN 'F' THEN 'pos' ELSE 'neg' END ion_mode, l_orderkey::BIGINT spot_id, l_linenumber::BIGINT peak_id, round(200 + (l_partkey % 50) * 10 + l_discount::DOUBLE * 0.02::DOUBLE, 6) mz, l_extendedprice::DOUBLE intensity FROM lineitem),
 genes AS (SELECT concat('S', l_suppkey % 3) sample_id, l_orderkey::BIGINT spot_id, concat(CASE WHEN p_type = 'PROMO' THEN 'mt-' ELSE '' END, p_brand) gene, sum(l_quantity::DOUBLE)::BIGINT cnt FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3),
 poly AS (SELECT n_nationkey::BIGINT region_id, n_name "label", (n_nationkey % 5) * 8.0::DOUBLE x0, (n_nationkey // 5) * 8.0::DOUBLE y0, 4.0::DOUBLE + n_regionkey * 3 side FROM nation),
-lipids AS (SELECT * FROM (SELECT p_partkey::BIGINT ord, concat(p_brand, '/', p_partkey) db_name, 200 + (p_partkey % 50) * 10 + (p_partkey % 7) * 0.0007::DOUBLE ionized_mass, CASE WHEN p_partkey % 2 = 0 THEN 'pos' ELSE 'neg' END ion_mode FROM part) WHERE ord <= 150),
+lipids AS (SELECT * FROM (SELECT p_partkey::BIGINT ord, concat(p_brand, '/', p_partkey) db_name, 200 + (p_partkey % 50) * 10 + (p_partkey % 7) * 0.0007::DOUBLE ionized_mass, CASE WHEN p_partkey % 2 = 0 THEN 'pos' ELSE 'neg' END ion_mode FROM part)),
 pixels AS (SELECT (l_partkey % 64)::INTEGER x, (l_suppkey % 48)::INTEGER y, round(max(l_quantity::DOUBLE), 6) r, round(max(l_discount::DOUBLE * 100), 6) g, round(max(l_tax::DOUBLE * 100), 6) b FROM lineitem GROUP BY 1, 2)
 """
 

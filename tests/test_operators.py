@@ -180,10 +180,40 @@ def test_assembly_needs_matching_rows(spark):
 
 
 def test_flip_is_found(spark):
-    pos = df(spark, [("s", i, i, i * i % 5) for i in range(5)], "sample_id string, spot_id long, px int, py int")
-    neg = df(spark, [("s", i, 4 - i, i * i % 5) for i in range(5)], "sample_id string, spot_id long, px int, py int")
-    r = geometry.axis_flip(pos, neg).first()
-    assert (r.fx, r.fy, r.n) == (1, 0, 5)
+    """An asymmetric raster whose negative x axis runs backward; a map says so even where pixels would meet under other flips."""
+    kind = "sample_id string, spot_id long, px int, py int, x double, y double"
+    grid = [(px, py) for px in range(6) for py in range(4) if (px, py) != (5, 3)]
+    pos = df(spark, [("s", i, px, py, 10.0 * px + 0.2 * py, 30.0 * py) for i, (px, py) in enumerate(grid)], kind)
+    for fx, fy in ((0, 0), (1, 0), (0, 1), (1, 1)):
+        neg = df(spark, [("s", i, 5 - px if fx else px, 3 - py if fy else py, 10.0 * px + 0.2 * py + 3, 30.0 * py - 1) for i, (px, py) in enumerate(grid)], kind)
+        flips = geometry.axis_flip(pos, neg)
+        r = flips.first()
+        assert (r.fx, r.fy) == (fx, fy) and r.distance < 1e-6
+        back = {r.spot_id: (r.px, r.py) for r in geometry.flipped_pixels(neg, flips).collect()}
+        assert back == dict(enumerate(grid))
+    pairs = pos.select("sample_id", "spot_id", "x", "y", (F.col("x") + 3).alias("nx"), (F.col("y") - 1).alias("ny"))
+    for rx, ry, bx, by in ((10, 10, 5, 5), (20, 6, 10, 0), (6, 21, 0, 10)):
+        r = geometry.midpoints(pairs, rx, ry).filter("spot_id = 7").first()
+        assert (r.cx, r.cy) == pytest.approx((r.nx - bx / 2, r.ny - by / 2))
+    assert [(r.px, r.py) for r in geometry.patch_grid(df(spark, [("i", 33, 50), ("j", 8, 99)], "image_id string, height int, width int"), 16).orderBy("px", "py").collect()] == [(x, y) for x in (0, 16, 32) for y in (0, 16)]
+
+
+def test_dense_axis_is_one_linear_scan(spark):
+    """A hundred thousand masses without a gap, one cluster across many ranges included, against a plain fold."""
+    rng = np.random.default_rng(1)
+    mz = np.sort(np.round(200 + np.cumsum(rng.uniform(1e-5, 4e-4, 100_000)), 6))
+    w = rng.integers(1, 9, len(mz)).astype(float)
+    closed, last = spectra._fold(mz.tolist(), w.tolist(), 0.0, 0.0, 0, 10)
+    rows = spark.createDataFrame(list(zip(["p"] * len(mz), mz.tolist(), w.tolist(), strict=True)), "ion_mode string, mz double, weight double")
+    for width in (0.01, 0.001):
+        got = spectra.ppm_clusters(rows.repartition(3), 10, ["ion_mode"], width).orderBy("mz").collect()
+        assert [(r.mz, r.weight, r.members) for r in got] == [(s / k, k, n) for s, k, n in [*closed, last]]
+    # evenly spaced, so folds that start apart never share a break
+    mz = [round(200 + 0.0004 * k, 6) for k in range(20_000)]
+    closed, last = spectra._fold(mz, [1.0] * len(mz), 0.0, 0.0, 0, 10)
+    even = spark.createDataFrame([("p", m, 1.0) for m in mz], "ion_mode string, mz double, weight double")
+    got = spectra.ppm_clusters(even, 10, ["ion_mode"], 0.001).orderBy("mz").collect()
+    assert [(r.mz, r.members) for r in got] == [(s / k, n) for s, k, n in [*closed, last]]
 
 
 def test_geojson_labels(spark, tmp_path):

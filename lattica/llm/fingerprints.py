@@ -17,6 +17,7 @@ from lattica.llm.common import words, written
 K = 128
 SHINGLE = 5
 PART_WORDS = 4096
+RANGE_BYTES, MOST_RANGES = 64_000_000, 20_000
 
 
 def _smallest(hashes: Column, k: int) -> Column:
@@ -90,14 +91,16 @@ def with_next_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Return ``id``, ``text``, ``next_text`` and what the second window needs, rows dealt by ranges of the id.
 
     Range bounds come from ids alone: Spark's range partitioning of the distinct ids gives each range
-    its least id (a row a range).  Each range also gets the first row of the following range (the last
+    its least id (a row a range; as many ranges as shuffle partitions, more for more than RANGE_BYTES each).  Each range also gets the first row of the following range (the last
     range: of the first), so one shuffle of the texts is enough and no task sees all rows.  The id may
     be of any orderable type.  Null ids sort first; rows of equal id are ordered by text.
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    ids = docs.select("id").filter(F.col("id").isNotNull()).distinct().repartitionByRange("id").withColumn("range", F.spark_partition_id())
+    parts, size = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(parts, min(MOST_RANGES, size // RANGE_BYTES))
+    ids = docs.select("id").filter(F.col("id").isNotNull()).distinct().repartitionByRange(parts, "id").withColumn("range", F.spark_partition_id())
     cuts = written(ids.groupBy("range").agg(F.min("id").alias("id")), "fingerprint-ranges")
-    least = [r["id"] for r in cuts.orderBy("id").collect()]  # a row a shuffle partition
+    least = [r["id"] for r in cuts.orderBy("id").collect()]  # a row a range
     step = max(1, math.isqrt(len(least)))
     starts = [least[i : i + step] for i in range(0, len(least), step)]
     kind = docs.schema["id"].dataType

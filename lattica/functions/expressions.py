@@ -21,9 +21,9 @@ def clip(value: Column, low, high) -> Column:
     return F.greatest(low, F.least(high, value))
 
 
-def wavenumber(nm: Column, pump_nm: float) -> Column:
+def wavenumber(nm: Column, pump_nm: float | Column) -> Column:
     """Wavenumber in 1/cm of a wavelength against the pump's."""
-    return (1 / nm - 1 / F.lit(pump_nm)) * 1e7
+    return (1 / nm - 1 / (pump_nm if isinstance(pump_nm, Column) else F.lit(pump_nm))) * 1e7
 
 
 def ring_area(ring: Column) -> Column:

@@ -1,56 +1,42 @@
-"""Mixture-based foreground, display clusters, tissue detection, patch encoding."""
+"""Display clusters and patch encoding."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 
-def mixture_foreground(features: DataFrame, column: str, seed: int = 1) -> DataFrame:
-    """``foreground`` from one- against two-component Gaussian mixtures by BIC; one component keeps everything, two keep posterior >= 0.5 of the higher mean."""
-    v = VectorAssembler(inputCols=[column], outputCol="__v").transform(features)
-    n = v.count()
-    if n < 4:
-        return features.withColumn("foreground", F.lit(True))
-    spread = v.agg(F.var_pop(column)).first()[0]
-    if not spread:
-        return features.withColumn("foreground", F.lit(True))
-    two = GaussianMixture(k=2, featuresCol="__v", probabilityCol="__p", predictionCol="__c", seed=seed).fit(v)
-    one = -n / 2 * (math.log(2 * math.pi * spread) + 1)  # log likelihood of the single best Gaussian
-    bic = [2 * math.log(n) - 2 * one, 5 * math.log(n) - 2 * two.summary.logLikelihood]
-    if bic[0] <= bic[1]:
-        return features.withColumn("foreground", F.lit(True))
-    from pyspark.ml.functions import vector_to_array
+def display_clusters(obs: DataFrame, x: DataFrame, cap: int = 100_000, k: int = 8, components: int = 50, seed: int = 1) -> DataFrame:
+    """Cluster labels for display: coarsen, normalise, project, PCA, k-means, then back to the spots.
 
-    high = int(np.argmax([g.mean[0] for g in two.gaussians]))
-    return two.transform(v).withColumn("foreground", vector_to_array("__p")[high] >= 0.5).drop("__v", "__p", "__c")
-
-
-def display_clusters(obs: DataFrame, x: DataFrame, cap: int, k: int = 8, components: int = 16, seed: int = 1) -> DataFrame:
-    """Cluster labels for display: coarsen, normalise, PCA, k-means, then back to the spots.
-
-    k-means takes the place of a graph clustering, which Spark lacks; labels are for display only.
-    Fewer than two bins or features give the label '0'.
+    Samples of more than ``cap`` spots are coarsened.  All features count: a bin's vector is the sum of
+    its features' values times 64 signs each, the bits of the feature name's hash (a random projection,
+    which keeps distances on average), so its length doesn't grow with the features.  k-means takes the
+    place of a graph clustering, which Spark lacks; labels are for display only.  Fewer than two bins or
+    features give the label '0'.
     """
     from lattica.operators.coarsening import bin_sums, binned
 
-    bins = binned(obs, cap)
+    many = obs.groupBy("sample_id").agg((F.count("*") > cap).alias("__many"))
+    sized = obs.join(many, "sample_id")
+    coarse = binned(sized.filter("__many").drop("__many"), cap).select("sample_id", "spot_id", "bin")
+    bins = coarse.unionByName(sized.filter("not __many").select("sample_id", "spot_id", F.col("spot_id").cast("long").alias("bin")))
     sums = bin_sums(x, bins)
     total = sums.groupBy("sample_id", "bin").agg(F.sum("value").alias("t"))
-    rows = sums.join(total, ["sample_id", "bin"]).withColumn("v", F.log1p(F.col("value") * 1e4 / F.nullif("t", F.lit(0.0))))
-    names = [r[0] for r in rows.groupBy("feature").agg(F.variance("v").alias("s")).orderBy(F.desc("s"), "feature").limit(64).collect()]
-    if len(names) < 2 or rows.select("sample_id", "bin").distinct().limit(2).count() < 2:
+    rows = sums.join(total, ["sample_id", "bin"]).withColumn("v", F.log1p(F.col("value") * 1e4 / F.nullif("t", F.lit(0.0)))).withColumn("h", F.xxhash64("feature"))
+    if rows.select("feature").distinct().limit(2).count() < 2 or rows.select("sample_id", "bin").distinct().limit(2).count() < 2:
         return bins.select("sample_id", "spot_id", F.lit("0").alias("cluster"))
-    wide = rows.groupBy("sample_id", "bin").pivot("feature", names).agg(F.first("v")).na.fill(0.0, names)
+    names = [f"p{j}" for j in range(64)]
+    sign = lambda j: 1 - 2 * F.shiftrightunsigned("h", j).bitwiseAND(1)
+    wide = rows.groupBy("sample_id", "bin").agg(*[(F.sum(F.col("v") * sign(j)) / 8).alias(f"p{j}") for j in range(64)]).na.fill(0.0, names)
     v = VectorAssembler(inputCols=names, outputCol="raw").transform(wide)
-    v = PCA(k=min(components, len(names)), inputCol="raw", outputCol="features").fit(v).transform(v)
+    v = PCA(k=min(components, 64), inputCol="raw", outputCol="features").fit(v).transform(v)
     labels = KMeans(k=k, seed=seed).fit(v).transform(v).select("sample_id", "bin", F.col("prediction").cast("string").alias("cluster"))
     return bins.join(labels, ["sample_id", "bin"], "left").select("sample_id", "spot_id", F.coalesce("cluster", F.lit("0")).alias("cluster"))
 

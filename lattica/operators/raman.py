@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 
 def overlap_trimmed(axis: DataFrame) -> DataFrame:
-    """Drop a scan axis's overlap: at the first break b of monotony, indices from the earlier one closest in wavenumber up to b (``scan``, ``idx``, ``wavenumber``)."""
+    """Drop a scan axis's overlap: at the first break b of monotony (of the direction of the first two), indices from the earlier one closest in wavenumber up to b (``scan``, ``idx``, ``wavenumber``)."""
     w = Window.partitionBy("scan").orderBy("idx")
-    b = axis.withColumn("d", F.col("wavenumber") - F.lag("wavenumber").over(w)).filter("d < 0").groupBy("scan").agg(F.min("idx").alias("b"))
+    steps = axis.withColumn("d", F.col("wavenumber") - F.lag("wavenumber").over(w)).filter("d is not null")
+    down = steps.groupBy("scan").agg((F.min_by("d", "idx") < 0).alias("down"))
+    b = steps.join(down, "scan").filter("if(down, d > 0, d < 0)").groupBy("scan").agg(F.min("idx").alias("b"))
     at = axis.join(b, "scan").filter("idx = b").select("scan", "b", F.col("wavenumber").alias("wb"))
     before = axis.join(at, "scan").filter("idx < b")
     c = before.groupBy("scan", "b").agg(F.min_by("idx", F.struct(F.round(F.abs(F.col("wavenumber") - F.col("wb")), 9), "idx")).alias("c"))

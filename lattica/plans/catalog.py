@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.operators import annotations, assembly, coarsening, geometry, ml, pixels, raman, registration, spectra, spots
+from lattica.operators import alignment, annotations, assembly, coarsening, geometry, ml, pixels, raman, registration, spectra, spots, tissue
 from lattica.operators.range_joins import gap_islands
 from lattica.plans import views
 from lattica.plans.views import sql
@@ -704,14 +704,67 @@ def f12_constant_spectra(spark, d):
 def a13_mixture_foreground(spark, d):
     """Foreground by one against two Gaussians."""
     t = views.peaks(spark, d).groupBy("sample_id", "spot_id").agg(F.log1p(F.sum("intensity")).alias("log_tic"))
-    return ml.mixture_foreground(t, "log_tic").select("sample_id", "spot_id", "foreground")
+    return tissue.mixture_masks(t, "log_tic", ["sample_id"]).select("sample_id", "spot_id", "foreground")
+
+
+_FLOOD = """box AS (SELECT min(x) - 1 x0, max(x) + 1 x1, min(y) - 1 y0, max(y) + 1 y1 FROM dark),
+air AS (SELECT gx x, gy y FROM (SELECT unnest(generate_series(x0, x1)) gx FROM box) CROSS JOIN (SELECT unnest(generate_series(y0, y1)) gy FROM box) WHERE NOT EXISTS (SELECT 1 FROM dark d WHERE d.x = gx AND d.y = gy)),
+sea AS (SELECT x0 x, y0 y FROM box UNION SELECT a.x, a.y FROM sea s JOIN air a ON abs(a.x - s.x) + abs(a.y - s.y) = 1)"""
+
+
+@query(sql("SELECT x::INTEGER x, y::INTEGER y FROM dark UNION SELECT x::INTEGER, y::INTEGER FROM air a WHERE NOT EXISTS (SELECT 1 FROM sea s WHERE s.x = a.x AND s.y = a.y)",
+"dark AS (SELECT x, y FROM pixels WHERE r >= 20 AND (x * 7 + y * 13) % 5 <> 2)", _FLOOD))
+def m14_filled_holes(spark, d):
+    """Holes of a pixel set filled."""
+    mask = views.pixels(spark, d).filter("r >= 20 and (x * 7 + y * 13) % 5 <> 2").select(F.lit("a").alias("image"), "x", "y")
+    return tissue.filled(mask, ["image"]).selectExpr("cast(x as int) x", "cast(y as int) y")
+
+
+@query()
+def m15_tissue_spots(spark, d):
+    """Tissue by mixtures, holes and opening (held against a plain version in the tests)."""
+    p = views.peaks(spark, d)
+    pixels_ = p.select("sample_id", "ion_mode", "spot_id").distinct().selectExpr("*", "cast(spot_id % 97 as int) px", "cast(floor(spot_id / 97) as int) py")
+    return tissue.tissue_spots(p, pixels_, "tissue", views.lipids(spark, d), 10).select("sample_id", "ion_mode", "spot_id", *r6("score"), "foreground")
+
+
+@query()
+def m15_microgrid_spots(spark, d):
+    """Isolated cells by the floored threshold (its parts have SQL; held against a plain version in the tests)."""
+    p = views.peaks(spark, d)
+    return tissue.tissue_spots(p, p, "microgrid").select("sample_id", "ion_mode", "spot_id", *r6("score"), "foreground")
+
+
+@query(sql("""SELECT sample_id, spot_id, 'he' target, round((1.2::DOUBLE * x - 0.3::DOUBLE * y + 40) / (0.0005::DOUBLE * x + 1), 6) + 0.0::DOUBLE x, round((0.3::DOUBLE * x + 1.2::DOUBLE * y - 6) / (0.0005::DOUBLE * x + 1), 6) + 0.0::DOUBLE y FROM target"""))
+def al_parsed_matrix(spark, d):
+    """§2.14: every spot moved by the map a front end sent."""
+    got = alignment.parsed_result({"transform_matrix": [1.2, 0.3, 0.0005, -0.3, 1.2, 0.0, 40.0, -6.0, 1.0]}, views.target(spark, d), "he")
+    return got.select("sample_id", "spot_id", "target", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in "xy"])
+
+
+@query(sql("""SELECT sample_id, spot_id id, x, y, (dense_rank() OVER (ORDER BY "cluster") - 1)::INTEGER "class", foreground, NULL::DOUBLE pitch_x, NULL::DOUBLE pitch_y FROM (SELECT sample_id, spot_id, x, y, concat('c', spot_id % 4) "cluster", true foreground FROM anchor)"""))
+def al_display_rows(spark, d):
+    """§2.14, S20: spots as a front end draws them, with defaults for what isn't there."""
+    obs = views.anchor(spark, d).withColumn("leiden", F.concat(F.lit("c"), (F.col("spot_id") % 4).cast("string")))
+    return alignment.display_rows(alignment.loaded_spots(obs))
+
+
+@query(sql("""SELECT sample_id, bin id, any_value(round(lox + (ix + 0.5::DOUBLE) * ex / nx, 6)) x, any_value(round(loy + (iy + 0.5::DOUBLE) * ey / ny, 6)) y, min_by(substr("cluster", 2)::INTEGER, (1000000 - n) * 10 + substr("cluster", 2)::INTEGER) "class", 2 * sum(fg) >= sum(n) foreground,
+  any_value(round(ex / nx, 6)) pitch_x, any_value(round(ey / ny, 6)) pitch_y FROM (SELECT sample_id, bin, "cluster", count(*) n, count(*) FILTER (foreground) fg, any_value(ix) ix, any_value(iy) iy, any_value(lox) lox, any_value(loy) loy, any_value(ex) ex, any_value(ey) ey, any_value(nx) nx, any_value(ny) ny
+  FROM bins WHERE sample_id IN (SELECT sample_id FROM obs GROUP BY 1 HAVING count(*) > 50) GROUP BY 1, 2, 3) GROUP BY 1, 2
+  UNION ALL SELECT sample_id, spot_id, x, y, substr("cluster", 2)::INTEGER, foreground, NULL, NULL FROM obs WHERE sample_id IN (SELECT sample_id FROM obs GROUP BY 1 HAVING count(*) <= 50)""", _GRID))
+def al_display_bins(spark, d):
+    """§2.14, A6: coarse bins drawn in place of too many spots."""
+    obs = views.anchor(spark, d).withColumns({"cluster": F.concat(F.lit("c"), (F.col("spot_id") % 4).cast("string")), "foreground": F.col("spot_id") % 3 == 0})
+    out = alignment.display_rows(alignment.loaded_spots(obs), 50)
+    return out.select("sample_id", "id", *r6("x", "y"), "class", "foreground", *r6("pitch_x", "pitch_y"))
 
 
 @query()
 def m13_display_clusters(spark, d):
     """Coarsened k-means labels."""
     x = views.genes(spark, d).selectExpr("sample_id", "spot_id", "gene as feature", "cast(cnt as double) as value")
-    return ml.display_clusters(views.anchor(spark, d), x, 200, k=4)
+    return ml.display_clusters(views.anchor(spark, d), x, k=4)
 
 
 @query()

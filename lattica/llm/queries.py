@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lattica.llm.centroids import cluster
 from lattica.llm.common import fold, tables
 from lattica.llm.fingerprints import as_text, fingerprint_neighbours
 from lattica.llm.language_id import fit_language_model, identify
@@ -19,6 +20,7 @@ from lattica.llm.pii import KINDS, find_personal_data, span_text
 from lattica.llm.pitman_yor import score_texts
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
 from lattica.llm.quality_rules import weak_supervision
+from lattica.llm.whitening import whiten
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,13 +101,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after five rounds, in whole numbers, with inertias and the centroids' digests."""
+    out = cluster(tables(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of every embedding; the fit counts each distinct vector once."""
+    out = whiten(tables(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return out.select("vec_id", "component", "n", F.col("deviation").cast("bigint").alias("deviation"), "whitened", "explained", "identity_error", "n_columns")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's last stage over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op4_language_model, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints, pipeline)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op4_language_model, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints, op11_centroid_clustering, op12_embedding_whitening, pipeline)}
 
 
 #: Linked pairs by shared shingles, then everything reachable.
@@ -124,6 +139,30 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id
 """
 
 
+#: Lloyd's rounds in whole numbers; a list of components a centroid.
+DISTANCE = "list_sum(list_transform(generate_series(1, 64), lambda i: (v.x[i] - c.c[i]) * (v.x[i] - c.c[i])))"
+CLUSTERS = (
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1)::INT k, x c FROM v ORDER BY k LIMIT 40)"""
+    + "".join(
+        f""",
+a{r} AS (SELECT vec_id, x, k, d FROM (SELECT vec_id, x, k, d, row_number() OVER (PARTITION BY vec_id, x ORDER BY d, k) o FROM (SELECT vec_id, x, k, {DISTANCE} d FROM v, c{r} c)) WHERE o = 1)"""
+        + (
+            f""",
+s{r} AS (SELECT k, i, floor(sum(x[i]) / count(*))::BIGINT m FROM a{r}, generate_series(1, 64) g(i) GROUP BY 1, 2),
+c{r + 1} AS (SELECT c.k, coalesce(m.c, c.c) c FROM c{r} c LEFT JOIN (SELECT k, list(m ORDER BY i) c FROM s{r} GROUP BY 1) m ON m.k = c.k)"""
+            if r < 5
+            else ""
+        )
+        for r in range(6)
+    )
+    + """
+SELECT vec_id, a5.k AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY a5.k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a5 JOIN c5 c ON c.k = a5.k"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can say the whole result; the other queries rest on hashes, sampling or fitted models and are tested by brute force."""
-    return {"op8_near_duplicates": NEAR_DUPLICATES}
+    return {"op8_near_duplicates": NEAR_DUPLICATES, "op11_centroid_clustering": CLUSTERS}

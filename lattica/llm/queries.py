@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lattica.llm.boilerplate import extract
 from lattica.llm.centroids import cluster
 from lattica.llm.common import fold, tables
 from lattica.llm.fingerprints import as_text, fingerprint_neighbours
@@ -114,13 +115,18 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "component", "n", F.col("deviation").cast("bigint").alias("deviation"), "whitened", "explained", "identity_error", "n_columns")
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(tables(spark, sf_dir, "pages"), "url", "html", ["page_id", "url"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's last stage over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op4_language_model, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints, op11_centroid_clustering, op12_embedding_whitening, pipeline)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_source_mixing, op3_quality_rules, op4_language_model, op5_language_id, op6_quality_classifier, op7_personal_data, op8_near_duplicates, op9_license_scan, op10_fingerprints, op11_centroid_clustering, op12_embedding_whitening, op13_html_extraction, pipeline)}
 
 
 #: Linked pairs by shared shingles, then everything reachable.

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lattica.llm import fingerprints, grams, license_scan, mixing, near_dups, pieces, pii, pitman_yor, quality_classifier, quality_rules, queries
+from lattica.llm import fingerprints, grams, license_scan, mixing, near_dups, pieces, pii, pitman_yor, quality_classifier, quality_rules, queries, stirling
 from lattica.llm.common import fold
 from lattica.llm.language_id import codewords, fit_language_model, identify
 from lattica.llm.quality_classifier import fit_neighbours, score_quality
@@ -268,15 +268,53 @@ def test_rules_tell_quality_apart_at_every_scale(spark, sf_dir, sf):
 
 def test_stirling_and_seating():
     d = 0.4
-    s = np.exp(pitman_yor.log_stirling(d, 6))
+    s = np.exp(stirling.log_stirling(d, 6))
     # S_d(3, t): one table (1-d)(2-d), two 3(1-d), three 1
     assert np.allclose(s[3, 1:4], [(1 - d) * (2 - d), 3 * (1 - d), 1])
     rng, p, theta = np.random.default_rng(1), 0.2, 1.5
-    t = pitman_yor.seat(np.full(40_000, 3), np.full(40_000, p), np.zeros(40_000), d, theta, pitman_yor.log_stirling(d), rng)
+    t = pitman_yor.seat(np.full(40_000, 3), np.full(40_000, p), np.zeros(40_000), d, theta, stirling.Stirling(d), rng)
     w = np.array([s[3, k] * np.prod([(theta + d * i) * p for i in range(k)]) for k in (1, 2, 3)])
     assert np.allclose(np.bincount(t, minlength=4)[1:] / 40_000, w / w.sum(), atol=0.01)
-    big = pitman_yor.seat(np.array([10**6]), np.array([0.01]), np.zeros(1), d, theta, pitman_yor.log_stirling(d), rng)
-    assert 1 <= big[0] < 10**5
+
+
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.9])
+def test_seating_follows_the_exact_conditional_at_any_number_of_customers(d):
+    """Means and spreads of draws against the recurrence; probabilities, too, where numbers are approximated."""
+    sizes, rng, numbers = (97, 300, 1000, 3000), np.random.default_rng(5), stirling.Stirling(d)
+    row, rows, t = np.full(max(sizes) + 1, -np.inf), {}, np.arange(1, max(sizes) + 1)
+    row[1] = 0.0
+    for c in range(1, max(sizes)):
+        with np.errstate(all="ignore"):
+            stay = np.where(c - d * t > 0, np.log(np.maximum(c - d * t, 1e-300)), -np.inf) + row[1:]
+        row = np.concatenate([[-np.inf], np.logaddexp(row[:-1], stay)])
+        if c + 1 in sizes:
+            rows[c + 1] = row[1 : c + 2]
+    for c in sizes:
+        for p in (0.5, 0.01, 1e-4):
+            for others in (0, 3000):
+                a, theta, k = (1.0 + d * others) / d, 1.0, np.arange(1, c + 1)
+                rising = k * np.log(d * p) + stirling.log_rising(np.full(c, a), k)
+                w = np.exp(rows[c] + rising - (rows[c] + rising).max())
+                w /= w.sum()
+                mean, spread = (w * k).sum(), np.sqrt(max((w * k * k).sum() - (w * k).sum() ** 2, 1e-12))
+                if c > stirling.EXACT:
+                    near = numbers.log(np.full(c, c), k) + rising
+                    near = np.exp(near - near.max())
+                    assert abs((near * k).sum() / near.sum() / mean - 1) < 0.01, (c, p, others)
+                got = pitman_yor.seat(np.full(4000, c), np.full(4000, p), np.full(4000, others), d, theta, numbers, rng)
+                assert abs(got.mean() - mean) < 5 * spread / np.sqrt(4000) + 0.01 * mean, (c, p, others, got.mean(), mean)
+                assert 1 <= got.min() and got.max() <= c and abs(got.std() - spread) < 0.15 * spread + 0.05
+
+
+def test_seating_of_very_many_customers():
+    """Counts beyond 32 bits; the mean solves the balance of opening and joining."""
+    rng = np.random.default_rng(2)
+    t = pitman_yor.seat(np.array([10**10] * 200), np.full(200, 0.01), np.full(200, 0), 0.5, 1.0, stirling.Stirling(0.5), rng)
+    few = pitman_yor.seat(np.array([10**8] * 200), np.full(200, 0.01), np.full(200, 0), 0.5, 1.0, stirling.Stirling(0.5), rng)
+    assert t.min() >= 1 and few.mean() < t.mean() < 10**7
+    ids = np.array([0, 5, 3_000_000_000, 2**40])
+    assert pitman_yor.unpacked_ids(pitman_yor.packed_ids(ids)).tolist() == ids.tolist()
+    assert pitman_yor.unpacked_ids(pitman_yor.packed_ids(ids[:2])).tolist() == [0, 5] and len(pitman_yor.unpacked_ids(pitman_yor.packed_ids(ids[:0]))) == 0
 
 
 def test_context_model_is_a_distribution():

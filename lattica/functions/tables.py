@@ -4,18 +4,31 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+_own: dict[str, str] = {}
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back; only in local mode may the setting be absent."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a folder of this application's own only in local mode, an error where a cluster names none."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+        found = _own.setdefault(spark.sparkContext.applicationId, f"file:///tmp/checkpoints/{uuid.uuid4().hex}")
+    return found.rstrip("/")
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(df: DataFrame) -> None:
+    """Remove a table that ``written`` made and nothing reads any more."""
+    if files := df.inputFiles():
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

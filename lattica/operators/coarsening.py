@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def native_cells(obs: DataFrame, axis: str) -> DataFrame:
-    """Cells a sample's axis resolves: levels of a millionth of the range, their median gap (at least 1)."""
+    """Cells no narrower than a sample's axis is sampled: of k even lines k - 1, else a cell could fall between lines (levels of a millionth of the range, their median gap; 1 for a single line)."""
     ends = obs.groupBy("sample_id").agg(F.min(axis).alias("lo"), F.greatest(F.max(axis) - F.min(axis), F.lit(1e-9)).alias("ext"))
     level = F.bround((F.col(axis) - F.col("lo")) / F.col("ext") * 1e6).cast("long")
     levels = obs.join(ends, "sample_id").select("sample_id", level.alias("v")).distinct()
     gap = F.col("v") - F.lag("v").over(Window.partitionBy("sample_id").orderBy("v"))
     gaps = levels.withColumn("gap", gap).groupBy("sample_id").agg(F.median("gap").alias("gap"))
-    return gaps.select("sample_id", F.coalesce(F.floor(1e6 / F.nullif("gap", F.lit(0.0))), F.lit(1)).cast("long").alias(f"native_{axis}"))
+    return gaps.select("sample_id", F.greatest(F.lit(1), F.coalesce(F.floor(1e6 / F.nullif("gap", F.lit(0.0))), F.lit(1))).cast("long").alias(f"native_{axis}"))
 
 
 def grid(obs: DataFrame, cap: int) -> DataFrame:
@@ -22,7 +22,7 @@ def grid(obs: DataFrame, cap: int) -> DataFrame:
     nx = F.least(F.greatest(F.lit(1), F.floor(F.sqrt(cap * F.col("ex") / F.col("ey")))), F.lit(cap)).cast("long")
     g = g.withColumn("nx", nx).withColumn("ny", F.greatest(F.lit(1), F.floor(F.lit(cap) / F.col("nx"))).cast("long"))
     g = g.join(native_cells(obs, "x"), "sample_id").join(native_cells(obs, "y"), "sample_id")
-    return g.withColumns({"nx": F.greatest(F.lit(1), F.least("nx", F.col("native_x") + 1)), "ny": F.greatest(F.lit(1), F.least("ny", F.col("native_y") + 1))}).drop("native_x", "native_y")
+    return g.withColumns({"nx": F.greatest(F.lit(1), F.least("nx", "native_x")), "ny": F.greatest(F.lit(1), F.least("ny", "native_y"))}).drop("native_x", "native_y")
 
 
 def binned(obs: DataFrame, cap: int) -> DataFrame:

@@ -102,11 +102,18 @@ def flipped(tiles: DataFrame) -> DataFrame:
 
 
 def opened(mask: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """3 x 3 opening of a pixel set (``by``, ``x``, ``y``): erosion (all nine present), then dilation."""
-    around = F.explode(F.expr("transform(sequence(0, 8), k -> struct(cast(k % 3 - 1 as int) as dx, cast(floor(k / 3) - 1 as int) as dy))"))
-    spread = lambda d: d.select(*by, "x", "y", around.alias("o")).select(*by, (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"))
-    kept = spread(mask).groupBy(*by, "x", "y").agg(F.count("*").alias("n")).filter("n = 9").select(*by, "x", "y")
-    return spread(kept).distinct()
+    """3 x 3 opening of a pixel set (``by``, ``x``, ``y``): erosion (all nine present), then dilation; each a pass of three along x and one along y."""
+
+    def spread(d: DataFrame, axis: str) -> DataFrame:
+        other = "y" if axis == "x" else "x"
+        return d.select(*by, other, F.explode(F.array(*[F.col(axis) + k for k in (-1, 0, 1)])).alias(axis))
+
+    def kept(d: DataFrame, axis: str, least: int) -> DataFrame:
+        return spread(d, axis).groupBy(*by, "x", "y").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select(*by, "x", "y")
+
+    once = mask.select(*by, "x", "y").distinct()
+    core = kept(kept(once, "x", 3), "y", 3)
+    return kept(kept(core, "x", 1), "y", 1)
 
 
 def brightest(tiles: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.functions.tables import written
-from lattica.operators.range_joins import ppm_join
+from lattica.operators.range_joins import beside_cells, ppm_join
 
 MODE = ["sample_id", "ion_mode"]
 SPECTRUM = [*MODE, "spot_id"]
@@ -49,19 +49,26 @@ def composite_score(features: DataFrame, columns: list[str], by: list[str] = MOD
 
 
 def otsu(df: DataFrame, value: str, by: list[str], bins: int = 256) -> DataFrame:
-    """Threshold of greatest between-class variance of a ``bins`` histogram: (``by``, threshold = upper edge of the last low bin)."""
+    """Threshold of greatest between-class variance: (``by``, threshold = lower edge of the last low bin, so that bin stays above it).
+
+    Values are scaled to 0 .. ``bins`` - 1 and cut to whole numbers; the first bin wins ties; a group
+    without spread gets its value.
+    """
     ends = df.groupBy(*by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    width = F.col("hi") - F.col("lo")
-    b = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col(value) - F.col("lo")) / F.nullif(width, F.lit(0.0)) * bins))).otherwise(0)
-    h = df.join(ends, by).withColumn("bin", b.cast("int")).groupBy(*by, "lo", "hi", "bin").agg(F.count("*").alias("n"))
-    h = h.withColumn("m", F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins)
+    b = F.coalesce(F.floor((F.col(value) - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * (bins - 1)), F.lit(0))
+    h = df.join(ends, by).groupBy(*by, "lo", "hi", b.cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    best = split_level(h, by + ["lo", "hi"])
+    return best.select(*by, (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / (bins - 1)).alias("threshold"))
+
+
+def split_level(histogram: DataFrame, by: list[str]) -> DataFrame:
+    """(``by``, bin): the last low level of the histogram (``by``, bin, n) with the greatest variance between levels up to it and above; the first on ties, the only one without others.  Whole-number sums, so ties are exact."""
     run, all_ = Window.partitionBy(*by).orderBy("bin"), Window.partitionBy(*by)
-    h = h.withColumns({"w0": F.sum("n").over(run), "s0": F.sum(F.col("n") * F.col("m")).over(run), "w": F.sum("n").over(all_), "s": F.sum(F.col("n") * F.col("m")).over(all_)})
-    w1 = F.col("w") - F.col("w0")
-    gap = F.col("s0") / F.col("w0") - (F.col("s") - F.col("s0")) / F.nullif(w1, F.lit(0))
-    h = h.withColumn("v", F.coalesce(F.round(F.col("w0") * w1 * gap * gap, 6), F.lit(-1.0)))
-    best = h.groupBy(*by).agg(F.max_by("bin", F.struct("v", -F.col("bin"))).alias("bin"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-    return best.select(*by, (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins).alias("threshold"))
+    part = F.col("n") * F.col("bin")
+    h = histogram.withColumns({"w0": F.sum("n").over(run), "s0": F.sum(part).over(run), "w": F.sum("n").over(all_), "s": F.sum(part).over(all_)})
+    gap = (F.col("s0") * F.col("w") - F.col("s") * F.col("w0")).cast("double")
+    v = gap * gap / F.nullif((F.col("w0") * (F.col("w") - F.col("w0"))).cast("double"), F.lit(0.0))
+    return h.withColumn("v", F.coalesce(v, F.lit(-1.0))).groupBy(*by).agg(F.max_by("bin", F.struct("v", -F.col("bin"))).alias("bin"))
 
 
 def floored_threshold(df: DataFrame, value: str, by: list[str], bins: int = 256) -> DataFrame:
@@ -82,18 +89,20 @@ def annotate(masses: DataFrame, database: DataFrame, ppm: float) -> DataFrame:
 def rebin(peaks: DataFrame, axis: DataFrame, ppm: float) -> DataFrame:
     """Spread peaks over axis masses in [m(1 - t), m(1 + t)) by inverse ppm distance; a matched peak's intensity is conserved, an unmatched one lost."""
     t = ppm * 1e-6
-    pairs = ppm_join(peaks, axis.select("ion_mode", F.col("mz").alias("ref")), ["ion_mode"], "mz", "ref", ppm, (F.col("ref") >= F.col("mz") * (1 - t)) & (F.col("ref") < F.col("mz") * (1 + t)))
-    w = 1 / (F.abs(F.col("ref") - F.col("mz")) / F.col("mz") * 1e6 + 1e-9)
-    # a peak's matches become one row, so its weights are shared out without a window over all pairs
-    own = pairs.groupBy(*SPECTRUM, "peak_id").agg(F.collect_list(F.struct("ref", "intensity", w.alias("w"))).alias("m"), F.sum(w).alias("all"))
-    each = own.select(*SPECTRUM, "all", F.explode("m").alias("m"))
-    return each.groupBy(*SPECTRUM, F.col("m.ref").alias("ref")).agg(F.sum(F.col("m.intensity") * (F.col("m.w") / F.col("all"))).alias("value"))
+    met = beside_cells(peaks, axis.select("ion_mode", F.col("mz").alias("ref")), ["ion_mode"], "mz", "ref", ppm)
+    inside = F.filter("near", lambda r: (r >= F.col("mz") * (1 - t)) & (r < F.col("mz") * (1 + t)))
+    weight = lambda r: 1 / (F.abs(r - F.col("mz")) / F.col("mz") * 1e6 + 1e-9)
+    shared = met.select(*SPECTRUM, "intensity", F.transform(inside, lambda r: F.struct(r.alias("ref"), weight(r).alias("w"))).alias("m"))
+    all_ = F.aggregate("m", F.lit(0.0), lambda s, x: s + x.w)
+    each = shared.select(*SPECTRUM, "intensity", all_.alias("all"), F.explode("m").alias("m"))
+    return each.groupBy(*SPECTRUM, F.col("m.ref").alias("ref")).agg(F.sum(F.col("intensity") * (F.col("m.w") / F.col("all"))).alias("value"))
 
 
 def match_calibrants(peaks: DataFrame, references: DataFrame, ppm: float, min_intensity: float) -> DataFrame:
     """Per spectrum and reference the most intense peak within ppm of the reference (first peak on ties) and its offset."""
-    ok = (F.abs(F.col("mz") - F.col("ref")) <= F.col("ref") * ppm * 1e-6) & (F.col("intensity") >= min_intensity)
-    pairs = ppm_join(peaks, references.select("ion_mode", "ref"), ["ion_mode"], "mz", "ref", ppm, ok)
+    met = beside_cells(peaks.filter(F.col("intensity") >= min_intensity), references, ["ion_mode"], "mz", "ref", ppm)
+    hit = F.explode(F.filter("near", lambda r: F.abs(F.col("mz") - r) <= r * ppm * 1e-6)).alias("ref")
+    pairs = met.select(*SPECTRUM, "peak_id", "mz", "intensity", hit)
     return pairs.groupBy(*SPECTRUM, "ref").agg(F.max_by("mz", F.struct("intensity", -F.col("peak_id"))).alias("mz")).withColumn("offset", F.col("mz") - F.col("ref"))
 
 
@@ -109,12 +118,22 @@ def recalibrated(peaks: DataFrame, rows: DataFrame, offsets: DataFrame) -> DataF
 
 
 def nearest_hits(peaks: DataFrame, database: DataFrame, ppm: float) -> DataFrame:
-    """Share of a spectrum's peaks count made up by distinct database masses that are some peak's nearest within tolerance of the database mass (the lower on ties)."""
-    ok = F.abs(F.col("mz") - F.col("ionized_mass")) <= F.col("ionized_mass") * ppm * 1e-6
-    masses = database.select("ion_mode", "ionized_mass").distinct()
-    near = ppm_join(peaks, masses, ["ion_mode"], "mz", "ionized_mass", ppm, ok)
-    best = near.groupBy(*SPECTRUM, "peak_id").agg(F.min_by("ionized_mass", F.struct(F.round(F.abs(F.col("mz") - F.col("ionized_mass")), 9), F.col("ionized_mass"))).alias("hit"))
-    hits = best.groupBy(*SPECTRUM).agg(F.count_distinct("hit").alias("hits"))
+    """Share of a spectrum's number of peaks made up by the distinct database rows that its peaks choose.
+
+    An as-of match on both sides: the greatest mass below the peak if the peak is within tolerance (of
+    the mass), else the least mass not below it; neither, no choice.  Of database rows of one mass the
+    first is chosen from below and the last from above, so they count twice if both happen.
+    """
+    masses = database.groupBy("ion_mode", "ionized_mass").agg((F.count("*") > 1).alias("twice"))
+    met = beside_cells(peaks, masses, ["ion_mode"], "mz", "ionized_mass", ppm)
+    within = lambda m: F.abs(F.col("mz") - m) <= m * ppm * 1e-6
+    left, right = F.array_max(F.filter("near", lambda m: m < F.col("mz"))), F.array_min(F.filter("near", lambda m: m >= F.col("mz")))
+    side = met.withColumns({"left": left, "right": right})
+    from_left = F.coalesce(within(F.col("left")), F.lit(False))
+    chosen = side.withColumn("hit", F.when(from_left, F.col("left")).when(within(F.col("right")), F.col("right"))).filter("hit is not null").withColumn("above", from_left)
+    doubled = masses.filter("twice").select("ion_mode", F.col("ionized_mass").alias("hit"), "twice")
+    kinds = chosen.groupBy(*SPECTRUM, "hit", "above").agg(F.count("*").alias("n")).join(doubled, ["ion_mode", "hit"], "left")
+    hits = kinds.groupBy(*SPECTRUM).agg(F.count_distinct("hit", F.when(F.col("twice"), F.col("above")).otherwise(False)).alias("hits"))
     n = peaks.groupBy(*SPECTRUM).agg(F.count("*").alias("n_peaks"))
     return n.join(hits, SPECTRUM, "left").select(*SPECTRUM, "n_peaks", F.coalesce("hits", F.lit(0)).cast("long").alias("hits"), (F.coalesce("hits", F.lit(0)) / F.col("n_peaks")).alias("share"))
 

@@ -1,12 +1,13 @@
-"""Foreground spots: mixtures per group, holes filled on the pixel raster, and the composed detection."""
+"""Foreground spots: mixtures per group, and the composed detection."""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lattica.functions.tables import written
+from lattica.operators.images import filled
 from lattica.operators.pixels import opened
 from lattica.operators.spectra import MODE, SPECTRUM, composite_score, floored_threshold, nearest_hits, spectrum_features
 
@@ -43,7 +44,7 @@ def two_gaussians(m: np.ndarray, n: np.ndarray, rounds: int = 200, floor: float
 
 
 def mixture_masks(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """``df`` with ``foreground``, group by group: two Gaussians against one by BIC; one keeps everything, two keep what is likelier of the higher mean.
+    """``df`` with ``foreground`` and ``two`` (whether two Gaussians won), group by group: two Gaussians against one by BIC; one keeps everything, two keep what is likelier of the higher mean.
 
     Values are counted at LEVELS levels of their group's range, so fitting costs a group the same
     whatever it holds.  Fewer than four rows or no spread keep everything.
@@ -67,33 +68,8 @@ def mixture_masks(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 
     fitted = counted.groupBy(*by).applyInPandas(fit, f"{fields}, two boolean, w1 double, m1 double, v1 double, w0 double, m0 double, v0 double")
     log = lambda k: F.log(f"w{k}") - 0.5 * F.log(f"v{k}") - F.pow(F.col(value) - F.col(f"m{k}"), 2) / (2 * F.col(f"v{k}"))
-    return df.join(fitted, by, "left").select(*df.columns, F.when(F.coalesce("two", F.lit(False)), log(1) >= log(0)).otherwise(True).alias("foreground"))
-
-
-def filled(mask: DataFrame, by: list[str]) -> DataFrame:
-    """Pixels (``by``, x, y) with their holes: background that no path of edge neighbours joins to the outside.
-
-    Gaps between two pixels of a row are the only places that can be holes; they are joined to the gaps
-    above and below that they touch, and gaps that reach the outside are left out.  Reaching spreads
-    from gap to gap in rounds, each jumping over whole gaps.
-    """
-    row = Window.partitionBy(*by, "y").orderBy("x")
-    gaps = mask.select(*by, "x", "y").distinct().withColumn("b", F.lead("x").over(row) - 1).withColumn("a", F.col("x") + 1).filter("b >= a").select(*by, "y", "a", "b")
-    rows = mask.groupBy(*by, "y").agg(F.min("x").alias("left"), F.max("x").alias("right"))
-    gaps = written(gaps.withColumn("id", F.xxhash64(*by, "y", "a")), "holes-gaps")
-    beside = lambda d: rows.select(*by, (F.col("y") - d).alias("y"), F.col("left").alias(f"left{d}"), F.col("right").alias(f"right{d}"))
-    edge = gaps.join(beside(1), [*by, "y"], "left").join(beside(-1), [*by, "y"], "left")
-    open_ = lambda d: F.col(f"left{d}").isNull() | (F.col("a") < F.col(f"left{d}")) | (F.col("b") > F.col(f"right{d}"))
-    out = written(edge.filter(open_(1) | open_(-1)).select("id"), "holes-open")
-    below = gaps.select(*by, (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("id").alias("id2"))
-    touch = gaps.join(below, [*by, "y"]).filter("a <= b2 and a2 <= b")
-    touch = written(touch.select(F.explode(F.array(F.struct("id", F.col("id2").alias("to")), F.struct(F.col("id2").alias("id"), F.col("id").alias("to")))).alias("e")).select("e.*"), "holes-touch")
-    fresh = out
-    while not fresh.isEmpty():
-        fresh = written(touch.join(fresh, "id").select(F.col("to").alias("id")).distinct().join(out, "id", "left_anti"), "holes-fresh")
-        out = out.unionByName(fresh)
-    holes = gaps.join(out, "id", "left_anti").select(*by, "y", F.explode(F.sequence("a", "b")).alias("x"))
-    return mask.select(*by, "x", "y").distinct().unionByName(holes.select(*by, "x", "y"))
+    two = F.coalesce("two", F.lit(False))
+    return df.join(fitted, by, "left").select(*df.columns, F.when(two, log(1) >= log(0)).otherwise(True).alias("foreground"), two.alias("two"))
 
 
 def tissue_spots(peaks: DataFrame, pixels: DataFrame, kind: str, database: DataFrame | None = None, ppm: float = 10) -> DataFrame:
@@ -116,7 +92,6 @@ def tissue_spots(peaks: DataFrame, pixels: DataFrame, kind: str, database: DataF
         return scored.join(floored_threshold(scored, "score", MODE), MODE).select(*SPECTRUM, "score", (F.col("score") >= F.col("threshold")).alias("foreground"))
     marked = mixture_masks(scored, "score", MODE)
     placed = written(marked.join(pixels.select(*SPECTRUM, F.col("px").alias("x"), F.col("py").alias("y")), SPECTRUM), "tissue-spots")
-    whole = placed.groupBy(*MODE).agg(F.min("foreground").alias("whole"))  # one Gaussian: no clean-up
     kept = opened(filled(placed.filter("foreground"), MODE), tuple(MODE)).withColumn("kept", F.lit(True))
-    out = placed.join(kept, [*MODE, "x", "y"], "left").join(whole, MODE)
-    return out.select(*SPECTRUM, "score", (F.col("whole") | F.coalesce("kept", F.lit(False))).alias("foreground"))
+    out = placed.join(kept, [*MODE, "x", "y"], "left")
+    return out.select(*SPECTRUM, "score", (~F.col("two") | F.coalesce("kept", F.lit(False))).alias("foreground"))  # one Gaussian: no clean-up

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.operators import alignment, annotations, assembly, coarsening, geometry, ml, pixels, raman, registration, spectra, spots, tissue
+from lattica.operators import alignment, annotations, assembly, coarsening, geometry, images, ml, pixels, raman, registration, spectra, spots, tissue
 from lattica.operators.range_joins import gap_islands
 from lattica.plans import views
 from lattica.plans.views import sql
@@ -96,8 +96,9 @@ _REFS = "refs AS (SELECT DISTINCT ion_mode, round(ionized_mass, 6) ref FROM lipi
 
 
 @query(sql("""SELECT sample_id, ion_mode, spot_id, ref, round(sum(intensity * w), 4) "value" FROM n GROUP BY 1, 2, 3, 4""", _REFS,
-"""j AS (SELECT p.*, r.ref, 1 / (abs(r.ref - mz) / mz * 1e6 + 1e-9) w0 FROM peaks p JOIN refs r ON p.ion_mode = r.ion_mode AND ref >= mz * (1 - 10 * 1e-6) AND ref < mz * (1 + 10 * 1e-6)),
-n AS (SELECT *, w0 / sum(w0) OVER (PARTITION BY sample_id, ion_mode, spot_id, peak_id) w FROM j)"""))
+"one AS (SELECT *, row_number() OVER () rid FROM peaks)",
+"""j AS (SELECT p.*, r.ref, 1 / (abs(r.ref - mz) / mz * 1e6 + 1e-9) w0 FROM one p JOIN refs r ON p.ion_mode = r.ion_mode AND ref >= mz * (1 - 10 * 1e-6) AND ref < mz * (1 + 10 * 1e-6)),
+n AS (SELECT *, w0 / sum(w0) OVER (PARTITION BY rid) w FROM j)"""))
 def j6_peak_rebinning(spark, d):
     """Peaks spread over the reference axis."""
     axis = views.lipids(spark, d).select("ion_mode", F.round("ionized_mass", 6).alias("mz")).distinct()
@@ -130,13 +131,16 @@ def j8_recalibration(spark, d):
 
 @query(sql("""SELECT s.sample_id, s.ion_mode, s.spot_id, n n_peaks, coalesce(hits, 0)::BIGINT hits, round(coalesce(hits, 0) / n::DOUBLE, 6) "share" FROM s
   LEFT JOIN h ON h.sample_id = s.sample_id AND h.ion_mode = s.ion_mode AND h.spot_id = s.spot_id""",
-  "masses AS (SELECT DISTINCT ion_mode, ionized_mass FROM lipids)",
+  "masses AS (SELECT ion_mode, ionized_mass, count(*) c FROM lipids GROUP BY 1, 2)",
   "s AS (SELECT sample_id, ion_mode, spot_id, count(*)::BIGINT n FROM peaks GROUP BY 1, 2, 3)",
-  """k AS (SELECT p.*, ionized_mass, row_number() OVER (PARTITION BY sample_id, p.ion_mode, spot_id, peak_id ORDER BY round(abs(mz - ionized_mass), 9), ionized_mass) k
-  FROM peaks p JOIN masses m ON m.ion_mode = p.ion_mode AND abs(mz - ionized_mass) <= ionized_mass * 10 * 1e-6),
-  h AS (SELECT sample_id, ion_mode, spot_id, count(DISTINCT ionized_mass) hits FROM k WHERE k = 1 GROUP BY 1, 2, 3)"""))
+  """mzs AS (SELECT DISTINCT ion_mode, mz FROM peaks)""",
+  """l AS (SELECT p.ion_mode, p.mz, max(ionized_mass) m FROM mzs p JOIN masses m ON m.ion_mode = p.ion_mode AND ionized_mass < mz GROUP BY 1, 2)""",
+  """r AS (SELECT p.ion_mode, p.mz, min(ionized_mass) m FROM mzs p JOIN masses m ON m.ion_mode = p.ion_mode AND ionized_mass >= mz GROUP BY 1, 2)""",
+  """k AS (SELECT p.ion_mode, p.mz, CASE WHEN abs(p.mz - l.m) <= l.m * 10 * 1e-6 THEN l.m WHEN abs(p.mz - r.m) <= r.m * 10 * 1e-6 THEN r.m END hit, coalesce(abs(p.mz - l.m) <= l.m * 10 * 1e-6, false) above
+  FROM mzs p LEFT JOIN l ON l.ion_mode = p.ion_mode AND l.mz = p.mz LEFT JOIN r ON r.ion_mode = p.ion_mode AND r.mz = p.mz)""",
+  """h AS (SELECT sample_id, p.ion_mode, spot_id, count(DISTINCT concat(hit, ' ', c > 1 AND above)) hits FROM peaks p JOIN k ON k.ion_mode = p.ion_mode AND k.mz = p.mz JOIN masses m ON m.ion_mode = p.ion_mode AND ionized_mass = hit GROUP BY 1, 2, 3)"""))
 def j9_nearest_mass_hits(spark, d):
-    """Distinct nearest database masses a spectrum."""
+    """Distinct database rows that a spectrum's peaks choose, from below first."""
     out = spectra.nearest_hits(views.peaks(spark, d), views.lipids(spark, d), 10)
     return out.select("sample_id", "ion_mode", "spot_id", "n_peaks", "hits", *r6("share"))
 
@@ -367,26 +371,26 @@ def a11_composite_score(spark, d):
     return spectra.composite_score(f, ["n_peaks", "entropy"]).select("sample_id", "ion_mode", "spot_id", F.round("score", 5).alias("score"))
 
 
-@query(sql("""SELECT sample_id, round(lo + (min(bin) + 1) * (hi - lo) / 64, 6) threshold FROM (
-  SELECT sample_id, lo, hi, bin, v, max(v) OVER (PARTITION BY sample_id) top FROM (
-    SELECT sample_id, lo, hi, bin, coalesce(round(w0 * (w - w0) * power(s0 / w0 - (s - s0) / nullif(w - w0, 0), 2), 6), -1) v FROM (
-      SELECT sample_id, lo, hi, bin, sum(n) OVER r w0, sum(n * m) OVER r s0, sum(n) OVER a w, sum(n * m) OVER a s FROM (
-        SELECT sample_id, lo, hi, bin, count(*)::DOUBLE n, lo + (bin + 0.5::DOUBLE) * (hi - lo) / 64 m FROM (
-          SELECT c.sample_id, lo, hi, least(63, floor((tot - lo) / (hi - lo) * 64))::INTEGER bin FROM tt c JOIN (SELECT sample_id, min(tot) lo, max(tot) hi FROM tt GROUP BY 1) e ON e.sample_id = c.sample_id)
-        GROUP BY 1, 2, 3, 4) WINDOW r AS (PARTITION BY sample_id ORDER BY bin), a AS (PARTITION BY sample_id)))) WHERE v = top GROUP BY sample_id, lo, hi""",
-  "tt AS (SELECT sample_id, spot_id, sum(intensity)::BIGINT::DOUBLE tot FROM peaks GROUP BY 1, 2)"))
+_OTSU = ("tt AS (SELECT sample_id, spot_id, sum(intensity)::BIGINT::DOUBLE tot FROM peaks GROUP BY 1, 2)",
+  "te AS (SELECT sample_id, min(tot) lo, max(tot) hi FROM tt GROUP BY 1)",
+  "th AS (SELECT t.sample_id, lo, hi, coalesce(floor((tot - lo) / nullif(hi - lo, 0) * 255), 0)::BIGINT bin, count(*) n FROM tt t JOIN te e ON e.sample_id = t.sample_id GROUP BY 1, 2, 3, 4)",
+  """tv AS (SELECT sample_id, lo, hi, bin, power((s0 * w - s * w0)::DOUBLE, 2) / nullif((w0 * (w - w0))::DOUBLE, 0) v FROM (
+    SELECT *, sum(n) OVER r w0, sum(n * bin) OVER r s0, sum(n) OVER a w, sum(n * bin) OVER a s FROM th WINDOW r AS (PARTITION BY sample_id ORDER BY bin), a AS (PARTITION BY sample_id)))""",
+  "otsu AS (SELECT sample_id, any_value(lo) + coalesce(min(bin) FILTER (v = top), min(bin)) * (any_value(hi) - any_value(lo)) / 255 threshold FROM (SELECT *, max(v) OVER (PARTITION BY sample_id) top FROM tv) GROUP BY 1)")
+
+
+@query(sql("SELECT sample_id, round(threshold, 6) threshold FROM otsu", *_OTSU))
 def a12_otsu(spark, d):
     """Otsu threshold of spot totals."""
     t = views.peaks(spark, d).groupBy("sample_id", "spot_id").agg(F.round(F.sum("intensity")).cast("double").alias("tot"))
-    return spectra.otsu(t, "tot", ["sample_id"], 64).select("sample_id", *r6("threshold"))
+    return spectra.otsu(t, "tot", ["sample_id"]).select("sample_id", *r6("threshold"))
 
 
-@query(sql("""SELECT o.sample_id, round(least(threshold, q), 6) threshold FROM (SELECT sample_id, quantile_cont(tot, 0.25) q FROM tt GROUP BY 1) f JOIN (
-  """ + _sql["a12_otsu"].split("tot FROM peaks GROUP BY 1, 2)", 1)[1].removeprefix(")").replace("round(lo + (min(bin) + 1) * (hi - lo) / 64, 6) threshold", "lo + (min(bin) + 1) * (hi - lo) / 64 threshold", 1) + ") o ON o.sample_id = f.sample_id", "tt AS (SELECT sample_id, spot_id, sum(intensity)::BIGINT::DOUBLE tot FROM peaks GROUP BY 1, 2)"))
+@query(sql("SELECT o.sample_id, round(least(threshold, q), 6) threshold FROM otsu o JOIN (SELECT sample_id, quantile_cont(tot, 0.25) q FROM tt GROUP BY 1) f ON f.sample_id = o.sample_id", *_OTSU))
 def a12_floored_threshold(spark, d):
     """Otsu's threshold with the 25th percentile as its ceiling."""
     t = views.peaks(spark, d).groupBy("sample_id", "spot_id").agg(F.round(F.sum("intensity")).cast("double").alias("tot"))
-    return spectra.floored_threshold(t, "tot", ["sample_id"], 64).select("sample_id", *r6("threshold"))
+    return spectra.floored_threshold(t, "tot", ["sample_id"]).select("sample_id", *r6("threshold"))
 
 
 _HIST = "hist AS (SELECT sample_id, ion_mode, floor(ln(mz) / (20 * 1e-6 / 2))::BIGINT bin, count(*)::BIGINT n, sum(mz) mass FROM peaks WHERE mz > 0 GROUP BY 1, 2, 3)"
@@ -542,7 +546,7 @@ lv AS (SELECT DISTINCT o.sample_id, round_even((x - lox) / ex * 1e6, 0)::BIGINT
   UNION ALL SELECT DISTINCT o.sample_id, round_even((y - loy) / ey * 1e6, 0)::BIGINT v, 'y' axis FROM obs o JOIN ext e ON e.sample_id = o.sample_id),
 gap AS (SELECT sample_id, axis, median(d) gap FROM (SELECT sample_id, axis, v - lag(v) OVER (PARTITION BY sample_id, axis ORDER BY v) d FROM lv) GROUP BY 1, 2),
 nat AS (SELECT sample_id, coalesce(floor(1e6 / nullif(max(gap) FILTER (axis = 'x'), 0)), 1)::BIGINT nx1, coalesce(floor(1e6 / nullif(max(gap) FILTER (axis = 'y'), 0)), 1)::BIGINT ny1 FROM gap GROUP BY 1),
-grid AS (SELECT g0.*, greatest(1, least(nx0, nx1 + 1)) nx, greatest(1, least(greatest(1, floor(50.0 / nx0))::BIGINT, ny1 + 1)) ny FROM g0 JOIN nat ON nat.sample_id = g0.sample_id),
+grid AS (SELECT g0.*, greatest(1, least(nx0, nx1)) nx, greatest(1, least(greatest(1, floor(50.0 / nx0))::BIGINT, ny1)) ny FROM g0 JOIN nat ON nat.sample_id = g0.sample_id),
 cells AS (SELECT o.*, lox, loy, ex, ey, nx, ny, greatest(0, least(nx - 1, trunc((x - lox) / ex * nx)::BIGINT)) ix, greatest(0, least(ny - 1, trunc((y - loy) / ey * ny)::BIGINT)) iy FROM obs o JOIN grid g ON g.sample_id = o.sample_id),
 bins AS (SELECT *, (dense_rank() OVER (PARTITION BY sample_id ORDER BY ix * ny + iy) - 1)::BIGINT bin FROM cells)"""
 
@@ -717,7 +721,82 @@ sea AS (SELECT x0 x, y0 y FROM box UNION SELECT a.x, a.y FROM sea s JOIN air a O
 def m14_filled_holes(spark, d):
     """Holes of a pixel set filled."""
     mask = views.pixels(spark, d).filter("r >= 20 and (x * 7 + y * 13) % 5 <> 2").select(F.lit("a").alias("image"), "x", "y")
-    return tissue.filled(mask, ["image"]).selectExpr("cast(x as int) x", "cast(y as int) y")
+    return images.filled(mask, ["image"]).selectExpr("cast(x as int) x", "cast(y as int) y")
+
+
+# ---- tissue on images ----------------------------------------------------------------------------------
+
+
+def _kernel(size: int) -> str:
+    return "VALUES " + ", ".join(f"({k - size // 2}, {w})" for k, w in enumerate(images.kernel(size)))
+
+
+def _mirror(c: str, o: str, low: str, high: str) -> str:
+    """SQL of a place ``c`` + ``o`` mirrored at both ends."""
+    n = f"({high} - {low} + 1)"
+    j = f"((({c} + {o} - {low}) % (2 * {n} - 2) + (2 * {n} - 2)) % (2 * {n} - 2))"
+    return f"({low} + CASE WHEN {j} < {n} THEN {j} ELSE 2 * {n} - 2 - {j} END)"
+
+
+def _blur(source: str, size: int) -> tuple[str, ...]:
+    """CTE ``soft`` (x, y, v) of the levels v of ``source``, absent pixels 0."""
+    return (
+        f"bx AS (SELECT min(x) x0, max(x) x1, min(y) y0, max(y) y1 FROM {source})",
+        f"kern(o, w) AS ({_kernel(size)})",
+        f"dense AS (SELECT gx x, gy y, coalesce(v, 0) v FROM (SELECT unnest(generate_series(x0, x1)) gx FROM bx) CROSS JOIN (SELECT unnest(generate_series(y0, y1)) gy FROM bx) LEFT JOIN {source} s ON s.x = gx AND s.y = gy)",
+        f"across AS (SELECT p.x, p.y, sum(w * q.v) v FROM dense p CROSS JOIN kern CROSS JOIN bx JOIN dense q ON q.y = p.y AND q.x = {_mirror('p.x', 'o', 'x0', 'x1')} GROUP BY 1, 2)",
+        f"down AS (SELECT p.x, p.y, sum(w * q.v) v FROM dense p CROSS JOIN kern CROSS JOIN bx JOIN across q ON q.x = p.x AND q.y = {_mirror('p.y', 'o', 'y0', 'y1')} GROUP BY 1, 2)",
+        f"soft AS (SELECT d.x, d.y, floor((d.v + 32768) / 65536.0)::INTEGER v FROM down d JOIN {source} s ON s.x = d.x AND s.y = d.y)",
+    )
+
+
+def _parts(name: str, source: str, diagonal: int) -> tuple[str, ...]:
+    """CTE ``name`` (x, y, root): components of the pixels of ``source``, by runs."""
+    return (
+        f"{name}_r AS (SELECT y, min(x) a, max(x) b, y * 100000 + min(x) id FROM (SELECT x, y, x - row_number() OVER (PARTITION BY y ORDER BY x) k FROM (SELECT DISTINCT x, y FROM {source})) GROUP BY y, k)",
+        f"{name}_h AS (SELECT u.id a, l.id b FROM {name}_r u JOIN {name}_r l ON l.y = u.y + 1 AND u.a - {diagonal} <= l.b AND l.a <= u.b + {diagonal})",
+        f"{name}_l AS (SELECT a, b FROM {name}_h UNION SELECT b, a FROM {name}_h)",
+        f"{name}_w(a, b) AS (SELECT id, id FROM {name}_r UNION SELECT w.a, l.b FROM {name}_w w JOIN {name}_l l ON l.a = w.b)",
+        f"{name} AS (SELECT unnest(generate_series(r.a, r.b)) x, y, root FROM {name}_r r JOIN (SELECT a id, min(b) root FROM {name}_w GROUP BY 1) t ON t.id = r.id)",
+    )
+
+
+_LEVELS = "lev AS (SELECT x, y, trunc(r * 5)::INTEGER v FROM pixels)"
+
+
+@query(sql("SELECT x::INTEGER x, y::INTEGER y, v FROM soft", _LEVELS, *_blur("lev", 7)))
+def m3_gaussian_blur(spark, d):
+    """M3: separable Gaussian in tiles, whole numbers."""
+    px = views.pixels(spark, d).select(F.lit("a").alias("image"), "x", "y", (F.col("r") * 5).cast("int").alias("v"))
+    return images.blurred(px, ["image"], "v", 7).select("x", "y", "v")
+
+
+_DOTS = "dots AS (SELECT x, y FROM pixels WHERE (x * 31 + y * 17 + r::INTEGER) % 7 < 3)"
+
+
+@query(sql("SELECT x::INTEGER x, y::INTEGER y FROM parts WHERE root IN (SELECT root FROM parts GROUP BY 1 HAVING count(*) > 5)", _DOTS, *_parts("parts", "dots", 0)))
+def m3_without_specks(spark, d):
+    """M3: components of more than five pixels."""
+    dots = views.pixels(spark, d).filter("(x * 31 + y * 17 + cast(bround(r) as int)) % 7 < 3").select(F.lit("a").alias("image"), "x", "y")
+    return images.without_specks(dots, ["image"], 5).selectExpr("cast(x as int) x", "cast(y as int) y")
+
+
+@query(sql("SELECT x::INTEGER x, y::INTEGER y FROM spots_ WHERE root IN (SELECT root FROM shape GROUP BY 1 HAVING sum(inside) >= 0.01::DOUBLE * (SELECT (x1 - x0 + 1) * (y1 - y0 + 1) FROM bx))",
+  "q8 AS (SELECT x, y, trunc(r / 50 * 255)::INTEGER a, trunc(g / 10 * 255)::INTEGER b, trunc(b / 8 * 255)::INTEGER c FROM pixels)",
+  "grey AS (SELECT x, y, 255 - CASE WHEN a = 0 AND b = 0 AND c = 0 THEN 255 ELSE (a * 9798 + b * 19235 + c * 3735 + 16384) // 32768 END v FROM q8)",
+  "cut AS (SELECT x, y, least(v, (SELECT floor(quantile_cont(v, 0.99))::INTEGER FROM grey)) v FROM grey)", *_blur("cut", 5),
+  "hs AS (SELECT v bin, count(*) n FROM soft GROUP BY 1)",
+  """hv AS (SELECT bin, power((s0 * w - s * w0)::DOUBLE, 2) / nullif((w0 * (w - w0))::DOUBLE, 0) v FROM (
+    SELECT *, sum(n) OVER r w0, sum(n * bin) OVER r s0, sum(n) OVER a w, sum(n * bin) OVER a s FROM hs WINDOW r AS (ORDER BY bin), a AS ()))""",
+  "above AS (SELECT x, y FROM grey WHERE v > (SELECT coalesce(min(bin) FILTER (v = top), min(bin)) FROM (SELECT *, max(v) OVER () top FROM hv)))",
+  *_parts("spk", "above", 0), "dark AS (SELECT x, y FROM spk WHERE root IN (SELECT root FROM spk GROUP BY 1 HAVING count(*) > 4))", _FLOOD.replace("box", "fbox"),
+  "solid AS (SELECT x, y FROM dark UNION SELECT x, y FROM air a WHERE NOT EXISTS (SELECT 1 FROM sea s WHERE s.x = a.x AND s.y = a.y))", *_parts("spots_", "solid", 1),
+  """shape AS (SELECT root, cx, cy, CASE count(*) WHEN 4 THEN 1.0::DOUBLE WHEN 3 THEN 0.5::DOUBLE ELSE 0 END inside FROM (
+    SELECT root, x + i cx, y + j cy FROM spots_ CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(i, j)) GROUP BY 1, 2, 3)"""))
+def m1_tissue_mask(spark, d):
+    """M1: grey levels, clip, blur, Otsu, specks, holes, outlines."""
+    px = views.pixels(spark, d).select(F.lit("a").alias("image"), "x", "y", (F.col("r") / 50).alias("r"), (F.col("g") / 10).alias("g"), (F.col("b") / 8).alias("b"))
+    return images.tissue_mask(px, ["image"], ["r", "g", "b"], blur=5, speck=4).selectExpr("cast(x as int) x", "cast(y as int) y")
 
 
 @query()

@@ -78,16 +78,17 @@ def read_imzml(spark: SparkSession, path: str, raster_x: float = 1, raster_y: fl
     """
     schema = "cvParam array<struct<_name:string,_value:string>>"
     raw = spark.read.format("xml").option("rowTag", "spectrum").schema(
-        "_index bigint, scanList struct<scan:struct<" + schema.replace(" ", ":", 1) + ">>, binaryDataArrayList struct<binaryDataArray:array<struct<cvParam:array<struct<_name:string,_value:string>>,referenceableParamGroupRef:struct<_ref:string>>>>"
+        "_index bigint, scanList struct<scan:struct<" + schema.replace(" ", ":", 1) + "," + schema.replace(" ", ":", 1).replace("cvParam", "userParam") + ">>, binaryDataArrayList struct<binaryDataArray:array<struct<cvParam:array<struct<_name:string,_value:string>>,referenceableParamGroupRef:struct<_ref:string>>>>"
     ).load(path)
     scan = "scanList.scan.cvParam"
+    own = "concat(coalesce(scanList.scan.userParam, array()), coalesce(scanList.scan.cvParam, array()))"  # the format has physical positions among the user's parameters
     value = lambda arr, name: f"try_element_at(filter({arr}, p -> p._name = '{name}'), 1)._value"
     out = raw.selectExpr(
         "_index as spot_id",
         f"try_cast({value(scan, 'position x')} as int) px",
         f"try_cast({value(scan, 'position y')} as int) py",
-        f"try_cast({value(scan, '3DPositionX')} as double) x3",
-        f"try_cast({value(scan, '3DPositionY')} as double) y3",
+        f"try_cast({value(own, '3DPositionX')} as double) x3",
+        f"try_cast({value(own, '3DPositionY')} as double) y3",
         "binaryDataArrayList.binaryDataArray as arrays",
     )
     mine = lambda names, k: f"coalesce(try_element_at(filter(arrays, a -> a.referenceableParamGroupRef._ref in ({names})), 1), try_element_at(arrays, {k}))"

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lattica.functions.expressions import apply_matrix, point_in_ring, pyramid_levels, ring_area
-from lattica.operators import alignment, annotations, assembly, coarsening, geometry, pixels, raman, registration, spectra, spots, tissue
+from lattica.operators import alignment, annotations, assembly, coarsening, geometry, images, pixels, raman, registration, spectra, spots, tissue
 from lattica.sources import files
 
 
@@ -238,7 +238,7 @@ def imzml(bits, places, raster=(20, 30), swapped=False):
         at = 16 + k * sum(width)
         arr = lambda ref, n, off: f'<binaryDataArray encodedLength="0"><referenceableParamGroupRef ref="{ref}"/><cvParam name="external array length" value="3"/><cvParam name="external encoded length" value="{n}"/><cvParam name="external offset" value="{off}"/></binaryDataArray>'
         arrays = [arr("mzArray", width[0], at), arr("intensities", width[1], at + width[0])]
-        three = "".join(f'<cvParam name="3DPosition{a}" value="{v}"/>' for a, v in (("X", x3), ("Y", y3)) if v is not None)
+        three = "".join(f'<userParam name="3DPosition{a}" value="{v}"/>' for a, v in (("X", x3), ("Y", y3)) if v is not None)
         spectra_ += f'<spectrum id="s{k}" index="{k}"><scanList count="1"><scan><cvParam name="position x" value="{px}"/><cvParam name="position y" value="{py}"/>{three}</scan></scanList><binaryDataArrayList count="2">{"".join(arrays[::-1] if swapped else arrays)}</binaryDataArrayList></spectrum>'
     return f'<mzML><referenceableParamGroupList count="2">{group("mzArray", bits[0])}{group("intensities", bits[1])}</referenceableParamGroupList><scanSettingsList count="1"><scanSettings id="a">{size}</scanSettings></scanSettingsList><run><spectrumList>{spectra_}</spectrumList></run></mzML>'
 
@@ -316,7 +316,7 @@ def test_holes_are_filled(spark):
     masks = {"ring": {(x, y) for x in range(5) for y in range(5)} - {(2, 2), (2, 3)}, "spiral": spiral, "open": spiral - {(0, 1)}, "diagonal": {(0, 0), (1, 1), (2, 0), (1, -1)}, "noise": {(int(x), int(y)) for x, y in rng.integers(0, 24, (400, 2))}}
     rows = [(k, x, y) for k, m in masks.items() for x, y in m]
     got = {}
-    for r in tissue.filled(df(spark, rows, "image string, x int, y int"), ["image"]).collect():
+    for r in images.filled(df(spark, rows, "image string, x int, y int"), ["image"]).collect():
         got.setdefault(r.image, set()).add((r.x, r.y))
     assert got == {k: flood(m) for k, m in masks.items()} and got["ring"] > masks["ring"] and got["spiral"] > spiral and got["open"] == masks["open"]
 

@@ -5,23 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from lattica.functions.tables import written
 
-def display_clusters(obs: DataFrame, x: DataFrame, cap: int = 100_000, k: int = 8, components: int = 50, seed: int = 1) -> DataFrame:
-    """Cluster labels for display: coarsen, normalise, project, PCA, k-means, then back to the spots.
+
+def display_clusters(obs: DataFrame, x: DataFrame, cap: int = 100_000, resolution: float = 0.5, components: int = 50, near: int = 15, counts: bool = True) -> DataFrame:
+    """Cluster labels for display, a sample at a time: coarsen, normalise, project, principal components, neighbour graph, communities, then back to the spots.
 
     Samples of more than ``cap`` spots are coarsened.  All features count: a bin's vector is the sum of
     its features' values times 64 signs each, the bits of the feature name's hash (a random projection,
-    which keeps distances on average), so its length doesn't grow with the features.  k-means takes the
-    place of a graph clustering, which Spark lacks; labels are for display only.  Fewer than two bins or
-    features give the label '0'.
+    which keeps distances on average), so its length doesn't grow with the features.  ``counts``: scale a
+    bin's total to 10,000 and take logarithms; else only scale to the mean total.  Spots without a
+    feature and samples of fewer than two bins get the label '0'.
     """
     from lattica.operators.coarsening import bin_sums, binned
+    from lattica.operators.communities import communities, fuzzy_weights, neighbours, numbered
 
     many = obs.groupBy("sample_id").agg((F.count("*") > cap).alias("__many"))
     sized = obs.join(many, "sample_id")
@@ -29,16 +32,25 @@ def display_clusters(obs: DataFrame, x: DataFrame, cap: int = 100_000, k: int =
     bins = coarse.unionByName(sized.filter("not __many").select("sample_id", "spot_id", F.col("spot_id").cast("long").alias("bin")))
     sums = bin_sums(x, bins)
     total = sums.groupBy("sample_id", "bin").agg(F.sum("value").alias("t"))
-    rows = sums.join(total, ["sample_id", "bin"]).withColumn("v", F.log1p(F.col("value") * 1e4 / F.nullif("t", F.lit(0.0)))).withColumn("h", F.xxhash64("feature"))
-    if rows.select("feature").distinct().limit(2).count() < 2 or rows.select("sample_id", "bin").distinct().limit(2).count() < 2:
-        return bins.select("sample_id", "spot_id", F.lit("0").alias("cluster"))
+    part = F.col("value") / F.nullif("t", F.lit(0.0))
+    if counts:
+        rows = sums.join(total, ["sample_id", "bin"]).withColumn("v", F.log1p(part * 1e4))
+    else:
+        rows = sums.join(total, ["sample_id", "bin"]).join(total.groupBy("sample_id").agg(F.avg("t").alias("__mean")), "sample_id").withColumn("v", part * F.col("__mean"))
+    rows = rows.withColumn("h", F.xxhash64("feature"))
     names = [f"p{j}" for j in range(64)]
     sign = lambda j: 1 - 2 * F.shiftrightunsigned("h", j).bitwiseAND(1)
     wide = rows.groupBy("sample_id", "bin").agg(*[(F.sum(F.col("v") * sign(j)) / 8).alias(f"p{j}") for j in range(64)]).na.fill(0.0, names)
+    wide = written(wide.withColumn("id", F.xxhash64("sample_id", "bin")), "cluster-rows")
+    if wide.limit(2).count() < 2:
+        return bins.select("sample_id", "spot_id", F.lit("0").alias("cluster"))
     v = VectorAssembler(inputCols=names, outputCol="raw").transform(wide)
     v = PCA(k=min(components, 64), inputCol="raw", outputCol="features").fit(v).transform(v)
-    labels = KMeans(k=k, seed=seed).fit(v).transform(v).select("sample_id", "bin", F.col("prediction").cast("string").alias("cluster"))
-    return bins.join(labels, ["sample_id", "bin"], "left").select("sample_id", "spot_id", F.coalesce("cluster", F.lit("0")).alias("cluster"))
+    points = v.select(F.col("sample_id").alias("g"), "id", vector_to_array("features").alias("v"))
+    graph = fuzzy_weights(neighbours(points, ["g"], near), ["g"])
+    labels = numbered(communities(graph, wide.select(F.col("sample_id").alias("g"), "id"), resolution))
+    named = wide.select("sample_id", "bin", "id").join(labels.select(F.col("g").alias("sample_id"), "id", "cluster"), ["sample_id", "id"]).drop("id")
+    return bins.join(named, ["sample_id", "bin"], "left").select("sample_id", "spot_id", F.coalesce("cluster", F.lit("0")).alias("cluster"))
 
 
 def encode_patches(patches: DataFrame, encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], length: int, batch: int = 32) -> DataFrame:

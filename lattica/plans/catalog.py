@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.operators import alignment, annotations, assembly, coarsening, geometry, images, ml, pixels, raman, registration, spectra, spots, tissue
+from lattica.operators import alignment, annotations, assembly, channels, coarsening, geometry, images, ml, mosaic, pixels, raman, registration, spectra, spots, tissue
 from lattica.operators.range_joins import gap_islands
 from lattica.plans import views
 from lattica.plans.views import sql
@@ -799,6 +799,59 @@ def m1_tissue_mask(spark, d):
     return images.tissue_mask(px, ["image"], ["r", "g", "b"], blur=5, speck=4).selectExpr("cast(x as int) x", "cast(y as int) y")
 
 
+@query(sql("SELECT x, y, trunc((r - lo) / (hi - lo) * 255)::INTEGER red, trunc((g - lo) / (hi - lo) * 255)::INTEGER green, 0 blue FROM pixels CROSS JOIN (SELECT least(min(r), min(g)) lo, greatest(max(r), max(g)) hi FROM pixels)"))
+def m6_two_channels(spark, d):
+    """M6: two channels as three."""
+    px = views.pixels(spark, d).select("x", "y", F.array("r", "g").alias("c"))
+    return channels.three_channels(px, "c").select("x", "y", *[F.col("c")[i].alias(n) for i, n in enumerate(("red", "green", "blue"))])
+
+
+@query()
+def m6_many_channels(spark, d):
+    """M6: many channels as three non-negative parts (held against a plain version in the tests)."""
+    px = views.table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda v: F.abs(v.cast("double"))).alias("c"))
+    return channels.three_channels(px, "c").select("vec_id", *[F.col("c")[i].alias(n) for i, n in enumerate(("red", "green", "blue"))])
+
+
+_EVEN = (
+    "lev8 AS (SELECT x, y, trunc(r * 5)::INTEGER v FROM pixels)",
+    "ex AS (SELECT min(x) x0, min(y) y0, max(x) - min(x) + 1 w, max(y) - min(y) + 1 h FROM lev8)",
+    "tl AS (SELECT *, (w + 7) // 8 tw, (h + 7) // 8 th FROM ex)",
+    """pad AS (SELECT gx px, gy py, v FROM (SELECT unnest(generate_series(0, tw * 8 - 1)) gx FROM tl) CROSS JOIN (SELECT unnest(generate_series(0, th * 8 - 1)) gy FROM tl) CROSS JOIN tl
+      JOIN lev8 l ON l.x - x0 = CASE WHEN gx % greatest(1, 2 * w - 2) < w THEN gx % greatest(1, 2 * w - 2) ELSE 2 * w - 2 - gx % (2 * w - 2) END AND l.y - y0 = CASE WHEN gy % greatest(1, 2 * h - 2) < h THEN gy % greatest(1, 2 * h - 2) ELSE 2 * h - 2 - gy % (2 * h - 2) END)""",
+    "hh AS (SELECT px // tw tx, py // th ty, v bin, least(count(*), greatest(1, floor(2.0::DOUBLE * any_value(tw * th) / 256)))::BIGINT n, any_value(tw * th) area FROM pad CROSS JOIN tl GROUP BY 1, 2, 3)",
+    "ov AS (SELECT tx, ty, any_value(area) area, (any_value(area) - sum(n))::BIGINT over_ FROM hh GROUP BY 1, 2)",
+    """fl AS (SELECT o.tx, o.ty, area, b.bin, coalesce(n, 0) + over_ // 256 + CASE WHEN over_ % 256 > 0 AND b.bin % greatest(1, 256 // (over_ % 256)) = 0 AND b.bin / greatest(1, 256 // (over_ % 256)) < over_ % 256 THEN 1 ELSE 0 END n
+      FROM ov o CROSS JOIN (SELECT unnest(generate_series(0, 255)) bin) b LEFT JOIN (SELECT tx, ty, bin, n FROM hh) h ON h.tx = o.tx AND h.ty = o.ty AND h.bin = b.bin)""",
+    "lk AS (SELECT tx, ty, bin, least(255, round_even(sum(n) OVER (PARTITION BY tx, ty ORDER BY bin) * 255.0::DOUBLE / area, 0))::INTEGER look FROM fl)",
+    "fr AS (SELECT x, y, v, (x - x0) / tw::DOUBLE - 0.5::DOUBLE fx, (y - y0) / th::DOUBLE - 0.5::DOUBLE fy FROM lev8 CROSS JOIN tl)",
+    """cn AS (SELECT x, y, v, greatest(0, least(7, floor(fx) + i)) tx, greatest(0, least(7, floor(fy) + j)) ty, (CASE i WHEN 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) * (CASE j WHEN 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) wt
+      FROM fr CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(i, j))""",
+)
+
+
+@query(sql("SELECT x, y, round_even(round(sum(wt * look), 6), 0)::INTEGER v FROM cn c JOIN lk l ON l.tx = c.tx AND l.ty = c.ty AND l.bin = c.v GROUP BY 1, 2", *_EVEN))
+def m8_local_contrast(spark, d):
+    """M8: equalised in parts with limited contrast, bilinear between the parts' look-ups."""
+    px = views.pixels(spark, d).select(F.lit("a").alias("image"), "x", "y", (F.col("r") * 5).cast("int").alias("v"))
+    return mosaic.equalised(px, ["image"], "v").select("x", "y", "v")
+
+
+@query()
+def m8_spectral_mask(spark, d):
+    """M8: tissue of a mosaic of spectra (its parts have SQL; held against a plain version in the tests)."""
+    px = views.pixels(spark, d).select("x", "y", F.array("r", "g", "b").alias("c"))
+    return mosaic.spectral_mask(px, "c", speck=4, share=0.01).selectExpr("cast(x as int) x", "cast(y as int) y")
+
+
+@query(sql("SELECT tile, scan, (p.x - ox)::INTEGER x, (p.y - oy)::INTEGER y FROM placed JOIN (SELECT x, y FROM pixels WHERE r >= 45) p ON p.x >= ox AND p.x < ox + 12 AND p.y >= oy AND p.y < oy + 10",
+  "placed AS (SELECT n_nationkey tile, s.scan, (n_nationkey % 5) * 11 + s.scan - 1 ox, (n_nationkey // 5) * 9 - s.scan oy FROM nation CROSS JOIN (VALUES (0), (1)) s(scan))"))
+def j15_tile_masks(spark, d):
+    """A mosaic's mask back on the tiles of every scan."""
+    placed = views.table(spark, d, "nation").selectExpr("n_nationkey tile", "explode(array(0, 1)) scan").selectExpr("tile", "scan", "cast(tile % 5 * 11 + scan - 1 as int) ox", "cast(floor(tile / 5) * 9 - scan as int) oy")
+    return mosaic.tile_masks(views.pixels(spark, d).filter("r >= 45").select("x", "y"), placed, 12, 10)
+
+
 @query()
 def m15_tissue_spots(spark, d):
     """Tissue by mixtures, holes and opening (held against a plain version in the tests)."""
@@ -841,9 +894,9 @@ def al_display_bins(spark, d):
 
 @query()
 def m13_display_clusters(spark, d):
-    """Coarsened k-means labels."""
+    """Communities of the neighbour graph of coarse bins (held against planted communities in the tests)."""
     x = views.genes(spark, d).selectExpr("sample_id", "spot_id", "gene as feature", "cast(cnt as double) as value")
-    return ml.display_clusters(views.anchor(spark, d), x, k=4)
+    return ml.display_clusters(views.anchor(spark, d), x)
 
 
 @query()

@@ -1,16 +1,16 @@
 """Weak supervision over quality rules: rules vote or abstain, expectation-maximisation weighs them.
 
 Main path is DataFrame expressions only.  Each text becomes a handful of counts; each rule turns
-counts into a vote (good, bad, abstain).  EM needs no documents, only how often each vote pattern
-occurs: at most 3**len(rules) groups, counted by Spark with map-side combine.  The posterior is one
-arithmetic expression per document, so the scoring pass has no shuffle.
-
-Flaws seldom come together (a text of symbols repeats no lines), so the absence of one flaw says nothing
-about another: abstentions carry no evidence.  A rule that no other rule agrees or disagrees with then
-keeps its prior weight, agreement raises it and contradiction lowers it, down to where a lone bad vote
-still makes a text likelier bad than good.  That bound also settles which class is the good one, so the
-classes can't change places.  Flaws that come together (marks against words and against characters;
-capitals and exclamation marks) share a rule, since EM takes votes for independent.
+counts into a vote: bad at one of two strengths, good, or none.  EM needs no documents, only how often
+each vote pattern occurs: at most 4**len(rules) groups, counted by Spark with map-side combine.  The
+posterior is one arithmetic expression per document, so the scoring pass has no shuffle.
+
+Rules overlap on purpose: junk shows in its symbols, its letters, its words and their length, repetition
+in lines, windows and variety, so agreement and contradiction tell EM how far to trust each vote; an
+abstention is an outcome with a weight of its own.  Nothing fixes what a vote must decide: EM starts at
+BELIEF, which stays in as pseudo-counts worth a tenth of the rows, and may move a vote anywhere but past
+chance (a bad vote never speaks for a text, a good one never against it), which also settles which class
+is the good one.
 """
 
 from __future__ import annotations
@@ -18,36 +18,40 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lattica.llm.common import words, written
 
 WINDOW = 8
-VOTES = ("b", "-", "g")
+VOTES = "Bb-g"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``bad`` and ``good`` are SQL predicates over the counts; where neither holds the rule abstains."""
+    """SQL predicates over the counts, asked in this order: strongly bad (B), bad (b), good (g); none holds: abstain (-)."""
 
     name: str
+    worst: str
     bad: str
     good: str = "false"
 
 
-#: Rules speak of the flaw they look for; only plain varied prose is voted good, which overrules a flaw that it contradicts.
 RULES = (
-    Rule("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
-    Rule("symbols", "10 * n_symbols > n_words or 10 * n_symbols > word_chars"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
-    Rule("repeated_windows", "4 * n_repeat_words > n_words"),
-    Rule("shouting", "2 * n_upper > word_chars or 10 * n_exclaim > n_words"),
-    Rule("few_words", "n_words >= 50 and 4 * n_distinct < n_words"),
-    Rule("prose", "false", "n_words >= 20 and n_symbols = 0 and n_repeat_words = 0 and 2 * n_distinct >= n_words and 10 * n_upper <= 2 * word_chars and 20 * n_exclaim <= n_words"),
+    Rule("word_length", "2 * n_words > word_chars or word_chars > 12 * n_words", "10 * word_chars < 38 * n_words or word_chars > 7 * n_words", "n_words > 0 and 45 * n_words <= 10 * word_chars and 10 * word_chars <= 58 * n_words"),
+    Rule("symbols", "n_symbols > n_words", "10 * n_symbols > n_words", "50 * n_symbols < n_words"),
+    Rule("letters", "2 * n_letters < word_chars", "10 * n_letters < 9 * word_chars", "n_words > 0 and 100 * n_letters >= 95 * word_chars"),
+    Rule("plain_words", "4 * n_plain < n_words", "2 * n_plain < n_words", "n_words > 0 and 10 * n_plain >= 9 * n_words"),
+    Rule("repetition", "10 * n_dup_lines > 3 * n_lines or 4 * n_repeat_words > n_words", "20 * n_repeat_words > n_words or 5 * n_distinct < 2 * n_words", "n_words > 0 and n_repeat_words = 0 and n_dup_lines = 0"),
+    Rule("variety", "4 * n_distinct < n_words", "2 * n_distinct < n_words", "n_words > 0 and 100 * n_distinct >= 65 * n_words"),
+    Rule("shouting", "2 * n_upper > word_chars or 10 * n_exclaim > n_words", "10 * n_upper > word_chars or 50 * n_exclaim > n_words", "n_words > 0 and 200 * n_upper >= word_chars and 25 * n_upper <= word_chars"),
+    Rule("line_words", "n_words < 2 * n_lines", "n_words < 8 * n_lines", "n_words > 0 and n_words >= 12 * n_lines and n_words <= 150 * n_lines"),
 )
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_distinct")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_letters", "n_plain", "n_distinct")
+#: A word of letters, apostrophes and hyphens with one mark behind it at most.
+PLAIN = r"^[\p{L}'’-]+[.,;:!?]?$"
 
 
 def text_counts(df: DataFrame, text: str, window: int = WINDOW) -> DataFrame:
@@ -67,12 +71,15 @@ def text_counts(df: DataFrame, text: str, window: int = WINDOW) -> DataFrame:
         F.regexp_count(body, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.regexp_count(body, F.lit(r"[A-Z]")).cast("long").alias("n_upper"),
         F.regexp_count(body, F.lit("!")).cast("long").alias("n_exclaim"),
+        F.regexp_count(body, F.lit(r"\p{L}")).cast("long").alias("n_letters"),
     )
     df = df.select(
         *keep,
         "n_symbols",
         "n_upper",
         "n_exclaim",
+        "n_letters",
+        F.size(F.filter("__w", lambda w: w.rlike(PLAIN))).cast("long").alias("n_plain"),
         F.size("__w").cast("long").alias("n_words"),
         F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
         F.size("__l").cast("long").alias("n_lines"),
@@ -112,50 +119,45 @@ def text_counts(df: DataFrame, text: str, window: int = WINDOW) -> DataFrame:
 
 
 def votes(rules: tuple[Rule, ...]) -> Column:
-    """One character a rule: b, g or - (abstain)."""
-    return F.concat(*[F.expr(f"case when {r.bad} then 'b' when {r.good} then 'g' else '-' end") for r in rules])
+    """One character of VOTES a rule."""
+    return F.concat(*[F.expr(f"case when {r.worst} then 'B' when {r.bad} then 'b' when {r.good} then 'g' else '-' end") for r in rules])
 
 
 #: Prior belief in a vote: its rate among good and among bad texts.
-BELIEF = {"b": (0.01, 0.3), "g": (0.5, 0.1)}
+BELIEF = {"B": (0.004, 0.12), "b": (0.03, 0.15), "-": (0.366, 0.4), "g": (0.6, 0.33)}
 
 
-def fit_em(patterns: dict[str, int], n_rules: int, rounds: int = 200, prior_good: float = 0.9, strength: float = 10.0, lone: float = 1.2) -> tuple[float, list[dict]]:
-    """EM on pattern counts: returns P(good) and, per rule and vote, log P(vote|good) - log P(vote|bad); 0 for abstentions.
+def fit_em(patterns: dict[str, int], n_rules: int, rounds: int = 300, prior_good: float = 0.9, part: float = 0.1) -> tuple[float, list[dict]]:
+    """EM on pattern counts: returns P(good) and, per rule and vote, log P(vote|good) - log P(vote|bad).
 
-    A prior worth ``strength`` rows keeps every rate positive, so ties, an empty corpus or one-sided
-    votes are harmless.  After each step the rates are moved to the nearest ones, total votes kept,
-    under which no vote speaks against itself and the odds after a lone bad vote are at least ``lone``
-    to one for bad (0: no such bound).
+    The belief counts as ``part`` of the rows and ten more, so ties, an empty corpus or one-sided votes
+    are harmless.  A vote that would speak against itself gets one rate in both classes.
     """
-    total, p_good = sum(patterns.values()), prior_good
-    rate = [{v: BELIEF[v] for v in "bg"} for _ in range(n_rules)]
+    names = sorted(patterns)
+    n, strength = np.array([patterns[p] for p in names], dtype=float), 10 + part * sum(patterns.values())
+    seen = np.array([[VOTES.index(v) for v in p] for p in names], dtype=int).reshape(len(names), n_rules)
+    belief = np.array([BELIEF[v] for v in VOTES])
+    rate, p_good, rules = np.repeat(belief[None], n_rules, axis=0), prior_good, np.arange(n_rules)
     for _ in range(rounds):
-        n_good, n_bad = strength * prior_good, strength * (1 - prior_good)
-        sums = [{v: [BELIEF[v][0] * n_good, BELIEF[v][1] * n_bad] for v in "bg"} for _ in range(n_rules)]
-        for pattern, n in patterns.items():
-            odds = math.log(1 - p_good) - math.log(p_good) + sum(math.log(rate[j][v][1] / rate[j][v][0]) for j, v in enumerate(pattern) if v != "-")
-            bad = n / (1 + math.exp(-max(-700.0, min(700.0, odds))))
-            n_good, n_bad = n_good + n - bad, n_bad + bad
-            for j, v in enumerate(pattern):
-                if v != "-":
-                    sums[j][v][0] += n - bad
-                    sums[j][v][1] += bad
-        was, p_good = p_good, n_good / (total + strength)
-        least = max(1.0, lone * p_good / (1 - p_good))
-        rate = [{"b": _apart(s["b"], n_good, n_bad, least), "g": _apart(s["g"][::-1], n_bad, n_good, 1.0)[::-1]} for s in sums]
-        if abs(p_good - was) < 1e-12:
+        odds = np.log((1 - p_good) / p_good) + np.log(rate[rules, seen, 1] / rate[rules, seen, 0]).sum(axis=1)
+        bad = n / (1 + np.exp(-np.clip(odds, -700, 700)))
+        share = np.stack([n - bad, bad])
+        sums = np.repeat(belief[None], n_rules, axis=0) * strength * np.array([prior_good, 1 - prior_good])
+        for j in range(n_rules):
+            for k in (0, 1):
+                sums[j, :, k] += np.bincount(seen[:, j], weights=share[k], minlength=len(VOTES))
+        new = sums / sums.sum(axis=1, keepdims=True)
+        for v, good in zip(range(len(VOTES)), (False, False, None, True), strict=True):
+            against = np.zeros(n_rules, dtype=bool) if good is None else (new[:, v, 0] < new[:, v, 1]) if good else (new[:, v, 0] > new[:, v, 1])
+            new[against, v] = new[against, v].mean(axis=1, keepdims=True)
+        said = [0, 1, 3]  # what is left goes to abstaining, so levelled votes stay level
+        new[:, said] /= np.maximum(1.0, new[:, said].sum(axis=1).max(axis=1) / (1 - 1e-6))[:, None, None]
+        new[:, 2] = 1 - new[:, said].sum(axis=1)
+        was, p_good = p_good, (share[0].sum() + strength * prior_good) / (n.sum() + strength)
+        moved, rate = np.abs(new - rate).max(), new
+        if abs(p_good - was) + moved < 1e-10:
             break
-    return p_good, [{v: math.log(r[v][0] / r[v][1]) if v != "-" else 0.0 for v in VOTES} for r in rate]
-
-
-def _apart(n: list[float], few: float, many: float, ratio: float) -> tuple[float, float]:
-    """Rates of a vote in two classes of ``few`` and ``many`` rows; the second at least ``ratio`` times the first, votes in all kept where rates stay below 1."""
-    low, high = n[0] / few, n[1] / many
-    if high < ratio * low:
-        low = (n[0] + n[1]) / (few + ratio * many)
-        high = ratio * low
-    return (low, high) if high < 1 else (min(low, 0.999 / ratio), 0.999)
+    return float(p_good), [{v: float(np.log(r[i, 0] / r[i, 1])) for i, v in enumerate(VOTES)} for r in rate]
 
 
 def weak_supervision(df: DataFrame, id_col: str, text_col: str, rules: tuple[Rule, ...] = RULES, min_posterior: float = 0.5) -> DataFrame:
@@ -167,12 +169,12 @@ def weak_supervision(df: DataFrame, id_col: str, text_col: str, rules: tuple[Rul
     """
     counted = text_counts(df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__text")
     counted = written(counted.withColumn("votes", votes(rules)), "quality-counts")
-    # at most 3**len(rules) rows
+    # at most 4**len(rules) rows: 65,536 for RULES
     patterns = {r["votes"]: r["n"] for r in counted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     p_good, weight = fit_em(patterns, len(rules))
     odds = F.lit(math.log(p_good) - math.log(1 - p_good))
     for j, w in enumerate(weight):
         vote = F.substring("votes", j + 1, 1)
-        odds = odds + F.when(vote == "g", w["g"]).when(vote == "b", w["b"]).otherwise(w["-"])
+        odds = odds + F.when(vote == "g", w["g"]).when(vote == "b", w["b"]).when(vote == "B", w["B"]).otherwise(w["-"])
     scored = counted.withColumn("posterior", F.round(1 / (1 + F.exp(-odds)), 9))
     return scored.select(F.col("__id").alias(id_col), *COUNTS, "votes", "posterior", (F.col("posterior") >= min_posterior).alias("good"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import unicodedata
 import zlib
 from fractions import Fraction
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from lattica.llm import fingerprints, grams, license_scan, mixing, near_dups, pieces, pii, pitman_yor, quality_classifier, quality_rules, queries, stirling
@@ -212,39 +214,59 @@ def test_em_learns_which_rules_to_trust():
     good = rng.random(n) < 0.7
     acc = [0.95, 0.9, 0.55]
     votes = collections.Counter("".join("g" if (y if rng.random() < a else not y) else "b" for a in acc) for y in good)
-    p, w = quality_rules.fit_em(dict(votes), 3, lone=0)
+    p, w = quality_rules.fit_em(dict(votes), 3, part=0)
     assert abs(p - 0.7) < 0.1 and w[0]["g"] > w[2]["g"] and w[0]["b"] < w[2]["b"]
-    assert quality_rules.fit_em({}, 3)[0] == pytest.approx(0.9)
-    # a rule on its own keeps its prior weight, one that prose contradicts sinks to the bound, one that another rule joins rises
-    p, w = quality_rules.fit_em({"b----": 60, "-b--g": 30, "--bb-": 30, "----g": 900}, 5)
-    assert w[2]["b"] < w[0]["b"] < w[1]["b"] == pytest.approx(-np.log(1.2 * p / (1 - p)), rel=1e-6)
+    p, w = quality_rules.fit_em({}, 3)
+    assert p == pytest.approx(0.9) and all(x[v] == pytest.approx(np.log(quality_rules.BELIEF[v][0] / quality_rules.BELIEF[v][1])) for x in w for v in "Bb-g")
+    # no vote speaks against itself, whatever the patterns
+    _, w = quality_rules.fit_em({"Bg": 500, "gB": 3, "bg": 90, "-g": 900, "--": 4}, 2)
+    assert all(x["B"] <= 1e-12 and x["b"] <= 1e-12 and x["g"] >= -1e-12 for x in w)
 
 
-def brute_posterior(texts, rounds=200):
+def test_em_decides_not_any_single_vote():
+    """A rule that others contradict is overruled; abstentions where good texts get good votes tell against a text."""
+    patterns = {"gggg": 6000, "gggb": 700, "ggg-": 400, "BBB-": 700, "BB--": 120, "B-B-": 90, "-B--": 80, "----": 40, "gg--": 60}
+    p, w = quality_rules.fit_em(patterns, 4)
+    posterior = lambda votes: 1 / (1 + np.exp(np.log((1 - p) / p) - sum(w[j][v] for j, v in enumerate(votes))))
+    assert posterior("gggb") > 0.9 and posterior("BBB-") < 0.01 and posterior("----") < 0.5 < posterior("gggg")
+
+
+def brute_posterior(texts, rounds=300):
     """EM a text at a time over votes from plain counts."""
     votes = []
     for t in texts:
         t, (n, chars, sym, dup, rep) = t or "", brute_counts(t)
         w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
-        up, cry, kinds = len(re.findall("[A-Z]", t)), t.count("!"), len(set(w))
-        prose = n >= 20 and sym == 0 and rep == 0 and 2 * kinds >= n and 10 * up <= 2 * chars and 20 * cry <= n
-        bad = [chars < 2 * n or chars > 15 * n, 10 * sym > n or 10 * sym > chars, 10 * dup > 3 * len(lines), 4 * rep > n, 2 * up > chars or 10 * cry > n, n >= 50 and 4 * kinds < n]
-        votes.append([*bad, prose])
-    v, pi = np.array(votes, dtype=float), 0.9
-    low, high = np.r_[np.full(6, 0.01), 0.5], np.r_[np.full(6, 0.3), 0.1]
+        up, cry, kinds, rows = len(re.findall("[A-Z]", t)), t.count("!"), len(set(w)), len(lines)
+        letters, plain = sum(unicodedata.category(c)[0] == "L" for c in t), sum(bool(regex.fullmatch(r"[\p{L}'’-]+[.,;:!?]?", x)) for x in w)
+        some = n > 0
+        rules = [
+            (chars < 2 * n or chars > 12 * n, chars < 3.8 * n or chars > 7 * n, some and 4.5 * n <= chars <= 5.8 * n),
+            (sym > n, 10 * sym > n, 50 * sym < n),
+            (2 * letters < chars, 10 * letters < 9 * chars, some and 100 * letters >= 95 * chars),
+            (4 * plain < n, 2 * plain < n, some and 10 * plain >= 9 * n),
+            (10 * dup > 3 * rows or 4 * rep > n, 20 * rep > n or 5 * kinds < 2 * n, some and rep == 0 and dup == 0),
+            (4 * kinds < n, 2 * kinds < n, some and 100 * kinds >= 65 * n),
+            (2 * up > chars or 10 * cry > n, 10 * up > chars or 50 * cry > n, some and 200 * up >= chars and 25 * up <= chars),
+            (n < 2 * rows, n < 8 * rows, some and 12 * rows <= n <= 150 * rows),
+        ]
+        votes.append([0 if a else 1 if b else 3 if g else 2 for a, b, g in rules])
+    v, pi, strength = np.array(votes), 0.9, 10 + 0.1 * len(votes)
+    start = np.array([[0.004, 0.12], [0.03, 0.15], [0.366, 0.4], [0.6, 0.33]])
+    rate = [start.copy() for _ in range(8)]
     for _ in range(rounds):
-        good = 1 / (1 + np.exp(np.log(1 - pi) - np.log(pi) + v @ np.log(high / low)))
-        n_good, n_bad = 9 + good.sum(), 1 + (1 - good).sum()
-        pi = n_good / (n_good + n_bad)
-        g, b = 9 * np.r_[np.full(6, 0.01), 0.5] + good @ v, np.r_[np.full(6, 0.3), 0.1] + (1 - good) @ v
-        low, high, bound = g / n_good, b / n_bad, max(1, 1.2 * pi / (1 - pi))
-        for j in range(7):
-            if j < 6 and high[j] < bound * low[j]:
-                low[j] = (g[j] + b[j]) / (n_good + bound * n_bad)
-                high[j] = bound * low[j]
-            if j == 6 and low[j] < high[j]:
-                low[j] = high[j] = (g[j] + b[j]) / (n_good + n_bad)
-    return np.round(1 / (1 + np.exp(np.log(1 - pi) - np.log(pi) + v @ np.log(high / low))), 9)
+        good = np.array([1 / (1 + (1 - pi) / pi * np.prod([rate[j][x, 1] / rate[j][x, 0] for j, x in enumerate(r)])) for r in v])
+        for j in range(8):
+            s = np.array([[strength * 0.9 * start[k, 0] + good[v[:, j] == k].sum(), strength * 0.1 * start[k, 1] + (1 - good)[v[:, j] == k].sum()] for k in range(4)])
+            s /= s.sum(axis=0)
+            for k, sign in ((0, 1), (1, 1), (3, -1)):
+                if sign * (s[k, 0] - s[k, 1]) > 0:
+                    s[k] = s[k].mean()
+            s[[0, 1, 3]] /= max(1, s[[0, 1, 3]].sum(axis=0).max() / (1 - 1e-6))
+            s[2] = 1 - s[[0, 1, 3]].sum(axis=0)
+            rate[j] = s
+        pi = (good.sum() + strength * 0.9) / (len(v) + strength)
+    return np.array([round(1 / (1 + (1 - pi) / pi * np.prod([rate[j][x, 1] / rate[j][x, 0] for j, x in enumerate(r)])), 9) for r in v])
 
 
 def test_rule_posteriors_match_brute_force(spark, sf_dir, texts):
@@ -259,8 +281,12 @@ def test_rule_posteriors_match_brute_force(spark, sf_dir, texts):
 def test_rules_tell_quality_apart_at_every_scale(spark, sf_dir, sf):
     d = sf_dir.replace("0.001", sf)
     out = queries.op3_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").filter("not base_failed")
-    n = {(r.quality, r.kept): r["count"] for r in out.groupBy("quality", "kept").count().collect()}
-    assert n[0, False] >= 0.9 * (n[0, False] + n.get((0, True), 0)) and n[1, True] >= 0.99 * (n[1, True] + n.get((1, False), 0))
+    some_bad = F.lower("votes").contains("b")
+    n = {(r.quality, r.kept, r.bad): r["count"] for r in out.groupBy("quality", "kept", some_bad.alias("bad")).count().collect()}
+    of = lambda quality, kept: n.get((quality, kept, True), 0) + n.get((quality, kept, False), 0)
+    assert of(0, False) >= 0.9 * (of(0, False) + of(0, True)) and of(1, True) >= 0.99 * (of(1, True) + of(1, False))
+    # the verdict isn't all-must-pass: texts with a bad vote are kept, nearly all of them rightly
+    assert n[1, True, True] > 0 and n.get((0, True, True), 0) <= 0.1 * n[1, True, True]
 
 
 # ---- language model ----------------------------------------------------------------------------

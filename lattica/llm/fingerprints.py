@@ -10,14 +10,14 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lattica.llm.common import words, written
 
 K = 128
 SHINGLE = 5
 PART_WORDS = 4096
-RANGE_BYTES, MOST_RANGES = 64_000_000, 20_000
+RANGE_BYTES = 64_000_000
 
 
 def _smallest(hashes: Column, k: int) -> Column:
@@ -97,7 +97,7 @@ def with_next_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     parts, size = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(parts, min(MOST_RANGES, size // RANGE_BYTES))
+    parts = max(parts, size // RANGE_BYTES)
     ids = docs.select("id").filter(F.col("id").isNotNull()).distinct().repartitionByRange(parts, "id").withColumn("range", F.spark_partition_id())
     cuts = written(ids.groupBy("range").agg(F.min("id").alias("id")), "fingerprint-ranges")
     least = [r["id"] for r in cuts.orderBy("id").collect()]  # a row a range
@@ -105,12 +105,13 @@ def with_next_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     starts = [least[i : i + step] for i in range(0, len(least), step)]
     kind = docs.schema["id"].dataType
     array = lambda values: F.array(*[F.lit(v).cast(kind) for v in values])
-    none = F.array().cast(ArrayType(kind))
     coarse = F.size(F.filter(array([b[0] for b in starts]), lambda c: c <= F.col("id"))) if starts else F.lit(0)
     docs = docs.withColumn("__coarse", F.when(F.col("id").isNull(), 0).otherwise(coarse))
-    inner = F.array(*[array(b) for b in starts]) if starts else F.array(none)
-    fine = F.when(F.col("__coarse") == 0, 0).otherwise(step * (F.col("__coarse") - 1) + F.size(F.filter(F.get(inner, F.col("__coarse") - 1), lambda c: c <= F.col("id"))) - 1)
-    docs = docs.withColumn("range", fine.cast("int")).drop("__coarse")
+    # only every step-th bound stands in the expression; a coarse range's own bounds come with it from a table of as many numbers as there are ranges
+    bounds = docs.sparkSession.createDataFrame([(i + 1, b) for i, b in enumerate(starts)], StructType([StructField("__coarse", IntegerType()), StructField("__inner", ArrayType(kind))]))
+    docs = docs.join(F.broadcast(bounds), "__coarse", "left")
+    fine = F.when(F.col("__coarse") == 0, 0).otherwise(step * (F.col("__coarse") - 1) + F.size(F.filter("__inner", lambda c: c <= F.col("id"))) - 1)
+    docs = docs.withColumn("range", fine.cast("int")).drop("__coarse", "__inner")
     firsts = docs.groupBy("range").agg(F.min_by("id", F.struct(F.col("id").isNotNull(), "id")).alias("id"))  # a row a range; a null id comes first
     order = Window.orderBy("range")
     before = F.coalesce(F.lag("range").over(order), F.max("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))

@@ -1,44 +1,21 @@
-"""Shared pieces: shared-folder tables, hold-out folds, word patterns."""
+"""Shared pieces: hold-out folds, word patterns, and the tables of the shared folder by their names here."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lattica.functions.tables import removed as dropped
+from lattica.functions.tables import shared_folder as shared_dir
+from lattica.functions.tables import written
+
+__all__ = ["SPACE", "SPACE_RE", "dropped", "fold", "shared_dir", "slices", "tables", "words", "written"]
+
 #: ASCII white space, which separates words wherever a contract speaks of ``[^\x20\x09-\x0D]+``.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only in local mode, and an error where a cluster names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """Cut lineage: write ``df`` as Parquet in the shared folder and read it back; a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Remove a table that ``written`` made and nothing reads any more."""
-    if files := df.inputFiles():
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fold(doc_id: Column, modulus: int) -> Column:
     """True for held-out rows: crc32 of the id as text divisible by ``modulus`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == 0

@@ -49,8 +49,9 @@ def test_a_cluster_must_name_its_shared_folder():
 
     from lattica.llm.common import shared_dir
 
-    session = lambda master, named: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: named, set=lambda k, v: None), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+    session = lambda master, named: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: named), sparkContext=SimpleNamespace(master=master, applicationId="app", getCheckpointDir=lambda: None))
     assert shared_dir(session("spark://host:1", "hdfs://x/y/")) == "hdfs://x/y" and shared_dir(session("local[2]", None)).startswith("file:///tmp/")
+    assert shared_dir(session("local[2]", None)) == shared_dir(session("local[2]", None))  # one folder an application
     with pytest.raises(ValueError):
         shared_dir(session("spark://host:1", None))
 

@@ -70,3 +70,17 @@ def register(spark) -> None:
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION ppm_between(a DOUBLE, b DOUBLE) RETURNS DOUBLE RETURN abs(a - b) / ((a + b) / 2) * 1e6")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION clip(v DOUBLE, lo DOUBLE, hi DOUBLE) RETURNS DOUBLE RETURN greatest(lo, least(hi, v))")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION wavenumber(nm DOUBLE, pump DOUBLE) RETURNS DOUBLE RETURN (1 / nm - 1 / pump) * 1e7")
+    point = "STRUCT<x: DOUBLE, y: DOUBLE>"
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION ring_area(ring ARRAY<{point}>) RETURNS DOUBLE RETURN
+        abs(aggregate(zip_with(ring, concat(slice(ring, 2, size(ring)), slice(ring, 1, 1)), (p, q) -> p.x * q.y - q.x * p.y), 0D, (a, t) -> a + t)) / 2""")
+    edges = "zip_with(ring, concat(slice(ring, 2, size(ring)), slice(ring, 1, 1)), (p, q) -> struct(p AS p, q AS q))"
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION point_in_ring(x DOUBLE, y DOUBLE, ring ARRAY<{point}>) RETURNS BOOLEAN RETURN
+        size(filter({edges}, e -> (e.p.y > y) <> (e.q.y > y) AND (x - e.p.x) * abs(e.q.y - e.p.y) < (e.q.x - e.p.x) * (y - e.p.y) * signum(e.q.y - e.p.y))) % 2 = 1
+        AND NOT exists({edges}, e -> (e.q.x - e.p.x) * (y - e.p.y) - (e.q.y - e.p.y) * (x - e.p.x) = 0
+          AND x BETWEEN least(e.p.x, e.q.x) AND greatest(e.p.x, e.q.x) AND y BETWEEN least(e.p.y, e.q.y) AND greatest(e.p.y, e.q.y))""")
+    # table functions: the cells of a grid (as wide as sx, sy) that a rectangle or a ring's box touches
+    line = lambda low, high, size: f"sequence(CAST(floor(({low}) / {size}) AS BIGINT), CAST(floor(({high}) / {size}) AS BIGINT))"
+    cells = lambda low_x, high_x, low_y, high_y: f"SELECT c.cx, c.cy FROM explode(flatten(transform({line(low_x, high_x, 'sx')}, i -> transform({line(low_y, high_y, 'sy')}, j -> named_struct('cx', i, 'cy', j))))) AS t(c)"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION footprint_cells(x DOUBLE, y DOUBLE, sx DOUBLE, sy DOUBLE) RETURNS TABLE(cx BIGINT, cy BIGINT) RETURN {cells('x - sx / 2', 'x + sx / 2', 'y - sy / 2', 'y + sy / 2')}")
+    ends = [f"array_{f}(transform(ring, p -> p.{c}))" for c in "xy" for f in ("min", "max")]
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION ring_cells(ring ARRAY<{point}>, sx DOUBLE, sy DOUBLE) RETURNS TABLE(cx BIGINT, cy BIGINT) RETURN {cells(*ends)}")

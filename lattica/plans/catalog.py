@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lattica.functions import expressions
 from lattica.operators import alignment, annotations, assembly, channels, coarsening, geometry, images, ml, mosaic, pixels, raman, registration, spectra, spots, tissue
 from lattica.operators.range_joins import gap_islands
 from lattica.plans import views
@@ -61,6 +62,21 @@ def j2_spot_aggregation(spark, d):
     return out.select("sample_id", "anchor_id", "feature", *r6("value"), "members")
 
 
+@query(_sql["j1_spot_interpolation"])
+def j1_in_sql(spark, d):
+    """J1, 2.12: the footprint join written in SQL with the table function of its cells."""
+    expressions.register(spark)
+    cells = "LATERAL footprint_cells(a.x, a.y, 1D, 1D) c"
+    return spark.sql(
+        f"""WITH pairs AS (SELECT a.sample_id, a.spot_id anchor_id, t.spot_id target_id, exp(-(pow(t.x - a.x, 2) + pow(t.y - a.y, 2)) / 0.5D) w
+          FROM {{anchor}} a, {cells} JOIN {{target}} t ON t.sample_id = a.sample_id AND floor(t.x) = c.cx AND floor(t.y) = c.cy AND abs(t.x - a.x) <= 0.5D AND abs(t.y - a.y) <= 0.5D),
+        total AS (SELECT sample_id, anchor_id, sum(w) w FROM pairs GROUP BY ALL)
+        SELECT p.sample_id, p.anchor_id, feature, round(sum(p.w / s.w * value), 6) value FROM pairs p JOIN total s USING (sample_id, anchor_id) JOIN {{feat}} f ON f.spot_id = p.target_id
+        GROUP BY ALL""",
+        anchor=views.anchor(spark, d), target=views.target(spark, d), feat=views.feat(spark, d),
+    )
+
+
 _LATTICE = """px AS (SELECT 'S0' sample_id, x, y, r, g FROM pixels),
 pp AS (SELECT a.sample_id, a.spot_id anchor_id, exp(-(power(p.x - a.x, 2) + power(p.y - a.y, 2)) / (2 * 1.25::DOUBLE * 1.25::DOUBLE)) w, r, g FROM anchor a JOIN px p
   ON a.sample_id = p.sample_id AND abs(p.x - a.x) <= 1.25::DOUBLE AND abs(p.y - a.y) <= 1.25::DOUBLE)"""
@@ -81,6 +97,20 @@ def j4_region_labels(spark, d):
     return annotations.labelled(views.target(spark, d), views.regions(spark, d), 4.0).select("sample_id", "spot_id", "annotation")
 
 
+@query(_sql["j4_region_labels"])
+def j4_in_sql(spark, d):
+    """J4, 2.12: points in polygons written in SQL with the table function of a ring's cells."""
+    expressions.register(spark)
+    return spark.sql(
+        """WITH one AS (SELECT region_id, label, explode(rings) ring FROM {regions}),
+        ring AS (SELECT region_id, label, ring, sum(ring_area(ring)) OVER (PARTITION BY region_id) area FROM one),
+        hit AS (SELECT t.sample_id, t.spot_id, min_by(label, struct(area, region_id)) annotation FROM ring r, LATERAL ring_cells(r.ring, 4D, 4D) c
+          JOIN {target} t ON floor(t.x / 4D) = c.cx AND floor(t.y / 4D) = c.cy AND point_in_ring(t.x, t.y, r.ring) GROUP BY ALL)
+        SELECT t.sample_id, t.spot_id, annotation FROM {target} t LEFT JOIN hit USING (sample_id, spot_id)""",
+        regions=views.regions(spark, d), target=views.target(spark, d),
+    )
+
+
 _AXIS = "axis AS (SELECT DISTINCT ion_mode, mz FROM peaks)"
 
 

@@ -33,7 +33,7 @@ def one_component(df: DataFrame, column: str) -> DataFrame:
     scored = df.withColumn("v", F.when(F.exists(column, lambda e: e != 0), score))
     ends = scored.agg(F.percentile("v", F.lit(0.02)).alias("__lo"), F.percentile("v", F.lit(0.98)).alias("__hi"))
     v = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + 1e-9)))
-    return scored.crossJoin(F.broadcast(ends)).withColumn("v", F.coalesce(v, F.lit(0.0))).drop("__lo", "__hi")
+    return scored.crossJoin(F.broadcast(ends)).withColumn("v", F.when(F.col("v").isNull(), 0.0).otherwise(v)).drop("__lo", "__hi")
 
 
 def equalised(df: DataFrame, by: list[str], value: str, tiles: int = TILES, clip: float = CLIP) -> DataFrame:

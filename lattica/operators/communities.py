@@ -17,7 +17,7 @@ from lattica.functions.graphs import components
 from lattica.functions.tables import removed, written
 
 BLOCK_ROWS = 2048
-MOVES, LEVELS = 12, 6
+MOVES, LEVELS = 8, 4
 
 
 def neighbours(rows: DataFrame, by: list[str], k: int = 15) -> DataFrame:

@@ -83,6 +83,14 @@ def entered(tag: str, attributes: str, above: State) -> State:
     return State(tag, chrome, zone, above.skipped or tag in SKIPPED)
 
 
+def unfinished(m: re.Match) -> bool:
+    """Whether a comment or a raw element runs to the page's end for want of its closing mark."""
+    found = m.group()
+    if m.group(1):
+        return not re.search(rf"</{m.group(1)}(?=[\s/>])[^>]*>\Z", found, re.I)
+    return found.startswith("<!--") and not found.endswith(("-->", "--!>", "<!-->", "<!--->"))
+
+
 def blocks(page: str | None) -> list[Block]:
     """Non-empty blocks in page order: character references decoded, white space runs one space, trimmed.
 
@@ -103,10 +111,13 @@ def blocks(page: str | None) -> list[Block]:
             if text:
                 found.append((tag_now, text, stack[-1]))
 
-    for m in MARKUP.finditer(page):
+    end = page.rfind(">") + 1  # nothing behind the last one closes a tag, so no tag's search runs to the page's end
+    for m in MARKUP.finditer(page, 0, end):
         if m.start() > at and not stack[-1].skipped:
             parts.append(html.unescape(page[at : m.start()]))
         at = m.end()
+        if at == end and unfinished(m):
+            at = len(page)
         closing, tag, attributes = m.group(2, 3, 4) if m.group(3) else m.group(5, 6, 7)
         if not tag:
             continue

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -54,6 +55,19 @@ def test_blocks(page, want):
     assert kept(page) == want
 
 
+@pytest.mark.parametrize("tail,want", [("<!-- never closed > x", "a"), ("<script>x>y", "a"), ("<!-- c -->b", "ab"), ("<script>x</script>b", "ab"), ("<a href=x", "a<a href=x"), ("<", "a<")])
+def test_ends(tail, want):
+    assert kept("<p>a" + tail) == want
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a '", '<a ">', "<a href='x\" ", "<!-- ", "<script", "&amp", "<b>", "</p>", "<p class='ad"])
+def test_long_broken_pages_take_linear_time(piece):
+    began = time.process_time()
+    blocks(piece * 100_000 + ">")
+    blocks(piece * 100_000)
+    assert time.process_time() - began < 20
+
+
 def test_kinds():
     assert [b.kind for b in blocks("<p>x</p><article>y</article>")] == [AROUND, ARTICLE]
     assert [b.kind for b in blocks("<p>x</p><nav>y</nav>")] == [OPEN, AROUND]

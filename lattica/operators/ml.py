@@ -61,6 +61,61 @@ def encode_patches(patches: DataFrame, encoder: Callable[[], Callable[[np.ndarra
     return patches.withColumn("embedding", run("pixels"))
 
 
+def halved_batches(run: Callable[[np.ndarray], np.ndarray], x: np.ndarray, batch: int) -> tuple[np.ndarray, int]:
+    """``run`` over the rows of ``x`` in batches, and the batch size that held: a batch that runs out of memory is tried again in halves, and later batches stay as small; one row that fails is an error."""
+    out, at = [], 0
+    while at < len(x):
+        try:
+            out.append(np.asarray(run(x[at : at + batch]), dtype=float))
+        except MemoryError:
+            if batch == 1:
+                raise
+            batch = max(1, min(batch, len(x) - at) // 2)
+        else:
+            at += batch
+    return (np.concatenate(out) if out else np.zeros((0, 0))), batch
+
+
+def encode_grid(cut: DataFrame, channels: list[str], patch: int, encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], width: int, batch: int = 512, colour: list[float] | None = None, share: float = 0.99) -> DataFrame:
+    """(patch_id, background, embedding) of patches given by their pixels (patch_id, px, py, x, y, channels; absent pixels are zero).
+
+    Patches of which at least ``share`` is the background ``colour`` get zeros (``width`` of them)
+    without being encoded; patch ids without any pixel are skipped: no row, so a join from the spots
+    leaves them out.  A worker builds the encoder once, on its first patch that isn't background, and
+    halves its batches while they run out of memory.
+    """
+    from lattica.operators.pixels import background_patches
+
+    n = len(channels)
+    place = ((F.col("y") - F.col("py")) * patch + (F.col("x") - F.col("px"))).cast("int")
+    held = cut.groupBy("patch_id").agg(F.collect_list(F.struct(place.alias("at"), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(channels)])).alias("pixels"))  # patch x patch at most
+    empty = F.lit(False) if colour is None else F.col("background")
+    if colour is not None:
+        held = held.join(background_patches(cut, channels, colour, patch, share).select("patch_id", "background"), "patch_id")
+    held = held.select("patch_id", empty.alias("background"), F.when(empty, F.array().cast(held.schema["pixels"].dataType)).otherwise(F.col("pixels")).alias("pixels"))
+    kind = cut.schema["patch_id"].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        model, size = None, batch
+        for one in batches:
+            blank = np.asarray(one.column("background").to_numpy(zero_copy_only=False), dtype=bool)
+            out, live = np.zeros((one.num_rows, width)), np.flatnonzero(~blank)
+            for a in range(0, len(live), size):
+                rows = live[a : a + size]
+                x = np.zeros((len(rows), patch * patch, n))
+                for k, r in enumerate(rows.tolist()):
+                    p = one.column("pixels")[r].values
+                    x[k, np.asarray(p.field("at"))] = np.stack([np.asarray(p.field(f"c{i}")) for i in range(n)], axis=1)
+                model = model or encoder()
+                out[rows], _ = halved_batches(model, x.reshape(len(rows), -1), size)
+            offsets = pa.array(np.arange(one.num_rows + 1) * width, pa.int32())
+            yield pa.RecordBatch.from_arrays([one.column("patch_id"), one.column("background"), pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))], names=["patch_id", "background", "embedding"])
+
+    return held.mapInArrow(run, f"patch_id {kind}, background boolean, embedding array<double>")
+
+
 def statistics_encoder() -> Callable[[np.ndarray], np.ndarray]:
     """A fixed encoder for tests and as a stand-in: mean, deviation, minimum, maximum."""
 

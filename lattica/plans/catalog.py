@@ -929,6 +929,19 @@ def m13_display_clusters(spark, d):
     return ml.display_clusters(views.anchor(spark, d), x)
 
 
+@query(sql("""SELECT s.spot_id, coalesce(share >= 0.99::DOUBLE, false) background, CASE WHEN share >= 0.99 THEN 0 ELSE round(mean, 6) END mean, CASE WHEN share >= 0.99 THEN 0 ELSE round(sqrt(greatest(0, sq / 512 - mean * mean)), 5) END spread,
+  CASE WHEN share >= 0.99 THEN 0 ELSE low END low, CASE WHEN share >= 0.99 THEN 0 ELSE high END high FROM s""",
+  "grid_ AS (SELECT spot_id, greatest(0, least(trunc(x * 2 - 8)::INTEGER, 48)) px, greatest(0, least(trunc(y - 8)::INTEGER, 400)) py FROM anchor)",
+  """s AS (SELECT spot_id, (count(*) FILTER (abs(r) <= 1e-3 AND abs(b) <= 1e-3) + 256 - count(*)) / 256.0::DOUBLE "share", sum(r + b) / 512 mean, sum(r * r + b * b) sq,
+    least(min(r), min(b), CASE WHEN count(*) < 256 THEN 0 ELSE 1e9 END) low, greatest(max(r), max(b), CASE WHEN count(*) < 256 THEN 0 ELSE -1e9 END) high FROM pixels JOIN grid_ ON x >= px AND x < px + 16 AND y >= py AND y < py + 16 GROUP BY 1)"""))
+def m12_patch_grid(spark, d):
+    """Patches encoded in batches that halve, background as zeros, spots outside the image left out (a fixed stand-in model)."""
+    corners = geometry.patches(views.anchor(spark, d).withColumn("x", F.col("x") * 2), 16, 416, 64).withColumnRenamed("spot_id", "patch_id")
+    cut = pixels.patch_pixels(corners, views.pixels(spark, d), 16)
+    out = ml.encode_grid(cut, ["r", "b"], 16, ml.statistics_encoder, 4, colour=[0.0, 0.0])
+    return out.select(F.col("patch_id").alias("spot_id"), "background", *[F.round(F.col("embedding")[i], 5 if n == "spread" else 6).alias(n) for i, n in enumerate(("mean", "spread", "low", "high"))])
+
+
 @query()
 def m11_patch_embeddings(spark, d):
     """Batch encoder over patch vectors (a fixed stand-in model)."""

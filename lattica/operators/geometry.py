@@ -82,26 +82,25 @@ def paired_spots(pos: DataFrame, neg: DataFrame) -> DataFrame:
 
 def pixel_map(obs: DataFrame) -> DataFrame:
     """Least-squares map from pixels (``px``, ``py``) to physical positions (``x``, ``y``) per sample, scaled to Frobenius norm 1: a, b (what px adds to x and y), c, d (what py adds)."""
-    s = lambda v: F.sum(F.expr(v))
-    m = obs.groupBy("sample_id").agg(*[s(v).alias(k) for k, v in {"n": "1D", "p": "px", "q": "py", "x": "x", "y": "y", "pp": "px * px", "pq": "px * py", "qq": "py * py", "px_x": "px * x", "px_y": "px * y", "py_x": "py * x", "py_y": "py * y"}.items()])
-    cov = lambda u, v, uv: F.col(uv) - F.col(u) * F.col(v) / F.col("n")
-    pp, pq, qq = cov("p", "p", "pp"), cov("p", "q", "pq"), cov("q", "q", "qq")
-    det = F.nullif(pp * qq - pq * pq, F.lit(0.0))
+    s = lambda u, v: F.regr_sxy(v, u)  # noqa: E731  centred sums, in doubles: whole-number products would overflow
+    m = obs.groupBy("sample_id").agg(*[s(u, v).alias(k) for k, (u, v) in {"pp": ("px", "px"), "pq": ("px", "py"), "qq": ("py", "py"), "px_x": ("px", "x"), "px_y": ("px", "y"), "py_x": ("py", "x"), "py_y": ("py", "y")}.items()])
+    c = F.col
+    det = F.nullif(c("pp") * c("qq") - c("pq") * c("pq"), F.lit(0.0))
     fit = {k: e / det for k, e in {
-        "a": qq * cov("p", "x", "px_x") - pq * cov("q", "x", "py_x"), "b": qq * cov("p", "y", "px_y") - pq * cov("q", "y", "py_y"),
-        "c": pp * cov("q", "x", "py_x") - pq * cov("p", "x", "px_x"), "d": pp * cov("q", "y", "py_y") - pq * cov("p", "y", "px_y")}.items()}
+        "a": c("qq") * c("px_x") - c("pq") * c("py_x"), "b": c("qq") * c("px_y") - c("pq") * c("py_y"),
+        "c": c("pp") * c("py_x") - c("pq") * c("px_x"), "d": c("pp") * c("py_y") - c("pq") * c("px_y")}.items()}
     m = m.select("sample_id", *[v.alias(k) for k, v in fit.items()])
     norm = F.sqrt(sum((F.col(k) * F.col(k) for k in "bcd"), F.col("a") * F.col("a")))
     return m.select("sample_id", *[(F.col(k) / F.nullif(norm, F.lit(0.0))).alias(k) for k in "abcd"])
 
 
 def axis_flip(pos: DataFrame, neg: DataFrame) -> DataFrame:
-    """The flip of negative pixel axes per sample (``fx``, ``fy``: 0 or 1) that brings the negative mode's pixel map nearest to the positive one (Frobenius; fewest flips on ties, x first), and that ``distance``."""
+    """The flip of negative pixel axes per sample (``fx``, ``fy``: 0 or 1) that brings the negative mode's pixel map nearest to the positive one (Frobenius, to six places; fewest flips on ties, x first), and that ``distance``."""
     p, n = pixel_map(pos), pixel_map(neg).toDF("sample_id", *[f"n{k}" for k in "abcd"])
     j = p.join(n, "sample_id").withColumn("f", F.explode(F.expr("array(struct(0 as fx, 0 as fy), struct(1 as fx, 0 as fy), struct(0 as fx, 1 as fy), struct(1 as fx, 1 as fy))")))
     sign = lambda k: 1 - 2 * F.col(f"f.{k}")
     gap = F.sqrt(sum((F.pow(sign("fx" if k in "ab" else "fy") * F.col(f"n{k}") - F.col(k), 2) for k in "bcd"), F.pow(sign("fx") * F.col("na") - F.col("a"), 2)))
-    d = j.select("sample_id", "f.fx", "f.fy", F.round(gap, 9).alias("distance"))
+    d = j.select("sample_id", "f.fx", "f.fy", F.round(gap, 6).alias("distance"))
     best = d.groupBy("sample_id").agg(F.min_by(F.struct("fx", "fy", "distance"), F.struct("distance", F.col("fx") + F.col("fy"), -F.col("fx"))).alias("b"))
     return best.select("sample_id", "b.fx", "b.fy", "b.distance")
 
@@ -116,15 +115,16 @@ def flipped_pixels(neg: DataFrame, flips: DataFrame) -> DataFrame:
 
 def midpoints(pairs: DataFrame, raster_x: int, raster_y: int) -> DataFrame:
     """Centres of paired spots (``x``, ``y`` of the positive mode, ``nx``, ``ny`` of the negative one): the positive positions are mapped onto the negative ones by least squares, moved back by half a raster along the longer axis (both if square), and averaged with them."""
-    sums = {"n": "1D", "x": "x", "y": "y", "u": "nx", "v": "ny", "xx": "x * x", "xy": "x * y", "yy": "y * y", "xu": "x * nx", "yu": "y * nx", "xv": "x * ny", "yv": "y * ny"}
-    m = pairs.groupBy("sample_id").agg(*[F.sum(F.expr(e)).alias(f"s_{k}") for k, e in sums.items()])
-    cov = lambda a, b: F.col(f"s_{a}{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("s_n")
+    means = {"x": "x", "y": "y", "u": "nx", "v": "ny"}
+    pairs_of = ("xx", "xy", "yy", "xu", "yu", "xv", "yv")
+    m = pairs.groupBy("sample_id").agg(*[F.avg(e).alias(f"m{k}") for k, e in means.items()], *[F.regr_sxy(means[v], means[u]).alias(f"s_{u}{v}") for u, v in pairs_of])
+    cov = lambda a, b: F.col(f"s_{a}{b}")
     det = F.nullif(cov("x", "x") * cov("y", "y") - cov("x", "y") * cov("x", "y"), F.lit(0.0))
     line = lambda t: ((cov("y", "y") * cov("x", t) - cov("x", "y") * cov("y", t)) / det, (cov("x", "x") * cov("y", t) - cov("x", "y") * cov("x", t)) / det)
     fit = {}
     for t in "uv":
         fit[f"bx{t}"], fit[f"by{t}"] = line(t)
-    m = m.select("sample_id", *[e.alias(k) for k, e in fit.items()], *[(F.col(f"s_{k}") / F.col("s_n")).alias(f"m{k}") for k in "xyuv"])
+    m = m.select("sample_id", *[e.alias(k) for k, e in fit.items()], *[f"m{k}" for k in "xyuv"])
     j = pairs.join(m, "sample_id")
     to = lambda t: F.col(f"m{t}") + F.coalesce(F.col(f"bx{t}") * (F.col("x") - F.col("mx")) + F.col(f"by{t}") * (F.col("y") - F.col("my")), F.lit(0.0))
     back_x, back_y = (raster_x // 2 if raster_x >= raster_y else 0), (raster_y // 2 if raster_y >= raster_x else 0)

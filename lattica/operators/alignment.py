@@ -91,22 +91,26 @@ def corner_pixels(result: dict[str, Any]) -> list[tuple[float, float]] | None:
     return [(float(x), float(y)) for x, y in found] if found is not None else None
 
 
-def display_rows(spots: DataFrame, cap: int = 100_000) -> DataFrame:
-    """What a front end draws: the spots themselves up to ``cap`` a sample, else one row a coarse bin with its majority label; (sample_id, id, x, y, class, foreground, pitch_x, pitch_y).
+def display_rows(spots: DataFrame, cap: int | None = 100_000) -> DataFrame:
+    """What a front end draws: the spots themselves up to ``cap`` a sample (all of them without one), else one row a coarse bin with its majority label; (sample_id, id, x, y, class, foreground, pitch_x, pitch_y).
 
     ``class`` numbers the labels in their order over all samples; pitches are null for spots.
     """
     from lattica.operators.coarsening import binned, grid, majority
 
-    sizes = spots.groupBy("sample_id").agg((F.count("*") > cap).alias("__many"))
     names = spots.select("cluster").distinct().withColumn("class", F.dense_rank().over(_by_label()) - 1)
-    few = spots.join(sizes.filter("not __many"), "sample_id").select("sample_id", F.col("spot_id").alias("id"), "x", "y", "cluster", "foreground", F.lit(None).cast("double").alias("pitch_x"), F.lit(None).cast("double").alias("pitch_y"))
+    own = lambda s: s.select("sample_id", F.col("spot_id").alias("id"), "x", "y", "cluster", "foreground", F.lit(None).cast("double").alias("pitch_x"), F.lit(None).cast("double").alias("pitch_y"))
+    drawn = lambda rows: rows.join(names, "cluster").select("sample_id", "id", "x", "y", F.col("class").cast("int").alias("class"), "foreground", "pitch_x", "pitch_y")
+    if cap is None:
+        return drawn(own(spots))
+    sizes = spots.groupBy("sample_id").agg((F.count("*") > cap).alias("__many"))
+    few = own(spots.join(sizes.filter("not __many"), "sample_id"))
     many = spots.join(sizes.filter("__many"), "sample_id").drop("__many")
     bins = binned(many, cap)
     at = bins.select("sample_id", "bin", F.col("bx").alias("x"), F.col("by").alias("y")).distinct()
     pitch = grid(many, cap).select("sample_id", (F.col("ex") / F.col("nx")).alias("pitch_x"), (F.col("ey") / F.col("ny")).alias("pitch_y"))
     coarse = majority(bins).join(at, ["sample_id", "bin"]).join(pitch, "sample_id").select("sample_id", F.col("bin").alias("id"), "x", "y", "cluster", "foreground", "pitch_x", "pitch_y")
-    return few.unionByName(coarse).join(names, "cluster").select("sample_id", "id", "x", "y", F.col("class").cast("int").alias("class"), "foreground", "pitch_x", "pitch_y")
+    return drawn(few.unionByName(coarse))
 
 
 def _by_label():

@@ -8,6 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
+#: Rows that a task gets of a table that is ``dealt``.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by hash of ``keys`` to tasks of about TASK_ROWS rows, a task a core at least.
+
+    What sorts, windows and groups over the keys hold in a task then grows neither with the table nor
+    with the size to which adaptive execution coalesces.  Counting reads no column of a stored table.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+    return df.repartition(n, *keys)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a folder of this application's own only in local mode, an error where a cluster names none."""

@@ -51,7 +51,7 @@ def mixture_masks(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """
     ends = df.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count("*").alias("__rows"))
     level = F.least(F.lit(LEVELS - 1), F.floor((F.col(value) - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0.0)) * LEVELS))
-    counted = df.join(ends.filter("__rows >= 4 and __hi - __lo >= 1e-12"), by).groupBy(*by, level.alias("__level")).agg(F.avg(value).alias("m"), F.count("*").alias("n"))
+    counted = df.join(F.broadcast(ends.filter("__rows >= 4 and __hi - __lo >= 1e-12")), by).groupBy(*by, level.alias("__level")).agg(F.avg(value).alias("m"), F.count("*").alias("n"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counted.select(*by).schema)
 
     def fit(pdf):
@@ -69,7 +69,7 @@ def mixture_masks(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     fitted = counted.groupBy(*by).applyInPandas(fit, f"{fields}, two boolean, w1 double, m1 double, v1 double, w0 double, m0 double, v0 double")
     log = lambda k: F.log(f"w{k}") - 0.5 * F.log(f"v{k}") - F.pow(F.col(value) - F.col(f"m{k}"), 2) / (2 * F.col(f"v{k}"))
     two = F.coalesce("two", F.lit(False))
-    return df.join(fitted, by, "left").select(*df.columns, F.when(two, log(1) >= log(0)).otherwise(True).alias("foreground"), two.alias("two"))
+    return df.join(F.broadcast(fitted), by, "left").select(*df.columns, F.when(two, log(1) >= log(0)).otherwise(True).alias("foreground"), two.alias("two"))
 
 
 def tissue_spots(peaks: DataFrame, pixels: DataFrame, kind: str, database: DataFrame | None = None, ppm: float = 10) -> DataFrame:
@@ -89,7 +89,7 @@ def tissue_spots(peaks: DataFrame, pixels: DataFrame, kind: str, database: DataF
         features, names = features.join(nearest_hits(peaks, database, ppm).select(*SPECTRUM, "share"), SPECTRUM), [*names, "share"]
     scored = composite_score(features, names).select(*SPECTRUM, "score")
     if kind == "microgrid":
-        return scored.join(floored_threshold(scored, "score", MODE), MODE).select(*SPECTRUM, "score", (F.col("score") >= F.col("threshold")).alias("foreground"))
+        return scored.join(F.broadcast(floored_threshold(scored, "score", MODE)), MODE).select(*SPECTRUM, "score", (F.col("score") >= F.col("threshold")).alias("foreground"))
     marked = mixture_masks(scored, "score", MODE)
     placed = written(marked.join(pixels.select(*SPECTRUM, F.col("px").alias("x"), F.col("py").alias("y")), SPECTRUM), "tissue-spots")
     kept = opened(filled(placed.filter("foreground"), MODE), tuple(MODE)).withColumn("kept", F.lit(True))

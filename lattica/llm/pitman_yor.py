@@ -12,7 +12,10 @@ never seen still get the probability of their spelling.
 The sampler.  Given all else, a dish's number of tables t among c customers has
 P(t) ~ S_d(c, t) * prod_i (theta + d * (tables elsewhere + i)) * P_parent, with S_d the generalised
 Stirling numbers; t is drawn from it whole (a blocked Gibbs step) at any number of customers (module
-stirling).  Dishes of one restaurant are drawn at a time against last round's total, as distributed
+stirling).  In the class and word restaurants P_parent leaves the dish's own tables out: it is the weight
+of t further customers beside those of others, at the parent's tables (class after class, so that a
+word's classes see each other's draws).  In the context restaurants it is the parent's probability of the
+sweep before to the power of t.  Dishes of one restaurant are drawn at a time against last round's total, as distributed
 samplers do.  After every round the three concentrations (classes, words, contexts) are drawn anew by
 auxiliary variables and the discounts of words and contexts follow the round's customers.  Predictive
 probabilities are averaged over the rounds after burn-in.
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from lattica.llm.common import dropped, slices, written
 from lattica.llm.language_id import sampled_texts
-from lattica.llm.stirling import EXACT, Stirling, draw_large
+from lattica.llm.stirling import EXACT, Stirling, draw_large, log_rising
 
 ORDER = 5
 BURN_IN, SAMPLES, SWEEPS = 2, 3, 2
@@ -60,26 +63,89 @@ SINGLY = 1_000_000
 # ---- seating -------------------------------------------------------------------------------------
 
 
-def seat(c: np.ndarray, p: np.ndarray, others: np.ndarray, d: float, theta: float, numbers: Stirling, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish with ``c`` customers, parent probability ``p`` and ``others`` tables elsewhere in its restaurant."""
+def seat(c: np.ndarray, p: np.ndarray, others: np.ndarray, d: float, theta: float, numbers: Stirling, rng: np.random.Generator, more=None, least: np.ndarray | None = None) -> np.ndarray:
+    """Tables of each dish with ``c`` customers, parent probability ``p`` and ``others`` tables elsewhere in its restaurant.
+
+    ``more(rows, t)``: a further log weight of the numbers ``t`` (a matrix, a row for each of the dishes
+    ``rows``), with ``least`` the smallest number of a dish at which it is finite.
+    """
     t = np.minimum(c, 1).astype(np.int64)
     base, step = (theta + d * others) * p, d * p
     order = np.argsort(c, kind="stable")
     edges = np.searchsorted(c[order], [2, 3, 4, 6, 9, 17, 33, 65, 129, EXACT + 1])
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        for k in range(a, b, 20_000):
-            rows = order[k : min(b, k + 20_000)]
+        many = 20_000 if more is None or b == a else 1 + 200_000 // int(c[order[b - 1]])
+        for k in range(a, b, many):
+            rows = order[k : min(b, k + many)]
             m = int(c[rows].max())
             opens = np.log(base[rows, None] + step[rows, None] * np.arange(m))
             logits = numbers.table[c[rows], 1 : m + 1] + np.cumsum(opens, axis=1)
+            if more is not None:
+                logits += more(rows, np.broadcast_to(np.arange(1, m + 1), logits.shape))
             w = np.cumsum(np.exp(logits - logits.max(axis=1, keepdims=True)), axis=1)
             t[rows] = 1 + (w <= (rng.random(len(rows)) * w[:, -1])[:, None]).sum(axis=1)
-    for k in range(edges[-1], len(order), 5_000):
-        rows = order[k : k + 5_000]
-        t[rows] = draw_large(c[rows], (theta + d * others[rows]) / d, np.log(d * p[rows]), numbers, rng)
+    many = 5_000 if more is None else 1_000
+    for k in range(edges[-1], len(order), many):
+        rows = order[k : k + many]
+        further = None if more is None else (lambda t, rows=rows: more(rows, t))
+        t[rows] = draw_large(c[rows], (theta + d * others[rows]) / d, np.log(d * p[rows]), numbers, rng, further, None if least is None else least[rows])
     return t
 
 
+def class_tables(c: np.ndarray, t: np.ndarray, word: np.ndarray, kind: np.ndarray, tw: np.ndarray, tables: np.ndarray, customers: float, classes: tuple[float, float], words: tuple[float, float], rng: np.random.Generator) -> np.ndarray:
+    """Tables of the (word, class) pairs, one class after another, each dish given all but its own tables.
+
+    A dish's tables are customers of the word restaurant, so t of them weigh
+    S_dw(customers of others + t, tw) / ((thetaw + all others) ... (thetaw + all others + t - 1)) there.
+    ``tables``: of each class restaurant, ``customers``: of the word restaurant.
+    """
+    (d, theta), (dw, thetaw) = classes, words
+    numbers, above, t = Stirling(d), Stirling(dw), t.copy()
+    for k in range(CLASSES):
+        dish = np.flatnonzero((kind == k) & (c > 0))
+        cw = np.bincount(word, weights=t, minlength=len(tw)).astype(np.int64)
+        rest, held = cw[word[dish]] - t[dish], tw[word[dish]]
+        far = np.maximum(customers - t[dish], 0) + thetaw
+
+        def more(rows, n, rest=rest, held=held, far=far):
+            return above.whole(rest[rows, None] + n.astype(np.int64), held[rows, None]) - log_rising(far[rows, None], n)
+
+        t[dish] = seat(c[dish], np.ones(len(dish)), np.maximum(tables[k] - t[dish], 0), d, theta, numbers, rng, more, np.maximum(1, held - rest))
+    return t
+
+
+def word_tables(cw: np.ndarray, tw: np.ndarray, grams: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...], top: float, words: tuple[float, float], spelling: tuple[float, float], rng: np.random.Generator) -> np.ndarray:
+    """Tables of the words, each given all but its own tables.
+
+    A table's bytes are customers of the context restaurants: ``grams`` (word, times in the word,
+    customers, tables) of the longest contexts, ``contexts`` (word, times in the word, customers in all),
+    both sorted by word, with the words' own tables among the customers.
+    """
+    (dw, thetaw), (d, theta) = words, spelling
+    below = Stirling(d)
+    (gw, gm, gc, gt), (xw, xm, xc) = grams, contexts
+    g0, x0 = np.searchsorted(gw, np.arange(len(cw) + 1)), np.searchsorted(xw, np.arange(len(cw) + 1))
+    rest, far = np.maximum(gc - gm * tw[gw], 0), theta + np.maximum(xc - xm * tw[xw], 0)
+    least = np.ones(len(cw), dtype=np.int64)
+    np.maximum.at(least, gw, -(-(gt - rest) // gm))
+
+    def more(rows, n):
+        out = np.zeros(n.shape)
+        for start, times, weight in (
+            (g0, gm, lambda at, k: below.whole(rest[at, None] + k.astype(np.int64), gt[at, None])),
+            (x0, xm, lambda at, k: -log_rising(far[at, None], k)),
+        ):
+            size = start[rows + 1] - start[rows]
+            row = np.repeat(np.arange(len(rows)), size)
+            at = start[rows][row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            own = np.flatnonzero(size)
+            if len(own):
+                out[own] += np.add.reduceat(weight(at, times[at, None] * n[row]), (np.cumsum(size) - size)[own], axis=0)
+        return out
+
+    return seat(cw, np.ones(len(cw)), np.maximum(top - tw, 0), dw, thetaw, Stirling(dw), rng, more, least)
+
+
 def discount(ones: int, twos: int) -> float:
     """n1 / (n1 + 2 n2), kept within 0.1 and 0.9; 0.5 without either."""
     return float(min(0.9, max(0.1, ones / (ones + 2 * twos)))) if ones + twos else 0.5
@@ -209,7 +275,7 @@ class Spelling:
     """Interpolated probabilities of seen grams, and what a context leaves to its parent."""
 
     def __init__(self, levels: dict[int, Level], d: float, theta: float):
-        keys, probs, ctx, left, below = [], [], [], [], None
+        keys, probs, ctx, left, counts, below = [], [], [], [], [], None
         for k in sorted(levels):
             v = levels[k]
             if not len(v.keys):
@@ -220,6 +286,7 @@ class Spelling:
             total, tables = by_context(v.keys, v.c), by_context(v.keys, v.t)
             keys.append(v.keys)
             probs.append(np.log(p).astype(np.float32))
+            counts.append(np.stack([v.c, v.t, total.astype(np.int64)]))
             ctx.append(own)
             left.append(np.log((theta + d * tables) / (theta + total))[first].astype(np.float32))
             below = v.keys, p
@@ -227,6 +294,14 @@ class Spelling:
         join = lambda v, kind: np.concatenate(v) if v else np.zeros(0, dtype=kind)
         self.keys, self.logp = join(keys, np.int64), join(probs, np.float32)
         self.ctx, self.logleft = join(ctx, np.int64), join(left, np.float32)
+        self.counts = np.concatenate(counts, axis=1) if counts else np.zeros((3, 0), dtype=np.int64)
+
+    def counts_of(self, keys: np.ndarray) -> np.ndarray:
+        """(3, grams): customers and tables of each gram and its restaurant's customers; zeros where unseen."""
+        if not len(self.keys):
+            return np.zeros((3, len(keys)), dtype=np.int64)
+        i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[i] == keys, self.counts[:, i], 0)
 
     def log_probability(self, blob: bytes, order: int) -> np.ndarray:
         """Natural log probability of the spelling of each of the words joined by spaces."""
@@ -656,7 +731,7 @@ def needs(vocab: DataFrame, order: int, families: int) -> DataFrame:
 
 
 def answers(asked: DataFrame, contexts: DataFrame, low: dict[int, Level], d: float, theta: float) -> DataFrame:
-    """(``bucket``, ``family``, ``lp``): natural log probabilities of the grams asked for, in their order."""
+    """(``bucket``, ``family``, ``lp``, ``counts``): natural log probabilities of the grams asked for, in their order, and their customers, tables and restaurants' customers."""
 
     def run(left, right):
         import pyarrow as pa
@@ -668,13 +743,14 @@ def answers(asked: DataFrame, contexts: DataFrame, low: dict[int, Level], d: flo
                 own = k >> 48 == m
                 levels[m] = Level(k[own], c[own])
                 levels[m].t = t[own]
-        model, out = Spelling(levels, d, theta), []
+        model, out, counts = Spelling(levels, d, theta), [], []
         for blob in left.column("keys"):
             keys = unpacked_keys(blob.as_py())
             out.append(model.log_grams(keys, keys >> 48).astype(np.float32).tobytes())
-        return pa.table({"bucket": left.column("bucket"), "family": left.column("family"), "lp": pa.array(out, pa.binary())})
+            counts.append(packed_ids(model.counts_of(keys).ravel()))
+        return pa.table({"bucket": left.column("bucket"), "family": left.column("family"), "lp": pa.array(out, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
-    return asked.groupBy("family").cogroup(contexts.select("family", "k", "c", "t").groupBy("family")).applyInArrow(run, "bucket int, family int, lp binary")
+    return asked.groupBy("family").cogroup(contexts.select("family", "k", "c", "t").groupBy("family")).applyInArrow(run, "bucket int, family int, lp binary, counts binary")
 
 
 def spelling_logs(words: bytes, lp: np.ndarray, model: Spelling, order: int, families: int) -> np.ndarray:
@@ -690,6 +766,34 @@ def spelling_logs(words: bytes, lp: np.ndarray, model: Spelling, order: int, fam
     return np.bincount(word, weights=out)
 
 
+def spelled_customers(words: bytes, counts: np.ndarray, own: np.ndarray, model: Spelling, order: int, families: int) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """``grams`` and ``contexts`` of ``word_tables`` for the words in the mask ``own``; ``counts``: the families' answers family by family."""
+    keys, by = needed(words, order, families)
+    told = np.empty((3, len(keys)), dtype=np.int64)
+    told[:, by] = counts
+    packed, length, word = spelled(words)
+    use = own[word]
+    word, key = word[use], gram(packed[use], np.minimum(length[use], order))
+    by_word = np.lexsort((key, word))
+    word, key = word[by_word], key[by_word]
+
+    def times(k):
+        """First place and number of every (word, k) among rows sorted by word, then k."""
+        first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (k[1:] != k[:-1])])) if len(k) else np.zeros(0, dtype=np.int64)
+        return first, np.diff(np.append(first, len(k)))
+
+    first, n = times(key)
+    far = key[first] >> 48 >= 2
+    seen = model.counts_of(key[first])
+    seen[:, far] = told[:, np.searchsorted(keys, key[first][far])]
+    grams = word[first], n, seen[0], seen[1]
+    room, total = context(key), np.repeat(seen[2], n)
+    by_room = np.lexsort((room, word))
+    word, total = word[by_room], total[by_room]
+    first, n = times(room[by_room])
+    return grams, (word[first], n, total[first])
+
+
 def family_levels_low(keys: np.ndarray, n: np.ndarray) -> dict[int, Level]:
     """Levels 0 and 1."""
     own = keys >> 48 == 1
@@ -719,9 +823,12 @@ def draw_words(vocab: DataFrame, told: DataFrame, model: Spelling, order: int, f
         p = np.frombuffer(row["p"], dtype=np.float32)
         if add:
             p = p + (np.maximum(c - d * t, 0) + (theta + d * tables[kind]) * up[word]) / (theta + n[kind])
-        t = seat(c, up[word], np.maximum(tables[kind] - t, 0), d, theta, Stirling(d), rng)
+        t = class_tables(c, t, word, kind, tw, tables, customers, (d, theta), (dw, thetaw), rng)
         cw = np.bincount(word, weights=t, minlength=len(tw)).astype(np.int64)
-        tw = seat(cw, h, np.maximum(top - tw, 0), dw, thetaw, Stirling(dw), rng)
+        counts = np.concatenate([np.zeros((3, 0), dtype=np.int64), *[unpacked_ids(r["counts"]).reshape(3, -1) for r in parts]], axis=1)
+        # a word of one customer has one table
+        grams, contexts = spelled_customers(row["words"], counts, cw > 1, model, order, families)
+        tw = word_tables(cw, tw, grams, contexts, top, (dw, thetaw), hyper["spelling"], rng)
         row |= {"t": packed_ids(t), "tw": packed_ids(tw), "p": p.astype(np.float32).tobytes(), "tables": np.bincount(kind, weights=t, minlength=CLASSES).astype(np.int64).tolist(), "top": int(tw.sum()), **word_kinds(cw)}
         return pa.Table.from_pylist([row], schema=to_arrow())
 
@@ -752,7 +859,7 @@ def fit(vocab: DataFrame, order: int = ORDER, burn_in: int = BURN_IN, samples: i
         dc, at = discount(few["ones"], few["twos"]), theta_contexts
         contexts, low, drawn = sample_contexts(leaves, model, dc, at, sweeps, families, seed + 2 * r)
         model, told = Spelling(low, dc, at), answers(asked, contexts, low, dc, at)
-        before, vocab = vocab, written(draw_words(vocab, told, model, order, families, r >= burn_in, totals, hyper, seed + 2 * r + 1), "lm-words")
+        before, vocab = vocab, written(draw_words(vocab, told, model, order, families, r >= burn_in, totals, hyper | {"spelling": (dc, at)}, seed + 2 * r + 1), "lm-words")
         for old in (leaves, contexts, before):
             dropped(old)
         totals = totals_of(vocab)

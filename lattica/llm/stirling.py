@@ -109,16 +109,31 @@ class Stirling:
         )
         return np.where(t >= c, -log_gamma(c + 1), out).reshape(shape)
 
+    def whole(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """log S_d(c, t), factors of c included, for c >= 0 of any size; -inf where t is more than c or only one of them is 0."""
+        c, t = np.broadcast_arrays(np.asarray(c, dtype=np.int64), np.asarray(t, dtype=np.int64))
+        out = self.table[np.minimum(c, EXACT), np.minimum(t, EXACT)]
+        far = c > EXACT
+        if far.any():
+            out[far] = np.where((t[far] >= 1) & (t[far] <= c[far]), self.log(c[far], np.clip(t[far], 1, c[far])) + log_gamma(c[far] + 1.0), -np.inf)
+        out[(t > c) & ~far] = -np.inf
+        out[(c == 0) & (t == 0)] = 0.0
+        return out
 
-def draw_large(c: np.ndarray, a: np.ndarray, log_open: np.ndarray, numbers: Stirling, rng: np.random.Generator) -> np.ndarray:
-    """t for each c > EXACT with weight S_d(c, t) * exp(t * log_open) * a * (a + 1) * ... * (a + t - 1).
+
+def draw_large(c: np.ndarray, a: np.ndarray, log_open: np.ndarray, numbers: Stirling, rng: np.random.Generator, more=None, least: np.ndarray | None = None) -> np.ndarray:
+    """t for each c > EXACT with weight S_d(c, t) * exp(t * log_open + more(t)) * a * (a + 1) * ... * (a + t - 1), from ``least`` (1) on.
+
+    ``more`` takes a matrix with a row for each c.
 
     The best t is found by bisecting on the sign of the difference, the window where the weight is within
     exp(-DEEP) of the best on both sides too.  A window of at most POINTS numbers is summed number by
     number; of a wider one the weight is taken at POINTS of its numbers, as log-linear between them.
     """
     c, a, log_open = (np.asarray(x, dtype=float) for x in (c, a, log_open))
-    weight = lambda t: numbers.log(c, t) + t * log_open + log_rising(a, t)
+    further = (lambda t: more(t[:, None])[:, 0]) if more else lambda t: 0.0
+    weight = lambda t: numbers.log(c, t) + t * log_open + log_rising(a, t) + further(t)
+    start = np.ones(len(c)) if least is None else np.clip(np.asarray(least, dtype=float), 1, c)
 
     def bisect(low, high, right):
         """Largest t in [low, high) at which ``right`` holds, plus one; low where it never does."""
@@ -128,15 +143,16 @@ def draw_large(c: np.ndarray, a: np.ndarray, log_open: np.ndarray, numbers: Stir
             low, high = np.where(go, mid + 1, low), np.where(go | (low >= high), high, mid)
         return np.minimum(low, c)
 
-    best = bisect(np.ones(len(c)), c, lambda t: weight(np.minimum(t + 1, c)) > weight(t))
+    best = bisect(start, c, lambda t: weight(np.minimum(t + 1, c)) > weight(t))
     floor = weight(best) - DEEP
-    low = bisect(np.ones(len(c)), best, lambda t: weight(t) < floor)
+    low = bisect(start, best, lambda t: weight(t) < floor)
     high = bisect(best, c, lambda t: weight(np.minimum(t + 1, c)) >= floor)
     step = np.maximum(1, np.ceil((high - low + 1) / POINTS))
     k = np.arange(POINTS + 1)
     at = low[:, None] + k * step[:, None]
     inside = at <= np.maximum(high, low)[:, None]
-    logw = np.where(inside, numbers.log(c[:, None], np.minimum(at, c[:, None])) + at * log_open[:, None] + log_rising(a[:, None], at), -np.inf)
+    logw = numbers.log(c[:, None], np.minimum(at, c[:, None])) + at * log_open[:, None] + log_rising(a[:, None], at)
+    logw = np.where(inside, logw + more(np.minimum(at, c[:, None])) if more else logw, -np.inf)
     logw -= logw.max(axis=1, keepdims=True)
     w = np.exp(logw)
     # a wide window: cells between neighbouring points, each with the mass of a trapezoid

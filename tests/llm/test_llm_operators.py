@@ -1006,3 +1006,37 @@ def test_sketches_merge_and_estimate(spark):
     row = fingerprints.add_sketch(row, "b", "sb").select(fingerprints.distinct_shingles(F.col("sa")).alias("n"), fingerprints.containment(F.col("sa"), F.col("sb")).alias("c")).first()
     assert abs(row.n / 896 - 1) < 0.35 and abs(row.c - len(five(parts[0]) & five(parts[1])) / 896) < 0.25
     assert len(union) > 0
+
+
+def test_draws_leave_a_dishs_own_tables_out():
+    """Class and word draws against the joint weight of both restaurants' tables, enumerated; words share nothing but totals."""
+    n, (d, theta), (dw, thetaw), (dc, thetac) = 30_000, (0.4, 1.0), (0.6, 2.0), (0.5, 1.5)
+    s, sw, sc = (np.exp(stirling.log_stirling(x, 20)) for x in (d, dw, dc))
+    rng, rising = np.random.default_rng(4), lambda a, step, k: np.prod([a + step * i for i in range(k)])
+    word, kind = np.repeat(np.arange(n), 2), np.tile([0, 3], n)
+    c, t, tw = np.tile([4, 1], n), np.tile([2, 1], n), np.full(n, 2)
+    tables = np.zeros(pitman_yor.CLASSES)
+    tables[[0, 3]] = 7, 1
+    got = pitman_yor.class_tables(c, t, word, kind, tw, tables, 9.0, (d, theta), (dw, thetaw), rng)
+    assert (got[1::2] == 1).all()
+    want = np.array([s[4, k] * rising(theta + d * 5, d, k) * sw[1 + k, 2] / rising(thetaw + 7, 1, k) for k in range(1, 5)])
+    assert np.allclose(np.bincount(got[::2], minlength=5)[1:] / n, want / want.sum(), atol=0.012)
+    # a word of two grams, one of them twice, in one context of nine customers; its own two tables brought six
+    grams = np.repeat(np.arange(n), 2), np.tile([1, 2], n), np.tile([3, 6], n), np.tile([2, 3], n)
+    got = pitman_yor.word_tables(np.full(n, 4), tw, grams, (np.arange(n), np.full(n, 3), np.full(n, 9)), 11.0, (dw, thetaw), (dc, thetac), rng)
+    want = np.array([sw[4, k] * rising(thetaw + dw * 9, dw, k) * sc[1 + k, 2] * sc[2 + 2 * k, 3] / rising(thetac + 3, 1, 3 * k) for k in range(1, 5)])
+    assert np.allclose(np.bincount(got, minlength=5)[1:] / n, want / want.sum(), atol=0.012)
+
+
+def test_draws_of_many_customers_leave_own_tables_out():
+    """The same where numbers are approximated and a bound keeps the parent's tables."""
+    (d, theta), (dw, thetaw), c, n = (0.5, 1.0), (0.5, 1.0), 400, 3000
+    rng, k = np.random.default_rng(6), np.arange(1, c + 1)
+    s = stirling.log_stirling(d, 2 * c)
+    tables = np.zeros(pitman_yor.CLASSES)
+    tables[0] = 60
+    got = pitman_yor.class_tables(np.full(n, c), np.full(n, 40), np.arange(n), np.zeros(n, dtype=int), np.full(n, 30), tables, 500.0, (d, theta), (dw, thetaw), rng)
+    w = s[c, k] + k * np.log(d) + stirling.log_rising(np.full(c, (theta + d * 20) / d), k) + s[k, 30] - stirling.log_rising(np.full(c, thetaw + 460), k)
+    w = np.exp(w - w.max())
+    mean, spread = (w * k).sum() / w.sum(), np.sqrt((w * k * k).sum() / w.sum() - ((w * k).sum() / w.sum()) ** 2)
+    assert got.min() >= 30 and abs(got.mean() / mean - 1) < 0.02 and abs(got.std() / spread - 1) < 0.1

@@ -18,8 +18,8 @@ from lattica.operators.spectra import split_level
 #: Pixels of a detection image at most; blur width and specks are in its pixels.
 MOST_PIXELS, BLUR, SPECK = 3000 * 3000, 25, 50
 TILE = 512
-#: Width of the blocks in which runs of neighbouring rows meet.
-BLOCK = 256
+#: Width of the blocks in which runs of neighbouring rows meet, and height of the cells in which they are joined first.
+BLOCK, STRIP = 256, 256
 
 
 def extents(df: DataFrame, by: list[str]) -> DataFrame:
@@ -101,11 +101,58 @@ def touching(own: DataFrame, by: list[str], diagonal: bool = False) -> DataFrame
     return met.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct()
 
 
+def joined_runs(own: DataFrame, by: list[str], diagonal: bool = False) -> DataFrame:
+    """Runs (``by``, y, a, b, id, ...) with ``root``, the same for runs of one component; written once.
+
+    Runs are joined inside cells of STRIP rows by BLOCK columns first, alone in tasks (a run that reaches
+    into several cells stands in each); only runs at the cells' borders are linked by rounds over a table.
+    """
+    d = int(diagonal)
+    low, high = F.floor((F.col("a") - d) / BLOCK), F.floor((F.col("b") + d) / BLOCK)
+    cells = own.withColumn("__strip", F.floor(F.col("y") / STRIP)).withColumn("__copies", high - low).withColumn("__cell", F.explode(F.sequence(low, high)))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema)
+
+    def run(table):
+        import pyarrow as pa
+
+        table = table.sort_by([("y", "ascending"), ("a", "ascending")])
+        y, a, b, ids = (table.column(c).to_numpy() for c in ("y", "a", "b", "id"))
+        first = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
+        last = np.append(first[1:], len(y))
+        up, low = [], []
+        for k in range(len(first) - 1):
+            if y[first[k + 1]] == y[first[k]] + 1:  # runs of a row are apart, so what a run touches in the next row stands together
+                i, j = slice(first[k], last[k]), slice(first[k + 1], last[k + 1])
+                begin, end = np.searchsorted(b[j], a[i] - d), np.searchsorted(a[j], b[i] + d, side="right")
+                n = np.maximum(end - begin, 0)
+                up.append(np.repeat(np.arange(first[k], last[k]), n))
+                low.append(first[k + 1] + np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum())))
+        root = np.arange(len(y))
+        if up:
+            u, v = np.concatenate(up), np.concatenate(low)
+            while True:  # least neighbour, then pointers to pointers
+                before = root.copy()
+                least = np.minimum(root[u], root[v])
+                np.minimum.at(root, root[u], least)
+                np.minimum.at(root, root[v], least)
+                while (root != root[root]).any():
+                    root = root[root]
+                if (root == before).all():
+                    break
+        return table.append_column("root", pa.array(ids[root], pa.int64()))
+
+    local = written(cells.groupBy(*by, "__strip", "__cell").applyInArrow(run, f"{kinds}, root bigint"), "cell-runs")
+    edge = local.filter(f"pmod(y, {STRIP}) in (0, {STRIP - 1})").select(*by, "y", "a", "b", "id").distinct()
+    links = touching(edge, by, diagonal).unionByName(local.filter(f"pmod(y, {STRIP}) in (0, {STRIP - 1}) or __copies > 0").select(F.col("id").alias("a"), F.col("root").alias("b")))
+    found = components(links).select(F.col("id").alias("root"), F.col("root").alias("__root"))
+    # of a run's copies the first is kept: all have one component
+    once = local.filter(F.col("__cell") == low).join(found, "root", "left").withColumn("root", F.coalesce("__root", "root"))
+    return written(once.select(*own.columns, "root"), "labelled-runs")
+
+
 def labelled_runs(mask: DataFrame, by: list[str], diagonal: bool = False) -> DataFrame:
     """Runs with ``root``, the component they belong to (edge neighbours; with ``diagonal`` corner neighbours too); written once."""
-    own = written(runs(mask, by), "runs")
-    found = components(touching(own, by, diagonal))
-    return written(own.join(found, "id", "left").withColumn("root", F.coalesce("root", "id")), "labelled-runs")
+    return joined_runs(runs(mask, by), by, diagonal)
 
 
 def pixels_of(own: DataFrame, by: list[str]) -> DataFrame:
@@ -127,17 +174,15 @@ def filled(mask: DataFrame, by: list[str]) -> DataFrame:
     is outside.
     """
     row = Window.partitionBy(*by, "y").orderBy("x")
-    once = mask.select(*by, "x", "y").distinct()
+    once = mask.select(*by, "x", "y").repartition(*by, "y").distinct()  # dealt by row once, for the gaps too
     gaps = once.withColumn("b", F.lead("x").over(row) - 1).withColumn("a", F.col("x") + 1).filter("b >= a").select(*by, "y", "a", "b")
-    gaps = written(gaps.withColumn("id", F.xxhash64(*by, "y", "a")), "holes-gaps")
-    rows = once.groupBy(*by, "y").agg(F.min("x").alias("left"), F.max("x").alias("right"))
+    rows = mask.groupBy(*by, "y").agg(F.min("x").alias("left"), F.max("x").alias("right"))
     beside = lambda d: rows.select(*by, (F.col("y") - d).alias("y"), F.col("left").alias(f"left{d}"), F.col("right").alias(f"right{d}"))
     edge = gaps.join(beside(1), [*by, "y"], "left").join(beside(-1), [*by, "y"], "left")
     open_ = lambda d: F.col(f"left{d}").isNull() | (F.col("a") < F.col(f"left{d}")) | (F.col("b") > F.col(f"right{d}"))
-    found = components(touching(gaps, by))
-    own = written(edge.select(*by, "y", "a", "b", "id", (open_(1) | open_(-1)).alias("open")).join(found, "id", "left").withColumn("root", F.coalesce("root", "id")), "holes-labelled")
+    own = joined_runs(edge.select(*by, "y", "a", "b", F.xxhash64(*by, "y", "a").alias("id"), (open_(1) | open_(-1)).alias("open")), by)
     outside = own.groupBy("root").agg(F.max("open").alias("open")).filter("open").select("root")
-    return once.unionByName(pixels_of(own.join(outside, "root", "left_anti"), by))
+    return mask.select(*by, "x", "y").distinct().unionByName(pixels_of(own.join(outside, "root", "left_anti"), by))
 
 
 def outlined(mask: DataFrame, by: list[str], share: float) -> DataFrame:

@@ -16,21 +16,25 @@ from pyspark.sql import functions as F
 from lattica.functions.graphs import components
 from lattica.functions.tables import removed, written
 
-BLOCK_ROWS = 2048
+#: Rows of a block, and of a block's slice whose distances are held at a time.
+BLOCK_ROWS, SLICE_ROWS = 8192, 512
 MOVES, LEVELS = 8, 4
 
 
 def neighbours(rows: DataFrame, by: list[str], k: int = 15) -> DataFrame:
     """(``by``, id, to, distance): the ``k`` nearest other rows of each row's group, exactly (``rows``: ``by``, id, v: array<double>; ties by id).
 
-    Blocks of about BLOCK_ROWS rows meet pairwise as matrices; each pair keeps its rows' best ``k`` and
-    only these are exchanged.
+    Blocks of about BLOCK_ROWS rows meet pairwise as matrices: each block is sent once to every block of
+    its group, and each pair keeps its rows' best ``k``, which are all that is exchanged.  Rows of a pair
+    are parted at their ``k``-th distance; only what lies within it is rooted and sorted.
     """
     counts = rows.groupBy(*by).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("__blocks"))
     held = rows.join(counts, by).withColumn("__b", F.pmod(F.xxhash64("id"), F.col("__blocks")).cast("int"))
-    packed = held.groupBy(*by, "__b").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("r"))
+    packed = held.groupBy(*by, "__blocks", "__b").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("r"))
     packed = written(packed, "blocks")
-    pairs = packed.alias("l").join(packed.select(*by, F.col("__b").alias("__c"), F.col("r").alias("s")).alias("r"), by)
+    other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
+    left, right = packed.select(*by, "__b", "r", other.alias("__c")), packed.select(*by, F.col("__b").alias("__c"), F.col("r").alias("s"), other.alias("__b"))
+    pairs = left.join(right.hint("merge"), [*by, "__b", "__c"])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*by).schema)
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -42,20 +46,31 @@ def neighbours(rows: DataFrame, by: list[str], k: int = 15) -> DataFrame:
                 left, right = batch.column("r")[n].values, batch.column("s")[n].values
                 if not len(left) or not len(right):
                     continue
-                i, j = left.field("id"), right.field("id")
+                same = batch.column("__b")[n].as_py() == batch.column("__c")[n].as_py()
                 x, y = (np.asarray(s.field("v").flatten(), dtype=float).reshape(len(s), -1) for s in (left, right))
-                d = np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * x @ y.T, 0)
-                d = np.round(np.sqrt(d), 12)
-                d[np.asarray(i.to_pylist())[:, None] == np.asarray(j.to_pylist())[None]] = np.inf
-                order = np.argsort(d, axis=1, kind="stable")[:, :k]  # ids are in order inside a block, so ties go to the smaller
-                a, b = np.repeat(np.arange(len(x)), order.shape[1]), order.ravel()
-                own = np.isfinite(d[a, b])
-                a, b = a[own], b[own]
-                head = [pa.array([batch.column(c)[n].as_py()] * len(a), batch.column(c).type) for c in by]
-                yield pa.RecordBatch.from_arrays([*head, i.take(pa.array(a)), j.take(pa.array(b)), pa.array(d[a, b])], names=[*by, "id", "to", "distance"])
-
-    found = pairs.select(*by, "r", "s").repartition(*by, F.monotonically_increasing_id() % 64).mapInArrow(run, f"{kinds}, id {kind}, to {kind}, distance double")
-    best = F.slice(F.sort_array(F.collect_list(F.struct("distance", "to"))), 1, k)
+                xx, yy = (x * x).sum(1), (y * y).sum(1)
+                for at in range(0, len(x), SLICE_ROWS):
+                    part = x[at : at + SLICE_ROWS]
+                    d = np.maximum(xx[at : at + len(part), None] + yy[None] - 2 * part @ y.T, 0)
+                    if same:
+                        d[np.arange(len(part)), at + np.arange(len(part))] = np.inf
+                    limit = np.full(len(part), np.inf)
+                    if d.shape[1] > k:  # distances that are rounded to the same are ties
+                        limit = (np.sqrt(np.partition(d, k - 1, axis=1)[:, k - 1]) + 2e-12) ** 2
+                    a, b = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
+                    far = np.round(np.sqrt(d[a, b]), 12)
+                    order = np.lexsort((b, far, a))  # ids are in order inside a block, so ties go to the smaller
+                    a, b, far = a[order], b[order], far[order]
+                    first = np.searchsorted(a, np.arange(len(part) + 1))
+                    own = np.arange(len(a)) - first[a] < k
+                    a, b, far = a[own], b[own], far[own]
+                    first = np.searchsorted(a, np.arange(len(part) + 1)).astype(np.int32)
+                    near = pa.StructArray.from_arrays([pa.array(far), right.field("id").take(pa.array(b))], names=["distance", "to"])
+                    head = [pa.array([batch.column(c)[n].as_py()] * len(part), batch.column(c).type) for c in by]
+                    yield pa.RecordBatch.from_arrays([*head, left.field("id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(first), near)], names=[*by, "id", "n"])
+
+    found = pairs.select(*by, "__b", "__c", "r", "s").mapInArrow(run, f"{kinds}, id {kind}, n array<struct<distance: double, to: {kind}>>")
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("n"))), 1, k)
     return found.groupBy(*by, "id").agg(best.alias("n")).select(*by, "id", F.explode("n").alias("n")).select(*by, "id", "n.to", "n.distance")
 
 

@@ -27,6 +27,20 @@ def test_neighbours_are_exact(spark, monkeypatch):
         assert sorted(got[i]) == want, i
 
 
+def test_neighbours_send_a_block_once_to_each_other(spark, monkeypatch):
+    """Pairs of blocks are spread by their numbers, not in a task a group, and a pair gives a row for each of its rows."""
+    monkeypatch.setattr(cm, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(cm, "SLICE_ROWS", 7)
+    rows = spark.range(100).selectExpr("'g' g", "id", "array(cast(id % 10 as double), 0D) v")
+    out = cm.neighbours(rows, ["g"], 4)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" not in plan and "RebalancePartitions" not in plan and "__c" in plan.split("MapInArrow")[1]
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.id, []).append((r.distance, r.to))
+    assert all(sorted(v) == [(0.0, j) for j in range(i % 10, 100, 10) if j != i][:4] for i, v in got.items()) and len(got) == 100
+
+
 def plain_modularity(edges, labels, resolution):
     m = sum(w for _, _, w in edges)
     k, inside = {}, 0.0

@@ -348,6 +348,24 @@ def letter_grams(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h[at], np.cumsum(buf[:-2] == SPACE, dtype=np.int64)[at] - 1
 
 
+def gram_slices(blob: bytes, size: int = 1_000_000):
+    """``letter_grams`` of words joined by spaces, in runs of about ``size`` bytes, which bounds their intermediate arrays: (first word, hashes, grams of each word)."""
+    at = first = 0
+    while at <= len(blob):
+        end = blob.find(b" ", at + size)
+        part = blob[at : end if end >= 0 else len(blob)]
+        (h, word), many = letter_grams(part), part.count(b" ") + 1
+        yield first, h.astype(np.uint16), np.bincount(word, minlength=many)[:many]
+        first, at = first + many, at + len(part) + 1
+
+
+def gram_sums(w: np.ndarray, h: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Sum of the weights ``w`` over the grams of each word."""
+    if not len(h):
+        return np.zeros(len(grams))
+    return np.add.reduceat(w.take(h), np.cumsum(grams) - grams, dtype=np.float64)  # every word has a gram a byte
+
+
 def tokens(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
@@ -399,13 +417,10 @@ def class_sums(tokenised_docs: DataFrame, weights: np.ndarray) -> tuple[np.ndarr
             for words, ids, n, held in zip(batch.column("words"), batch.column("ids"), batch.column("n_tokens"), batch.column("held"), strict=True):
                 blob, ids, n, use = words.as_py(), unpacked_ids(ids.as_py()), n.values.to_numpy().astype(np.int64), ~np.array(held.as_py(), dtype=bool)
                 ids, n = ids[np.repeat(use, n)].astype(np.int64), n[use]
-                h, word = letter_grams(blob)
-                h, many, first = h.astype(np.int64), int(blob.count(b" ")) + 1, np.cumsum(n) - n
-                grams = np.bincount(word, minlength=many)[:many]
-                start = np.cumsum(grams) - grams
+                parts, many, first = list(gram_slices(blob)), int(blob.count(b" ")) + 1, np.cumsum(n) - n
                 for k in range(starts if len(n) else 0):
                     own = flat[k * CLASSES : (k + 1) * CLASSES]
-                    r = np.stack([np.add.reduceat(np.bincount(word, weights=w.take(h), minlength=many)[:many].take(ids), first) for w in own], axis=1) + own[:, -1]
+                    r = np.stack([np.add.reduceat(np.concatenate([gram_sums(w, h, g) for _, h, g in parts]).take(ids), first) for w in own], axis=1) + own[:, -1]
                     top = r.max(axis=1, keepdims=True)
                     r = np.exp(r - top)
                     fit[k] += float((top[:, 0] + np.log(r.sum(axis=1))).sum())
@@ -420,11 +435,15 @@ def class_sums(tokenised_docs: DataFrame, weights: np.ndarray) -> tuple[np.ndarr
                             size = n[some]
                             at = np.arange(int(size.sum())) + np.repeat(first[some] - np.cumsum(size) + size, size)
                             mass += np.bincount(ids[at] * CLASSES + c, weights=np.repeat(r[some, c], size), minlength=len(mass))
-                    for c, own in enumerate(np.ascontiguousarray(mass.reshape(many, CLASSES).T)):
-                        live = np.flatnonzero(own)  # few words occur in many classes
-                        size = grams[live]
-                        at = np.arange(int(size.sum())) + np.repeat(start[live] - np.cumsum(size) + size, size)
-                        sums[k * CLASSES + c, :dims] += np.bincount(h[at], weights=np.repeat(own[live], size), minlength=dims)
+                    mass = mass.reshape(many, CLASSES)
+                    for begin, h, grams in parts:
+                        start = np.cumsum(grams) - grams
+                        for c in range(CLASSES):
+                            own = mass[begin : begin + len(grams), c]
+                            live = np.flatnonzero(own)  # few words occur in many classes
+                            size = grams[live]
+                            at = np.arange(int(size.sum())) + np.repeat(start[live] - np.cumsum(size) + size, size)
+                            sums[k * CLASSES + c, :dims] += np.bincount(h[at], weights=np.repeat(own[live], size), minlength=dims)
         salt = TaskContext.get().partitionId() % 64
         kinds = [pa.array(np.arange(len(flat)), pa.int32()), pa.array([salt] * len(flat), pa.int32()), pa.array([x.tobytes() for x in sums], pa.binary()), pa.array(np.repeat(fit, CLASSES) / CLASSES)]
         yield pa.RecordBatch.from_arrays(kinds, names=["k", "salt", "sums", "fit"])
@@ -468,9 +487,7 @@ def fit_classes(tokenised_docs: DataFrame, centres: np.ndarray | None) -> np.nda
 
 def word_scores(blob: bytes, weights: np.ndarray) -> np.ndarray:
     """(words, CLASSES): each word's evidence for the classes, centred."""
-    h, word = letter_grams(blob)
-    n = int(blob.count(b" ")) + 1
-    out = np.stack([np.bincount(word, weights=w[h], minlength=n)[:n] for w in weights[:, :-1]], axis=1)
+    out = np.concatenate([np.stack([gram_sums(w, h, grams) for w in weights[:, :-1]], axis=1) for _, h, grams in gram_slices(blob)])
     return out - out.mean(axis=1, keepdims=True)
 
 

@@ -1040,3 +1040,15 @@ def test_draws_of_many_customers_leave_own_tables_out():
     w = np.exp(w - w.max())
     mean, spread = (w * k).sum() / w.sum(), np.sqrt((w * k * k).sum() / w.sum() - ((w * k).sum() / w.sum()) ** 2)
     assert got.min() >= 30 and abs(got.mean() / mean - 1) < 0.02 and abs(got.std() / spread - 1) < 0.1
+
+
+def test_grams_in_slices_are_those_of_the_whole():
+    """Intermediate arrays of the EM are bounded by a slice of the words, whatever a chunk holds."""
+    blob = " ".join(["the", "a", "naïve", "x" * 50, "\n", "of"] * 9).encode()
+    h, word = pitman_yor.letter_grams(blob)
+    parts = list(pitman_yor.gram_slices(blob, 20))
+    assert len(parts) > 9 and max(len(x) for _, x, _ in parts) <= 80
+    assert np.concatenate([x for _, x, _ in parts]).tolist() == h.tolist()
+    assert np.concatenate([g for _, _, g in parts]).tolist() == np.bincount(word).tolist() and [f for f, _, _ in parts] == np.cumsum([0] + [len(g) for _, _, g in parts[:-1]]).tolist()
+    w = np.random.default_rng(0).random(1 << pitman_yor.GRAM_BITS)
+    assert np.allclose(np.concatenate([pitman_yor.gram_sums(w, x, g) for _, x, g in parts]), np.bincount(word, weights=w[h]))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lattica.llm.common import slices
+from lattica.llm.common import lean, slices
 from lattica.llm.grams import BITS, byte_map, trigram_counts, unit
 
 MAX_ROWS = 4000
@@ -142,4 +142,4 @@ def identify(df: DataFrame, id_col: str, text_col: str, model: dict, carry: list
                 kept = [part.column(c) for c in (id_col, *carry)]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(score), pa.array(close)], names=[id_col, *carry, "lang_pred", "score", "ambiguous"])
 
-    return given.mapInArrow(predict, schema)
+    return given.mapInArrow(lean(predict), schema)

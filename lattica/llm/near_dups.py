@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import dropped, slices, written
+from lattica.llm.common import dropped, lean, slices, written
 from lattica.llm.shingles import HASHES, bands, digest, shingle_sets, signature
 
 SHINGLE = 3
@@ -74,7 +74,7 @@ def profile(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
                     names=["id", "text_hash", "n", "d1", "d2", "sig", "bands"],
                 )
 
-    return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, text_hash bigint, n bigint, d1 bigint, d2 bigint, sig binary, bands array<bigint>")
+    return given.mapInArrow(lean(run), f"id {given.schema['id'].dataType.simpleString()}, text_hash bigint, n bigint, d1 bigint, d2 bigint, sig binary, bands array<bigint>")
 
 
 def likely(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -92,7 +92,7 @@ def likely(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
                 yield batch.select(["a", "b"]).take(alive)
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(lean(run), f"a {kind}, b {kind}")
 
 
 class Group:
@@ -183,7 +183,7 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, shing
                 sets = shingle_sets([t.encode() for t in part.column("__text").to_pylist()], shingle)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "set"])
 
-    return chosen.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, set binary").dropDuplicates(["id"])
+    return chosen.mapInArrow(lean(run), f"id {given.schema['id'].dataType.simpleString()}, set binary").dropDuplicates(["id"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -201,7 +201,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).take(np.array(keep, dtype=np.int64))
 
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("xb")), "b")
-    return joined.select("a", "b", "xa", "xb").mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.select("a", "b", "xa", "xb").mapInArrow(lean(run), f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame) -> DataFrame:

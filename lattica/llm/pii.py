@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import dropped, slices, written
+from lattica.llm.common import dropped, lean, slices, written
 
 #: The kinds in their order of precedence.
 KINDS = ("email", "ip", "card", "phone")
@@ -143,7 +143,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 rows = [occurrences(t, base_spans(t)) if "@" in t or DIGIT.search(t) else [] for t in part.column("__text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("__id"), part.column("__key"), pa.array(rows, found)], names=["__id", "__key", "found"])
 
-    return given.select("__id", "__text", "__key").mapInArrow(find, f"__id {kind}, __key bigint, found {CANDIDATES}")
+    return given.select("__id", "__text", "__key").mapInArrow(lean(find), f"__id {kind}, __key bigint, found {CANDIDATES}")
 
 
 def fits(instance: Column, kind: Column) -> Column:

@@ -59,6 +59,17 @@ def test_a_cluster_must_name_its_shared_folder():
 # ---- pieces ------------------------------------------------------------------------------------
 
 
+def test_segments_are_filtered_in_blocks(monkeypatch):
+    """What is filtered at a time doesn't grow with a task's new segments, and the pieces stay the same."""
+    texts = [" ".join(f"{'word' * (i % 4)}{i}-{k}" for i in range(40)) for k in range(20)] + [""]
+    vocabulary, keys = pieces.load_vocabulary(), np.arange(21)
+    want, most, filtered = pieces.Lattice(vocabulary, 1.0).sample(texts, keys), [], pieces.Lattice.filtered
+    monkeypatch.setattr(pieces.Lattice, "filtered", lambda self, s: most.append(sum(map(len, s))) or filtered(self, s))
+    monkeypatch.setattr(pieces, "BLOCK", 1000)
+    got = pieces.Lattice(vocabulary, 1.0).sample(texts, keys)
+    assert 0 < max(most) < 1100 and all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
 def test_pieces_are_lossless_and_reproducible(spark):
     df = table(spark, [*ODD, *ODD], ids=[*range(9), *range(9)])
     out = pieces.encode(df, "doc_id", "text", carry=["score"])

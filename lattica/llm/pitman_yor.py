@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import dropped, slices, written
+from lattica.llm.common import dropped, lean, returned, slices, written
 from lattica.llm.language_id import sampled_texts
 from lattica.llm.stirling import EXACT, Stirling, draw_large, log_rising
 
@@ -208,18 +208,24 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first)
 
 
-def by_context(keys: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Sum of ``v`` over each gram's restaurant, for sorted keys (a restaurant's grams needn't be adjacent)."""
-    _, where = np.unique(context(keys), return_inverse=True)
-    return np.bincount(where, weights=v)[where]
-
-
 class Level:
     """Grams of one context length: direct customers, customers in all, tables."""
 
     def __init__(self, keys: np.ndarray, direct: np.ndarray):
         self.keys, self.direct = keys, direct
         self.c, self.t = direct.copy(), np.minimum(direct, 1)
+        self._room = None
+
+    @property
+    def room(self) -> np.ndarray:
+        """Number of each gram's restaurant (a restaurant's grams needn't be adjacent): sorted for once, since every sweep sums over it."""
+        if self._room is None:
+            self._room = np.unique(context(self.keys), return_inverse=True)[1].astype(np.int32)
+        return self._room
+
+    def by_context(self, v: np.ndarray) -> np.ndarray:
+        """Sum of ``v`` over each gram's restaurant."""
+        return np.bincount(self.room, weights=v)[self.room]
 
 
 def family_levels(keys: np.ndarray, n: np.ndarray, lowest: int) -> dict[int, Level]:
@@ -234,7 +240,7 @@ def family_levels(keys: np.ndarray, n: np.ndarray, lowest: int) -> dict[int, Lev
 
 
 def predictive(level: Level, below: np.ndarray, d: float, theta: float) -> np.ndarray:
-    total, tables = by_context(level.keys, level.c), by_context(level.keys, level.t)
+    total, tables = level.by_context(level.c), level.by_context(level.t)
     return (np.maximum(level.c - d * level.t, 0) + (theta + d * tables) * below) / (theta + total)
 
 
@@ -255,7 +261,7 @@ def gibbs(levels: dict[int, Level], base_of, lowest: int, d: float, theta: float
             if k < top:
                 v.c = v.direct + np.bincount(at[k + 1], weights=levels[k + 1].t, minlength=len(v.keys)).astype(np.int64)
             if sweep:
-                v.t = seat(v.c, p[k], by_context(v.keys, v.t) - v.t, d, theta, numbers, rng)
+                v.t = seat(v.c, p[k], v.by_context(v.t) - v.t, d, theta, numbers, rng)
             else:
                 v.t = np.minimum(v.c, 1)
 
@@ -265,8 +271,7 @@ def level_auxiliaries(levels: dict[int, Level], d: float, theta: float, rng: np.
     y = x = 0.0
     for v in levels.values():
         if len(v.keys):
-            _, where = np.unique(context(v.keys), return_inverse=True)
-            more = auxiliaries(np.bincount(where, weights=v.c), np.bincount(where, weights=v.t).astype(np.int64), d, theta, rng)
+            more = auxiliaries(np.bincount(v.room, weights=v.c), np.bincount(v.room, weights=v.t).astype(np.int64), d, theta, rng)
             y, x = y + more[0], x + more[1]
     return y, x
 
@@ -283,7 +288,7 @@ class Spelling:
             at_parent = np.full(len(v.keys), 1 / 256) if below is None or k == 0 else below[1][np.searchsorted(below[0], parent(v.keys))]
             p = predictive(v, at_parent, d, theta)
             own, first = np.unique(context(v.keys), return_index=True)
-            total, tables = by_context(v.keys, v.c), by_context(v.keys, v.t)
+            total, tables = v.by_context(v.c), v.by_context(v.t)
             keys.append(v.keys)
             probs.append(np.log(p).astype(np.float32))
             counts.append(np.stack([v.c, v.t, total.astype(np.int64)]))
@@ -455,7 +460,7 @@ def class_sums(tokenised_docs: DataFrame, weights: np.ndarray) -> tuple[np.ndarr
         return pa.table({"k": table.column("k")[:1], "salt": table.column("salt")[:1], "sums": pa.array([total.tobytes()], pa.binary()), "fit": pa.array([sum(table.column("fit").to_pylist())])})
 
     kind = "k int, salt int, sums binary, fit double"
-    own = tokenised_docs.select("words", "ids", "n_tokens", "held").mapInArrow(run, kind)
+    own = tokenised_docs.select("words", "ids", "n_tokens", "held").mapInArrow(lean(run), kind)
     rows = own.groupBy("k", "salt").applyInArrow(add, kind).groupBy("k").applyInArrow(add, kind).collect()
     sums, fit = np.zeros((len(flat), dims + 1)), np.zeros(len(flat))
     for r in rows:
@@ -546,7 +551,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, held: Column) -> Data
         if rows:
             yield flush()
 
-    return given.mapInArrow(run, TOKENS)
+    return given.mapInArrow(lean(run), TOKENS)
 
 
 def chunked(tokenised_docs: DataFrame, buckets: int, weights: np.ndarray) -> DataFrame:
@@ -562,7 +567,7 @@ def chunked(tokenised_docs: DataFrame, buckets: int, weights: np.ndarray) -> Dat
             idx, n, folds = unpacked_ids(row["ids"]), np.array(row["n_tokens"], dtype=np.int64), np.array(row["held"], dtype=bool)
             words = row["words"].split(b" ")
             score = word_scores(row["words"], weights)
-            kind, first = np.empty(len(idx), dtype=np.int64), np.cumsum(n) - n
+            kind, first = np.empty(len(idx), dtype=np.int8), np.cumsum(n) - n
             for a, m in zip(first.tolist(), n.tolist(), strict=True):  # evidence of the words before, within the text
                 before = np.zeros((m, CLASSES))
                 np.cumsum(score[idx[a : a + m - 1]], axis=0, out=before[1:])
@@ -571,7 +576,11 @@ def chunked(tokenised_docs: DataFrame, buckets: int, weights: np.ndarray) -> Dat
             order = np.argsort(bucket, kind="stable")  # words go by bucket, then by first use
             rank = np.empty(len(words), dtype=np.int64)
             rank[order] = np.arange(len(words))
-            kinds, ids = np.unique(rank[idx] * CLASSES + kind, return_inverse=True)
+            pair = rank[idx] * CLASSES + kind
+            seen_pair = np.zeros(len(words) * CLASSES, dtype=bool)
+            seen_pair[pair] = True
+            kinds = np.flatnonzero(seen_pair)
+            ids = (np.cumsum(seen_pair, dtype=np.int32) - 1)[pair]  # a token's pair among those that occur
             seen = np.bincount(ids, weights=np.repeat(~folds, n), minlength=len(kinds)).astype(np.int64)
             mask = np.zeros(len(words), dtype=np.uint8)
             np.bitwise_or.at(mask, kinds // CLASSES, np.left_shift(1, kinds % CLASSES).astype(np.uint8))
@@ -585,6 +594,7 @@ def chunked(tokenised_docs: DataFrame, buckets: int, weights: np.ndarray) -> Dat
         for batch in batches:
             for k in range(batch.num_rows):
                 yield flush(batch.slice(k, 1).to_pylist()[0])
+                returned()
 
     return tokenised_docs.mapInArrow(run, CHUNKS)
 
@@ -659,7 +669,7 @@ def leaf_counts(vocab: DataFrame, order: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return vocab.select("words", "tw").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return vocab.select("words", "tw").mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def family_of(keys, families: int):
@@ -707,6 +717,7 @@ def sample_contexts(leaves: DataFrame, top: Spelling | None, d: float, theta: fl
         gibbs(levels, base_of, 2, d, theta, sweeps, rng)
         y, x = level_auxiliaries(levels, d, theta, rng)
         k, c, t = (np.concatenate([getattr(levels[m], x) for m in sorted(levels)]) for x in ("keys", "c", "t"))
+        returned()
         up = [{"key": key, "n": n} for key, n in zip(*(x.tolist() for x in summed(parent(levels[2].keys), levels[2].t)), strict=True)]
         kinds = pa.schema([("family", pa.int32()), ("k", pa.binary()), ("c", pa.binary()), ("t", pa.binary()), ("up", pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))), ("y", pa.float64()), ("x", pa.float64())])
         return pa.Table.from_pylist([{"family": at, "k": packed_keys(k), "c": packed_ids(c), "t": packed_ids(t), "up": up, "y": y, "x": x}], schema=kinds)
@@ -744,7 +755,7 @@ def needs(vocab: DataFrame, order: int, families: int) -> DataFrame:
                 blobs = [packed_keys(x) for x in np.split(keys[by], first[1:])] if len(found) else []
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([bucket] * len(found), pa.int32()), pa.array(blobs, pa.binary())], names=["family", "bucket", "keys"])
 
-    return vocab.select("bucket", "words").mapInArrow(run, "family int, bucket int, keys binary")
+    return vocab.select("bucket", "words").mapInArrow(lean(run), "family int, bucket int, keys binary")
 
 
 def answers(asked: DataFrame, contexts: DataFrame, low: dict[int, Level], d: float, theta: float) -> DataFrame:
@@ -765,6 +776,7 @@ def answers(asked: DataFrame, contexts: DataFrame, low: dict[int, Level], d: flo
             keys = unpacked_keys(blob.as_py())
             out.append(model.log_grams(keys, keys >> 48).astype(np.float32).tobytes())
             counts.append(packed_ids(model.counts_of(keys).ravel()))
+        returned()
         return pa.table({"bucket": left.column("bucket"), "family": left.column("family"), "lp": pa.array(out, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
     return asked.groupBy("family").cogroup(contexts.select("family", "k", "c", "t").groupBy("family")).applyInArrow(run, "bucket int, family int, lp binary, counts binary")
@@ -847,6 +859,7 @@ def draw_words(vocab: DataFrame, told: DataFrame, model: Spelling, order: int, f
         grams, contexts = spelled_customers(row["words"], counts, cw > 1, model, order, families)
         tw = word_tables(cw, tw, grams, contexts, top, (dw, thetaw), hyper["spelling"], rng)
         row |= {"t": packed_ids(t), "tw": packed_ids(tw), "p": p.astype(np.float32).tobytes(), "tables": np.bincount(kind, weights=t, minlength=CLASSES).astype(np.int64).tolist(), "top": int(tw.sum()), **word_kinds(cw)}
+        returned()
         return pa.Table.from_pylist([row], schema=to_arrow())
 
     return vocab.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(run, VOCABULARY)

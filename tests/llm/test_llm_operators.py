@@ -392,6 +392,20 @@ def step(model, prefix, b):
         length -= 1
 
 
+def test_restaurants_are_sorted_for_once(monkeypatch):
+    """Sweeps and concentrations share one numbering of a level's restaurants, the sums being those of a plain loop."""
+    packed, length, _ = pitman_yor.spelled(b"banana bandana ban an and nab cabana")
+    keys, n = pitman_yor.summed(pitman_yor.gram(packed, np.minimum(length, pitman_yor.ORDER)), np.ones(len(packed), dtype=np.int64))
+    calls, real, levels = [], pitman_yor.context, pitman_yor.family_levels(keys, n, 0)
+    monkeypatch.setattr(pitman_yor, "context", lambda k: calls.append(len(k)) or real(k))
+    pitman_yor.gibbs(levels, lambda k: np.full(len(k), 1 / 256), 0, 0.5, 1.0, 2, np.random.default_rng(0))
+    pitman_yor.level_auxiliaries(levels, 0.5, 1.0, np.random.default_rng(0))
+    assert len(calls) == len(levels)
+    for v in levels.values():
+        of = real(v.keys).tolist()
+        assert v.by_context(v.c).tolist() == [sum(c for r, c in zip(of, v.c.tolist(), strict=True) if r == o) for o in of]
+
+
 def test_language_model_base_and_shape(spark, documents, texts):
     held = fold(F.col("doc_id"), 10)
     odd = table(spark, ODD, ids=range(10**6, 10**6 + 9)).select("doc_id", "text")

@@ -18,8 +18,12 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     What sorts, windows and groups over the keys hold in a task then grows neither with the table nor
     with the size to which adaptive execution coalesces.  Counting reads no column of a stored table.
     """
-    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
-    return df.repartition(n, *keys)
+    return df.repartition(tasks(df.sparkSession, df.count()), *keys)
+
+
+def tasks(spark: SparkSession, rows: int) -> int:
+    """How many tasks ``rows`` are dealt to."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
 
 
 def shared_folder(spark: SparkSession) -> str:

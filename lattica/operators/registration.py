@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lattica.functions.tables import dealt, tasks, written
 from lattica.operators.range_joins import footprint_join, lattice_join
 
 
@@ -17,21 +18,36 @@ def _weights(pairs: DataFrame, sx: float, sy: float) -> DataFrame:
     return pairs.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy("sample_id", "anchor_id")))
 
 
-def interpolate(anchors: DataFrame, targets: DataFrame, features: DataFrame, sx: float, sy: float, value: str = "value") -> DataFrame:
+def _met(weighted: DataFrame, pairs: DataFrame, targets: DataFrame, features: DataFrame, rows: int | None, *columns: Column) -> DataFrame:
+    """``columns`` of each pair and feature of its target, dealt by anchor and feature to tasks of about TASK_ROWS rows.
+
+    ``rows``: how many rows the features have at most (None: they are counted).  A target's rows come once
+    for each anchor that covers it, so the stored ``pairs`` a target multiply them; ``weighted``: the pairs with what ``columns`` need.
+    """
+    rows = features.count() if rows is None else rows
+    n = tasks(pairs.sparkSession, math.ceil(rows * max(1.0, pairs.count() / max(1, targets.count()))))
+    joined = weighted.join(features.withColumnRenamed("spot_id", "target_id"), "target_id")
+    return joined.select("sample_id", "anchor_id", "feature", *columns).repartition(n, "sample_id", "anchor_id", "feature")
+
+
+def interpolate(anchors: DataFrame, targets: DataFrame, features: DataFrame, sx: float, sy: float, value: str = "value", rows: int | None = None) -> DataFrame:
     """Gaussian-weighted mean of the covered targets' features: (sample_id, anchor_id, feature, value).
 
     Weights are normalised over all covered targets, with or without a stored value (a missing row is
-    zero).  Anchors that cover nothing have no rows, which is a zero vector in long form.
+    zero).  Anchors that cover nothing have no rows, which is a zero vector in long form.  Pairs are
+    stored, so that what follows is dealt by their number; ``rows``: of the features at most, if known.
     """
-    pairs = _weights(footprint_join(anchors, targets, sx, sy), sx, sy)
-    joined = pairs.join(features.withColumnRenamed("spot_id", "target_id"), "target_id")
-    return joined.groupBy("sample_id", "anchor_id", "feature").agg(F.sum(F.col("w") * F.col(value)).alias("value"))
+    pairs = written(footprint_join(anchors, targets, sx, sy), "pairs")
+    weighted = _weights(dealt(pairs, "sample_id", "anchor_id"), sx, sy)
+    joined = _met(weighted, pairs, targets, features, rows, (F.col("w") * F.col(value)).alias("value"))
+    return joined.groupBy("sample_id", "anchor_id", "feature").agg(F.sum("value").alias("value"))
 
 
-def aggregate(anchors: DataFrame, targets: DataFrame, features: DataFrame, sx: float, sy: float, value: str = "value") -> DataFrame:
+def aggregate(anchors: DataFrame, targets: DataFrame, features: DataFrame, sx: float, sy: float, value: str = "value", rows: int | None = None) -> DataFrame:
     """Sum of the covered targets' features, and how many targets stored one."""
-    joined = footprint_join(anchors, targets, sx, sy).join(features.withColumnRenamed("spot_id", "target_id"), "target_id")
-    return joined.groupBy("sample_id", "anchor_id", "feature").agg(F.sum(value).alias("value"), F.count("*").alias("members"))
+    pairs = written(footprint_join(anchors, targets, sx, sy), "pairs")
+    joined = _met(pairs, pairs, targets, features, rows, F.col(value).alias("value"))
+    return joined.groupBy("sample_id", "anchor_id", "feature").agg(F.sum("value").alias("value"), F.count("*").alias("members"))
 
 
 def interpolate_pixels(anchors: DataFrame, pixels: DataFrame, channels: list[str], sx: float, sy: float) -> DataFrame:

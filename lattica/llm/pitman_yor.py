@@ -30,17 +30,15 @@ contexts of one byte or none (at most 65,792 grams) are collected and sent to ta
 
 from __future__ import annotations
 
-from collections import defaultdict
 from itertools import count
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lattica.llm.common import dropped, lean, returned, slices, written
 from lattica.llm.language_id import sampled_texts
-from lattica.llm.stirling import EXACT, Stirling, draw_large, log_rising
+from lattica.llm.stirling import EXACT, Stirling, draw_large, log_rising, stirling
 
 ORDER = 5
 BURN_IN, SAMPLES, SWEEPS = 2, 3, 2
@@ -56,6 +54,10 @@ STARTS, TRIAL_PASSES, PASSES = 2, 2, 10
 #: Rows among which the starts pick their first centres; everything that is learned comes from all training rows.
 CENTRE_ROWS = 256
 GRAM_BITS = 12
+#: Rows of trigram counts that are multiplied at a time, and distinct trigrams a row from which they are laid out in full; entries of sparser rows at a time; trigrams of the texts counted at a time.
+FULL_ROWS, FULL_FROM, SPARSE_ENTRIES, COUNTED = 128, 128, 1_000_000, 1_000_000
+#: Tokens whose classes are found at a time.
+RUN = 100_000
 #: Tables of one restaurant that are drawn one by one for the concentration; those beyond together.
 SINGLY = 1_000_000
 
@@ -87,7 +89,7 @@ def seat(c: np.ndarray, p: np.ndarray, others: np.ndarray, d: float, theta: floa
     many = 5_000 if more is None else 1_000
     for k in range(edges[-1], len(order), many):
         rows = order[k : k + many]
-        further = None if more is None else (lambda t, rows=rows: more(rows, t))
+        further = None if more is None else (lambda k, t, rows=rows: more(rows[k], t))
         t[rows] = draw_large(c[rows], (theta + d * others[rows]) / d, np.log(d * p[rows]), numbers, rng, further, None if least is None else least[rows])
     return t
 
@@ -100,7 +102,7 @@ def class_tables(c: np.ndarray, t: np.ndarray, word: np.ndarray, kind: np.ndarra
     ``tables``: of each class restaurant, ``customers``: of the word restaurant.
     """
     (d, theta), (dw, thetaw) = classes, words
-    numbers, above, t = Stirling(d), Stirling(dw), t.copy()
+    numbers, above, t = stirling(d), stirling(dw), t.copy()
     for k in range(CLASSES):
         dish = np.flatnonzero((kind == k) & (c > 0))
         cw = np.bincount(word, weights=t, minlength=len(tw)).astype(np.int64)
@@ -122,7 +124,7 @@ def word_tables(cw: np.ndarray, tw: np.ndarray, grams: tuple[np.ndarray, ...], c
     both sorted by word, with the words' own tables among the customers.
     """
     (dw, thetaw), (d, theta) = words, spelling
-    below = Stirling(d)
+    below = stirling(d)
     (gw, gm, gc, gt), (xw, xm, xc) = grams, contexts
     g0, x0 = np.searchsorted(gw, np.arange(len(cw) + 1)), np.searchsorted(xw, np.arange(len(cw) + 1))
     rest, far = np.maximum(gc - gm * tw[gw], 0), theta + np.maximum(xc - xm * tw[xw], 0)
@@ -143,7 +145,7 @@ def word_tables(cw: np.ndarray, tw: np.ndarray, grams: tuple[np.ndarray, ...], c
                 out[own] += np.add.reduceat(weight(at, times[at, None] * n[row]), (np.cumsum(size) - size)[own], axis=0)
         return out
 
-    return seat(cw, np.ones(len(cw)), np.maximum(top - tw, 0), dw, thetaw, Stirling(dw), rng, more, least)
+    return seat(cw, np.ones(len(cw)), np.maximum(top - tw, 0), dw, thetaw, stirling(dw), rng, more, least)
 
 
 def discount(ones: int, twos: int) -> float:
@@ -202,7 +204,7 @@ def context(keys: np.ndarray) -> np.ndarray:
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return keys, n
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, n = keys[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(n, first)
@@ -246,7 +248,7 @@ def predictive(level: Level, below: np.ndarray, d: float, theta: float) -> np.nd
 
 def gibbs(levels: dict[int, Level], base_of, lowest: int, d: float, theta: float, sweeps: int, rng: np.random.Generator) -> None:
     """Sweep a family of restaurants; ``base_of(keys)`` gives the parent's probabilities of the lowest level's grams."""
-    numbers = Stirling(d)
+    numbers = stirling(d)
     top = max(levels)
     base = base_of(levels[lowest].keys)
     at = {k: np.searchsorted(levels[k - 1].keys, parent(levels[k].keys)) for k in range(lowest + 1, top + 1)}
@@ -405,8 +407,41 @@ def class_centres(docs: DataFrame, id_col: str, text_col: str, usable: Column, s
     return np.stack(out)
 
 
-def class_sums(tokenised_docs: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One pass of expectations over all training rows: expected trigram counts and rows (starts, CLASSES, 2**GRAM_BITS + 1), log likelihoods (starts).
+def text_grams(tokenised_docs: DataFrame) -> DataFrame:
+    """Trigram counts of the training rows, the same in every pass: a chunk's entries by row and trigram, as distances from one to the next (``at``), their counts (``n``) and how many rows of counts each text has (``rows``: one, or one for each run of COUNTED trigrams it reaches into)."""
+    dims = 1 << GRAM_BITS
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for words, ids, n, held in zip(batch.column("words"), batch.column("ids"), batch.column("n_tokens"), batch.column("held"), strict=True):
+                use, n = ~np.array(held.as_py(), dtype=bool), n.values.to_numpy().astype(np.int64)
+                if not use.any():
+                    continue
+                ids, text = unpacked_ids(ids.as_py())[np.repeat(use, n)], np.repeat(np.arange(int(use.sum())), n[use])
+                h, grams = (np.concatenate(x) for x in zip(*((h, g) for _, h, g in gram_slices(words.as_py())), strict=True))
+                start, size = (np.cumsum(grams) - grams)[ids], grams[ids]
+                reach = np.cumsum(size)
+                cuts = np.unique(np.concatenate([[0], np.searchsorted(reach, np.arange(COUNTED, reach[-1], COUNTED), side="right"), [len(ids)]]))
+                rows, before, at, many = np.zeros(int(use.sum()), dtype=np.int64), 0, [], []
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    own, local = size[a:b], text[a:b] - text[a]
+                    place = np.arange(int(own.sum())) + np.repeat(start[a:b] - np.cumsum(own) + own, own)
+                    key = np.sort((np.repeat(local, own) * dims + h[place]).astype(np.uint32)).astype(np.int64)
+                    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                    at.append(key[first] + before * dims)
+                    many.append(np.diff(np.append(first, len(key))))
+                    rows[text[a] : text[b - 1] + 1] += 1
+                    before += int(local[-1]) + 1
+                kinds = [packed_ids(np.diff(np.concatenate(at), prepend=0)), packed_ids(np.concatenate(many)), packed_ids(rows)]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in kinds], names=["at", "n", "rows"])
+
+    return tokenised_docs.select("words", "ids", "n_tokens", "held").mapInArrow(lean(run), "at binary, n binary, rows binary")
+
+
+def class_sums(grams: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One pass of expectations over all training rows (``text_grams``): expected trigram counts and rows (starts, CLASSES, 2**GRAM_BITS + 1), log likelihoods (starts).
 
     A task gives one row a class, summed by class in two steps, so the driver gets one row a class.
     """
@@ -417,38 +452,38 @@ def class_sums(tokenised_docs: DataFrame, weights: np.ndarray) -> tuple[np.ndarr
         import pyarrow as pa
         from pyspark import TaskContext
 
-        sums, fit = np.zeros((len(flat), dims + 1)), np.zeros(starts)
+        sums, fit, inner = np.zeros((len(flat), dims + 1)), np.zeros(starts), np.ascontiguousarray(flat[:, :-1].T)
         for batch in batches:
-            for words, ids, n, held in zip(batch.column("words"), batch.column("ids"), batch.column("n_tokens"), batch.column("held"), strict=True):
-                blob, ids, n, use = words.as_py(), unpacked_ids(ids.as_py()), n.values.to_numpy().astype(np.int64), ~np.array(held.as_py(), dtype=bool)
-                ids, n = ids[np.repeat(use, n)].astype(np.int64), n[use]
-                parts, many, first = list(gram_slices(blob)), int(blob.count(b" ")) + 1, np.cumsum(n) - n
-                for k in range(starts if len(n) else 0):
-                    own = flat[k * CLASSES : (k + 1) * CLASSES]
-                    r = np.stack([np.add.reduceat(np.concatenate([gram_sums(w, h, g) for _, h, g in parts]).take(ids), first) for w in own], axis=1) + own[:, -1]
-                    top = r.max(axis=1, keepdims=True)
+            for at, n, rows in zip(batch.column("at"), batch.column("n"), batch.column("rows"), strict=True):
+                key, n, rows = np.cumsum(unpacked_ids(at.as_py()), dtype=np.int64), unpacked_ids(n.as_py()), unpacked_ids(rows.as_py()).astype(np.int64)
+                last = np.cumsum(rows)
+                ends = np.searchsorted(key, last * dims)  # of each text's entries
+                full = len(key) >= FULL_FROM * last[-1]
+                part = (last - 1) // FULL_ROWS if full else (ends - 1) // SPARSE_ENTRIES
+                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(rows)]
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    begin, own = (int(last[a - 1]), slice(ends[a - 1], ends[b - 1])) if a else (0, slice(0, ends[b - 1]))
+                    many, where, times = int(last[b - 1]) - begin, key[own] - begin * dims, n[own]
+                    if full:
+                        x = np.zeros((many, dims))
+                        x.reshape(-1)[where] = times
+                        r = x @ inner
+                    else:
+                        row, col = where >> GRAM_BITS, where & (dims - 1)
+                        r = np.stack([np.bincount(row, weights=w.take(col) * times, minlength=many) for w in flat], axis=1)
+                    r = (np.add.reduceat(r, last[a:b] - rows[a:b] - begin) + flat[:, -1]).reshape(b - a, starts, CLASSES)
+                    top = r.max(axis=2, keepdims=True)
                     r = np.exp(r - top)
-                    fit[k] += float((top[:, 0] + np.log(r.sum(axis=1))).sum())
-                    r /= r.sum(axis=1, keepdims=True)
-                    sums[k * CLASSES : (k + 1) * CLASSES, dims] += r.sum(axis=0)
-                    # nearly all rows are of one class all but wholly: its share first, then what the others have left
-                    best = r.argmax(axis=1)
-                    mass = np.bincount(ids * CLASSES + np.repeat(best, n), weights=np.repeat(r.max(axis=1), n), minlength=many * CLASSES)
-                    r[np.arange(len(r)), best] = 0
-                    for c in range(CLASSES):
-                        if len(some := np.flatnonzero(r[:, c] > 1e-12)):
-                            size = n[some]
-                            at = np.arange(int(size.sum())) + np.repeat(first[some] - np.cumsum(size) + size, size)
-                            mass += np.bincount(ids[at] * CLASSES + c, weights=np.repeat(r[some, c], size), minlength=len(mass))
-                    mass = mass.reshape(many, CLASSES)
-                    for begin, h, grams in parts:
-                        start = np.cumsum(grams) - grams
-                        for c in range(CLASSES):
-                            own = mass[begin : begin + len(grams), c]
-                            live = np.flatnonzero(own)  # few words occur in many classes
-                            size = grams[live]
-                            at = np.arange(int(size.sum())) + np.repeat(start[live] - np.cumsum(size) + size, size)
-                            sums[k * CLASSES + c, :dims] += np.bincount(h[at], weights=np.repeat(own[live], size), minlength=dims)
+                    total = r.sum(axis=2, keepdims=True)
+                    fit += (top + np.log(total)).sum(axis=(0, 2))
+                    r = (r / total).reshape(b - a, len(flat))
+                    sums[:, dims] += r.sum(axis=0)
+                    r = np.repeat(r, rows[a:b], axis=0)
+                    if full:
+                        sums[:, :dims] += r.T @ x
+                    else:
+                        for k in range(len(flat)):
+                            sums[k, :dims] += np.bincount(col, weights=r[row, k] * times, minlength=dims)
         salt = TaskContext.get().partitionId() % 64
         kinds = [pa.array(np.arange(len(flat)), pa.int32()), pa.array([salt] * len(flat), pa.int32()), pa.array([x.tobytes() for x in sums], pa.binary()), pa.array(np.repeat(fit, CLASSES) / CLASSES)]
         yield pa.RecordBatch.from_arrays(kinds, names=["k", "salt", "sums", "fit"])
@@ -460,8 +495,7 @@ def class_sums(tokenised_docs: DataFrame, weights: np.ndarray) -> tuple[np.ndarr
         return pa.table({"k": table.column("k")[:1], "salt": table.column("salt")[:1], "sums": pa.array([total.tobytes()], pa.binary()), "fit": pa.array([sum(table.column("fit").to_pylist())])})
 
     kind = "k int, salt int, sums binary, fit double"
-    own = tokenised_docs.select("words", "ids", "n_tokens", "held").mapInArrow(lean(run), kind)
-    rows = own.groupBy("k", "salt").applyInArrow(add, kind).groupBy("k").applyInArrow(add, kind).collect()
+    rows = grams.mapInArrow(lean(run), kind).groupBy("k", "salt").applyInArrow(add, kind).groupBy("k").applyInArrow(add, kind).collect()
     sums, fit = np.zeros((len(flat), dims + 1)), np.zeros(len(flat))
     for r in rows:
         sums[r["k"]], fit[r["k"]] = np.frombuffer(r["sums"]), r["fit"]
@@ -475,9 +509,9 @@ def fit_classes(tokenised_docs: DataFrame, centres: np.ndarray | None) -> np.nda
     """
     if centres is None:
         return np.zeros((CLASSES, (1 << GRAM_BITS) + 1))
-    weights, before = centres, -np.inf
+    weights, before, counts = centres, -np.inf, written(text_grams(tokenised_docs), "lm-grams")
     for k in range(PASSES):
-        sums, fit = class_sums(tokenised_docs, weights)
+        sums, fit = class_sums(counts, weights)
         grams = np.log(sums[:, :, :-1] + 0.05)
         share = (sums[:, :, -1:] + 1) / (sums[:, :, -1:].sum(axis=1, keepdims=True) + CLASSES)
         weights = np.concatenate([grams - np.log(np.exp(grams).sum(axis=2, keepdims=True)), np.log(share)], axis=2)
@@ -487,6 +521,7 @@ def fit_classes(tokenised_docs: DataFrame, centres: np.ndarray | None) -> np.nda
             if fit[0] - before < 1e-4 * abs(before):
                 break
             before = fit[0]
+    dropped(counts)
     return weights[0]
 
 
@@ -520,34 +555,72 @@ TOKENS = "chunk bigint, words binary, ids binary, n_tokens array<int>, keys arra
 CHUNKS = "chunk bigint, bucket int, words binary, mask binary, train binary, ids binary, n_tokens array<int>, keys array<bigint>, held array<boolean>"
 
 
+def spaced(words, cuts):
+    """Arrow's words from cut to cut, joined by spaces."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), words).cast(pa.list_(words.type)), pa.scalar(b" ", words.type))
+
+
+def word_array(blob: bytes):
+    """Arrow's array of words joined by spaces."""
+    import pyarrow as pa
+
+    gap = np.flatnonzero(np.frombuffer(blob + b" ", dtype=np.uint8) == SPACE)
+    # the space after a word is cut off by taking the words of the blob without spaces
+    ends = gap - np.arange(len(gap))
+    return pa.Array.from_buffers(pa.large_binary(), len(gap), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(blob.replace(b" ", b""))])
+
+
+def word_hashes(blob: bytes) -> np.ndarray:
+    """A 64-bit hash of each of the words joined by spaces: bytes times powers of an odd number, mixed."""
+    buf = np.frombuffer(blob + b" ", dtype=np.uint8)
+    last = np.flatnonzero(buf == SPACE)
+    first = np.append(0, last[:-1] + 1)
+    powers = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, dtype=np.uint64))
+    place = np.arange(len(buf)) - np.repeat(first, last + 1 - first)
+    h = np.add.reduceat((buf + np.uint64(1)) * powers[place & 255], first)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 def tokenised(docs: DataFrame, id_col: str, text_col: str, held: Column) -> DataFrame:
-    """One row a chunk of documents: its distinct words in the order of their first use, each token's word, token counts, ids and folds."""
+    """One row a chunk of documents: its distinct words in the order of their first use (the end last), each token's word, token counts, ids and folds."""
     given = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"), held.alias("__held"))
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         schema = pa.schema([("chunk", pa.int64()), ("words", pa.binary()), ("ids", pa.binary()), ("n_tokens", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))])
         number = count(TaskContext.get().partitionId() << 32)
-        found = defaultdict(count().__next__)
-        idx, rows, folds, size = [], [], [], 0
+        found, many, rows, folds, size = [], [], [], [], 0
 
         def flush():
-            row = {"chunk": next(number), "words": b" ".join(found), "ids": packed_ids(np.concatenate(idx)), "n_tokens": [len(i) for i in idx], "keys": rows, "held": folds}
+            codes, n = pa.concat_arrays(found).dictionary_encode(), np.concatenate(many) + 1
+            words = pa.concat_arrays([codes.dictionary, pa.array([END], pa.large_binary())])
+            ids, ends = np.full(int(n.sum()), len(words) - 1, dtype=np.int32), np.zeros(int(n.sum()), dtype=bool)
+            ends[np.cumsum(n) - 1] = True
+            ids[~ends] = codes.indices.to_numpy()
+            row = {"chunk": next(number), "words": spaced(words, [0, len(words)])[0].as_py(), "ids": packed_ids(ids), "n_tokens": n, "keys": rows, "held": folds}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
             for part in slices(batch, "__text", 1_000_000, 4096):
-                for t in part.column("__text").to_pylist():
-                    idx.append(np.array(list(map(found.__getitem__, [*tokens(t), END])), dtype=np.int32))
-                    size += len(t)
+                inner = pc.ascii_trim_whitespace(pc.ascii_lower(part.column("__text")))
+                split, blank = pc.ascii_split_whitespace(inner), np.asarray(pc.equal(pc.binary_length(inner), 0))
+                words = split.flatten().cast(pa.large_string()).cast(pa.large_binary())
+                found.append(words.filter(pc.greater(pc.binary_length(words), 0)) if blank.any() else words)
+                many.append(np.where(blank, 0, np.asarray(pc.list_value_length(split))).astype(np.int64))
+                size += int(np.asarray(pc.binary_length(part.column("__text")), dtype=np.int64).sum())
                 rows += part.column("__id").to_pylist()
                 folds += part.column("__held").to_pylist()
                 if size >= CHUNK:
                     yield flush()
-                    found = defaultdict(count().__next__)
-                    idx, rows, folds, size = [], [], [], 0
+                    found, many, rows, folds, size = [], [], [], [], 0
         if rows:
             yield flush()
 
@@ -565,14 +638,16 @@ def chunked(tokenised_docs: DataFrame, buckets: int, weights: np.ndarray) -> Dat
 
         def flush(row):
             idx, n, folds = unpacked_ids(row["ids"]), np.array(row["n_tokens"], dtype=np.int64), np.array(row["held"], dtype=bool)
-            words = row["words"].split(b" ")
-            score = word_scores(row["words"], weights)
-            kind, first = np.empty(len(idx), dtype=np.int8), np.cumsum(n) - n
-            for a, m in zip(first.tolist(), n.tolist(), strict=True):  # evidence of the words before, within the text
-                before = np.zeros((m, CLASSES))
-                np.cumsum(score[idx[a : a + m - 1]], axis=0, out=before[1:])
-                kind[a : a + m] = (before + weights[:, -1]).argmax(axis=1)
-            bucket = np.array([xxhash.xxh64_intdigest(w) % buckets for w in words])
+            words, score = word_array(row["words"]), word_scores(row["words"], weights)
+            kind, last = np.empty(len(idx), dtype=np.int8), np.cumsum(n)
+            cuts = [0, *(np.flatnonzero(np.diff((last - 1) // RUN)) + 1).tolist(), len(n)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # evidence of the words before, within the text
+                begin = int(last[a - 1]) if a else 0
+                own = score[idx[begin : last[b - 1]]]
+                before = np.cumsum(own, axis=0) - own
+                before -= np.repeat(before[last[a:b] - n[a:b] - begin], n[a:b], axis=0)
+                kind[begin : last[b - 1]] = (before + weights[:, -1]).argmax(axis=1)
+            bucket = (word_hashes(row["words"]) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")  # words go by bucket, then by first use
             rank = np.empty(len(words), dtype=np.int64)
             rank[order] = np.arange(len(words))
@@ -587,8 +662,9 @@ def chunked(tokenised_docs: DataFrame, buckets: int, weights: np.ndarray) -> Dat
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
             at = np.searchsorted(kinds, cut * CLASSES)
             out = [{"chunk": row["chunk"], "bucket": -1, "ids": packed_ids(ids), "n_tokens": n, "keys": row["keys"], "held": row["held"]}]
+            joined = spaced(words.take(order), cut)
             for b in np.unique(bucket).tolist():
-                out.append({"chunk": row["chunk"], "bucket": b, "words": b" ".join(words[i] for i in order[cut[b] : cut[b + 1]]), "mask": mask[cut[b] : cut[b + 1]].tobytes(), "train": packed_ids(seen[at[b] : at[b + 1]])})
+                out.append({"chunk": row["chunk"], "bucket": b, "words": joined[b].as_py(), "mask": mask[cut[b] : cut[b + 1]].tobytes(), "train": packed_ids(seen[at[b] : at[b + 1]])})
             return pa.RecordBatch.from_pylist(out, schema=schema)
 
         for batch in batches:
@@ -612,17 +688,20 @@ def vocabulary(chunks: DataFrame) -> DataFrame:
     def run(table):
         import pyarrow as pa
 
-        found = defaultdict(count().__next__)
-        pick, where, kind, seen = found.__getitem__, [], [], []
-        for words, mask, train in zip(table.column("words"), table.column("mask"), table.column("train"), strict=True):
-            at = np.array(list(map(pick, words.as_py().split(b" "))), dtype=np.int64)
+        where, kind, seen, begin = [], [], [], 0
+        for mask, train in zip(table.column("mask"), table.column("train"), strict=True):
             w, k = pairs_of(np.frombuffer(mask.as_py(), dtype=np.uint8))
-            where.append(at[w])
+            where.append(w + begin)
             kind.append(k)
             seen.append(unpacked_ids(train.as_py()).astype(np.int64))
-        words = sorted(found)
+            begin += len(mask.as_py())
+        codes = pa.concat_arrays([word_array(x.as_py()) for x in table.column("words")]).dictionary_encode()
+        found = spaced(codes.dictionary, [0, len(codes.dictionary)])[0].as_py().split(b" ")
+        order = sorted(range(len(found)), key=found.__getitem__)
+        words = [found[i] for i in order]
         rank = np.empty(len(words), dtype=np.int64)
-        rank[[found[w] for w in words]] = np.arange(len(words))
+        rank[order] = np.arange(len(words))
+        rank = rank[codes.indices.to_numpy()]  # of each chunk's each word
         pair = rank[np.concatenate(where)] * CLASSES + np.concatenate(kind)
         kinds, inverse = np.unique(pair, return_inverse=True)
         c = np.bincount(inverse, weights=np.concatenate(seen), minlength=len(kinds)).astype(np.int64)
@@ -782,29 +861,40 @@ def answers(asked: DataFrame, contexts: DataFrame, low: dict[int, Level], d: flo
     return asked.groupBy("family").cogroup(contexts.select("family", "k", "c", "t").groupBy("family")).applyInArrow(run, "bucket int, family int, lp binary, counts binary")
 
 
-def spelling_logs(words: bytes, lp: np.ndarray, model: Spelling, order: int, families: int) -> np.ndarray:
-    """Log probability of each word's spelling: ``lp`` has the families' answers family by family, ``model`` the short contexts."""
-    keys, by = needed(words, order, families)
-    sorted_lp = np.empty(len(keys))
-    sorted_lp[by] = lp
+def looked_up(words: bytes, order: int, families: int) -> tuple[np.ndarray, ...]:
+    """Of words joined by spaces: ``spelled``, lengths up to ``order``; the positions that families answer; for each of them the place of its gram among the answers, family by family, and the number of answers."""
     packed, length, word = spelled(words)
-    length, own = np.minimum(length, order), length >= 2
-    out = np.empty(len(packed))
-    out[own] = sorted_lp[np.searchsorted(keys, gram(packed[own], length[own]))]
-    out[~own] = model.log_grams(packed[~own], length[~own])
+    length = np.minimum(length, order)
+    own = np.flatnonzero(length >= 2)
+    key = gram(packed[own], length[own])
+    by_key = np.argsort(key)
+    key = key[by_key]
+    first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=bool)
+    of = np.argsort(family_of(key[first], families), kind="stable")
+    place, at = np.empty(len(of), dtype=np.int64), np.empty(len(own), dtype=np.int64)
+    place[of] = np.arange(len(of))
+    at[by_key] = place[np.cumsum(first) - 1]
+    return packed, length, word, own, at
+
+
+def spelling_logs(words: bytes, lp: np.ndarray, model: Spelling, order: int, families: int, looked: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
+    """Log probability of each word's spelling: ``lp`` has the families' answers family by family, ``model`` the short contexts; ``looked``: ``looked_up`` of the words."""
+    packed, length, word, own, at = looked or looked_up(words, order, families)
+    out, near = np.empty(len(packed)), np.flatnonzero(length < 2)
+    out[own] = lp[at]
+    out[near] = model.log_grams(packed[near], length[near])
     return np.bincount(word, weights=out)
 
 
-def spelled_customers(words: bytes, counts: np.ndarray, own: np.ndarray, model: Spelling, order: int, families: int) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+def spelled_customers(words: bytes, counts: np.ndarray, own: np.ndarray, model: Spelling, order: int, families: int, looked: tuple[np.ndarray, ...] | None = None) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
     """``grams`` and ``contexts`` of ``word_tables`` for the words in the mask ``own``; ``counts``: the families' answers family by family."""
-    keys, by = needed(words, order, families)
-    told = np.empty((3, len(keys)), dtype=np.int64)
-    told[:, by] = counts
-    packed, length, word = spelled(words)
-    use = own[word]
-    word, key = word[use], gram(packed[use], np.minimum(length[use], order))
+    packed, length, word, answered, at = looked or looked_up(words, order, families)
+    place = np.full(len(packed), -1)
+    place[answered] = at
+    use = np.flatnonzero(own[word])
+    word, key, place = word[use], gram(packed[use], length[use]), place[use]
     by_word = np.lexsort((key, word))
-    word, key = word[by_word], key[by_word]
+    word, key, place = word[by_word], key[by_word], place[by_word]
 
     def times(k):
         """First place and number of every (word, k) among rows sorted by word, then k."""
@@ -812,9 +902,9 @@ def spelled_customers(words: bytes, counts: np.ndarray, own: np.ndarray, model:
         return first, np.diff(np.append(first, len(k)))
 
     first, n = times(key)
-    far = key[first] >> 48 >= 2
-    seen = model.counts_of(key[first])
-    seen[:, far] = told[:, np.searchsorted(keys, key[first][far])]
+    far, seen = place[first] >= 0, np.empty((3, len(first)), dtype=np.int64)
+    seen[:, ~far] = model.counts_of(key[first][~far])
+    seen[:, far] = counts[:, place[first][far]]
     grams = word[first], n, seen[0], seen[1]
     room, total = context(key), np.repeat(seen[2], n)
     by_room = np.lexsort((room, word))
@@ -846,7 +936,8 @@ def draw_words(vocab: DataFrame, told: DataFrame, model: Spelling, order: int, f
         lp = np.frombuffer(b"".join(r["lp"] for r in parts), dtype=np.float32)
         c, t, tw = (unpacked_ids(row[x]).astype(np.int64) for x in ("c", "t", "tw"))
         word, kind = pairs_of(np.frombuffer(row["mask"], dtype=np.uint8))
-        h = np.maximum(np.exp(spelling_logs(row["words"], lp, model, order, families)), 1e-290)
+        looked = looked_up(row["words"], order, families)
+        h = np.maximum(np.exp(spelling_logs(row["words"], lp, model, order, families, looked)), 1e-290)
         cw = np.bincount(word, weights=t, minlength=len(tw)).astype(np.int64)
         up = (np.maximum(cw - dw * tw, 0) + (thetaw + dw * top) * h) / (thetaw + customers)
         p = np.frombuffer(row["p"], dtype=np.float32)
@@ -856,7 +947,7 @@ def draw_words(vocab: DataFrame, told: DataFrame, model: Spelling, order: int, f
         cw = np.bincount(word, weights=t, minlength=len(tw)).astype(np.int64)
         counts = np.concatenate([np.zeros((3, 0), dtype=np.int64), *[unpacked_ids(r["counts"]).reshape(3, -1) for r in parts]], axis=1)
         # a word of one customer has one table
-        grams, contexts = spelled_customers(row["words"], counts, cw > 1, model, order, families)
+        grams, contexts = spelled_customers(row["words"], counts, cw > 1, model, order, families, looked)
         tw = word_tables(cw, tw, grams, contexts, top, (dw, thetaw), hyper["spelling"], rng)
         row |= {"t": packed_ids(t), "tw": packed_ids(tw), "p": p.astype(np.float32).tobytes(), "tables": np.bincount(kind, weights=t, minlength=CLASSES).astype(np.int64).tolist(), "top": int(tw.sum()), **word_kinds(cw)}
         returned()
@@ -924,16 +1015,17 @@ def score_texts(docs: DataFrame, id_col: str, text_col: str, held: Column, sampl
     def give(left, right):
         """For each chunk's words of a bucket, in the chunk's order: training counts by word, log probabilities by (word, class)."""
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         row = right.slice(0, 1).to_pylist()[0]
-        at = {w: i for i, w in enumerate(row["words"].split(b" "))}
+        known = word_array(row["words"])
         word, kind = pairs_of(np.frombuffer(row["mask"], dtype=np.uint8))
         pair = word * CLASSES + kind
-        c = np.bincount(word, weights=unpacked_ids(row["c"]), minlength=len(at)).astype(np.int64)
+        c = np.bincount(word, weights=unpacked_ids(row["c"]), minlength=len(known)).astype(np.int64)
         lp = np.log10(np.maximum(np.frombuffer(row["p"], dtype=np.float32).astype(np.float64) / samples, 1e-300)).astype(np.float32)
-        out = []
-        for chunk, words, mask in zip(left.column("chunk").to_pylist(), left.column("words").to_pylist(), left.column("mask").to_pylist(), strict=True):
-            i = np.array(list(map(at.__getitem__, words.split(b" "))), dtype=np.int64)
+        out, masks = [], left.column("mask").to_pylist()
+        at = pc.index_in(pa.concat_arrays([word_array(x.as_py()) for x in left.column("words")]), value_set=known).to_numpy().astype(np.int64)
+        for chunk, mask, i in zip(left.column("chunk").to_pylist(), masks, np.split(at, np.cumsum([len(m) for m in masks])[:-1]), strict=True):
             w, k = pairs_of(np.frombuffer(mask, dtype=np.uint8))
             out.append((chunk, row["bucket"], packed_ids(c[i]), lp[np.searchsorted(pair, i[w] * CLASSES + k)].tobytes(), mask))
         return pa.table({"chunk": pa.array([o[0] for o in out], pa.int64()), "bucket": pa.array([o[1] for o in out], pa.int32()), "c": pa.array([o[2] for o in out], pa.binary()), "lp": pa.array([o[3] for o in out], pa.binary()), "mask": pa.array([o[4] for o in out], pa.binary())})

@@ -15,6 +15,8 @@ Factors of c alone are left out: they are the same for all t.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 #: Customers with exact numbers; customers of the row that both approximations are held against.
@@ -23,6 +25,8 @@ EXACT, ROW = 256, 1024
 INSIDE = 0.1
 #: Log weight below the best that ends a window, and points evaluated in it.
 DEEP, POINTS = 20.0, 128
+#: log(log(c / t)) between which saddle points are tabulated (further out they are clipped), and places in the table.
+NEAR, FAR, PLACES = -30.0, 4.0, 1 << 15
 
 
 def log_stirling(d: float, n: int) -> np.ndarray:
@@ -38,23 +42,29 @@ def log_stirling(d: float, n: int) -> np.ndarray:
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    """log Gamma of positive numbers: Stirling's series after a shift by eight."""
-    x = np.asarray(x, dtype=float)
-    shift, y = np.log(x), x + 8
-    for k in range(1, 8):
-        shift = shift + np.log(x + k)
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+    """log Gamma of positive numbers: Stirling's series, after a shift by eight where one is below eight."""
+    x = y = np.asarray(x, dtype=float)
+    if low := bool(np.min(x, initial=8.0) < 8):
+        small = x < 8
+        y = np.where(small, x + 8, x)
+    r = 1 / y
+    q = r * r
+    out = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + r * (1 / 12 - q * (1 / 360 - q * (1 / 1260 - q / 1680)))
+    if low:
+        x = np.where(small, x, 1.0)
+        # x (x + 1) ... (x + 7) by pairs, x (x + 7) first
+        u = x * (x + 7)
+        out = np.where(small, out - np.log(u * (u + 6) * (u + 10) * (u + 12)), out)
+    return out
 
 
 def log_rising(a: np.ndarray, t: np.ndarray) -> np.ndarray:
     """log of a * (a + 1) * ... * (a + t - 1), also where a is far larger than t."""
-    a, t = np.broadcast_arrays(np.asarray(a, dtype=float), np.asarray(t, dtype=float))
+    a, t = np.asarray(a, dtype=float), np.asarray(t, dtype=float)
     big = a > 1e6
-    out = np.empty(a.shape)
-    out[~big] = log_gamma(a[~big] + t[~big]) - log_gamma(a[~big])
-    x, n = a[big], t[big]
-    out[big] = n * np.log(x) + (x + n - 0.5) * np.log1p(n / x) - n
-    return out
+    near = None if big.all() else log_gamma(a + t) - log_gamma(a)
+    far = t * np.log(a) + (a + t - 0.5) * np.log1p(t / a) - t if big.any() else None
+    return near if far is None else far if near is None else np.where(big, far, near)
 
 
 class Stirling:
@@ -65,29 +75,44 @@ class Stirling:
         self.table = np.full((EXACT + 1, EXACT + 1), -np.inf)
         row[1] = self.table[1, 1] = 0.0
         for c in range(1, ROW):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                stay = np.where(c - d * t > 0, np.log(np.maximum(c - d * t, 1e-300)), -np.inf) + row[1:]
-            row = np.concatenate([[-np.inf], np.logaddexp(row[:-1], stay)])
+            stay = np.log(c - d * t[:c]) + row[1 : c + 1]
+            row[c + 1] = row[c]
+            row[2 : c + 1] = np.logaddexp(row[1:c], stay[1:])
+            row[1] = stay[0]
             if c + 1 <= EXACT:
-                self.table[c + 1] = row[: EXACT + 1]
+                self.table[c + 1, 1 : c + 2] = row[1 : c + 2]
+        self.points = self.tabulated()
         real, at = row[1:] - log_gamma(ROW + 1.0), np.full(ROW, float(ROW))
         self.t, (saddle, _) = t.astype(float), self.saddle(at[:-1], t[:-1].astype(float))
         self.off = np.append(real[:-1] - saddle, 0.0)
         self.factor = real - self.few(at, t.astype(float))
 
-    def saddle(self, c: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Saddle-point value over c! for t < c, and c * (1 - r) * (1 - d)."""
-        d, target = self.d, np.log(c / t)
-        v = -np.minimum(2 * target, target - np.log(d)) / (1 - d)  # v = log(1 - r); the function is convex, so Newton's steps settle
+    def tabulated(self) -> np.ndarray:
+        """log(-v) of the saddle points r, v = log(1 - r), at PLACES values of log(log(c / t)), evenly spaced from NEAR to FAR."""
+        d, target = self.d, np.exp(np.linspace(NEAR, FAR, PLACES))
+        v = -np.minimum(2 * target, target - np.log(d)) / (1 - d)  # the function is convex, so Newton's steps settle
         for _ in range(9):
             v = np.minimum(v, -1e-12)
             e, f = -np.expm1(v), -np.expm1(d * v)
             value = np.log(e * d / f) + (d - 1) * v - target
             v = v - value / (-np.exp(v) / e + (d - 1) + d * np.exp(d * v) / f)
-        v = np.clip(v, -690 / (2 - d), -1e-12)
-        s, r, g = np.exp(v), -np.expm1(v), -np.expm1(d * v) / d
-        lift = np.exp((d - 1) * v)
-        bend = r * (lift / g + r * (1 - d) * np.exp((d - 2) * v) / g - r * (lift / g) ** 2)
+        return np.log(-np.minimum(v, -1e-12))
+
+    def saddle(self, c: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Saddle-point value over c! for t < c, and c * (1 - r) * (1 - d).
+
+        r depends on c / t alone and is read off the table, to 1e-7 of v between its places; the value is
+        stationary in r, so that costs less than 1e-14 of c.
+        """
+        d = self.d
+        at = np.clip((np.log(np.log1p((c - t) / t)) - NEAR) * ((PLACES - 1) / (FAR - NEAR)), 0, PLACES - 1.001)
+        k = at.astype(np.int64)
+        low = self.points[k]
+        v = np.clip(-np.exp(low + (at - k) * (self.points[k + 1] - low)), -690 / (2 - d), -1e-12)
+        s, lift, r = np.exp(v), np.exp((d - 1) * v), -np.expm1(v)
+        g = -np.expm1(d * v) / d
+        up = lift / g
+        bend = r * up * (1 + r * ((1 - d) / s - up))
         return t * np.log(g) - log_gamma(t + 1) - c * np.log(r) - 0.5 * np.log(2 * np.pi * t * bend), c * s * (1 - d)
 
     def few(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -102,11 +127,10 @@ class Stirling:
         shape, c, t = c.shape, c.ravel(), t.ravel()
         saddle, inside = self.saddle(c, np.minimum(t, c - 1))
         like = 1 + (t - 1) * ((ROW - (3 * d + 1) / 2) / (c - (3 * d + 1) / 2)) ** d
-        out = np.where(
-            (inside >= INSIDE) | (like > ROW),
-            saddle + np.interp(like, self.t, self.off),
-            self.few(c, t) + np.interp(like, self.t, self.factor),
-        )
+        out = saddle + np.interp(like, self.t, self.off)
+        few = np.flatnonzero((inside < INSIDE) & (like <= ROW))
+        if len(few):
+            out[few] = self.few(c[few], t[few]) + np.interp(like[few], self.t, self.factor)
         return np.where(t >= c, -log_gamma(c + 1), out).reshape(shape)
 
     def whole(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -121,38 +145,98 @@ class Stirling:
         return out
 
 
+@lru_cache(maxsize=8)
+def stirling(d: float) -> Stirling:
+    """``Stirling(d)``, made once a process: every dish of a round has one of three discounts."""
+    return Stirling(d)
+
+
 def draw_large(c: np.ndarray, a: np.ndarray, log_open: np.ndarray, numbers: Stirling, rng: np.random.Generator, more=None, least: np.ndarray | None = None) -> np.ndarray:
     """t for each c > EXACT with weight S_d(c, t) * exp(t * log_open + more(t)) * a * (a + 1) * ... * (a + t - 1), from ``least`` (1) on.
 
-    ``more`` takes a matrix with a row for each c.
+    ``more(rows, t)`` takes places in c and a matrix with a row for each of them.
 
-    The best t is found by bisecting on the sign of the difference, the window where the weight is within
-    exp(-DEEP) of the best on both sides too.  A window of at most POINTS numbers is summed number by
-    number; of a wider one the weight is taken at POINTS of its numbers, as log-linear between them.
+    The best t is bracketed to a part of its spread by the sign of the difference, then the window where the
+    weight is within exp(-DEEP) of the best, at most twice too wide on both sides.  A window of at most POINTS
+    numbers is summed number by number; of a wider one the weight is taken at POINTS of its numbers, as
+    log-linear between them.
     """
     c, a, log_open = (np.asarray(x, dtype=float) for x in (c, a, log_open))
-    further = (lambda t: more(t[:, None])[:, 0]) if more else lambda t: 0.0
-    weight = lambda t: numbers.log(c, t) + t * log_open + log_rising(a, t) + further(t)
-    start = np.ones(len(c)) if least is None else np.clip(np.asarray(least, dtype=float), 1, c)
 
-    def bisect(low, high, right):
-        """Largest t in [low, high) at which ``right`` holds, plus one; low where it never does."""
-        for _ in range(int(np.log2(max(2.0, c.max()))) + 2):
-            mid = np.floor((low + high) / 2)
-            go = right(mid) & (low < high)
-            low, high = np.where(go, mid + 1, low), np.where(go | (low >= high), high, mid)
-        return np.minimum(low, c)
-
-    best = bisect(start, c, lambda t: weight(np.minimum(t + 1, c)) > weight(t))
-    floor = weight(best) - DEEP
-    low = bisect(start, best, lambda t: weight(t) < floor)
-    high = bisect(best, c, lambda t: weight(np.minimum(t + 1, c)) >= floor)
+    def weight(rows, t):
+        out = numbers.log(c[rows, None], t) + t * log_open[rows, None] + log_rising(a[rows, None], t)
+        return out if more is None else out + more(rows, t)
+
+    every = np.arange(len(c))
+    start = np.ones(len(c)) if least is None else np.clip(np.asarray(least, dtype=float), 1, c)
+    best, rise = bracketed(start, c, lambda rows, t: np.diff(weight(rows, t[:, None] + np.array([0.0, 1.0])))[:, 0])
+    floor = weight(every, best[:, None]) - DEEP
+    ends = np.stack([start, c], axis=1)
+    reach = np.abs(ends - best[:, None])
+    out = np.minimum(reach, 1 + np.ceil(4 * np.sqrt(rise))[:, None])
+
+    def at(rows, k):
+        return np.clip(best[rows, None] + k * [-1.0, 1.0], ends[rows, :1], ends[rows, 1:])
+
+    rows = every
+    while len(rows):  # outwards
+        short = (out[rows] < reach[rows]) & (weight(rows, at(rows, out[rows])) >= floor[rows])
+        out[rows] = np.where(short, np.minimum(2 * out[rows], reach[rows]), out[rows])
+        rows = rows[short.any(axis=1)]
+    rows = every
+    while len(rows):  # and back
+        half = np.floor(out[rows] / 2)
+        wide = (out[rows] > POINTS / 4) & (weight(rows, at(rows, half)) < floor[rows])
+        out[rows] = np.where(wide, half, out[rows])
+        rows = rows[wide.any(axis=1)]
+    low, high = at(every, out).T
     step = np.maximum(1, np.ceil((high - low + 1) / POINTS))
-    k = np.arange(POINTS + 1)
+    last = np.floor((high - low) / step).astype(np.int64)
+    t, drawn, order = np.empty(len(c)), rng.random((2, len(c))), np.argsort(last, kind="stable")
+    for rows in np.split(order, np.searchsorted(last[order], [16, 32, 64])):
+        if len(rows):
+            t[rows] = windows_drawn(low[rows], step[rows], last[rows], lambda t, rows=rows: weight(rows, np.minimum(t, c[rows, None])), drawn[:, rows])
+    return np.clip(t, 1, c).astype(np.int64)
+
+
+def bracketed(low: np.ndarray, high: np.ndarray, gain) -> tuple[np.ndarray, np.ndarray]:
+    """About where ``gain(rows, t)``, falling with t from ``low`` to below ``high``, changes its sign: within a part of the spread, whose square is at most what is returned beside it.
+
+    False position over log t with halved values (every third step the middle of the logarithms), on the rows still open.
+    """
+    low, high = low.copy(), high.copy()
+    every = np.arange(len(low))
+    some = high > low
+    left, right = np.full(len(low), -1.0), np.full(len(low), -1.0)
+    if some.any():
+        rows = every[some]
+        left[rows], right[rows] = gain(rows, low[rows]), gain(rows, high[rows] - 1)
+    top, side = high.copy(), np.zeros(len(low))
+    high = np.where(left <= 0, low, high)
+    low = np.where(right > 0, high, low)
+    tolerance = lambda k: 1 + 0.25 * np.sqrt(np.minimum(low[k], top[k] - high[k] + 1))
+    rows, n = every[high - low > tolerance(every)], 0
+    while len(rows):
+        x, y, f, g = np.log(low[rows]), np.log(high[rows]), left[rows], right[rows]
+        middle = np.exp((x + y) / 2 if n % 3 == 2 else (y * f - x * g) / (f - g))
+        middle = np.clip(np.floor(middle), low[rows] + 1, high[rows] - 1)
+        value = gain(rows, middle)
+        up = value > 0
+        # the value of an end that stays twice is halved
+        right[rows] = np.where(up, np.where(side[rows] > 0, g / 2, g), value)
+        left[rows] = np.where(up, value, np.where(side[rows] < 0, f / 2, f))
+        side[rows] = np.where(up, 1, -1)
+        low[rows], high[rows] = np.where(up, middle, low[rows]), np.where(up, high[rows], middle)
+        rows, n = rows[high[rows] - low[rows] > tolerance(rows)], n + 1
+    best = np.where(right > 0, high, np.floor((low + high + 1) / 2))
+    return best, np.minimum(best, top - best + 1)
+
+
+def windows_drawn(low: np.ndarray, step: np.ndarray, last: np.ndarray, weight, drawn: np.ndarray) -> np.ndarray:
+    """A number for each window, whose points stand ``step`` apart from ``low`` on, the ``last`` one included."""
+    k = np.arange(int(last.max()) + 2)
     at = low[:, None] + k * step[:, None]
-    inside = at <= np.maximum(high, low)[:, None]
-    logw = numbers.log(c[:, None], np.minimum(at, c[:, None])) + at * log_open[:, None] + log_rising(a[:, None], at)
-    logw = np.where(inside, logw + more(np.minimum(at, c[:, None])) if more else logw, -np.inf)
+    logw = np.where(k <= last[:, None], weight(at), -np.inf)
     logw -= logw.max(axis=1, keepdims=True)
     w = np.exp(logw)
     # a wide window: cells between neighbouring points, each with the mass of a trapezoid
@@ -160,14 +244,12 @@ def draw_large(c: np.ndarray, a: np.ndarray, log_open: np.ndarray, numbers: Stir
     w[wide, :-1] = (w[wide, :-1] + w[wide, 1:]) / 2
     w[wide, -1] = 0
     total = np.cumsum(w, axis=1)
-    cell = np.minimum((total <= (rng.random(len(c)) * total[:, -1])[:, None]).sum(axis=1), POINTS)
-    rows = np.arange(len(c))
+    cell = np.minimum((total <= (drawn[0] * total[:, -1])[:, None]).sum(axis=1), last)
+    rows = np.arange(len(low))
     t = at[rows, cell]
     # inside a cell by the weights at its ends (linear density)
-    left = np.exp(logw[rows, cell])
-    right = np.exp(logw[rows, np.minimum(cell + 1, POINTS)])
-    u, gap = rng.random(len(c)), right - left
+    left, right = np.exp(logw[rows, cell]), np.exp(logw[rows, np.minimum(cell + 1, len(k) - 1)])
+    u, gap = drawn[1], right - left
     with np.errstate(divide="ignore", invalid="ignore"):
         x = np.where(np.abs(gap) > 1e-9 * (left + right), (np.sqrt(left**2 + u * (right**2 - left**2)) - left) / gap, u)
-    t = np.where(wide, np.floor(t + x * step + 0.5), t)
-    return np.clip(t, 1, c).astype(np.int64)
+    return np.where(wide, np.floor(t + x * step + 0.5), t)

@@ -1077,3 +1077,26 @@ def test_grams_in_slices_are_those_of_the_whole():
     assert np.concatenate([g for _, _, g in parts]).tolist() == np.bincount(word).tolist() and [f for f, _, _ in parts] == np.cumsum([0] + [len(g) for _, _, g in parts[:-1]]).tolist()
     w = np.random.default_rng(0).random(1 << pitman_yor.GRAM_BITS)
     assert np.allclose(np.concatenate([pitman_yor.gram_sums(w, x, g) for _, x, g in parts]), np.bincount(word, weights=w[h]))
+
+
+def test_large_draws_take_few_weights(monkeypatch):
+    """The best number and its window are bracketed by false position, not bisected number by number; Stirling numbers are made once."""
+    seen, real = [], stirling.Stirling.log
+    monkeypatch.setattr(stirling.Stirling, "log", lambda self, c, t: seen.append(np.broadcast(c, t).size) or real(self, c, t))
+    n, numbers = 300, stirling.Stirling(0.5)
+    c = np.full(n, 10**6)
+    t = stirling.draw_large(c, np.full(n, 3.0), np.full(n, np.log(0.5 * 0.01)), numbers, np.random.default_rng(1))
+    assert 1 <= t.min() and t.max() <= 10**6
+    assert len(seen) < 40 and sum(seen) < 200 * n, (len(seen), sum(seen) / n)  # 86 calls, 214 weights a dish by bisecting
+    assert pitman_yor.stirling(0.5) is pitman_yor.stirling(0.5)
+
+
+def test_classes_of_short_texts(spark):
+    """Rows of few trigrams are multiplied entry by entry; passes read counts that are written once."""
+    texts = ["the thing", "der die das", "", "a b c", "und oder", "12.5", "the other", "die andere"] * 4
+    df = table(spark, texts)
+    centres = pitman_yor.class_centres(df, "doc_id", "text", F.lit(True), 4)
+    tokens = pitman_yor.tokenised(df, "doc_id", "text", F.lit(False))
+    counts = pitman_yor.text_grams(tokens).collect()
+    assert sum(int(pitman_yor.unpacked_ids(r.n).sum()) for r in counts) == sum(len("".join(t.split())) + 1 for t in texts)
+    assert np.allclose(pitman_yor.fit_classes(tokens, centres), brute_classes(texts, centres), atol=1e-6)
